@@ -79,8 +79,7 @@ GRAMMAR: list[tuple[str, str, re.Pattern]] = [
         ("bare", "latex", r"(?<![A-Za-z]:)(?<![\w\\])\\(?:[A-Za-z]{2,20})(?![A-Za-z\\{])|(?<=\S)[ \t]*\\\\[ \t]*$"),
     ]
 ]
-GATE = re.compile(r"[<&`*_~|$\\{\[=]|''|^[#>!+-]", re.MULTILINE)
-HINTS = re.compile(r"</?[A-Za-z!]|&#?\w{1,31};|[`*~|\\]|__|(?<![A-Za-z0-9])_\S|''|\[\[|\{[{|]|\]\(|\[https?:|\$\S*[\\^_{]|^(?:#{1,6}[ \t]|>[ \t]|[-+][ \t]|={2,})", re.MULTILINE)
+CODE_OR_MARKUP = HINTS = re.compile(r"</?[A-Za-z!]|&#?\w{1,31};|[`*~|\\]|__|(?<![A-Za-z0-9])_\S|''|\[\[|\{[{|]|\]\(|\[https?:|\$\S*[\\^_{]|^(?:#{1,6}[ \t]|>[ \t]|[-+][ \t]|={2,})", re.MULTILINE)
 
 
 @dataclass
@@ -332,8 +331,8 @@ def rendered(text: str, p: Piece) -> str:
     return ""
 
 
-def clean(text: str) -> tuple[str, list[str]]:
-    """The clean text and the kinds of markup that were in it."""
+def clean(text: str, drop_code: bool = False) -> tuple[str, list[str]]:
+    """The clean text and the kinds of markup that were in it; drop_code: without code and formulas too."""
     if not HINTS.search(text):
         return text, []
     pieces = candidates(text)
@@ -363,7 +362,15 @@ def clean(text: str) -> tuple[str, list[str]]:
             out = [head + "\n" if head or body.startswith("\n") else "", "# " + line + "\n"]
             at = p.end
             continue
-        out.append(rendered(text, p))
+        if drop_code and p.type in ("fence", "code", "display", "math", "bare"):
+            out.append(text[p.start + 1 : p.end - 1] if p.type == "code" and " " not in text[p.start : p.end] else " ")
+        elif drop_code and p.type == "tag" and raw.startswith("<pre"):
+            end = re.compile("</pre", re.IGNORECASE).search(text, p.end)
+            skip = end.start() if end else len(text)
+            at = skip
+            continue
+        else:
+            out.append(rendered(text, p))
         at = p.end
     body = "".join(out) + text[at:]
     gone = {text[a:b].strip() for (a, b), dead in zip(lines, boilerplate) if dead}
