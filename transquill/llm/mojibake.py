@@ -89,6 +89,14 @@ def utf8_pattern(codec: str) -> re.Pattern:
     return re.compile(f"(?:{sequences(codec)})+")
 
 
+@lru_cache(None)
+def utf8_parts(codec: str) -> tuple[frozenset[str], frozenset[str]]:
+    """Characters that such a sequence begins with, and those that it goes on with."""
+    leads = {high(codec)[x] for a, b, *_ in SEQUENCES for x in range(a, b + 1)}
+    rests = {high(codec)[x] for x in range(0x80, 0xC0)} | ({chr(x) for x in range(0x80, 0xA0)} if codec == "cp1252" else set())
+    return frozenset(leads), frozenset(rests)
+
+
 LOST = re.compile(r"�|(?<=\w)\?\?+(?=\w)|(?:(?<=[.!?»”]\s)|(?<=\n)|(?<![\s\S]))\?\?+(?=\s[a-zà-ÿ]|[a-zà-ÿ])")
 #: Signs that the letters of one Latin encoding become in another.
 ODD_SIGN = "".join(sorted({c for x in LATIN for c in high(x).values() if not c.isalpha() and c not in "«»“”‘’–—…•·°€£¥§©®™¿¡\xa0\xad-" and not "\u0080" <= c <= "\u009f"}))
@@ -177,6 +185,7 @@ class Span:
 
 
 WORD = re.compile(r"[^\s.,;:!?()\"]+")
+WORD_START = re.compile(r"[^\s.,;:!?()\"]+$")
 
 
 @lru_cache(None)
@@ -255,7 +264,11 @@ class Restorer:
     def utf8(self, text: str, depth: int = DEPTH) -> list[tuple[float, Span]]:
         """Byte-exact repairs with their gains; inside another repair the best for each place."""
         found: list[tuple[float, Span]] = []
+        chars = set(text)
         for codec in DECODERS:
+            leads, rests = utf8_parts(codec)
+            if leads.isdisjoint(chars) or rests.isdisjoint(chars):
+                continue
             for m in utf8_pattern(codec).finditer(text):
                 if done := self.undone(codec, m[0], depth):
                     gain = self.gain(text, m.start(), m.end(), done[0])
@@ -297,10 +310,15 @@ class Restorer:
     def words(self, text: str) -> list[tuple[float, Span]]:
         """Words of a Latin language that read better through another Latin encoding."""
         best: list[tuple[float, Span]] = []
-        for m in WORD.finditer(text):
-            word = m[0]
-            if word.isascii() or not WORD_SUSPECT.search(word):
+        at = 0
+        for hit in WORD_SUSPECT.finditer(text):
+            if hit.start() < at:
+                continue
+            a = WORD_START.search(text, max(at, hit.start() - 60), hit.start() + 1)
+            m = WORD.match(text, a.start() if a else hit.start())
+            if not m or m.end() <= hit.start():
                 continue
+            word, at = m[0], m.end()
             for x in LATIN:
                 data = unread(word, x)
                 for y in LATIN if data else ():
@@ -317,11 +335,14 @@ class Restorer:
         if not text or text.isascii() and "??" not in text or not self.gate.search(text):
             return []
         found = self.utf8(text)
-        if RUN.search(text):
+        rest = text
+        for s in disjoint(found):
+            rest = rest[: s.start] + " " * (s.end - s.start) + rest[s.end :]
+        if RUN.search(rest):
             found += self.passages(text, RUN, ["cp1252", "cp850", "mac_roman"], ORIGINALS, True)
-        if SWAPPED.search(text):
+        if SWAPPED.search(rest):
             found += self.passages(text, SWAPPED, CYRILLIC, CYRILLIC, False)
-        if WORD_SUSPECT.search(text):
+        if WORD_SUSPECT.search(rest):
             found += self.words(text)
         spans = disjoint(found)
         spans += [s for m in LOST.finditer(text) if all(m.end() <= t.start or m.start() >= t.end for t in spans) for s in [Span(m.start(), m.end(), None, "lost")]]

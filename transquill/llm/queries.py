@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transquill.llm import lookalikes, mojibake, residue
+from transquill.llm import languages, leaks, lookalikes, markup, mixing, mojibake, repetition, residue, sentences, turns
 from transquill.llm.rows import has_text, transcripts
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def video_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(video_id, field, text) of titles and transcripts, from one scan of videos."""
-    videos = spark.read.parquet(f"{sf_dir}/videos.parquet").select("id", "title", "transcript")
+    videos = _table(spark, sf_dir, "videos").select("id", "title", "transcript")
     pair = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in ("title", "transcript")))
     return videos.select(F.col("id").alias("video_id"), F.explode(pair).alias("p")).select("video_id", "p.field", "p.text")
 
@@ -31,6 +35,23 @@ def p1_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lookalikes(spark, sf_dir).dropDuplicates(["video_id", "field"])
 
 
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    of_text = turns.find_turns(transcripts(spark, sf_dir), "transcript").withColumn("field", F.lit("transcript"))
+    captions = _table(spark, sf_dir, "raw_captions").where(has_text("raw_text")).select(turns.path_id(F.col("raw_path")).alias("youtube_id"), F.col("raw_text").alias("text"))
+    of_files = turns.find_turns(captions, "captions", key="youtube_id").distinct()
+    ids = _table(spark, sf_dir, "videos").select("youtube_id", F.col("id").alias("video_id")).distinct()
+    return of_text.unionByName(of_files.join(ids, "youtube_id").drop("youtube_id").withColumn("field", F.lit("raw_path")))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _turns(spark, sf_dir).select("video_id", "field", "turn_no", "speaker_no").distinct()
+
+
+def p2_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns with their clean speech."""
+    return _turns(spark, sf_dir).distinct()
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = transcripts(spark, sf_dir)
     return mojibake.find_garbled(texts, mojibake.fit(texts)).select("video_id").distinct()
@@ -51,5 +72,71 @@ def p4_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcripts(spark, sf_dir).select("video_id").distinct().join(p4_found(spark, sf_dir), "video_id", "left_anti")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_consistent, p3_found, p3_restored, p4_found, p4_kept)}
+def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each video's shares with its channel's verdict."""
+    videos = _table(spark, sf_dir, "videos").where(has_text("transcript")).select(F.col("id").alias("video_id"), F.col("channel_id").alias("host"), F.col("transcript").alias("text"))
+    return repetition.judge(repetition.measure(videos, mojibake.fit(videos)))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the videos with their channel's verdict, those whose share is beyond the rule's limit."""
+    return p5_shares(spark, sf_dir).where(F.array_contains("failed", "runs")).select("video_id").distinct()
+
+
+def _identified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = transcripts(spark, sf_dir)
+    labelled = _table(spark, sf_dir, "documents").select(languages.label(F.col("lang")).alias("code"), "text")
+    return languages.identify(texts, languages.fit(labelled), mojibake.fit(texts), ["video_id"]).dropDuplicates(["video_id"])
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = languages.labels(_table(spark, sf_dir, "videos"), _table(spark, sf_dir, "pipeline_transcripts"), _table(spark, sf_dir, "channels"))
+    wrong = F.col("code").isNull() | (F.size("langs") > 1) | (F.col("langs")[0] != F.col("code"))
+    return _identified(spark, sf_dir).join(labels, "video_id", "left").where(wrong).select("video_id", F.explode("langs").alias("lang")).distinct()
+
+
+def p6_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each video's segments with their languages and confidence."""
+    return _identified(spark, sf_dir).select("video_id", "main", F.posexplode("segments").alias("segment_no", "s")).select("video_id", "main", (F.col("segment_no") + 1).alias("segment_no"), "s.lang", "s.sentences", "s.confidence")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.find_markup(transcripts(spark, sf_dir)).select("video_id", "kind").distinct()
+
+
+def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean text of each transcript with markup."""
+    return markup.find_markup(transcripts(spark, sf_dir)).select("video_id", "clean").dropDuplicates(["video_id"])
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_leaks(spark, sf_dir).select("doc_id", "item_id").distinct()
+
+
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaked items with the words on end and the similarity."""
+    return leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"))
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_weights"))[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_weights"))[1]
+
+
+def p10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sentence of every document."""
+    documents = _table(spark, sf_dir, "documents")
+    return sentences.split_documents(documents, sentences.fit(documents))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_sentences(spark, sf_dir).select("doc_id", "end_char")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (p1_found, p1_consistent, p2_found, p2_turns, p3_found, p3_restored, p4_found, p4_kept, p5_found, p5_shares, p6_found, p6_segments, p7_found, p7_clean, p8_found, p8_leaks, p9_mixture, p9_shares, p10_found, p10_sentences)
+}
 SQL: dict[str, str] = {}

@@ -144,7 +144,7 @@ def fillers(text: str) -> list[tuple[int, int]]:
     low = text.lower()
     found = []
     for a, b in near(FILLER_AT, low):
-        found += [(a + m.start(), a + m.end()) for m in FILLERS.finditer(text[a:b])]
+        found += [(a + m.start(), e.end() if (e := STOPS.search(text, a + m.end())) and e.end() <= b else b) for m in FILLERS.finditer(text[a:b])]
     if sum(w in low for w in ("lorem", "dolor", "amet", "fugiat", "ipsum", "magna", "aliqua", "veniam", "tempor", "sint", "sapien")) >= 2:
         run: list[re.Match] = []
         last = None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -59,3 +60,13 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(video_id, text) of each row of videos with a text; an id's rows hold the same text, so results are made distinct, not texts."""
     videos = spark.read.parquet(f"{sf_dir}/videos.parquet")
     return videos.where(has_text("transcript")).select(F.col("id").alias("video_id"), F.col("transcript").alias("text"))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written once to the checkpoint folder that the session names; they survive the loss of executors."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="transquill-"))  # a folder of its own only where none is named
+    return df.checkpoint()
