@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transquill.llm.lookalikes import normal_form
+from transquill.llm.lookalikes import needs, normal_form
 from transquill.llm.rows import has_text, map_rows
 
 # Sounds that stand for no word, words before a person's number, and phrases before a colon that name nobody.
@@ -329,11 +329,16 @@ def turns(pieces: list[Piece]) -> list[Turn]:
 
 
 def _plain(text: str) -> str:
-    return text if text.isascii() else normal_form(text)[0]
+    return normal_form(text)[0] if needs(text) else text
+
+
+#: What each piece of a transcript with persons has at its start.
+LIKELY = re.compile(r"[0-9０-９][:：][0-9０-９]{2}|>>|＞＞")
+LINE_LABEL = re.compile(r"(?m)^[^\n:：]{1,40}[:：]")
 
 
 def transcript_turns(text: str) -> list[Turn]:
-    if ":" not in text and ">>" not in text and "：" not in text:
+    if len(LIKELY.findall(text)) < 2 and len(LINE_LABEL.findall(text)) < 4:
         return []
     return turns(marked_pieces(_plain(text)))
 
