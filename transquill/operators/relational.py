@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from transquill.functions.text import FAILURES, has_text, word_count_spaces
 
-LATEST_ORDER = [F.col("last_updated").desc_nulls_last(), F.col("status").asc_nulls_first(), F.col("transcript").desc_nulls_last(), F.col("title").asc_nulls_last(), F.col("upload_date").asc_nulls_last(), F.col("duration").asc_nulls_last()]
-
 
 def latest(videos: DataFrame) -> DataFrame:
     """One row for each id: the one updated last; copies and late stale versions fall away."""
-    w = Window.partitionBy("id").orderBy(*LATEST_ORDER)
+    order = [F.col("last_updated").desc_nulls_last(), F.col("status").asc_nulls_first(), F.col("transcript").desc_nulls_last(), F.col("title").asc_nulls_last(), F.col("upload_date").asc_nulls_last(), F.col("duration").asc_nulls_last()]
+    w = Window.partitionBy("id").orderBy(*order)
     return videos.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
 
 

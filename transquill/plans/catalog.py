@@ -1,10 +1,570 @@
-"""All queries of the core by name, with the SQL that says the same."""
+"""All queries of the core by name, with the SQL that says the same where SQL can."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from transquill.functions import text as X
+from transquill.operators import captions as C
+from transquill.operators import relational as R
+from transquill.operators import search as S
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+
+#: The latest version of each video, and of each attempt, as SQL.
+CUR = "cur AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY last_updated DESC NULLS LAST, status ASC NULLS FIRST, transcript DESC NULLS LAST, title ASC NULLS LAST, upload_date ASC NULLS LAST, duration ASC NULLS LAST) AS rn FROM videos) WHERE rn = 1)"
+ATT = "att AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY youtube_id ORDER BY updated_at DESC NULLS LAST, attempts DESC NULLS LAST, last_error DESC NULLS LAST, next_attempt_at DESC NULLS LAST) AS rn FROM pipeline_attempts WHERE youtube_id IS NOT NULL) WHERE rn = 1)"
+TXT = "trim(coalesce(transcript, '')) <> ''"
+NOSUBS = "(status LIKE 'ERR_NO_EN_FR%' OR status LIKE 'ERR_TOO_SHORT%' OR status = 'NO_SUBS')"
+NOW = "2026-01-01 00:00:00"
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def current(spark: SparkSession, d: str) -> DataFrame:
+    return R.latest(table(spark, d, "videos"))
+
+
+def attempts(spark: SparkSession, d: str) -> DataFrame:
+    return R.keyed(table(spark, d, "pipeline_attempts").select("youtube_id", "updated_at", "attempts", "last_error", "next_attempt_at"), "youtube_id", "updated_at")
+
+
+def texts(spark: SparkSession, d: str) -> DataFrame:
+    """(id, transcript) of rows with text; the rows of an id hold one text, so results are made distinct instead of texts."""
+    return table(spark, d, "videos").where(X.has_text(F.col("transcript"))).select("id", "transcript")
+
+
+def query(sql: str = "") -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# ---- scans and sources
+
+
+@query("SELECT id, channel_id, youtube_id, status, upload_date, duration, length(transcript) AS chars FROM videos")
+def src01_scan(spark, d):
+    return table(spark, d, "videos").select("id", "channel_id", "youtube_id", "status", "upload_date", "duration", F.length("transcript").cast("long").alias("chars"))
+
+
+@query(r"""SELECT youtube_id, lang, count(DISTINCT path) AS files, string_agg(DISTINCT path, ';' ORDER BY path) AS paths FROM (
+SELECT nullif(regexp_extract(raw_path, '([A-Za-z0-9_-]{11})(?:\.[A-Za-z0-9-]+)*$', 1), '') AS youtube_id, regexp_extract(raw_path, '\.([A-Za-z-]+)\.(?:vtt|srt)(?:\.gz)?$', 1) AS lang, replace(raw_path, '\', '/') AS path
+FROM raw_captions WHERE regexp_matches(raw_path, '\.(?:vtt|srt)(?:\.gz)?$')) WHERE youtube_id IS NOT NULL GROUP BY 1, 2""")
+def src02_caption_inventory(spark, d):
+    return C.inventory(table(spark, d, "raw_captions"))
+
+
+@query(r"SELECT DISTINCT raw_path, nullif(regexp_extract(raw_path, '(?:^|[/\\])([A-Za-z0-9_-]{11})(?:\.[A-Za-z0-9-]+)*$', 1), '') AS youtube_id FROM pipeline_transcripts WHERE raw_path IS NOT NULL")
+def src03_video_id(spark, d):
+    return table(spark, d, "pipeline_transcripts").where("raw_path is not null").select("raw_path", C.video_id(F.col("raw_path")).alias("youtube_id")).distinct()
+
+
+@query()
+def src04_local_caption(spark, d):
+    return C.best_local(table(spark, d, "raw_captions")).select("youtube_id", "path", F.sha2("text", 256).alias("text_sha"))
+
+
+@query()
+def src05_cues(spark, d):
+    return C.cue_rows(table(spark, d, "raw_captions")).select("path", "pos", "start", "end", F.size("lines").alias("lines"))
+
+
+@query("""SELECT raw_path, CAST(json_array_length(raw_text, '$.segments') AS BIGINT) AS segments, json_extract_string(raw_text, '$.language') AS lang FROM (SELECT DISTINCT raw_path, raw_text FROM raw_captions WHERE raw_path LIKE '%.json')""")
+def src17_json_segments(spark, d):
+    rows = table(spark, d, "raw_captions").where(F.col("raw_path").like("%.json")).select("raw_path", "raw_text").distinct()
+    parsed = F.from_json("raw_text", "language string, segments array<struct<start:double>>")
+    return rows.select("raw_path", parsed.alias("j")).select("raw_path", F.size("j.segments").cast("long").alias("segments"), F.col("j.language").alias("lang"))
+
+
+# ---- filters and predicates
+
+
+@query(f"SELECT DISTINCT id FROM videos WHERE {TXT}")
+def flt01_has_text(spark, d):
+    return texts(spark, d).select("id").distinct()
+
+
+@query(f"WITH {CUR}, {ATT} SELECT cur.id, cur.upload_date FROM cur LEFT JOIN att USING (youtube_id) WHERE NOT ({TXT}) AND coalesce(status, '') <> 'PREMIUM' AND (next_attempt_at IS NULL OR next_attempt_at <= '{NOW}') ORDER BY upload_date DESC NULLS LAST, id LIMIT 500")
+def flt02_work_queue(spark, d):
+    v = current(spark, d).where(R.no_text() & (F.coalesce("status", F.lit("")) != "PREMIUM"))
+    q = v.join(attempts(spark, d).select("youtube_id", "next_attempt_at"), "youtube_id", "left").where(F.col("next_attempt_at").isNull() | (F.col("next_attempt_at") <= NOW))
+    return q.select("id", "upload_date").orderBy(F.col("upload_date").desc_nulls_last(), "id").limit(500)
+
+
+@query(f"WITH {CUR} SELECT cur.id, CASE WHEN c.prefix = 'HalmiPauvan' THEN 0 ELSE 1 END AS pinned FROM cur JOIN channels c ON c.id = cur.channel_id WHERE NOT ({TXT}) AND (status IS NULL OR status <> 'PREMIUM') ORDER BY 2, upload_date DESC NULLS LAST, cur.id LIMIT 1000")
+def flt03_pinned_first(spark, d):
+    v = current(spark, d).where(R.no_text() & (F.col("status").isNull() | (F.col("status") != "PREMIUM")))
+    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix")
+    pinned = F.when(F.col("prefix") == "HalmiPauvan", 0).otherwise(1)
+    return v.join(c, "channel_id").select("id", pinned.alias("pinned"), "upload_date").orderBy("pinned", F.col("upload_date").desc_nulls_last(), "id").limit(1000).select("id", "pinned")
+
+
+@query(f"WITH {CUR} SELECT id FROM cur WHERE NOT ({TXT}) AND status IN ('NO_SUBS', 'ERR_NO_EN_FR', 'ERR_TOO_SHORT', 'ERR_DL_FAIL') ORDER BY upload_date DESC NULLS LAST, id LIMIT 300")
+def flt04_transcribe_queue(spark, d):
+    v = current(spark, d).where(R.no_text() & F.col("status").isin("NO_SUBS", "ERR_NO_EN_FR", "ERR_TOO_SHORT", "ERR_DL_FAIL"))
+    return v.orderBy(F.col("upload_date").desc_nulls_last(), "id").limit(300).select("id")
+
+
+@query(f"WITH {CUR} SELECT count(*) FILTER (status IN ('MISSING', 'PENDING')) AS missing, count(*) FILTER (status LIKE 'ERR_DL_FAIL%') AS failed, count(*) FILTER (status = 'PREMIUM') AS premium, count(*) FILTER ({NOSUBS}) AS no_subs, count(*) AS total FROM cur")
+def flt05_status_counters(spark, d):
+    return R.status_counters(current(spark, d))
+
+
+@query(f"WITH {CUR} SELECT cur.id, c.prefix FROM cur LEFT JOIN channels c ON c.id = cur.channel_id WHERE status IN ('NO_SUBS', 'PREMIUM', 'ERR_DL_FAIL', 'RETRY_429', 'ERR_TOO_SHORT') ORDER BY upload_date DESC NULLS LAST, cur.id LIMIT 200")
+def flt06_recovery_list(spark, d):
+    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix")
+    v = current(spark, d).where(F.col("status").isin("NO_SUBS", "PREMIUM", "ERR_DL_FAIL", "RETRY_429", "ERR_TOO_SHORT"))
+    return v.join(c, "channel_id", "left").orderBy(F.col("upload_date").desc_nulls_last(), "id").limit(200).select("id", "prefix")
+
+
+@query("SELECT DISTINCT id, p.pattern FROM videos, (SELECT unnest(['[Music]', '[Musique]', '├', 'Ã', '-->', '????', 'WEBVTT']) AS pattern) p WHERE contains(transcript, p.pattern) OR contains(title, p.pattern)")
+def flt09_artifact_scan(spark, d):
+    """One scan for all patterns: each row gives the patterns that it has."""
+    hit = lambda p: F.coalesce(F.col("transcript").contains(p), F.lit(False)) | F.coalesce(F.col("title").contains(p), F.lit(False))
+    found = F.array_compact(F.array(*(F.when(hit(p), F.lit(p)) for p in ("[Music]", "[Musique]", "├", "Ã", "-->", "????", "WEBVTT"))))
+    return table(spark, d, "videos").select("id", F.explode(found).alias("pattern")).distinct()
+
+
+@query("SELECT DISTINCT id, substr(transcript, 1, 1000) AS part FROM videos WHERE contains(lower(transcript), 'telescope') OR contains(lower(title), 'telescope')")
+def flt10_deep_search(spark, d):
+    hit = F.lower("transcript").contains("telescope") | F.lower("title").contains("telescope")
+    return table(spark, d, "videos").where(hit).select("id", F.substring("transcript", 1, 1000).alias("part")).distinct()
+
+
+@query(f"WITH {CUR} SELECT id, CASE WHEN s = 'NO_SUBS' THEN 'no_subtitles_reported' WHEN s LIKE 'ERR_NO_EN_FR%' THEN 'no_fr_en_subtitles_reported' WHEN s LIKE 'ERR_TOO_SHORT%' THEN 'caption_content_to_review' WHEN s = 'PREMIUM' THEN 'restricted_access' WHEN contains(s, '429') THEN 'rate_limited' WHEN s LIKE 'ERR_DL_FAIL%' THEN 'download_failed' ELSE 'not_yet_verified' END AS category FROM (SELECT id, coalesce(nullif(status, ''), 'PENDING') AS s FROM cur WHERE NOT ({TXT}))")
+def flt13_follow_up(spark, d):
+    return R.follow_up(current(spark, d))
+
+
+@query(f"WITH {ATT}, m AS (SELECT youtube_id, last_error, " + ", ".join(f"regexp_matches(last_error, '(?is){p}') AS {n}" for n, p in X.FAILURES.items()) + " FROM att WHERE last_error IS NOT NULL) " + " UNION ALL ".join(f"SELECT youtube_id, '{n}' AS category FROM m WHERE {n}" for n in X.FAILURES) + " UNION ALL SELECT youtube_id, 'unclassified_extractor_error' FROM m WHERE NOT (" + " OR ".join(X.FAILURES) + ")")
+def flt14_failure_categories(spark, d):
+    return R.failure_categories(attempts(spark, d))
+
+
+@query(r"SELECT DISTINCT raw_path, CASE WHEN regexp_matches(lower(raw_path), '\.(?:mp4|mkv|webm|mov|m4a|mp3|opus|wav|ogg|flac|aac)$') THEN 'media' WHEN regexp_matches(lower(raw_path), '\.(?:vtt|srt|ass|ttml|json3)(?:\.gz)?$') THEN 'caption_source' WHEN lower(raw_path) LIKE '%.info.json' THEN 'video_metadata' WHEN lower(raw_path) LIKE '%.txt' THEN 'other_text' ELSE 'other' END AS kind FROM raw_captions")
+def flt15_file_kind(spark, d):
+    p = F.lower("raw_path")
+    kind = F.when(p.rlike(r"\.(?:mp4|mkv|webm|mov|m4a|mp3|opus|wav|ogg|flac|aac)$"), "media").when(p.rlike(r"\.(?:vtt|srt|ass|ttml|json3)(?:\.gz)?$"), "caption_source").when(p.like("%.info.json"), "video_metadata").when(p.like("%.txt"), "other_text").otherwise("other")
+    return table(spark, d, "raw_captions").select("raw_path", kind.alias("kind")).distinct()
+
+
+@query("SELECT DISTINCT id, coalesce(contains(title, '????'), false) AS bad_title, coalesce(contains(transcript, '-->'), false) AS timed, coalesce(regexp_matches(transcript, '\"segments\"|\"formats\"'), false) AS json FROM videos WHERE coalesce(contains(title, '????'), false) OR coalesce(contains(transcript, '-->'), false) OR coalesce(regexp_matches(transcript, '\"segments\"|\"formats\"'), false)")
+def flt19_leaked_formats(spark, d):
+    no = F.lit(False)
+    cols = {"bad_title": F.coalesce(F.col("title").contains("????"), no), "timed": F.coalesce(F.col("transcript").contains("-->"), no), "json": F.coalesce(F.col("transcript").rlike('"segments"|"formats"'), no)}
+    return table(spark, d, "videos").select("id", *(c.alias(n) for n, c in cols.items())).where("bad_title or timed or json").distinct()
+
+
+# ---- joins
+
+
+@query(f"WITH {CUR} SELECT cur.id, c.prefix FROM cur JOIN channels c ON c.id = cur.channel_id")
+def jon01_videos_channels(spark, d):
+    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix")
+    return current(spark, d).join(c, "channel_id").select("id", "prefix")
+
+
+@query(f"WITH {CUR}, {ATT} SELECT cur.id, att.attempts FROM cur LEFT JOIN att USING (youtube_id) WHERE NOT ({TXT})")
+def jon02_attempts(spark, d):
+    return current(spark, d).where(R.no_text()).join(attempts(spark, d).select("youtube_id", "attempts"), "youtube_id", "left").select("id", "attempts")
+
+
+@query("SELECT DISTINCT youtube_id FROM videos WHERE youtube_id NOT IN (SELECT youtube_id FROM pipeline_transcripts WHERE youtube_id IS NOT NULL) AND youtube_id NOT IN (SELECT youtube_id FROM pipeline_attempts WHERE youtube_id IS NOT NULL)")
+def jon06_to_fetch(spark, d):
+    have = table(spark, d, "pipeline_transcripts").select("youtube_id")
+    tried = table(spark, d, "pipeline_attempts").select("youtube_id")
+    return table(spark, d, "videos").where("youtube_id is not null").select("youtube_id").distinct().join(have, "youtube_id", "left_anti").join(tried, "youtube_id", "left_anti")
+
+
+@query(f"WITH {CUR} SELECT youtube_id, id FROM cur UNION ALL SELECT DISTINCT p.youtube_id, CAST(NULL AS BIGINT) FROM pipeline_transcripts p WHERE p.youtube_id IS NOT NULL AND p.youtube_id NOT IN (SELECT youtube_id FROM videos WHERE youtube_id IS NOT NULL)")
+def jon07_insert_absent(spark, d):
+    base = table(spark, d, "videos").select("youtube_id", "id").distinct()
+    new = table(spark, d, "pipeline_transcripts").where("youtube_id is not null").select("youtube_id", F.lit(None).cast("long").alias("id")).distinct()
+    return R.insert_absent(base, new, "youtube_id")
+
+
+@query(f"WITH {CUR} SELECT id FROM cur WHERE {TXT} AND NOT EXISTS (SELECT 1 FROM pipeline_transcripts p WHERE p.youtube_id = cur.youtube_id AND p.sha256 = sha256(cur.transcript))")
+def jon08_exclusions(spark, d):
+    out = table(spark, d, "pipeline_transcripts").select("youtube_id", F.col("sha256").alias("transcript_sha256"))
+    return R.excluded(current(spark, d).where(X.has_text(F.col("transcript"))), out).select("id")
+
+
+@query(f"WITH {CUR} SELECT r.raw_path, cur.status, coalesce({TXT}, false) AS has_text FROM (SELECT DISTINCT raw_path, regexp_extract(raw_path, '(?:^|[/\\\\])([A-Za-z0-9_-]{{11}})(?:\\.[A-Za-z0-9-]+)*$', 1) AS youtube_id FROM raw_captions) r LEFT JOIN cur USING (youtube_id)")
+def jon09_files_status(spark, d):
+    files = table(spark, d, "raw_captions").select("raw_path", C.video_id(F.col("raw_path")).alias("youtube_id")).distinct()
+    v = current(spark, d).select("youtube_id", "status", X.has_text(F.col("transcript")).alias("has_text"))
+    return files.join(v, "youtube_id", "left").select("raw_path", "status", F.coalesce("has_text", F.lit(False)).alias("has_text"))
+
+
+@query(f"WITH {CUR}, {ATT.replace('att AS', 'x AS').replace('pipeline_attempts', 'pipeline_attempts')}, p AS (SELECT DISTINCT youtube_id, sha256 FROM pipeline_transcripts WHERE sha256 IS NOT NULL) SELECT cur.id, bool_or(p.sha256 = sha256(cur.transcript)) AS same FROM cur JOIN p USING (youtube_id) WHERE {TXT} GROUP BY 1")
+def jon10_same_content(spark, d):
+    p = table(spark, d, "pipeline_transcripts").where("sha256 is not null").select("youtube_id", "sha256").distinct()
+    v = current(spark, d).where(X.has_text(F.col("transcript"))).select("id", "youtube_id", F.sha2("transcript", 256).alias("now"))
+    return v.join(p, "youtube_id").groupBy("id").agg(F.bool_or(F.col("sha256") == F.col("now")).alias("same"))
+
+
+@query(f"WITH {CUR}, k AS (SELECT id, lower(trim(title)) AS t, upload_date FROM cur WHERE title IS NOT NULL), u AS (SELECT t, upload_date, min(id) AS only_id FROM k WHERE upload_date IS NOT NULL GROUP BY 1, 2 HAVING count(*) = 1) SELECT k.id, u.only_id FROM k JOIN u USING (t, upload_date)")
+def jon11_unique_title_date(spark, d):
+    k = current(spark, d).where("title is not null").select("id", F.lower(F.trim("title")).alias("t"), "upload_date")
+    only = k.where("upload_date is not null").groupBy("t", "upload_date").agg(F.min("id").alias("only_id"), F.count("*").alias("n")).where("n = 1").drop("n")
+    return k.join(only, ["t", "upload_date"]).select("id", "only_id")
+
+
+# ---- aggregates
+
+
+@query(f"WITH {CUR} SELECT count(*) AS videos, round(sum(duration) / 3600.0, 4) AS hours, CAST(sum(length(transcript) - length(replace(transcript, ' ', '')) + 1) AS BIGINT) AS words FROM cur WHERE transcript IS NOT NULL AND transcript <> ''")
+def agg01_global(spark, d):
+    v = current(spark, d).where("transcript is not null and transcript <> ''")
+    return v.agg(F.count("*").alias("videos"), F.round(F.sum("duration") / 3600.0, 4).alias("hours"), F.sum(X.word_count_spaces(F.col("transcript"))).alias("words"))
+
+
+WORDS = "CASE WHEN v.transcript IS NOT NULL AND v.transcript <> '' THEN length(v.transcript) - length(replace(v.transcript, ' ', '')) + 1 ELSE 0 END"
+
+
+@query(f"""WITH {CUR} SELECT c.id AS channel_id, c.prefix, round(count(*) FILTER (v.transcript IS NOT NULL AND v.transcript <> '') / count(*)::DOUBLE * 100, 1)::VARCHAR || '%' AS success_rate,
+count(*) FILTER (v.transcript IS NOT NULL AND v.transcript <> '') AS total_local, count(*) AS total_remote, count(*) FILTER ((v.transcript IS NULL OR v.transcript = '') AND (v.status IS NULL OR v.status IN ('MISSING', 'PENDING'))) AS missing_count,
+count(*) FILTER (v.status = 'PREMIUM') AS premium_count, count(*) FILTER (v.status LIKE 'ERR_NO_EN_FR%' OR v.status LIKE 'ERR_TOO_SHORT%' OR v.status = 'NO_SUBS') AS no_subs_count, count(*) FILTER (v.status LIKE 'ERR_429_BLOCK%' OR v.status = 'RETRY_429') AS retry_count,
+CAST(sum({WORDS}) AS BIGINT) AS word_count, CAST((sum({WORDS}) + 199999) // 200000 AS BIGINT) AS est_packs FROM channels c LEFT JOIN cur v ON c.id = v.channel_id GROUP BY 1, 2""")
+def agg02_channel_health(spark, d):
+    return R.channel_health(table(spark, d, "channels"), current(spark, d))
+
+
+@query(f"WITH {CUR}, r AS (SELECT channel_id, youtube_id, row_number() OVER (PARTITION BY channel_id ORDER BY id) AS rn FROM cur WHERE status = 'PREMIUM') SELECT channel_id, string_agg(youtube_id, ',' ORDER BY rn) AS ids, count(*) AS n FROM r WHERE rn <= 100 GROUP BY 1")
+def agg03_lists(spark, d):
+    return R.top_lists(current(spark, d), F.col("status") == "PREMIUM")
+
+
+@query(f"WITH {CUR}, n AS (SELECT channel_id, count(*) AS total, count(*) FILTER ({TXT} OR coalesce(status IN ('NO_SUBS', 'PREMIUM'), false)) AS done FROM cur GROUP BY 1) SELECT prefix, total, done, round(done * 100.0 / total, 1)::DOUBLE AS rate, CASE WHEN round(done * 100.0 / total, 1) >= 95 THEN 'OK' WHEN round(done * 100.0 / total, 1) >= 80 THEN 'RETARD' ELSE 'CRITIQUE' END AS grade FROM channels c JOIN n ON c.id = n.channel_id")
+def agg04_health_grade(spark, d):
+    return R.health_grade(table(spark, d, "channels"), current(spark, d)).withColumn("rate", F.col("rate").cast("double"))
+
+
+@query("SELECT m.name AS marker, count(DISTINCT id) AS videos FROM videos, (VALUES " + ", ".join("('" + n + "', '" + p.replace("'", "''") + "')" for n, p in X.MARKERS.items()) + ") m(name, pattern) WHERE regexp_matches(transcript, m.pattern) GROUP BY 1")
+def agg07_markers(spark, d):
+    found = F.array_compact(F.array(*(F.when(F.col("transcript").rlike(p), F.lit(n)) for n, p in X.MARKERS.items())))
+    return texts(spark, d).select("id", F.explode(found).alias("marker")).distinct().groupBy("marker").agg(F.count("*").alias("videos"))
+
+
+@query("SELECT regexp_extract(replace(raw_path, '\\', '/'), '^(?:[^/]*/){2}([^/]*)', 1) AS folder, count(*) AS files, CAST(sum(strlen(raw_text)) AS BIGINT) AS bytes FROM (SELECT DISTINCT raw_path, raw_text FROM raw_captions) GROUP BY 1")
+def agg09_folder_sizes(spark, d):
+    rows = table(spark, d, "raw_captions").select("raw_path", F.octet_length("raw_text").alias("n"), F.xxhash64("raw_text").alias("h")).distinct()
+    return rows.groupBy(F.regexp_extract(F.translate("raw_path", "\\", "/"), r"^(?:[^/]*/){2}([^/]*)", 1).alias("folder")).agg(F.count("*").alias("files"), F.sum("n").cast("long").alias("bytes"))
+
+
+@query()
+def agg10_learned_artifacts(spark, d):
+    """Evidence from documents whose text was garbled once and stands beside its correct form."""
+    docs = table(spark, d, "documents").where(X.has_text(F.col("text")) & F.col("text").rlike("[éèàêç]"))
+    garbled = X.replaced(F.col("text"), [("é", "├®"), ("è", "├¿"), ("à", "├á"), ("ê", "├¬"), ("ç", "├º")])
+    return C.learned_artifacts(docs.select("doc_id", garbled.alias("before"), F.col("text").alias("after")), "doc_id")
+
+
+@query(f"WITH s AS (SELECT DISTINCT id, transcript FROM videos WHERE {TXT}), p AS (SELECT id, trim(u) AS sentence FROM s, unnest(string_split_regex(transcript, '[.!?\\n]+')) t(u)), n AS (SELECT id, sentence, count(*) AS times, length(sentence) - length(replace(sentence, ' ', '')) + 1 AS words FROM p WHERE sentence <> '' GROUP BY 1, 2) SELECT id, CAST(max(words * times) AS BIGINT) AS weight FROM n GROUP BY 1")
+def agg12_dominant_sentence(spark, d):
+    """Within the row: the sentences of one text never leave it."""
+    s = F.filter(F.transform(F.split("transcript", r"[.!?\n]+"), lambda x: F.trim(x)), lambda x: x != "")
+    weight = F.array_max(F.transform(F.array_distinct("s"), lambda x: F.size(F.filter("s", lambda y: y == x)) * X.word_count_spaces(x)))
+    return texts(spark, d).select("id", s.alias("s")).where(F.size("s") > 0).select("id", weight.cast("long").alias("weight")).distinct()
+
+
+@query(f"WITH {CUR} SELECT count(*) AS rows_all, count(*) FILTER ({TXT}) AS rows_text FROM cur")
+def agg16_integrity(spark, d):
+    return current(spark, d).agg(F.count("*").alias("rows_all"), F.count_if(X.has_text(F.col("transcript"))).alias("rows_text"))
+
+
+# ---- ordered operators, sorting and sets
+
+
+@query()
+def win01_spoken_windowed(spark, d):
+    return C.spoken(C.cue_rows(table(spark, d, "raw_captions"))).select("path", F.sha2("text", 256).alias("text_sha"))
+
+
+@query("WITH e AS (SELECT user_id, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) THEN 1 ELSE 0 END AS back FROM events) SELECT user_id, CAST(sum(back) AS BIGINT) AS regressions FROM e GROUP BY 1")
+def win04_regressions(spark, d):
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    return table(spark, d, "events").select("user_id", (F.col("ts") < F.lag("ts").over(w)).alias("back")).groupBy("user_id").agg(F.count_if("back").alias("regressions"))
+
+
+@query(f"WITH s AS (SELECT DISTINCT id, transcript FROM videos WHERE {TXT}), w AS (SELECT id, list_filter(string_split_regex(transcript, '[ \\t\\n\\r\\f]+'), lambda x: x <> '') AS l FROM s) SELECT id, CAST(len(list_filter(list_zip(l, list_concat([NULL], l[:-2])), lambda p: p[1] IS DISTINCT FROM p[2])) AS INTEGER) AS kept FROM w")
+def win05_collapse(spark, d):
+    return texts(spark, d).select("id", F.size(X.collapsed(X.words(F.col("transcript")))).alias("kept")).distinct()
+
+
+@query("""WITH RECURSIVE s AS (SELECT lower(trim(source)) AS src, row_number() OVER (PARTITION BY lower(trim(source)) ORDER BY upload_date NULLS FIRST, doc_id) AS rn, CAST(len(list_filter(string_split_regex(text, '[ \\t\\n\\r\\f]+'), lambda x: x <> '')) AS BIGINT) AS w FROM documents WHERE trim(coalesce(text, '')) <> '' AND source IS NOT NULL),
+f AS (SELECT src, rn, w AS fill, CAST(1 AS BIGINT) AS pack, w FROM s WHERE rn = 1 UNION ALL SELECT s.src, s.rn, CASE WHEN f.fill > 0 AND f.fill + s.w > 5000 THEN s.w ELSE f.fill + s.w END, CASE WHEN f.fill > 0 AND f.fill + s.w > 5000 THEN f.pack + 1 ELSE f.pack END, s.w FROM f JOIN s ON s.src = f.src AND s.rn = f.rn + 1)
+SELECT src, pack, CAST(sum(w) AS BIGINT) AS words, count(*) AS texts FROM f GROUP BY 1, 2""")
+def win07_packs(spark, d):
+    docs = table(spark, d, "documents").where(X.has_text(F.col("text")) & F.col("source").isNotNull()).select(F.lower(F.trim("source")).alias("src"), "upload_date", "doc_id", F.size(X.words(F.col("text"))).alias("w"))
+    return R.packs(docs, "src", ["upload_date", "doc_id"], "w", 5000)
+
+
+@query("SELECT youtube_id, max(acquired_at) AS acquired_at FROM pipeline_transcripts WHERE youtube_id IS NOT NULL GROUP BY 1")
+def win09_latest_revision(spark, d):
+    return R.keyed(table(spark, d, "pipeline_transcripts"), "youtube_id", "acquired_at").select("youtube_id", "acquired_at")
+
+
+@query(f"WITH {CUR} SELECT cur.youtube_id, title, substr(transcript, 1, 999) AS part FROM cur JOIN channels c ON c.id = cur.channel_id WHERE transcript IS NOT NULL AND transcript <> '' ORDER BY upload_date DESC NULLS LAST, cur.id LIMIT 2000")
+def top01_newest(spark, d):
+    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"))
+    v = current(spark, d).where("transcript is not null and transcript <> ''").join(c, "channel_id", "left_semi")
+    return v.orderBy(F.col("upload_date").desc_nulls_last(), "id").limit(2000).select("youtube_id", "title", F.substring("transcript", 1, 999).alias("part"))
+
+
+@query(f"SELECT DISTINCT id, array_to_string(list_filter(list_distinct_order, lambda x: true), chr(10)) AS lines FROM (SELECT id, list_transform(list_sort(list_transform(list_distinct(l), lambda x: {{'p': list_position(l, x), 'x': x}})), lambda s: s.x) AS list_distinct_order FROM (SELECT id, string_split(transcript, chr(10)) AS l FROM videos WHERE {TXT}))")
+def top08_unique_lines(spark, d):
+    return texts(spark, d).select("id", F.array_join(F.array_distinct(F.split("transcript", "\n")), "\n").alias("lines")).distinct()
+
+
+@query(f"WITH {CUR}, r AS (SELECT status, id, row_number() OVER (PARTITION BY status ORDER BY id) AS rn FROM cur) SELECT status, id FROM r WHERE rn <= 5")
+def top09_samples(spark, d):
+    w = Window.partitionBy("status").orderBy("id")
+    return current(spark, d).select("status", "id", F.row_number().over(w).alias("rn")).where("rn <= 5").drop("rn")
+
+
+@query("SELECT DISTINCT youtube_id FROM videos WHERE youtube_id IN (SELECT youtube_id FROM pipeline_transcripts) ")
+def set05_membership(spark, d):
+    return table(spark, d, "videos").select("youtube_id").distinct().join(table(spark, d, "pipeline_transcripts").select("youtube_id"), "youtube_id", "left_semi")
+
+
+@query("SELECT youtube_id FROM videos WHERE youtube_id IS NOT NULL EXCEPT SELECT youtube_id FROM pipeline_transcripts")
+def set02_difference(spark, d):
+    return table(spark, d, "videos").where("youtube_id is not null").select("youtube_id").subtract(table(spark, d, "pipeline_transcripts").select("youtube_id"))
+
+
+@query("SELECT youtube_id FROM pipeline_attempts WHERE youtube_id IS NOT NULL UNION SELECT youtube_id FROM pipeline_transcripts WHERE youtube_id IS NOT NULL AND sha256 IS NULL")
+def set04_union(spark, d):
+    a = table(spark, d, "pipeline_attempts").where("youtube_id is not null").select("youtube_id")
+    return a.union(table(spark, d, "pipeline_transcripts").where("youtube_id is not null and sha256 is null").select("youtube_id")).distinct()
+
+
+# ---- text
+
+
+@query()
+def txt02_clean_captions(spark, d):
+    return C.spoken_in_python(table(spark, d, "raw_captions")).select("path", "removed", F.sha2("text", 256).alias("text_sha"))
+
+
+@query()
+def txt05_triplicates(spark, d):
+    three = table(spark, d, "documents").where(X.has_text(F.col("text"))).select("doc_id", F.transform(F.split("text", r"(?<=[.!?])\s+"), lambda s: F.concat_ws(" ", s, s, s)).alias("s")).select("doc_id", F.array_join("s", " ").alias("text"))
+    return C.collapsed_triples(three, strict=False, key="doc_id", column="text").select("doc_id", "removed")
+
+
+@query()
+def txt07_spoken_dedup(spark, d):
+    return C.spoken_once(texts(spark, d)).dropDuplicates(["id"]).select("id", "events", F.sha2("text", 256).alias("text_sha"))
+
+
+@query(r"""WITH s AS (SELECT DISTINCT raw_path, raw_text AS t FROM raw_captions WHERE raw_path LIKE '%.vtt'), a AS (SELECT raw_path, regexp_replace(regexp_replace(t, '(?s)<.*?>', '', 'g'), '(?im)^(?:WEBVTT[ \t]*|Kind:[^\n]*|Language:[^\n]*)$', '', 'g') AS t FROM s),
+b AS (SELECT raw_path, regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '(?i)(?:align|position|size|line|vertical|region|style):[^ \t\n\r]+', ' ', 'g'), '[0-9]{8}\|[0-9]{1,2}:[0-9]{2}:[0-9]{2}[.,][0-9]{3}', ' ', 'g'), '[0-9]{1,2}:[0-9]{2}:[0-9]{2}[.,][0-9]{3}[ \t\n]*-->[ \t\n]*[0-9]{1,2}:[0-9]{2}:[0-9]{2}[.,][0-9]{3}', ' ', 'g'), '\b[0-9]{1,2}:[0-9]{2}\b', ' ', 'g') AS t FROM a),
+c AS (SELECT raw_path, regexp_replace(regexp_replace(regexp_replace(t, '(?m)^[0-9]+[ \t]*$', '', 'g'), '&[A-Za-z0-9_]+;', ' ', 'g'), '[ \t\n\r]+', ' ', 'g') AS t FROM b),
+e AS (SELECT raw_path, regexp_replace(regexp_replace(regexp_replace(t, '[‘’‚‛]', '''', 'g'), '[“”„‟]', chr(34), 'g'), '([a-zA-Z])\?([a-zA-Z])', '\1''\2', 'g') AS t FROM c), w AS (SELECT raw_path, list_filter(string_split(t, ' '), lambda x: x <> '') AS l FROM e)
+SELECT raw_path, sha256(coalesce(array_to_string(list_transform(list_filter(list_zip(l, list_concat([NULL], l[:-2])), lambda p: lower(p[1]) IS DISTINCT FROM lower(p[2])), lambda p: p[1]), ' '), '')) AS text_sha FROM w""")
+def txt08_clean_rendered(spark, d):
+    rows = table(spark, d, "raw_captions").where(F.col("raw_path").like("%.vtt")).select("raw_path", X.clean_rendered(F.col("raw_text")).alias("t"))
+    return rows.select("raw_path", F.sha2("t", 256).alias("text_sha")).distinct()
+
+
+@query(f"SELECT DISTINCT id, CAST(length(transcript) - length(replace(transcript, ' ', '')) + 1 AS INTEGER) AS by_blanks, CAST(len(list_filter(string_split_regex(transcript, '[ \\t\\n\\r\\f]+'), lambda x: x <> '')) AS INTEGER) AS by_space FROM videos WHERE {TXT}")
+def txt09_word_counts(spark, d):
+    return texts(spark, d).select("id", X.word_count_spaces(F.col("transcript")).alias("by_blanks"), F.size(X.words(F.col("transcript"))).alias("by_space")).distinct()
+
+
+@query(f"SELECT DISTINCT id, CAST(len(regexp_extract_all(lower(transcript), '[\\p{{L}}\\p{{N}}\\p{{M}}_’''-]+')) AS INTEGER) AS tokens FROM videos WHERE {TXT}")
+def txt11_tokens(spark, d):
+    return texts(spark, d).select("id", F.size(X.tokens(F.col("transcript"))).alias("tokens")).distinct()
+
+
+@query(r"SELECT DISTINCT id, substr(regexp_replace(regexp_replace(title, '[^\p{L}\p{N}_.-]', '_', 'g'), '^[. ]+|[. ]+$', '', 'g'), 1, 80) AS label FROM videos WHERE title IS NOT NULL")
+def txt12_labels(spark, d):
+    return table(spark, d, "videos").where("title is not null").select("id", X.safe_label(F.col("title")).alias("label")).distinct()
+
+
+@query(r"SELECT DISTINCT id, regexp_replace(regexp_replace(regexp_replace(title, '[‘’‚‛]', '''', 'g'), '[“”„‟]', chr(34), 'g'), '([a-zA-Z])\?([a-zA-Z])', '\1''\2', 'g') AS title, CASE WHEN regexp_matches(upload_date, '[A-Za-z]') THEN 'INCONNUE' ELSE upload_date END AS upload_date FROM videos")
+def txt13_title_dates(spark, d):
+    fixed = F.regexp_replace(X.quotes_plain(F.col("title")), r"([a-zA-Z])\?([a-zA-Z])", "$1'$2")
+    return table(spark, d, "videos").select("id", fixed.alias("title"), F.when(F.col("upload_date").rlike("[A-Za-z]"), "INCONNUE").otherwise(F.col("upload_date")).alias("upload_date")).distinct()
+
+
+@query(f"SELECT DISTINCT id, substr(transcript, greatest(p - 100, 1), least(p + 8 + 100, length(transcript)) - greatest(p - 100, 1) + 1) AS part FROM (SELECT id, transcript, instr(transcript, 'telescope') AS p FROM videos) WHERE p > 0")
+def txt16_excerpt(spark, d):
+    return texts(spark, d).select("id", X.excerpt(F.col("transcript"), "telescope").alias("part")).where("part is not null").distinct()
+
+
+@query(f"WITH {CUR} SELECT cur.id, '--- VIDEO: ' || coalesce(title, '') || ' (' || coalesce(upload_date, '') || ') ' || cur.youtube_id || ' ---' AS header FROM cur WHERE {TXT}")
+def txt18_headers(spark, d):
+    v = current(spark, d).where(X.has_text(F.col("transcript")))
+    return v.select("id", F.concat(F.lit("--- VIDEO: "), F.coalesce("title", F.lit("")), F.lit(" ("), F.coalesce("upload_date", F.lit("")), F.lit(") "), "youtube_id", F.lit(" ---")).alias("header"))
+
+
+# ---- encoding repair
+
+
+def _heal(name: str, pairs: list[tuple[str, str]], spaces: bool, noise: list[str] | None = None) -> None:
+    """A repair pass as a query with its SQL: id and hash of each text that it changes."""
+    every = pairs + [(n, "") for n in noise or []] + ([("  ", " ")] if spaces else [])
+    cond = " OR ".join("contains(transcript, '" + k.replace("'", "''") + "')" for k, _ in every)
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        new = texts(spark, d).select("id", "transcript", X.replaced(F.col("transcript"), every).alias("healed")).where("healed <> transcript")
+        return new.select("id", F.sha2("healed", 256).alias("text_sha")).distinct()
+
+    QUERIES[name] = run
+    SQL[name] = f"SELECT DISTINCT id, sha256(healed) AS text_sha FROM (SELECT id, transcript, {X.duckdb_replaced('transcript', every)} AS healed FROM videos WHERE {TXT} AND ({cond})) WHERE healed <> transcript"
+
+
+_heal("enc01_heal_a", X.HEAL_A, True, X.NOISE_A)
+_heal("enc02_heal_b", X.HEAL_B, True)
+_heal("enc03_heal_c", X.HEAL_C, False)
+_heal("enc04_heal_d", X.HEAL_D, True)
+_heal("enc07_heal_g", X.HEAL_G, False)
+_heal("enc13_heal_h", X.HEAL_H, False)
+
+
+@query(f"SELECT DISTINCT id, sha256(t) AS text_sha FROM (SELECT id, trim(regexp_replace(regexp_replace({X.duckdb_replaced('transcript', X.HEAL_E)}, '(?i)\\[(?:{'|'.join(X.NOISE_E)})\\]|\\((?:Rires|Laughter)\\)', '', 'g'), '[ \\t\\n\\r\\f]+', ' ', 'g')) AS t, transcript FROM videos WHERE {TXT} AND (regexp_matches(transcript, '[├ÃÂÆ]') OR regexp_matches(transcript, 'Music|Musique|Applause|Applaudissements'))) WHERE t <> transcript")
+def enc05_heal_e(spark, d):
+    rows = texts(spark, d).where(F.col("transcript").rlike("[├ÃÂÆ]|Music|Musique|Applause|Applaudissements"))
+    new = F.trim(F.regexp_replace(F.regexp_replace(X.replaced(F.col("transcript"), X.HEAL_E), r"(?i)\[(?:" + "|".join(X.NOISE_E) + r")\]|\((?:Rires|Laughter)\)", ""), r"[ \t\n\r\f]+", " "))
+    return rows.select("id", "transcript", new.alias("t")).where("t <> transcript").select("id", F.sha2("t", 256).alias("text_sha")).distinct()
+
+
+@query(f"SELECT DISTINCT id, sha256(t) AS text_sha FROM (SELECT id, transcript, nfc_normalize({X.duckdb_replaced('transcript', X.HEAL_F)}) AS t FROM videos WHERE {TXT}) WHERE t <> transcript")
+def enc06_heal_f(spark, d):
+    import unicodedata
+
+    from transquill.functions.arrow import map_documents
+
+    rows = texts(spark, d).select("id", "transcript", X.replaced(F.col("transcript"), X.HEAL_F).alias("t")).where(F.col("transcript").rlike("[^\\x00-\\x7f]"))
+    done = map_documents(rows, ["id", "transcript", "t"], lambda i, old, t: [(i, n)] if (n := unicodedata.normalize("NFC", t)) != old else [], "id bigint, t string")
+    return done.select("id", F.sha2("t", 256).alias("text_sha")).distinct()
+
+
+@query()
+def enc10_restore(spark, d):
+    """Learns from garbled documents beside their correct forms, and restores garbled copies of all documents."""
+    docs = table(spark, d, "documents").where(X.has_text(F.col("text")))
+    garbled = X.replaced(F.col("text"), [("é", "├®"), ("è", "├¿"), ("à", "├á"), ("ê", "├¬"), ("ç", "├º")])
+    pairs = C.learned_artifacts(docs.where(F.col("text").rlike("[éèàêç]")).select("doc_id", garbled.alias("before"), F.col("text").alias("after")), "doc_id")
+    return C.restored(docs.select("doc_id", garbled.alias("t")), pairs, "doc_id", "t").select("doc_id", "n", F.sha2("text", 256).alias("text_sha"))
+
+
+@query(f"SELECT DISTINCT id, CAST(len(regexp_extract_all(transcript, '{X.CORRUPTION}')) AS INTEGER) AS signals, CAST(len(regexp_extract_all(transcript, '{X.WEAK_CORRUPTION}')) AS INTEGER) AS weak FROM videos WHERE {TXT} AND regexp_matches(transcript, '{X.CORRUPTION}|{X.WEAK_CORRUPTION}')")
+def enc12_signals(spark, d):
+    rows = texts(spark, d).where(F.col("transcript").rlike(f"{X.CORRUPTION}|{X.WEAK_CORRUPTION}"))
+    return rows.select("id", F.regexp_count("transcript", F.lit(X.CORRUPTION)).alias("signals"), F.regexp_count("transcript", F.lit(X.WEAK_CORRUPTION)).alias("weak")).distinct()
+
+
+# ---- quality
+
+
+@query("SELECT DISTINCT id, " + ", ".join(f"CAST(len(regexp_extract_all(transcript, '{p}')) AS INTEGER) AS {n}" for n, p in X.MARKERS.items()) + f" FROM videos WHERE {TXT} AND (" + " OR ".join(f"regexp_matches(transcript, '{p}')" for p in X.MARKERS.values()) + ")")
+def qua01_markers(spark, d):
+    rows = texts(spark, d).select("id", *(F.regexp_count("transcript", F.lit(p)).alias(n) for n, p in X.MARKERS.items()))
+    return rows.where(" or ".join(f"{n} > 0" for n in X.MARKERS)).distinct()
+
+
+@query()
+def qua02_repetition(spark, d):
+    return C.repetition_signals(texts(spark, d)).distinct()
+
+
+@query()
+def qua05_concordance(spark, d):
+    """Each video's transcript against the spoken text of its best caption file."""
+    files = C.best_local(table(spark, d, "raw_captions")).select("youtube_id", F.col("text").alias("before"))
+    v = current(spark, d).where(X.has_text(F.col("transcript"))).select("id", "youtube_id", F.col("transcript").alias("after"))
+    return C.concordant(v.join(files, "youtube_id"), "id")
+
+
+@query(f"WITH s AS (SELECT DISTINCT id, transcript FROM videos WHERE {TXT}), c AS (SELECT id, len(list_filter(string_split_regex(transcript, '[ \\t\\n\\r\\f]+'), lambda x: x <> '')) AS words, len(regexp_extract_all(transcript, '[0-9]+')) AS numbers, len(regexp_extract_all(lower(transcript), '(?:^|[^a-z])(?:not|no|never|pas|jamais|nicht|kein|nie|nunca|não)(?:$|[^a-z])')) AS negations FROM s) SELECT id, CAST(numbers AS INTEGER) AS numbers, CAST(negations AS INTEGER) AS negations FROM c WHERE words >= 40")
+def qua09_numbers_negations(spark, d):
+    rows = texts(spark, d).where(F.size(X.words(F.col("transcript"))) >= 40)
+    negation = r"(?:^|[^a-z])(?:not|no|never|pas|jamais|nicht|kein|nie|nunca|não)(?:$|[^a-z])"
+    return rows.select("id", F.regexp_count("transcript", F.lit("[0-9]+")).alias("numbers"), F.regexp_count(F.lower("transcript"), F.lit(negation)).alias("negations")).distinct()
+
+
+@query(f"SELECT DISTINCT id, sha256(transcript) AS text_sha FROM videos WHERE {TXT}")
+def qua15_fingerprints(spark, d):
+    return texts(spark, d).select("id", F.sha2("transcript", 256).alias("text_sha")).distinct()
+
+
+# ---- search
+
+FTS_SQL = "WITH s AS (SELECT DISTINCT id, regexp_extract_all(lower(strip_accents(concat_ws(' ', coalesce(title, ''), coalesce(transcript, '')))), '[\\p{L}\\p{N}\\p{M}_’''-]+') AS t FROM videos)"
+
+
+@query()
+def fts02_match(spark, d):
+    m = S.match(table(spark, d, "videos"), "bakery tele")
+    return m.where("tf_0 > 0 and tf_1 > 0").select("id").distinct()
+
+
+@query("""WITH s AS (SELECT id, regexp_extract_all(translate(lower(concat_ws(' ', coalesce(title, ''), coalesce(transcript, ''))), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[\\p{L}\\p{N}\\p{M}_’''-]+') AS t FROM videos),
+f AS (SELECT id, len(t)::DOUBLE AS n, len(list_filter(t, lambda x: starts_with(x, 'bakery')))::DOUBLE AS a, len(list_filter(t, lambda x: starts_with(x, 'tele')))::DOUBLE AS b FROM s), g AS (SELECT count(*)::DOUBLE AS docs, avg(n) AS mean, count(*) FILTER (a > 0)::DOUBLE AS da, count(*) FILTER (b > 0)::DOUBLE AS db FROM f)
+SELECT id, round(-(greatest(ln((docs - da + 0.5) / (da + 0.5)), 1e-6) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * n / mean)) + greatest(ln((docs - db + 0.5) / (db + 0.5)), 1e-6) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * n / mean))), 6) AS rank FROM f, g WHERE a > 0 AND b > 0 ORDER BY rank, id LIMIT 100""")
+def fts03_ranked(spark, d):
+    return S.ranked(table(spark, d, "videos"), "bakery tele")
+
+
+@query()
+def fts04_snippets(spark, d):
+    return S.snippet(table(spark, d, "videos").select("id", "transcript"), "telescope").distinct()
+
+
+@query()
+def fts05_index_integrity(spark, d):
+    """Postings against what they are counted from: (term total, document total) must agree; no row is a sound index."""
+    v = table(spark, d, "videos").dropDuplicates(["id"])
+    total = S.postings(v).groupBy("id").agg(F.sum("n").cast("long").alias("n"))
+    sizes = S.documents(v).select("id", F.size("terms").cast("long").alias("n")).where("n > 0")
+    return total.exceptAll(sizes).unionAll(sizes.exceptAll(total))
+
+
+# ---- state and increments
+
+
+@query("WITH f AS (SELECT user_id, ts, event_id FROM events WHERE event_type = 'error'), l AS (SELECT user_id, count(*) AS attempts, max(ts) AS last FROM f GROUP BY 1) SELECT user_id, attempts, strftime(last + INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S') AS next_attempt_at FROM l")
+def str01_attempts(spark, d):
+    e = table(spark, d, "events").where("event_type = 'error'")
+    return e.groupBy("user_id").agg(F.count("*").alias("attempts"), F.date_format(F.max("ts") + F.expr("interval 24 hours"), "yyyy-MM-dd HH:mm:ss").alias("next_attempt_at"))
+
+
+@query("WITH e AS (SELECT user_id, event_id, ts, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS hit FROM events), m AS (SELECT user_id, hit, row_number() OVER w - sum(hit) OVER w AS island FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)) SELECT user_id, CAST(island AS BIGINT) AS island, count(*) AS length FROM m WHERE hit = 1 GROUP BY 1, 2")
+def str06_failure_runs(spark, d):
+    return R.runs(table(spark, d, "events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error")
+
+
+@query(f"WITH {CUR}, p AS (SELECT youtube_id, sha256 AS before_sha FROM (SELECT youtube_id, sha256, row_number() OVER (PARTITION BY youtube_id ORDER BY acquired_at DESC NULLS LAST, sha256 DESC NULLS LAST) AS rn FROM pipeline_transcripts WHERE youtube_id IS NOT NULL) WHERE rn = 1 AND sha256 IS NOT NULL) SELECT cur.youtube_id, p.before_sha, sha256(cur.transcript || ' (checked)') AS after_sha FROM cur JOIN p USING (youtube_id) WHERE p.before_sha = sha256(coalesce(cur.transcript, ''))")
+def str08_compare_and_set(spark, d):
+    cur = current(spark, d).select("youtube_id", "transcript")
+    plan = table(spark, d, "pipeline_transcripts").where("youtube_id is not null").groupBy("youtube_id").agg(F.max_by("sha256", F.struct("acquired_at", "sha256")).alias("before_sha")).where("before_sha is not null")
+    plan = plan.join(cur.select("youtube_id", F.concat("transcript", F.lit(" (checked)")).alias("after")), "youtube_id")
+    return R.compare_and_set(cur, plan)[1]
+
+
+@query("SELECT youtube_id, max(struct_pack(u := updated_at, a := attempts)).a AS attempts FROM pipeline_attempts WHERE youtube_id IS NOT NULL AND updated_at IS NOT NULL GROUP BY 1")
+def str09_upsert(spark, d):
+    a = table(spark, d, "pipeline_attempts").where("updated_at is not null").select("youtube_id", "updated_at", "attempts")
+    return R.upsert(a, a, "youtube_id", "updated_at").select("youtube_id", "attempts")
+
+
+@query()
+def str10_fill_empty(spark, d):
+    files = C.best_local(table(spark, d, "raw_captions")).select("youtube_id", F.col("text").alias("transcript"))
+    filled = R.fill_empty(current(spark, d).select("id", "youtube_id", "transcript"), files, "youtube_id", "transcript")
+    return filled.select("id", F.sha2(F.coalesce("transcript", F.lit("")), 256).alias("text_sha"))
