@@ -79,7 +79,16 @@ GRAMMAR: list[tuple[str, str, re.Pattern]] = [
         ("bare", "latex", r"(?<![A-Za-z]:)(?<![\w\\])\\(?:[A-Za-z]{2,20})(?![A-Za-z\\{])|(?<=\S)[ \t]*\\\\[ \t]*$"),
     ]
 ]
-CODE_OR_MARKUP = HINTS = re.compile(r"</?[A-Za-z!]|&#?\w{1,31};|[`*~|\\]|__|(?<![A-Za-z0-9])_\S|''|\[\[|\{[{|]|\]\(|\[https?:|\$\S*[\\^_{]|^(?:#{1,6}[ \t]|>[ \t]|[-+][ \t]|={2,})", re.MULTILINE)
+HINTS = re.compile(r"</?[A-Za-z!]|&#?\w{1,31};|[`*~|\\]|__|(?<![A-Za-z0-9])_\S|''|\[\[|\{[{|]|\]\(|\[https?:|\$\S*[\\^_{]|^(?:#{1,6}[ \t]|>[ \t]|[-+][ \t]|={2,})", re.MULTILINE)
+
+
+#: One of these stands in whatever the grammars match.
+PARTS = ("<", "&", "`", "*", "_", "~", "|", "\\", "[", "{", "$", "''", "#", "==", "--", "\n- ", "\n+ ", "\n>")
+
+
+def hinted(text: str) -> bool:
+    """Whether there may be markup; cheap."""
+    return (any(p in text for p in PARTS) or text[:1] in "->+") and bool(HINTS.search(text))
 
 
 @dataclass
@@ -333,7 +342,7 @@ def rendered(text: str, p: Piece) -> str:
 
 def clean(text: str, drop_code: bool = False) -> tuple[str, list[str]]:
     """The clean text and the kinds of markup that were in it; drop_code: without code and formulas too."""
-    if not HINTS.search(text):
+    if not hinted(text):
         return text, []
     pieces = candidates(text)
     if not pieces or all(p.odds <= 0 for p in pieces):

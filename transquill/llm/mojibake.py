@@ -121,11 +121,14 @@ GATE = _gate()
 
 
 def _hashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    x = codes.astype(np.uint64)
-    one = x & np.uint64((1 << BITS1) - 1)
-    two = ((x[:-1] * np.uint64(0x85EBCA77) + x[1:] * np.uint64(0xC2B2AE3D)) >> np.uint64(7)) & np.uint64((1 << BITS2) - 1)
-    three = ((x[:-2] * np.uint64(0x27D4EB2F) + x[1:-1] * np.uint64(0x165667B1) + x[2:] * np.uint64(0x9E3779B1)) >> np.uint64(9)) & np.uint64((1 << BITS3) - 1)
-    return one.astype(np.int64), two.astype(np.int64), three.astype(np.int64)
+    """Slots of every unigram, bigram and trigram."""
+    x = codes.astype(np.uint32, copy=False)
+    one = x & np.uint32((1 << BITS1) - 1)
+    first = x[:-1] * np.uint32(0x85EBCA77) + x[1:] * np.uint32(0xC2B2AE3D)
+    two = (first ^ first >> np.uint32(15)) >> np.uint32(3) & np.uint32((1 << BITS2) - 1)
+    last = first[:-1] * np.uint32(0x9E3779B1) + x[2:] * np.uint32(0x27D4EB2F)
+    three = (last ^ last >> np.uint32(16)) >> np.uint32(2) & np.uint32((1 << BITS3) - 1)
+    return one, two, three
 
 
 #: To the model, quotation marks, dashes and the like are blanks: their use differs between clean writers.
@@ -185,6 +188,7 @@ class Span:
 
 
 WORD = re.compile(r"[^\s.,;:!?()\"]+")
+STAND_IN = re.compile("[\xad\u200b-\u200f\u2060-\u2064\ufeff\ufb00-\ufb06]")
 WORD_START = re.compile(r"[^\s.,;:!?()\"]+$")
 
 
@@ -267,7 +271,7 @@ class Restorer:
         chars = set(text)
         for codec in DECODERS:
             leads, rests = utf8_parts(codec)
-            if leads.isdisjoint(chars) or rests.isdisjoint(chars):
+            if leads.isdisjoint(chars) or rests.isdisjoint(chars) or codec == "cp1250" and found:  # all but the same as cp1252
                 continue
             for m in utf8_pattern(codec).finditer(text):
                 if done := self.undone(codec, m[0], depth):
@@ -278,6 +282,8 @@ class Restorer:
 
     def plain_gain(self, text: str, a: int, b: int) -> float:
         """The gain if the passage only lost its invisible characters and joined forms, which is another problem's."""
+        if not STAND_IN.search(text, a, b):
+            return -1e9
         plain = "".join(c for c in unicodedata.normalize("NFKC", text[a:b]) if unicodedata.category(c) != "Cf")
         return self.gain(text, a, b, plain) if plain != text[a:b] else -1e9
 
@@ -349,8 +355,11 @@ class Restorer:
         return sorted(spans, key=lambda s: s.start)
 
     def restore(self, text: str, spans: list[Span] | None = None) -> str:
+        spans = self.spans(text) if spans is None else spans
+        if not spans:
+            return text
         out, at = [], 0
-        for s in self.spans(text) if spans is None else spans:
+        for s in spans:
             out += [text[at : s.start], text[s.start : s.end] if s.text is None else s.text]
             at = s.end
         return "".join(out) + text[at:]

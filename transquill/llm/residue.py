@@ -128,7 +128,7 @@ def mask_code(text: str) -> str:
 def holes(text: str) -> list[tuple[str, int, int]]:
     """Placeholders that were never filled in, as (grammar, start, end)."""
     found: list[tuple[str, int, int]] = []
-    if not ANY_HOLE.search(text):
+    if not any(c in text for c in "{%@$_*[<") or not ANY_HOLE.search(text):
         return found
     plain = mask_code(text)
     for name, pattern in HOLES.items():
