@@ -11,6 +11,8 @@ from transquill.functions import text as X
 from transquill.operators import captions as C
 from transquill.operators import relational as R
 from transquill.operators import search as S
+from transquill.sources import readers
+from transquill.streaming import state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -568,3 +570,49 @@ def str10_fill_empty(spark, d):
     files = C.best_local(table(spark, d, "raw_captions")).select("youtube_id", F.col("text").alias("transcript"))
     filled = R.fill_empty(current(spark, d).select("id", "youtube_id", "transcript"), files, "youtube_id", "transcript")
     return filled.select("id", F.sha2(F.coalesce("transcript", F.lit("")), 256).alias("text_sha"))
+
+
+@query("SELECT time_bucket(INTERVAL '1 minute', ts) AS start, event_type, count(*) AS n, sum(value) AS value FROM events GROUP BY 1, 2")
+def str05_live_counts(spark, d):
+    return state.live_counts(table(spark, d, "events")).withColumn("value", F.round("value", 4)).withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm"))
+
+
+SQL["str05_live_counts"] = "SELECT strftime(time_bucket(INTERVAL '1 minute', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1, 2"
+
+
+@query("SELECT DISTINCT youtube_id FROM pipeline_transcripts WHERE youtube_id IS NOT NULL AND youtube_id NOT IN (SELECT youtube_id FROM videos WHERE youtube_id IS NOT NULL)")
+def str11_discovery(spark, d):
+    found = table(spark, d, "pipeline_transcripts").where("youtube_id is not null").select("youtube_id")
+    return state.new_ids(found, table(spark, d, "videos").select("youtube_id"))
+
+
+@query("SELECT user_id, CAST(count(*) AS BIGINT) AS calls FROM events GROUP BY 1")
+def str04_paced_calls(spark, d):
+    return state.paced(table(spark, d, "events")).groupBy("user_id").agg(F.count("*").alias("calls"))
+
+
+@query(r"SELECT DISTINCT youtube_id, title FROM videos WHERE regexp_matches(youtube_id, '^[A-Za-z0-9_-]{11}$') AND title IS NOT NULL AND trim(title) <> ''")
+def src08_line_streams(spark, d):
+    """Titles written as lines and read back."""
+    lines = table(spark, d, "videos").where("title is not null and trim(title) <> ''").select(F.concat("youtube_id", F.lit("[SEP]"), "title").alias("value"), "title")
+    return readers.separated_lines(lines).distinct()
+
+
+@query("SELECT DISTINCT youtube_id, title FROM videos WHERE title IS NOT NULL")
+def src07_playlists(spark, d):
+    lists = table(spark, d, "videos").where("title is not null").groupBy("channel_id", F.pmod(F.xxhash64("id"), F.lit(64)).alias("part")).agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("youtube_id").alias("id"), "title")).alias("entries"))).alias("value"))
+    return readers.playlist_entries(lists).distinct()
+
+
+@query("SELECT DISTINCT youtube_id, CASE WHEN regexp_matches(last_error, '^[^ ]+') THEN regexp_extract(trim(last_error), '^([^ ]+)', 1) END AS marker FROM pipeline_attempts WHERE last_error IS NOT NULL AND regexp_matches(youtube_id, '^[A-Za-z0-9_-]{11}$') AND NOT regexp_matches(last_error, '[\\[\\]#]')")
+def src21_blacklist(spark, d):
+    a = table(spark, d, "pipeline_attempts").where(F.col("last_error").isNotNull() & ~F.col("last_error").rlike(r"[\[\]#]"))
+    return readers.blacklist(a.select(F.concat("youtube_id", F.lit(" # "), "last_error").alias("value"))).distinct()
+
+
+@query(f"WITH {CUR}, p AS (SELECT youtube_id, max(acquired_at) AS acquired_at, count(DISTINCT sha256) AS versions FROM pipeline_transcripts WHERE youtube_id IS NOT NULL GROUP BY 1) SELECT c.prefix, count(*) AS videos, count(p.youtube_id) AS with_source, CAST(coalesce(sum(p.versions), 0) AS BIGINT) AS versions FROM cur JOIN channels c ON c.id = cur.channel_id LEFT JOIN p USING (youtube_id) GROUP BY 1")
+def cmp15_provenance_rollup(spark, d):
+    p = table(spark, d, "pipeline_transcripts").where("youtube_id is not null").groupBy("youtube_id").agg(F.count_distinct("sha256").alias("versions"), F.lit(1).alias("there"))
+    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix")
+    v = current(spark, d).select("channel_id", "youtube_id").join(p, "youtube_id", "left").groupBy("channel_id").agg(F.count("*").alias("videos"), F.count("there").alias("with_source"), F.coalesce(F.sum("versions"), F.lit(0)).alias("versions"))
+    return c.join(v, "channel_id").groupBy("prefix").agg(F.sum("videos").alias("videos"), F.sum("with_source").alias("with_source"), F.sum("versions").alias("versions"))
