@@ -67,6 +67,6 @@ def snippet(videos: DataFrame, query: str, width: int = 64) -> DataFrame:
     hit = lambda x: F.exists(F.array(*(F.lit(t) for t in terms)), lambda t: folded(F.regexp_replace(x, r"^[^\p{L}\p{N}]+", "")).startswith(t)) if terms else F.lit(False)
     docs = videos.where(F.col("transcript").isNotNull()).select("id", w.alias("w")).withColumn("hits", F.filter(F.transform("w", lambda x, i: F.when(hit(x), i)), lambda i: i.isNotNull())).where(F.size("hits") > 0)
     best = F.array_max(F.transform("hits", lambda s: F.struct(F.size(F.filter("hits", lambda h: (h >= s) & (h < s + width))).alias("n"), (-s).alias("neg"))))
-    docs = docs.withColumn("start", -best["neg"])
+    docs = docs.withColumn("start", F.greatest(F.lit(0), F.least(-best["neg"], F.size("w") - width)))
     shown = F.transform(F.slice("w", F.col("start") + 1, width), lambda x: F.when(hit(x), F.concat(F.lit("<b>"), x, F.lit("</b>"))).otherwise(x))
     return docs.select("id", F.concat(F.when(F.col("start") > 0, "...").otherwise(""), F.array_join(shown, " "), F.when(F.col("start") + width < F.size("w"), "...").otherwise("")).alias("snippet"))

@@ -66,7 +66,8 @@ def pack_entries(packs: DataFrame, column: str = "value", least: int = 100) -> D
 def json_exports(files: DataFrame, column: str = "value") -> DataFrame:
     """(youtube_id, transcript) of exports that are a list, or an object with videos or data."""
     item = "array<struct<youtube_id:string,id:string,transcript:string,text:string>>"
-    rows = F.coalesce(F.from_json(column, item), F.from_json(column, f"videos {item}")["videos"], F.from_json(column, f"data {item}")["data"])
+    inner = F.from_json(column, f"videos {item}, data {item}")
+    rows = F.when(F.ltrim(column).startswith("["), F.from_json(column, item)).otherwise(F.coalesce(inner["videos"], inner["data"]))
     return files.select(F.explode(rows).alias("r")).select(F.coalesce("r.youtube_id", "r.id").alias("youtube_id"), F.coalesce("r.transcript", "r.text").alias("transcript")).where("youtube_id is not null and transcript is not null")
 
 
