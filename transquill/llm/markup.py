@@ -75,7 +75,7 @@ GRAMMAR: list[tuple[str, str, re.Pattern]] = [
         ("env", "latex", r"\\(?:begin|end)\{[A-Za-z]+\*?\}(?:\[[^\]\n]*\])?"),
         ("ref", "latex", r"~?\\(?:cite[a-z]*|ref|eqref|pageref|label|footnotemark|url)\{[^{}\n]*\}"),
         ("command", "latex", r"\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?\{[^{}\n]*\}"),
-        ("item_tex", "latex", r"\\item\b(?:\[[^\]\n]*\])?"),
+        ("item_tex", "latex", r"\\item\b(?:\[[^\]\n]*\])?[ \t]*"),
         ("bare", "latex", r"(?<![A-Za-z]:)(?<![\w\\])\\(?:[A-Za-z]{2,20})(?![A-Za-z\\{])|(?<=\S)[ \t]*\\\\[ \t]*$"),
     ]
 ]

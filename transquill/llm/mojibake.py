@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -334,6 +335,15 @@ class Restorer:
                     gain = self.gain(text, m.start(), m.end(), new)
                     if gain > self.model.margin and gain > self.plain_gain(text, m.start(), m.end()):
                         best.append((gain, Span(m.start(), m.end(), new, f"{y}>{x}")))
+        for chain, n in Counter(s.chain for s in disjoint(best)).most_common():
+            if n < 2:
+                break
+            y, x = chain.split(">")  # the text's other words may have come the same way
+            for m in WORD.finditer(text):
+                data = None if m[0].isascii() else unread(m[0], x)
+                new = "".join(chr(b) if b < 0x80 else high(y)[b] for b in data) if data else m[0]
+                if new != m[0] and self.model.known(new) and (gain := self.gain(text, m.start(), m.end(), new)) > 0.5:
+                    best.append((gain, Span(m.start(), m.end(), new, chain)))
         return best
 
     def spans(self, text: str) -> list[Span]:

@@ -39,7 +39,7 @@ BITS = 17
 OPEN, TOKEN, FINAL, DOTTED = range(4)
 #: Scores of closing marks, of case, and of what is out of balance.
 HARD, POINT, DOTS, SPACE, LOWER, UPPER, UNBALANCED = 4.0, 2.5, 0.5, 0.3, -5.0, 1.0, -6.0
-TYPICAL, SPREAD = log(70.0), 1.0
+TYPICAL, SPREAD = log(70.0), 1.6
 
 BLANK = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+|\r\n[^\S\n]*\r\n\s*")
 MARK = re.compile(rf"(?P<mark>\.{{2,}}|…+|[。！？।॥]+|[.!?؟۔‼⁇⁈⁉]+(?:[.!?…]*))(?P<close>(?:[^\S\n]?»|[{CLOSERS}])*)")
@@ -251,7 +251,7 @@ def _best(text: str, a: int, b: int, ends: list[int], close: list[float], opens:
     for j in range(1, n):
         for i in range(j - 1, floor - 1, -1):
             size = points[j] - points[i]
-            x = best[i] + gain[j] - 0.5 * ((log(size) - TYPICAL) / SPREAD) ** 2 - (2.5 if size < 4 else 0.0)
+            x = best[i] + gain[j] - 0.5 * ((log(size) - TYPICAL) / SPREAD) ** 2 - (2.5 if size < 3 else 0.0)
             if deep[i] != deep[j]:
                 x += UNBALANCED
             if x > best[j]:
