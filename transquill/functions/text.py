@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -61,9 +62,25 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}\p{M}_’'-]+"), F.lit(0))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def collapsed(array: Column) -> Column:
     """Without elements that equal the one before."""
-    return F.filter(array, lambda x, i: (i == 0) | (x != F.get(array, i - 1)))
+    return let(array, lambda a: F.filter(a, lambda x, i: (i == 0) | (x != F.get(a, i - 1))))
+
+
+def heaviest(array: Column, weight: Callable[[Column], Column]) -> Column:
+    """The largest weight times count of equal elements: one pass over the sorted array."""
+    zero = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("best"))
+
+    def step(s: Column, x: Column) -> Column:
+        total = F.when(s["last"] == x, s["sum"]).otherwise(F.lit(0)) + weight(x).cast("long")
+        return F.struct(x.alias("last"), total.alias("sum"), F.greatest(s["best"], total).alias("best"))
+
+    return F.aggregate(F.array_sort(array), zero, step, lambda s: s["best"])
 
 
 def safe_label(c: Column) -> Column:
@@ -76,9 +93,11 @@ def quotes_plain(c: Column) -> Column:
 
 def excerpt(c: Column, needle: str, radius: int = 100) -> Column:
     """The text around the first occurrence."""
-    at = F.locate(needle, c)
-    start = F.greatest(at - radius, F.lit(1))
-    return F.when(at > 0, F.substring(c, start, F.least(at + len(needle) - 1 + radius, F.length(c)) - start + 1))
+    def around(at: Column) -> Column:
+        start = F.greatest(at - radius, F.lit(1))
+        return F.when(at > 0, F.substring(c, start, F.least(at + len(needle) - 1 + radius, F.length(c)) - start + 1))
+
+    return let(F.locate(needle, c), around)
 
 
 def folded(c: Column) -> Column:
@@ -96,8 +115,7 @@ def clean_rendered(c: Column) -> Column:
     t = F.regexp_replace(t, r"\b[0-9]{1,2}:[0-9]{2}\b", " ")
     t = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"(?m)^[0-9]+[ \t]*$", ""), r"&[A-Za-z0-9_]+;", " "), r"[ \t\n\r]+", " ")
     t = F.regexp_replace(quotes_plain(t), r"([a-zA-Z])\?([a-zA-Z])", "$1'$2")
-    w = words(t)
-    return F.array_join(F.filter(w, lambda x, i: (i == 0) | (F.lower(x) != F.lower(F.get(w, i - 1)))), " ")
+    return F.array_join(let(words(t), lambda w: F.filter(w, lambda x, i: (i == 0) | (F.lower(x) != F.lower(F.get(w, i - 1))))), " ")
 
 
 def duckdb_replaced(c: str, pairs: list[tuple[str, str]]) -> str:

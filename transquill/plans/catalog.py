@@ -278,8 +278,7 @@ def agg10_learned_artifacts(spark, d):
 def agg12_dominant_sentence(spark, d):
     """Within the row: the sentences of one text never leave it."""
     s = F.filter(F.transform(F.split("transcript", r"[.!?\n]+"), lambda x: F.trim(x)), lambda x: x != "")
-    weight = F.array_max(F.transform(F.array_distinct("s"), lambda x: F.size(F.filter("s", lambda y: y == x)) * X.word_count_spaces(x)))
-    return texts(spark, d).select("id", s.alias("s")).where(F.size("s") > 0).select("id", weight.cast("long").alias("weight")).distinct()
+    return texts(spark, d).select("id", s.alias("s")).where(F.size("s") > 0).select("id", X.heaviest(F.col("s"), X.word_count_spaces).alias("weight")).distinct()
 
 
 @query(f"WITH {CUR} SELECT count(*) AS rows_all, count(*) FILTER ({TXT}) AS rows_text FROM cur")
@@ -423,7 +422,9 @@ def _heal(name: str, pairs: list[tuple[str, str]], spaces: bool, noise: list[str
     cond = " OR ".join("contains(transcript, '" + k.replace("'", "''") + "')" for k, _ in every)
 
     def run(spark: SparkSession, d: str) -> DataFrame:
-        new = texts(spark, d).select("id", "transcript", X.replaced(F.col("transcript"), every).alias("healed")).where("healed <> transcript")
+        firsts = "".join(sorted({"\\" + k[0] if k[0] in "[]|" else k[0] for k, _ in every if k[0] != " "}))
+        some = F.col("transcript").rlike(f"[{firsts}]" + ("|  " if spaces else ""))
+        new = texts(spark, d).where(some).select("id", "transcript", X.replaced(F.col("transcript"), every).alias("healed")).where("healed <> transcript")
         return new.select("id", F.sha2("healed", 256).alias("text_sha")).distinct()
 
     QUERIES[name] = run
