@@ -44,6 +44,7 @@ END = re.compile(r"[.!?…。！？।؟♪][»”\"’')\]」]*\s*$")
 
 #: Scores of the model: a label that fits its person, one that doesn't, going on without a label, a cut without a label,
 #: a turn, a pause within a turn for each second, a cut inside a sentence.
+CARRY = 0.051
 FITS, CLASH, GOES_ON, CUT, TURN, PAUSE, INSIDE = 6.0, -12.0, 1.0, -6.0, -0.5, -0.01, -0.5
 
 
@@ -176,30 +177,45 @@ def caption_pieces(raw: str) -> list[Piece]:
                 out.append(Piece(start, name, text) if name else Piece(start, *split_label(text)))
         return out
     out = []
+    before: list[str] = []
+    last_end = None
+    for start, end, lines in timed_lines(raw):
+        shown = lines[0] if lines else ""
+        if shown and before and shown == before[-1] and (len(lines) > 1 or last_end is not None and abs(last_end - start) <= CARRY):
+            lines = lines[1:]  # the line before is shown again, mostly above the new one
+        before, last_end = lines or before, end
+        first = True
+        for line in lines:
+            voices = list(VOICE.finditer(line))
+            parts = [(v[1].strip(), TAG.sub("", line[v.end() : voices[k + 1].start() if k + 1 < len(voices) else len(line)])) for k, v in enumerate(voices)]
+            if not voices or TAG.sub("", line[: voices[0].start()]).strip():
+                parts.insert(0, split_label(re.sub(r"^(?:>>|-)\s+", "", TAG.sub("", line[: voices[0].start()] if voices else line).strip())))
+            for label, text in parts:
+                if label or first or re.match(r"(?:>>|-)\s", line):
+                    out.append(Piece(start, label, text))
+                else:
+                    out[-1].text += " " + text
+                first = False
+    return out
+
+
+def timed_lines(raw: str) -> list[tuple[float, float, list[str]]]:
+    """(start, end, lines) of the cues of a file, in time order, each once."""
     timings = list(TIMING.finditer(raw))
+    found = []
     for i, m in enumerate(timings):
         body = raw[m.end() : timings[i + 1].start() if i + 1 < len(timings) else len(raw)]
         if i + 1 < len(timings):
             body = re.sub(r"\n[^\n]*$", "\n", body) if not body.endswith("\n") else body
             body = re.sub(r"\n\s*\n\s*\S{1,40}\s*$", "\n", body)  # the next cue's name or number
         body = re.split(r"\n[ \t]*\n", body.strip("\n"))[0]
-        start = seconds(m["a"])
-        voices = list(VOICE.finditer(body))
-        if voices:
-            lead = TAG.sub("", body[: voices[0].start()]).strip()
-            if lead:
-                out.append(Piece(start, *split_label(lead)))
-            for k, v in enumerate(voices):
-                out.append(Piece(start, v[1].strip(), TAG.sub("", body[v.end() : voices[k + 1].start() if k + 1 < len(voices) else len(body)])))
-        else:
-            first = True
-            for line in TAG.sub("", body).split("\n"):
-                label, text = split_label(re.sub(r"^(?:>>|-)\s+", "", line.strip()))
-                if label or first or re.match(r"(?:>>|-)\s", line.strip()):
-                    out.append(Piece(start, label, text))
-                else:
-                    out[-1].text += " " + text
-                first = False
+        found.append((seconds(m["a"]), seconds(m["b"]), [x.strip() for x in body.split("\n") if x.strip()]))
+    out: list[tuple[float, float, list[str]]] = []
+    seen = set()
+    for start, end, lines in sorted(found, key=lambda c: (c[0], c[1])):
+        if (key := (start, end, tuple(lines))) not in seen:
+            seen.add(key)
+            out.append((start, end, lines))
     return out
 
 
