@@ -80,7 +80,7 @@ def name_like(label: str) -> bool:
     if not NAME.fullmatch(label.strip()) or low in NOT_NAMES:
         return False
     words = [w for w in re.split(r"[ _]", label.strip()) if w]
-    if any(w.strip(".").lower() in WORDS_NOT_NAMES for w in words):
+    if any(w.lower() in WORDS_NOT_NAMES for w in words):  # an initial has its point
         return False
     firsts = [w[0] for w in words]
     return all(c.isupper() for c in firsts) or all(c.islower() for c in firsts) or not any(c.lower() != c.upper() for c in firsts)
