@@ -227,10 +227,10 @@ def jon11_unique_title_date(spark, d):
 # ---- aggregates
 
 
-@query(f"WITH {CUR} SELECT count(*) AS videos, round(sum(duration) / 3600.0, 4) AS hours, CAST(sum(length(transcript) - length(replace(transcript, ' ', '')) + 1) AS BIGINT) AS words FROM cur WHERE transcript IS NOT NULL AND transcript <> ''")
+@query(f"WITH {CUR} SELECT count(*) AS videos, floor(CAST(sum(CAST(duration AS DECIMAL(18,3))) AS DOUBLE) / 3.6) / 1000 AS hours, CAST(sum(length(transcript) - length(replace(transcript, ' ', '')) + 1) AS BIGINT) AS words FROM cur WHERE transcript IS NOT NULL AND transcript <> ''")
 def agg01_global(spark, d):
     v = current(spark, d).where("transcript is not null and transcript <> ''")
-    return v.agg(F.count("*").alias("videos"), F.round(F.sum("duration") / 3600.0, 4).alias("hours"), F.sum(X.word_count_spaces(F.col("transcript"))).alias("words"))
+    return v.agg(F.count("*").alias("videos"), (F.floor(F.sum(F.col("duration").cast("decimal(18,3)")).cast("double") / 3.6) / 1000).alias("hours"), F.sum(X.word_count_spaces(F.col("transcript"))).alias("words"))
 
 
 WORDS = "CASE WHEN v.transcript IS NOT NULL AND v.transcript <> '' THEN length(v.transcript) - length(replace(v.transcript, ' ', '')) + 1 ELSE 0 END"
