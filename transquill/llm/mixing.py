@@ -181,7 +181,7 @@ def mix(documents: DataFrame, weights: DataFrame, tokenizer: str = TOKENIZER) ->
     rates = map_batches(docs, ["doc_id", "own", "tokens", "post"], lambda: lambda c: list(zip(c[0], c[1], c[2], _rates(np.array(c[3], float), doc_cap[np.array(c[1])], start, history).tolist())), "doc_id bigint, own int, tokens bigint, rate double")
     spread = (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("u")
     rates = rates.select("*", spread).withColumn("whole", F.floor("rate")).withColumn("v", F.col("u") - (F.col("rate") - F.floor("rate")))
-    caps = F.create_map(*(F.lit(x) for i, c in enumerate(doc_cap) for x in (i, int(c)))) if len(sources) else F.lit(None)
+    caps = F.create_map(*(F.lit(x) for i, c in enumerate(doc_cap) for x in (i, int(c)))) if len(sources) else F.lit(None).cast("map<int,int>")
     room = F.col("whole") < caps[F.col("own")]
     bins = rates.select("own", F.floor((F.col("v") + 1) * (BINS / 2)).cast("int").alias("bin"), (F.col("whole") * F.col("tokens")).alias("base"), F.when(room & (F.col("rate") > 0), F.col("tokens")).otherwise(0).alias("more"), (F.col("rate") * F.col("tokens")).alias("want")).groupBy("own", "bin").agg(F.sum("base").alias("base"), F.sum("more").alias("more"), F.sum("want").alias("want")).toPandas()
     cut = {}
