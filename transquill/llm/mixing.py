@@ -90,7 +90,7 @@ class Classifier:
 
 
 def prepare(documents: DataFrame, sources: list[str], targeted: set[str], tokenizer: str = TOKENIZER) -> DataFrame:
-    """(doc_id, own, tokens, post): own source or the likeliest, tokens, and the posterior as an array over sources."""
+    """(doc_id, own, tokens, labelled, post): own source or the likeliest, tokens, and where unlabelled the posterior over sources."""
     spark: SparkSession = documents.sparkSession
     known = {s: i for i, s in enumerate(sources)}
     docs = documents.where(has_text("text")).select("doc_id", clean_source(F.col("source")).alias("src"), "text")
@@ -104,13 +104,12 @@ def prepare(documents: DataFrame, sources: list[str], targeted: set[str], tokeni
 
     def make() -> Callable[[list[list]], list[tuple]]:
         count, model = token_counts(tokenizer), Classifier(*sent.value)
-        certain = {s: [float(i == k) for i in range(len(known))] for s, k in known.items()}
 
         def kernel(columns: list[list]) -> list[tuple]:
             out = []
             for i, s, t, n in zip(*columns, count(columns[2])):
                 if s in known:
-                    out.append((i, known[s], n, True, certain[s]))
+                    out.append((i, known[s], n, True, None))
                 else:
                     p = model.posterior(t)
                     out.append((i, int(p.argmax()), n, False, p.tolist()))
@@ -121,12 +120,33 @@ def prepare(documents: DataFrame, sources: list[str], targeted: set[str], tokeni
     return map_batches(docs, ["doc_id", "src", "text"], make, "doc_id bigint, own int, tokens bigint, labelled boolean, post array<double>")
 
 
-def _rates(post: np.ndarray, cap: np.ndarray, start: float, history: list[np.ndarray]) -> np.ndarray:
-    """Projected gradient steps on the rates, from all the steps so far."""
-    r = np.minimum(cap, start)
-    for step in history:
-        r = np.clip(r - post @ step, 0.0, cap)
-    return r
+class Batch:
+    """A batch's documents as arrays; labelled ones belong wholly to their source."""
+
+    def __init__(self, own: list, tokens: list, post: list, caps: np.ndarray) -> None:
+        self.own, self.tokens = np.array(own, np.int64), np.array(tokens, float)
+        self.open = np.array([p is not None for p in post], bool)
+        self.post = np.array([p for p in post if p is not None], float).reshape(int(self.open.sum()), -1)
+        self.cap = caps[self.own]
+
+    def of(self, by_source: np.ndarray) -> np.ndarray:
+        """Each document's expected value of something given by source."""
+        out = by_source[self.own].astype(float)
+        if self.open.any():
+            out[self.open] = self.post @ by_source
+        return out
+
+    def rates(self, start: float, history: list[np.ndarray]) -> np.ndarray:
+        """Projected gradient steps on the rates of use, from all the steps so far."""
+        r = np.minimum(self.cap, start)
+        for step in history:
+            r = np.clip(r - self.of(step), 0.0, self.cap)
+        return r
+
+    def sums(self, values: np.ndarray, sources: int) -> np.ndarray:
+        """Values by source, as expected."""
+        out = np.bincount(self.own[~self.open], weights=values[~self.open], minlength=sources)
+        return out + values[self.open] @ self.post if self.open.any() else out
 
 
 def mix(documents: DataFrame, weights: DataFrame, tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
@@ -143,14 +163,13 @@ def mix(documents: DataFrame, weights: DataFrame, tokenizer: str = TOKENIZER) ->
     for t in targets:
         share[at[t["src"]]], cap[at[t["src"]]] = t["share"], t["cap"]
     docs = stored(prepare(documents, sources, set(names), tokenizer))
-    have = docs.select("own", "tokens", F.posexplode("post").alias("k", "p")).where("p > 0").groupBy("k").agg(F.sum(F.col("p") * F.col("tokens")).alias("n")).collect()
-    soft = np.zeros(len(sources))
-    for row in have:
-        soft[row["k"]] = row["n"]
     # only what is labelled is sure to be there; the total is what the scarcest target allows
     sure = np.zeros(len(sources))
     for row in docs.where("labelled").groupBy("own").agg(F.sum("tokens").alias("n")).collect():
         sure[row["own"]] = row["n"]
+    soft = sure.copy()
+    for row in docs.where("not labelled").select("tokens", F.posexplode("post").alias("k", "p")).groupBy("k").agg(F.sum(F.col("p") * F.col("tokens")).alias("n")).collect():
+        soft[row["k"]] += row["n"]
     able = (share > 0) & (cap > 0) & (sure > 0)
     total = float((cap[able] * sure[able] / (share[able] / share[able].sum())).min()) if able.any() else 0.0
     goal = np.where(able, share / max(share[able].sum(), 1e-12) * total, 0.0) if able.any() else np.zeros(len(sources))
@@ -161,9 +180,8 @@ def mix(documents: DataFrame, weights: DataFrame, tokenizer: str = TOKENIZER) ->
     def sums(history: list[np.ndarray]) -> np.ndarray:
         def make() -> Callable[[list[list]], list[tuple]]:
             def kernel(columns: list[list]) -> list[tuple]:
-                own, tokens, post = np.array(columns[0]), np.array(columns[1], float), np.array(columns[2], float)
-                r = _rates(post, doc_cap[own], start, history)
-                return list(enumerate(((r * tokens) @ post).tolist()))
+                batch = Batch(*columns, doc_cap)
+                return list(enumerate(batch.sums(batch.rates(start, history) * batch.tokens, len(sources)).tolist()))
 
             return kernel
 
@@ -178,17 +196,17 @@ def mix(documents: DataFrame, weights: DataFrame, tokenizer: str = TOKENIZER) ->
         if np.abs(miss[able]).max() <= 1e-4 * max(total, 1.0):
             break
         history.append(np.where(able, miss / scale, 0.0))
-    rates = map_batches(docs, ["doc_id", "own", "tokens", "post"], lambda: lambda c: list(zip(c[0], c[1], c[2], _rates(np.array(c[3], float), doc_cap[np.array(c[1])], start, history).tolist())), "doc_id bigint, own int, tokens bigint, rate double")
+    rates = map_batches(docs, ["doc_id", "own", "tokens", "post"], lambda: lambda c: list(zip(*c[:3], Batch(*c[1:], doc_cap).rates(start, history).tolist())), "doc_id bigint, own int, tokens bigint, rate double")
     spread = (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("u")
     rates = rates.select("*", spread).withColumn("whole", F.floor("rate")).withColumn("v", F.col("u") - (F.col("rate") - F.floor("rate")))
     caps = F.create_map(*(F.lit(x) for i, c in enumerate(doc_cap) for x in (i, int(c)))) if len(sources) else F.lit(None).cast("map<int,int>")
     room = F.col("whole") < caps[F.col("own")]
-    bins = rates.select("own", F.floor((F.col("v") + 1) * (BINS / 2)).cast("int").alias("bin"), (F.col("whole") * F.col("tokens")).alias("base"), F.when(room & (F.col("rate") > 0), F.col("tokens")).otherwise(0).alias("more"), (F.col("rate") * F.col("tokens")).alias("want")).groupBy("own", "bin").agg(F.sum("base").alias("base"), F.sum("more").alias("more"), F.sum("want").alias("want")).toPandas()
+    bins = rates.select("own", F.floor((F.col("v") + 1) * (BINS / 2)).cast("int").alias("bin"), (F.col("whole") * F.col("tokens")).alias("base"), F.when(room & (F.col("rate") > 0), F.col("tokens")).otherwise(0).alias("more")).groupBy("own", "bin").agg(F.sum("base").alias("base"), F.sum("more").alias("more")).toPandas()
     cut = {}
     for own, part in bins.groupby("own"):
         part = part.sort_values("bin")
         sums_ = part["more"].cumsum().to_numpy()
-        need = part["want"].sum() - part["base"].sum()
+        need = goal[int(own)] - part["base"].sum()
         k = int(np.searchsorted(sums_, need))
         below = sums_[k - 1] if k else 0.0
         if k < len(sums_) and need - below > sums_[k] - need:
