@@ -180,6 +180,23 @@ class Model:
         return float(np.log(p3).sum())
 
 
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """score() of many texts at once."""
+        if not self.total or not texts:
+            return np.zeros(len(texts))
+        sizes = np.array([len(t) for t in texts])
+        data = codes("".join(texts))
+        if len(data) < 3:
+            return np.zeros(len(texts))
+        one, two, three = _hashes(data)
+        p1 = (self.one[one[2:]] + 0.05) / (self.total + 0.05 * (1 << BITS1))
+        p2 = (self.two[two[1:]] + PRIOR * p1) / (self.one[one[1:-1]] + PRIOR)
+        p3 = np.log((self.three[three] + PRIOR * p2) / (self.two[two[:-1]] + PRIOR))
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        within = owner[:-2] == owner[2:]
+        return np.bincount(owner[:-2][within], weights=p3[within], minlength=len(texts))
+
+
 @dataclass
 class Span:
     start: int
@@ -218,12 +235,23 @@ def letters(text: str) -> int:
 def disjoint(found: list[tuple[float, Span]]) -> list[Span]:
     """The likeliest repairs that don't overlap; of equal ones the earlier."""
     taken: list[Span] = []
+    full = bytearray(max((s.end for _, s in found), default=0))
     for _, s in sorted(found, key=lambda x: (-x[0], x[1].start, x[1].chain)):
-        if all(s.end <= t.start or s.start >= t.end for t in taken):
+        if full.find(1, s.start, s.end) < 0:
+            full[s.start : s.end] = b"\1" * (s.end - s.start)
             taken.append(s)
     return sorted(taken, key=lambda s: s.start)
 
 
+def blanked(text: str, spans: list[Span]) -> str:
+    """The text with blanks in the spans' places."""
+    out, at = [], 0
+    for s in spans:
+        out += [text[at : s.start], " " * (s.end - s.start)]
+        at = s.end
+    return "".join(out) + text[at:]
+
+
 class Restorer:
     """Finds garbled passages of a text and restores what can be restored."""
 
@@ -268,19 +296,41 @@ class Restorer:
 
     def utf8(self, text: str, depth: int = DEPTH) -> list[tuple[float, Span]]:
         """Byte-exact repairs with their gains; inside another repair the best for each place."""
-        found: list[tuple[float, Span]] = []
+        maybe: list[Span] = []
         chars = set(text)
         for codec in DECODERS:
             leads, rests = utf8_parts(codec)
-            if leads.isdisjoint(chars) or rests.isdisjoint(chars) or codec == "cp1250" and found:  # all but the same as cp1252
+            if leads.isdisjoint(chars) or rests.isdisjoint(chars) or codec == "cp1250" and maybe:  # all but the same as cp1252
                 continue
             for m in utf8_pattern(codec).finditer(text):
                 if done := self.undone(codec, m[0], depth):
-                    gain = self.gain(text, m.start(), m.end(), done[0])
-                    if (gain > self.model.margin / 2 or not self.model.total) and gain > self.plain_gain(text, m.start(), m.end()):
-                        found.append((gain, Span(m.start(), m.end(), *done)))
+                    maybe.append(Span(m.start(), m.end(), *done))
+        if not maybe:
+            return []
+        found: list[tuple[float, Span]] = []
+        for s, gain in zip(maybe, self.gains(text, [(s.start, s.end, s.text) for s in maybe])):
+            if (gain > self.model.margin / 2 or not self.model.total) and gain > self.plain_gain(text, s.start, s.end):
+                found.append((gain, s))
         return found if depth == DEPTH else [(0.0, s) for s in disjoint(found)]
 
+    def gains(self, text: str, changes: list[tuple[int, int, str]]) -> list[float]:
+        """gain() of many changes at once."""
+        need: dict[str, float | None] = {}
+        pairs = []
+        for a, b, new in changes:
+            left, right = text[max(0, a - 3) : a].rjust(2, "\n"), text[b : b + 3]
+            pairs.append((left + new + right, left + text[a:b] + right))
+            for t in pairs[-1]:
+                need[t] = self._scores.get(t)
+        missing = [t for t, s in need.items() if s is None]
+        if len(self._scores) > 200_000:
+            self._scores.clear()
+        for t, s in zip(missing, self.model.scores(missing).tolist()):
+            need[t] = s
+            if len(t) <= 64:
+                self._scores[t] = s
+        return [need[x] - need[y] for x, y in pairs]
+
     def plain_gain(self, text: str, a: int, b: int) -> float:
         """The gain if the passage only lost its invisible characters and joined forms, which is another problem's."""
         if not STAND_IN.search(text, a, b):
@@ -316,7 +366,7 @@ class Restorer:
 
     def words(self, text: str) -> list[tuple[float, Span]]:
         """Words of a Latin language that read better through another Latin encoding."""
-        best: list[tuple[float, Span]] = []
+        maybe: list[Span] = []
         at = 0
         for hit in WORD_SUSPECT.finditer(text):
             if hit.start() < at:
@@ -330,20 +380,21 @@ class Restorer:
                 data = unread(word, x)
                 for y in LATIN if data else ():
                     new = "".join(chr(b) if b < 0x80 else high(y)[b] for b in data)
-                    if x == y or new == word or not self.model.known(new) or not all(c.isalpha() or c in "-'’«»“”¿¡…–" for c in new if ord(c) > 127):
-                        continue
-                    gain = self.gain(text, m.start(), m.end(), new)
-                    if gain > self.model.margin and gain > self.plain_gain(text, m.start(), m.end()):
-                        best.append((gain, Span(m.start(), m.end(), new, f"{y}>{x}")))
+                    if x != y and new != word and self.model.known(new) and all(c.isalpha() or c in "-'’«»“”¿¡…–" for c in new if ord(c) > 127):
+                        maybe.append(Span(m.start(), m.end(), new, f"{y}>{x}"))
+        gains = self.gains(text, [(s.start, s.end, s.text) for s in maybe])
+        best = [(g, s) for g, s in zip(gains, maybe) if g > self.model.margin and g > self.plain_gain(text, s.start, s.end)]
         for chain, n in Counter(s.chain for s in disjoint(best)).most_common():
             if n < 2:
                 break
             y, x = chain.split(">")  # the text's other words may have come the same way
+            maybe = []
             for m in WORD.finditer(text):
                 data = None if m[0].isascii() else unread(m[0], x)
                 new = "".join(chr(b) if b < 0x80 else high(y)[b] for b in data) if data else m[0]
-                if new != m[0] and self.model.known(new) and (gain := self.gain(text, m.start(), m.end(), new)) > 0.5:
-                    best.append((gain, Span(m.start(), m.end(), new, chain)))
+                if new != m[0] and self.model.known(new):
+                    maybe.append(Span(m.start(), m.end(), new, chain))
+            best += [(g, s) for g, s in zip(self.gains(text, [(s.start, s.end, s.text) for s in maybe]), maybe) if g > 0.5]
         return best
 
     def spans(self, text: str) -> list[Span]:
@@ -351,9 +402,7 @@ class Restorer:
         if not text or text.isascii() and "??" not in text or not self.gate.search(text):
             return []
         found = self.utf8(text)
-        rest = text
-        for s in disjoint(found):
-            rest = rest[: s.start] + " " * (s.end - s.start) + rest[s.end :]
+        rest = blanked(text, disjoint(found))
         if RUN.search(rest):
             found += self.passages(text, RUN, ["cp1252", "cp850", "mac_roman"], ORIGINALS, True)
         if SWAPPED.search(rest):
