@@ -27,6 +27,8 @@ from transquill.llm.rows import has_text, map_batches, stored
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 FEATURES = 1 << 14
 STEPS = 24
+#: Texts that are encoded at once; their tokens are held in memory.
+CHUNK = 64
 #: Parts into which the hash of a source's documents is cut to find its threshold.
 BINS = 4096
 #: Most sources; their targets are a small table by nature, and its size is checked.
@@ -45,7 +47,7 @@ def token_counts(path: str) -> Callable[[list[str]], list[int]]:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return lambda texts: [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return lambda texts: [len(e) for a in range(0, len(texts), CHUNK) for e in tokenizer.encode_batch_fast(texts[a : a + CHUNK], add_special_tokens=False)]
 
 
 def features(text: str) -> np.ndarray:
