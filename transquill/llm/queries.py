@@ -133,7 +133,8 @@ def p10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p10_sentences(spark, sf_dir).select("doc_id", "end_char")
+    documents = _table(spark, sf_dir, "documents")
+    return sentences.split_documents(documents, sentences.fit(documents), with_text=False).select("doc_id", "end_char")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

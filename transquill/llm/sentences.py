@@ -335,8 +335,8 @@ def fit(texts: DataFrame, column: str = "text") -> Model:
     return model
 
 
-def split_documents(texts: DataFrame, model: Model, key_column: str = "doc_id", column: str = "text") -> DataFrame:
-    """(key, sentence_no, end_char, sentence) of every unit of every document."""
+def split_documents(texts: DataFrame, model: Model, key_column: str = "doc_id", column: str = "text", with_text: bool = True) -> DataFrame:
+    """(key, sentence_no, end_char, sentence) of every unit of every document; the text itself only if asked for."""
     spark: SparkSession = texts.sparkSession
     sent = spark.sparkContext.broadcast(model.counts)
 
@@ -344,7 +344,7 @@ def split_documents(texts: DataFrame, model: Model, key_column: str = "doc_id",
         m = Model(sent.value)
 
         def kernel(k, text):  # noqa: ANN001, ANN202
-            return [(k, i + 1, e, text[a:e]) for i, (a, e) in enumerate(sentences(text, m))]
+            return [(k, i + 1, e, text[a:e] if with_text else None) for i, (a, e) in enumerate(sentences(text, m))]
 
         return kernel
 
