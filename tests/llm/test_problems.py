@@ -385,6 +385,29 @@ def test_units_cover_the_text(text):
     assert all(text[a:e] == text[a:e].strip() and a < e for a, e in spans) and all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
 
 
+@given(st.lists(st.tuples(st.integers(1, 150), st.floats(-6, 8)), min_size=1, max_size=9), st.integers(1, 80))
+@settings(max_examples=150, deadline=None)
+def test_spans_are_the_best(steps, last):
+    from itertools import combinations
+    from math import log
+
+    ends, at = [], 0
+    for n, _ in steps:
+        at += n
+        ends.append(at)
+    size, gains = at + last, [g for _, g in steps]
+    text = "a" * size
+
+    def score(chosen):
+        points = [0, *(ends[i] for i in chosen), size]
+        spans = sum(-0.5 * ((log(b - a) - sentences.TYPICAL) / sentences.SPREAD) ** 2 - (2.5 if b - a < 3 else 0.0) for a, b in zip(points, points[1:]))
+        return spans + sum(gains[i] for i in chosen)
+
+    got = sentences._best(text, 0, size, ends, gains, [0.0] * len(ends))
+    best = max(score(c) for k in range(len(ends) + 1) for c in combinations(range(len(ends)), k))
+    assert score([ends.index(e) for e in got[:-1]]) == pytest.approx(best)
+
+
 def test_sentences_in_spark(spark):
     df = spark.createDataFrame([(1, "One. Two is here. Three."), (2, None), (3, " ")], "doc_id bigint, text string").withColumn("sentence_no", F.lit(0))
     got = sorted((r["doc_id"], r["end_char"]) for r in sentences.split_documents(df, sentences.fit(df)).collect())

@@ -45,8 +45,8 @@ GRAMMAR: list[tuple[str, str, re.Pattern]] = [
         ("tag", "html", TAG.pattern),
         ("entity", "html", r"&(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"),
         ("fence", "markdown", r"^(?:```|~~~)[^\n`]*\n.*?(?:^(?:```|~~~)[ \t]*$|\Z)"),
-        ("image", "markdown", r"!\[[^\]\n]*\]\([^()\s]+(?:\s\"[^\"\n]*\")?\)"),
-        ("link", "markdown", r"(?<!!)\[[^\]\n]+\]\((?:https?:|/|#|\.|mailto:|www\.)[^()\s]*(?:\s\"[^\"\n]*\")?\)"),
+        ("image", "markdown", r"!\[[^\[\]\n]{0,300}\]\([^()\s]{1,2000}(?:\s\"[^\"\n]*\")?\)"),
+        ("link", "markdown", r"(?<!!)\[[^\[\]\n]{1,300}\]\((?:https?:|/|#|\.|mailto:|www\.)[^()\s]*(?:\s\"[^\"\n]*\")?\)"),
         ("code", "markdown", r"(?<![A-Za-z0-9\u00c0-\u024f`\u0192\\])`(?=[^\s`])[^`\n\u0080-\u009f]{0,79}(?<=[^\s])`(?![A-Za-z0-9\u00c0-\u024f`])"),
         ("rule_row", "markdown", r"^\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*$|^\|[ \t]*:?-{3,}:?[ \t]*\|[ \t]*$"),
         ("row", "markdown", r"^\|(?![-}|+])[^\n]*\|[ \t]*$"),

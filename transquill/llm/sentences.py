@@ -168,6 +168,8 @@ def split_block(text: str, a: int, b: int, lower: bool, model: Model) -> list[in
         end = m.end()
         if end >= b:
             break
+        if ends and not any(c.isalnum() for c in text[ends[-1] : m.start()]):  # nothing was said between two marks
+            ends.pop(), close.pop(), opens.pop()
         mark, quoted, nxt = m["mark"], m["close"], text[end]
         word = LAST_TOKEN.search(text, max(a, m.start() - 40), m.start())
         token = word[0] if word else ""
@@ -247,15 +249,20 @@ def _best(text: str, a: int, b: int, ends: list[int], close: list[float], opens:
     gain = [0.0, *(c + o for c, o in zip(close, opens)), 0.0]
     best = [0.0] + [-1e18] * (n - 1)
     back = [0] * n
+    high = [0.0] * n
     floor = 0
     for j in range(1, n):
         for i in range(j - 1, floor - 1, -1):
             size = points[j] - points[i]
-            x = best[i] + gain[j] - 0.5 * ((log(size) - TYPICAL) / SPREAD) ** 2 - (2.5 if size < 3 else 0.0)
+            off = (log(size) - TYPICAL) / SPREAD
+            if off > 0 and high[i] + gain[j] - 0.5 * off * off <= best[j]:
+                break  # no longer span can be better: none starts from a higher score, and all are further off
+            x = best[i] + gain[j] - 0.5 * off * off - (2.5 if size < 3 else 0.0)
             if deep[i] != deep[j]:
                 x += UNBALANCED
             if x > best[j]:
                 best[j], back[j] = x, i
+        high[j] = max(high[j - 1], best[j])
         if gain[j] > 12.0 and deep[j] == 0:
             floor = j
     out, j = [], n - 1

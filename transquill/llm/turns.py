@@ -153,7 +153,7 @@ def caption_pieces(raw: str) -> list[Piece]:
     if head and head in "{[" and not raw.lstrip().startswith("[Script Info]"):
         try:
             data = json.loads(raw)
-        except ValueError:
+        except (ValueError, RecursionError):
             data = None
         rows = data if isinstance(data, list) else next((data[k] for k in ("segments", "cues", "captions", "events", "body") if isinstance(data.get(k), list)), []) if isinstance(data, dict) else []
         out = []
