@@ -10,9 +10,10 @@ from transquill.functions.text import FAILURES, has_text, word_count_spaces
 
 def latest(videos: DataFrame) -> DataFrame:
     """One row for each id: the one updated last; copies and late stale versions fall away."""
-    order = [F.col("last_updated").desc_nulls_last(), F.col("status").asc_nulls_first(), F.col("transcript").desc_nulls_last(), F.col("title").asc_nulls_last(), F.col("upload_date").asc_nulls_last(), F.col("duration").asc_nulls_last()]
+    order = [F.col("last_updated").desc_nulls_last(), F.col("status").asc_nulls_first(), F.col("__size").desc_nulls_last(), F.col("title").asc_nulls_last(), F.col("upload_date").asc_nulls_last(), F.col("duration").asc_nulls_last()]
     w = Window.partitionBy("id").orderBy(*order)
-    return videos.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    # the text's length stands for it in the order, so that texts aren't sorted by, nor carried where nobody asks for them
+    return videos.withColumn("__size", F.length("transcript")).withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__size")
 
 
 def keyed(df: DataFrame, key: str, by: str) -> DataFrame:

@@ -19,7 +19,7 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 #: The latest version of each video, and of each attempt, as SQL.
-CUR = "cur AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY last_updated DESC NULLS LAST, status ASC NULLS FIRST, transcript DESC NULLS LAST, title ASC NULLS LAST, upload_date ASC NULLS LAST, duration ASC NULLS LAST) AS rn FROM videos) WHERE rn = 1)"
+CUR = "cur AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY last_updated DESC NULLS LAST, status ASC NULLS FIRST, length(transcript) DESC NULLS LAST, title ASC NULLS LAST, upload_date ASC NULLS LAST, duration ASC NULLS LAST) AS rn FROM videos) WHERE rn = 1)"
 ATT = "att AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY youtube_id ORDER BY updated_at DESC NULLS LAST, attempts DESC NULLS LAST, last_error DESC NULLS LAST, next_attempt_at DESC NULLS LAST) AS rn FROM pipeline_attempts WHERE youtube_id IS NOT NULL) WHERE rn = 1)"
 TXT = "trim(coalesce(transcript, '')) <> ''"
 NOSUBS = "(status LIKE 'ERR_NO_EN_FR%' OR status LIKE 'ERR_TOO_SHORT%' OR status = 'NO_SUBS')"

@@ -322,3 +322,71 @@ def str13_valid_cache(spark, d):
     p = table(spark, d, "pipeline_transcripts").where("sha256 is not null and cleaner_version = 'v16.0'").select("youtube_id", "sha256", "cleaner_version").distinct()
     v = current(spark, d).where(X.has_text(F.col("transcript"))).select("id", "youtube_id", F.sha2("transcript", 256).alias("sha256"))
     return v.join(p, ["youtube_id", "sha256"]).select("id", "cleaner_version")
+
+
+# ---- round trips and further flows
+
+
+@query(f"WITH {CUR} SELECT cur.youtube_id AS url, trim(title) AS title, count(*) AS n FROM cur WHERE {TXT} AND title IS NOT NULL AND trim(title) <> '' AND NOT contains(title, chr(10)) AND length(trim(transcript)) >= 100 AND NOT regexp_matches(transcript, '(?m)^(?:={{4,}}[ \\t]*$|### SOURCE:)') GROUP BY 1, 2")
+def src11_pack_round_trip(spark, d):
+    """Texts rendered as packs, and read back from them."""
+    from transquill.sources.readers import pack_entries
+
+    v = current(spark, d).where(X.has_text(F.col("transcript")) & F.col("title").isNotNull() & (F.trim("title") != "") & ~F.col("title").contains("\n") & (F.length(F.trim("transcript")) >= 100) & ~F.col("transcript").rlike(r"(?m)^(?:={4,}[ \t]*$|### SOURCE:)"))
+    part = F.concat(F.lit("### SOURCE: x\nURL: "), "youtube_id", F.lit("\nTITLE: "), "title", F.lit("\nDATE: "), F.coalesce("upload_date", F.lit("")), F.lit("\n====\nbody\n====\n"), F.trim("transcript"), F.lit("\n"))
+    packs = v.groupBy("channel_id", F.pmod(F.xxhash64("id"), F.lit(256)).alias("part")).agg(F.array_join(F.collect_list(part), "").alias("value"))
+    return pack_entries(packs).groupBy("url", "title").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {CUR} SELECT youtube_id AS id, title, duration FROM cur WHERE regexp_matches(youtube_id, '^[A-Za-z0-9_-]{{11}}$') AND title IS NOT NULL")
+def src15_metadata(spark, d):
+    """Metadata as JSON with keys that must not come through, read with the allowed ones only."""
+    from transquill.sources.readers import metadata
+
+    v = current(spark, d).where("title is not null").select(F.to_json(F.struct(F.col("youtube_id").alias("id"), "title", "duration", F.lit("secret").alias("token"))).alias("value"))
+    return metadata(v).select("id", "title", "duration")
+
+
+@query("SELECT c.id, CASE WHEN c.lang_config IS NULL OR trim(c.lang_config) = '' THEN coalesce(t.lang, 'und') ELSE c.lang_config END AS lang_config FROM channels c LEFT JOIN (SELECT lower(trim(source)) AS src, min(lang) AS lang FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL GROUP BY 1) t ON t.src = lower(c.prefix)")
+def flt24_config_update(spark, d):
+    t = table(spark, d, "documents").where("lang is not null and source is not null").groupBy(F.lower(F.trim("source")).alias("src")).agg(F.min("lang").alias("lang"))
+    c = table(spark, d, "channels").select("id", "lang_config", F.lower("prefix").alias("src"))
+    empty = F.col("lang_config").isNull() | (F.trim("lang_config") == "")
+    return c.join(t, "src", "left").select("id", F.when(empty, F.coalesce("lang", F.lit("und"))).otherwise(F.col("lang_config")).alias("lang_config"))
+
+
+@query(f"SELECT source, count(*) AS documents, CAST(sum(CASE WHEN starts_with(text, '--- VIDEO:') THEN 1 ELSE 0 END) AS BIGINT) AS headers, CAST(sum(len(list_filter(string_split_regex(text, '[ \\t\\n\\r\\f]+'), lambda x: x <> ''))) AS BIGINT) AS words FROM documents WHERE trim(coalesce(text, '')) <> '' GROUP BY 1")
+def agg14_pack_review(spark, d):
+    docs = table(spark, d, "documents").where(X.has_text(F.col("text")))
+    return docs.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("text").startswith("--- VIDEO:")).alias("headers"), F.sum(F.size(X.words(F.col("text")))).alias("words"))
+
+
+@query()
+def top05_triage_priority(spark, d):
+    s = signals(spark, d)
+    share = F.col("covered") / F.greatest(F.col("words"), F.lit(1))
+    return s.where((F.col("alerts") > 0) | (F.col("artifacts") > 0)).orderBy(F.col("artifacts").desc(), share.desc(), "id").limit(30).select("id", "artifacts", F.round(share, 6).alias("share"))
+
+
+@query()
+def qua06_repair_gate(spark, d):
+    """Repairs of the spoken de-duplication that may be taken: something is left, nothing got worse, and something better."""
+    plan = C.spoken_once(texts(spark, d)).dropDuplicates(["id"]).withColumnRenamed("text", "transcript")
+    before = C.repetition_signals(texts(spark, d)).dropDuplicates(["id"]).select("id", F.col("alerts").alias("alerts_before"))
+    after = C.repetition_signals(plan).select("id", "alerts", "words")
+    return after.join(before, "id").where("words > 0 and alerts < alerts_before").select("id", "alerts_before", "alerts")
+
+
+@query(f"WITH {CUR} SELECT c.prefix, count(*) AS texts FROM cur JOIN channels c ON c.id = cur.channel_id WHERE {TXT} GROUP BY 1")
+def cmp16_packs(spark, d):
+    """Each channel's packs of 5,000 words: every text is in exactly one."""
+    v = current(spark, d).where(X.has_text(F.col("transcript"))).select("channel_id", "upload_date", "id", F.size(X.words(F.col("transcript"))).alias("w"))
+    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix")
+    return R.packs(v, "channel_id", ["upload_date", "id"], "w", 5000).join(c, "channel_id").groupBy("prefix").agg(F.sum("texts").alias("texts"))
+
+
+@query(f"WITH {CUR} SELECT c.prefix, cur.id FROM cur JOIN channels c ON c.id = cur.channel_id WHERE NOT ({TXT}) AND status LIKE 'ERR_%' ORDER BY c.prefix, upload_date DESC NULLS LAST, cur.id LIMIT 500")
+def cmp17_follow_up_order(spark, d):
+    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix")
+    v = current(spark, d).where(R.no_text() & F.col("status").like("ERR_%")).join(c, "channel_id")
+    return v.orderBy("prefix", F.col("upload_date").desc_nulls_last(), "id").limit(500).select("prefix", "id")
