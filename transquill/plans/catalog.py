@@ -56,9 +56,9 @@ def query(sql: str = "") -> Callable[[Query], Query]:
 # ---- scans and sources
 
 
-@query("SELECT id, channel_id, youtube_id, status, upload_date, duration, length(transcript) AS chars FROM videos")
+@query("SELECT id, channel_id, youtube_id, status, upload_date, duration, coalesce(length(transcript), 0) AS chars FROM videos")
 def src01_scan(spark, d):
-    return table(spark, d, "videos").select("id", "channel_id", "youtube_id", "status", "upload_date", "duration", F.length("transcript").cast("long").alias("chars"))
+    return table(spark, d, "videos").select("id", "channel_id", "youtube_id", "status", "upload_date", "duration", F.coalesce(F.length("transcript"), F.lit(0)).cast("long").alias("chars"))
 
 
 @query(r"""SELECT youtube_id, lang, count(DISTINCT path) AS files, string_agg(DISTINCT path, ';' ORDER BY path) AS paths FROM (
@@ -178,9 +178,9 @@ def jon01_videos_channels(spark, d):
     return current(spark, d).join(c, "channel_id").select("id", "prefix")
 
 
-@query(f"WITH {CUR}, {ATT} SELECT cur.id, att.attempts FROM cur LEFT JOIN att USING (youtube_id) WHERE NOT ({TXT})")
+@query(f"WITH {CUR}, {ATT} SELECT cur.id, coalesce(att.attempts, 0) AS attempts FROM cur LEFT JOIN att USING (youtube_id) WHERE NOT ({TXT})")
 def jon02_attempts(spark, d):
-    return current(spark, d).where(R.no_text()).join(attempts(spark, d).select("youtube_id", "attempts"), "youtube_id", "left").select("id", "attempts")
+    return current(spark, d).where(R.no_text()).join(attempts(spark, d).select("youtube_id", "attempts"), "youtube_id", "left").select("id", F.coalesce("attempts", F.lit(0)).alias("attempts"))
 
 
 @query("SELECT DISTINCT youtube_id FROM videos WHERE youtube_id NOT IN (SELECT youtube_id FROM pipeline_transcripts WHERE youtube_id IS NOT NULL) AND youtube_id NOT IN (SELECT youtube_id FROM pipeline_attempts WHERE youtube_id IS NOT NULL)")
