@@ -82,6 +82,12 @@ GRAMMAR: list[tuple[str, str, re.Pattern]] = [
 HINTS = re.compile(r"</?[A-Za-z!]|&#?\w{1,31};|[`*~|\\]|__|(?<![A-Za-z0-9])_\S|''|\[\[|\{[{|]|\]\(|\[https?:|\$\S*[\\^_{]|^(?:#{1,6}[ \t]|>[ \t]|[-+][ \t]|={2,})", re.MULTILINE)
 
 
+#: What a text must hold for a grammar to be tried.
+OPENED_BY = {
+    "comment": ("<!",), "tag": ("<",), "entity": ("&",), "fence": ("```", "~~~"), "image": ("![",), "link": ("](",), "code": ("`",), "rule_row": ("---",), "row": ("|",), "heading": ("# ", "#\t"), "setext": ("===", "---"), "strong": ("**",), "strong_": ("__",), "strike": ("~~",),
+    "emph": ("*", "_"), "quote": ("> ", ">\t"), "dash": ("- ", "+ ", "-\t", "+\t"), "bullet": ("* ", "*\t"), "number": (". ", ") ", ".\t", ")\t"), "hr": ("***", "___", "- -"), "title": ("==",), "bold": ("'''",), "italic": ("''",), "page": ("[[",), "template": ("{{",), "table": ("{|", "|}", "|-", "|+"),
+    "cells": ("!", "|"), "site": ("[http",), "magic": ("__",), "display": ("$$", "\\[", "\\(", "\\begin"), "math": ("$",), "env": ("\\begin", "\\end"), "ref": ("\\",), "command": ("\\",), "item_tex": ("\\item",), "bare": ("\\",),
+}
 #: One of these stands in whatever the grammars match.
 PARTS = ("<", "&", "`", "*", "_", "~", "|", "\\", "[", "{", "$", "''", "#", "==", "--", "\n- ", "\n+ ", "\n>")
 
@@ -203,6 +209,8 @@ def candidates(text: str) -> list[Piece]:
     for _, a, b in holes(text) if re.search(r"[{<%@$_*\[]", text) else ():
         free[a:b] = b"\1" * (b - a)
     for kind_type, kind, pattern in GRAMMAR:
+        if not any(x in text for x in OPENED_BY[kind_type]):
+            continue
         for m in pattern.finditer(text):
             a, b = m.span()
             if any(free[a:b]):

@@ -72,6 +72,8 @@ ABOUT = r"(?:variable|placeholder|template|syntax|macro|format\s+string|platzhal
 
 CODE = re.compile(r"```.*?(?:```|\Z)|~~~\n.*?(?:~~~|\Z)|<(pre|code|script|style)\b[^>]*>.*?(?:</\1>|\Z)|\\begin\{(?:verbatim|lstlisting|equation|align)\*?\}.*?\\end\{(?:verbatim|lstlisting|equation|align)\*?\}|<syntaxhighlight.*?</syntaxhighlight>|(?<!`)`[^`\n]+`(?!`)|\\\[.*?\\\]|\$\$(?![A-Z_]+\$\$)[^$]+\$\$|\$[^$\n]{1,80}\\[a-z]+[^$\n]{0,80}\$", re.DOTALL)
 HOLES = {name: re.compile(p) for name, p in GRAMMARS.items()}
+#: What a text must hold for a grammar to be tried.
+OPENED_BY = {"mustache": ("{{",), "block": ("{%",), "dollar": ("${",), "brace": ("{",), "erb": ("<%", "<?="), "percent": ("%",), "at": ("@",), "double_dollar": ("$$",), "underscore": ("__",), "merge": ("*|", "[%"), "angle": ("<",), "square": ("[",)}
 ANY_HOLE = re.compile(r"\{\{|\{%|\$\{|\{(?:\d|[A-Za-z])|<%|<\?=|%[A-Zsd(]|@@|@[A-Z]|\$\$[A-Z]|__[A-Z]|\*\||\[%|<[A-Za-z]+[ _]|\[")
 START = r"(?:^|(?<=[.!?。！？।…»”\"\n>:]))[\s\"“«•*#–-]*"
 FILLERS = re.compile(START + "(?:" + "|".join(FILLER) + ")", re.IGNORECASE)
@@ -132,6 +134,8 @@ def holes(text: str) -> list[tuple[str, int, int]]:
         return found
     plain = mask_code(text)
     for name, pattern in HOLES.items():
+        if not any(x in plain for x in OPENED_BY[name]):
+            continue
         for m in pattern.finditer(plain):
             if all(m.end() <= a or m.start() >= b for _, a, b in found):
                 found.append((name, m.start(), m.end()))
