@@ -104,6 +104,14 @@ ODD_SIGN = "".join(sorted({c for x in LATIN for c in high(x).values() if not c.i
 WORD_SUSPECT = re.compile(f"(?<=[^\\W\\d_]){some(ODD_SIGN + '·‡‰¸ˆ˙˚˘')}|{some(ODD_SIGN)}(?=[^\\W\\d_])|(?<=[a-zß-ÿ])[À-ÞŸŠŒΓ-Ωﬂƒ](?=[a-zß-ÿ])|[\u0080-\u009f]|(?<=[a-zß-ÿ])ﬂ")
 RUN = re.compile("[\u0080-¿À-ÿŒœŠšŸŽžƒˆ˜–-›€™]{3,}|[‚ƒ][^\\s]{1,2}[‚ƒ]")
 SWAPPED = re.compile("(?<![А-ЯЁа-яё])[а-яё][А-ЯЁ]{1,}(?![а-яё])|[─-■Ђ-Џђ-џ][А-я]|[А-я][─-■Ђ-ЄЅ-Џђ-іј-џ]")
+SWAPPED_OR_UPPER = re.compile(SWAPPED.pattern + "|[А-ЯЁ]{3}")
+#: Words on end whose case is the wrong way round, or all upper.
+SWAP_WORD = "(?:[а-яё][А-ЯЁ]*|[А-ЯЁ]{2,})(?![А-ЯЁа-яё])"
+SWAP_RUN = re.compile(f"(?<![А-ЯЁа-яё]){SWAP_WORD}(?:[^А-ЯЁа-яё\\n]{{1,12}}{SWAP_WORD})*")
+UPPER_RUN = re.compile("[А-ЯЁ]{3}")
+SENTENCE = re.compile(r"[^.!?\n]+")
+
+
 def _gate() -> str:
     """What a text must match to be looked at in Python, as few alternatives: rare leads, common leads before odd signs, runs, swapped case."""
     common = set("àâãäåæçèéêëìíîïñòóôöùúûüß’‘“”«»–—…°·•€£§©®™¿¡ÀÇÉÖÜÄ") | {chr(c) for c in range(0x400, 0x460)} | {chr(c) for c in range(0x600, 0x700)}
@@ -115,7 +123,7 @@ def _gate() -> str:
     signs = "".join(sorted({high("cp1252")[b] for b in range(0x80, 0xC0)} - {"\xa0"}))
     slavic = "".join(sorted({high("cp1251")[b] for b in range(0x80, 0xC0)}))
     arabic = "".join(sorted(c for c in firm if "؀" <= c <= "ۿ"))
-    return "|".join([some("".join(sorted(rare - set("0123456789"))) + "�─-■\u0080-\u009f".replace("-", "\x00")).replace("\x00", "-").replace("\\\x00", "-"), r"\?\?", f"[àâãäåæçèéï]{some(signs)}", f"[ВГДЕЌРС]{some(slavic)}", f"{some(arabic)}[\u0080-¿€‚ƒ„…†‡ˆ‰‹‘’“”•–—™›]" if arabic else r"\?\?", "[¡-¿À-ÿ]{3}", "[а-яё][А-ЯЁ]", "[a-zß-ÿ][À-ÞŸΓ-Ω²³¹÷ﬂ]"])
+    return "|".join([some("".join(sorted(rare - set("0123456789"))) + "�─-■\u0080-\u009f".replace("-", "\x00")).replace("\x00", "-").replace("\\\x00", "-"), r"\?\?", f"[àâãäåæçèéï]{some(signs)}", f"[ВГДЕЌРС]{some(slavic)}", f"{some(arabic)}[\u0080-¿€‚ƒ„…†‡ˆ‰‹‘’“”•–—™›]" if arabic else r"\?\?", "[¡-¿À-ÿ]{3}", "[а-яё][А-ЯЁ]", "[А-ЯЁ]{4}", "[a-zß-ÿ][À-ÞŸΓ-Ω²³¹÷ﬂ]"])
 
 
 GATE = _gate()
@@ -342,7 +350,8 @@ class Restorer:
         """Runs of characters of one decoder that read better as text of another encoding."""
         best: list[tuple[float, Span]] = []
         for x in decoders:
-            for m in run_pattern(x, bridge).finditer(text):
+            runs = run_pattern(x, bridge).finditer(text) if bridge else [*SENTENCE.finditer(text), *SWAP_RUN.finditer(text)]
+            for m in runs:
                 if len(m[0]) < 4 or not suspect.search(m[0]):
                     continue
                 for cut in (0, 1) if bridge and ord(m[0][-1]) < 128 else (0,):
@@ -360,7 +369,8 @@ class Restorer:
                         if letters(new) < 4 or letters(new) < 0.6 * len(new.replace(" ", "")):
                             continue
                         gain = self.gain(text, a, b, new)
-                        if gain > self.model.margin + 0.5 * (b - a):
+                        # text in capitals is rare, too: it must not be that alone
+                        if gain > self.model.margin + 0.5 * (b - a) and (bridge or gain > self.gain(text, a, b, text[a:b].lower()) + self.model.margin):
                             best.append((gain, Span(a, b, new, f"{y}>{x}")))
         return best
 
@@ -383,7 +393,11 @@ class Restorer:
                     if x != y and new != word and self.model.known(new) and all(c.isalpha() or c in "-'’«»“”¿¡…–" for c in new if ord(c) > 127):
                         maybe.append(Span(m.start(), m.end(), new, f"{y}>{x}"))
         gains = self.gains(text, [(s.start, s.end, s.text) for s in maybe])
-        best = [(g, s) for g, s in zip(gains, maybe) if g > self.model.margin and g > self.plain_gain(text, s.start, s.end)]
+        fits = [(g, s) for g, s in zip(gains, maybe) if g > 0.5 and g > self.plain_gain(text, s.start, s.end)]
+        weight: Counter = Counter()
+        for g, s in fits:
+            weight[s.chain] += g
+        best = [(g, s) for g, s in fits if g > self.model.margin or weight[s.chain] > 1.5 * self.model.margin]
         for chain, n in Counter(s.chain for s in disjoint(best)).most_common():
             if n < 2:
                 break
@@ -405,8 +419,8 @@ class Restorer:
         rest = blanked(text, disjoint(found))
         if RUN.search(rest):
             found += self.passages(text, RUN, ["cp1252", "cp850", "mac_roman"], ORIGINALS, True)
-        if SWAPPED.search(rest):
-            found += self.passages(text, SWAPPED, CYRILLIC, CYRILLIC, False)
+        if SWAPPED.search(rest) or UPPER_RUN.search(rest):
+            found += self.passages(text, SWAPPED_OR_UPPER, CYRILLIC, CYRILLIC, False)
         if WORD_SUSPECT.search(rest):
             found += self.words(text)
         spans = disjoint(found)
