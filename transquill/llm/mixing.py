@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transquill.llm.rows import has_text, map_batches, stored
+from transquill.llm.rows import collected, has_text, map_batches, stored
 
 #: Where the public vocabulary lies; a parameter of the operator.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -32,7 +32,7 @@ CHUNK = 64
 #: Parts into which the hash of a source's documents is cut to find its threshold.
 BINS = 4096
 #: Most sources; their targets are a small table by nature, and its size is checked.
-MOST_SOURCES = 5000
+MOST_SOURCES = 500
 WORD = re.compile(r"[^\W\d_]{2,}|[぀-ヿ㐀-鿿]")
 
 
@@ -96,12 +96,11 @@ def prepare(documents: DataFrame, sources: list[str], targeted: set[str], tokeni
     spark: SparkSession = documents.sparkSession
     known = {s: i for i, s in enumerate(sources)}
     docs = documents.where(has_text("text")).select("doc_id", clean_source(F.col("source")).alias("src"), "text")
-    rows = map_batches(docs.where(F.col("src").isNotNull()), ["src", "text"], _counts(known), "k int, bucket int, n bigint").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = collected(map_batches(docs.where(F.col("src").isNotNull()), ["src", "text"], _counts(known), "k int, bucket int, n bigint").groupBy("k", "bucket").agg(F.sum("n").alias("n")))
     counts, sizes = np.zeros((len(sources), FEATURES), np.float32), np.zeros(len(sources))
-    body = rows[rows["bucket"] >= 0]
-    counts[body["k"].to_numpy(), body["bucket"].to_numpy()] = body["n"].to_numpy()
-    head = rows[rows["bucket"] < 0]
-    sizes[head["k"].to_numpy()] = head["n"].to_numpy()
+    body = rows["bucket"] >= 0
+    counts[rows["k"][body], rows["bucket"][body]] = rows["n"][body]
+    sizes[rows["k"][~body]] = rows["n"][~body]
     sent = spark.sparkContext.broadcast((counts, sizes))
 
     def make() -> Callable[[list[list]], list[tuple]]:

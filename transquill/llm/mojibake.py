@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transquill.llm.rows import has_text, map_batches, map_rows
+from transquill.llm.rows import collected, has_text, map_batches, map_rows
 
 # Encodings in which UTF-8 was read by mistake, and encodings of the originals.
 DECODERS = ["cp1252", "cp850", "cp437", "mac_roman", "cp1251", "cp1253", "cp1250", "cp1256", "cp866", "koi8-r"]
@@ -470,11 +470,11 @@ def fit(texts: DataFrame, column: str = "text", validate_rows: int = 60) -> Mode
 
     The sample and the collected table are bounded: the table has at most 2^20 + 2^18 + 2^16 rows, whatever the corpus.
     """
-    table_ = count_ngrams(texts, column).toPandas()
+    rows = collected(count_ngrams(texts, column))
     one, two, three = (np.zeros(1 << b, np.float32) for b in (BITS1, BITS2, BITS3))
     for order, to in ((1, one), (2, two), (3, three)):
-        part = table_[table_["gram_order"] == order]
-        to[part["bucket"].to_numpy()] = part["n"].to_numpy()
+        own = rows["gram_order"] == order
+        to[rows["bucket"][own]] = rows["n"][own]
     model = Model(one, two, three)
     sample = texts.where(has_text(column)).select(F.substring(column, 1, 300)).limit(20 * validate_rows).collect()
     held = [t for (t,) in sample if not t.isascii() and not re.search(CLEAN, t)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,3 +71,9 @@ def stored(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="transquill-"))  # a folder of its own only where none is named
     return df.checkpoint()
+
+
+def collected(df: DataFrame) -> dict[str, np.ndarray]:
+    """A small table's columns on the driver, as arrays; through Arrow, so without a Python object for each value."""
+    got = df.toArrow()
+    return {name: got[name].to_numpy() for name in got.column_names}

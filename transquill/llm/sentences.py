@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transquill.llm.rows import has_text, map_batches, map_rows
+from transquill.llm.rows import collected, has_text, map_batches, map_rows
 
 # Abbreviations with a point, in lower case.
 ABBREVIATIONS = frozenset(
@@ -336,9 +336,9 @@ def _evidence() -> Callable[[list[list]], list[tuple]]:
 
 def fit(texts: DataFrame, column: str = "text") -> Model:
     """Counts over all documents; at most 4 x 2^17 rows reach the driver, whatever the corpus."""
-    rows = map_batches(texts.where(has_text(column)), [column], _evidence, "kind int, bucket int, n bigint").groupBy("kind", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = collected(map_batches(texts.where(has_text(column)), [column], _evidence, "kind int, bucket int, n bigint").groupBy("kind", "bucket").agg(F.sum("n").alias("n")))
     model = Model()
-    model.counts[rows["kind"].to_numpy(), rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    model.counts[rows["kind"], rows["bucket"]] = rows["n"]
     return model
 
 
