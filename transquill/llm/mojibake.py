@@ -98,7 +98,7 @@ def utf8_parts(codec: str) -> tuple[frozenset[str], frozenset[str]]:
     return frozenset(leads), frozenset(rests)
 
 
-LOST = re.compile(r"�|(?<=\w)\?\?+(?=\w)|(?:(?<=[.!?»”]\s)|(?<=\n)|(?<![\s\S]))\?\?+(?=\s[a-zà-ÿ]|[a-zà-ÿ])")
+LOST = re.compile(r"�|(?<=\w)\?\?+(?=\w)|(?:(?<=[.!?»”]\s)|(?<=\n)|(?<![\s\S]))\?\?+(?=\s[a-zà-ÿ]|[a-zà-ÿ])|(?<=[a-zà-ÿ,] )\?\?(?= [a-zà-ÿ])|(?<=[a-zà-ÿ])\?\?(?=[’'][a-z])")
 #: Signs that the letters of one Latin encoding become in another.
 ODD_SIGN = "".join(sorted({c for x in LATIN for c in high(x).values() if not c.isalpha() and c not in "«»“”‘’–—…•·°€£¥§©®™¿¡\xa0\xad-" and not "\u0080" <= c <= "\u009f"}))
 WORD_SUSPECT = re.compile(f"(?<=[^\\W\\d_]){some(ODD_SIGN + '·‡‰¸ˆ˙˚˘')}|{some(ODD_SIGN)}(?=[^\\W\\d_])|(?<=[a-zß-ÿ])[À-ÞŸŠŒΓ-Ωﬂƒ](?=[a-zß-ÿ])|[\u0080-\u009f]|(?<=[a-zß-ÿ])ﬂ")
