@@ -214,6 +214,7 @@ class Span:
 
 
 WORD = re.compile(r"[^\s.,;:!?()\"]+")
+QUOTE_WITHIN = re.compile(r"\w[“”„«»…–¡¿]\w")
 STAND_IN = re.compile("[\xad\u200b-\u200f\u2060-\u2064\ufeff\ufb00-\ufb06]")
 WORD_START = re.compile(r"[^\s.,;:!?()\"]+$")
 
@@ -390,7 +391,7 @@ class Restorer:
                 data = unread(word, x)
                 for y in LATIN if data else ():
                     new = "".join(chr(b) if b < 0x80 else high(y)[b] for b in data)
-                    if x != y and new != word and self.model.known(new) and all(c.isalpha() or c in "-'’«»“”¿¡…–" for c in new if ord(c) > 127):
+                    if x != y and new != word and self.model.known(new) and not QUOTE_WITHIN.search(new) and all(c.isalpha() or c in "-'’«»“”¿¡…–" for c in new if ord(c) > 127):
                         maybe.append(Span(m.start(), m.end(), new, f"{y}>{x}"))
         gains = self.gains(text, [(s.start, s.end, s.text) for s in maybe])
         fits = [(g, s) for g, s in zip(gains, maybe) if g > 0.5 and g > self.plain_gain(text, s.start, s.end)]
