@@ -268,7 +268,7 @@ class Restorer:
         self.model = model
         self.gate = re.compile(GATE)
         self._scores: dict[str, float] = {}
-        self._undone: dict[tuple[str, str, int], tuple[str, str] | None] = {}
+        self._undone: dict[tuple[str, str, int, float], tuple[str, str] | None] = {}
 
     def gain(self, text: str, a: int, b: int, new: str) -> float:
         """How much likelier the text gets with new in place of text[a:b]."""
@@ -286,7 +286,7 @@ class Restorer:
 
     def undone(self, codec: str, found: str, depth: int) -> tuple[str, str] | None:
         """What found was before codec read it as UTF-8's bytes, and the chain; kept, as the same few sequences come again."""
-        key = codec, found, depth
+        key = codec, found, depth, self.model.margin
         if key in self._undone:
             return self._undone[key]
         if len(self._undone) > 200_000:
@@ -416,6 +416,10 @@ class Restorer:
         """Garbled passages from left to right; text None where nothing can be restored."""
         if not text or text.isascii() and "??" not in text or not self.gate.search(text):
             return []
+        return self.judged(text)
+
+    def judged(self, text: str) -> list[Span]:
+        """spans() of a text whatever signs it has."""
         found = self.utf8(text)
         rest = blanked(text, disjoint(found))
         if RUN.search(rest):
@@ -466,6 +470,21 @@ def count_ngrams(texts: DataFrame, column: str = "text") -> DataFrame:
     return map_batches(texts.where(has_text(column)), [column], _count, "gram_order int, bucket int, n bigint").groupBy("gram_order", "bucket").agg(F.sum("n").alias("n"))
 
 
+def held_records(texts: DataFrame, column: str, rows: int) -> list[str]:
+    """The whole clean records beyond ASCII with the least hashes, over all rows; copies once."""
+    hashed = texts.where(has_text(column) & F.col(column).rlike(r"[^\x00-\x7f]")).select(F.xxhash64(column).alias("h"), F.col(column).alias("t"))
+    least = collected(hashed.orderBy("h", "t").limit(8 * rows))["t"].tolist()
+    held = list(dict.fromkeys(t for t in least if not re.search(CLEAN, t)))
+    if len(held) >= rows or len(least) < 8 * rows:
+        return held[:rows]
+
+    def start() -> Callable[..., list[tuple]]:  # clean records are rare here: all rows are looked at
+        unclean = re.compile(CLEAN)
+        return lambda h, t: [] if unclean.search(t) else [(h, t)]
+
+    return collected(map_rows(hashed, ["h", "t"], start, "h bigint, t string").distinct().orderBy("h", "t").limit(rows))["t"].tolist()
+
+
 def fit(texts: DataFrame, column: str = "text", validate_rows: int = 60) -> Model:
     """Counts over all clean records; the margin from at most validate_rows of them, garbled on purpose.
 
@@ -477,22 +496,52 @@ def fit(texts: DataFrame, column: str = "text", validate_rows: int = 60) -> Mode
         own = rows["gram_order"] == order
         to[rows["bucket"][own]] = rows["n"][own]
     model = Model(one, two, three)
-    sample = texts.where(has_text(column)).select(F.substring(column, 1, 300)).limit(20 * validate_rows).collect()
-    held = [t for (t,) in sample if not t.isascii() and not re.search(CLEAN, t)]
-    model.margin = validated_margin(model, held[:validate_rows])
+    model.margin = validated_margin(model, held_records(texts, column, validate_rows))
     return model
 
 
+#: All (right encoding, wrong decoder) that are undone.
+CHAINS = [("utf-8", d) for d in DECODERS] + [(o, d) for o in LATIN for d in LATIN if o != d] + [(o, d) for o in CYRILLIC for d in CYRILLIC if o != d] + [(o, d) for o in ORIGINALS for d in ("cp1252", "cp850", "mac_roman")]
+BEYOND = re.compile(r"[^\W\d_]*[^\x00-\x7f\W\d_][^\W\d_]*")
+
+
+def right_writings(text: str) -> list[str]:
+    """A clean text in ways that are right but carry the gate's signs: as it is, in capitals, and with signs set tight against its letters."""
+    return [text, text.upper(), BEYOND.sub(lambda m: f"«{m[0]}»", text), BEYOND.sub(lambda m: f"{m[0]}—", text), BEYOND.sub(lambda m: f"“{m[0]}”…", text)]
+
+
+def garblings(text: str) -> list[str]:
+    """The text after each chain that can have happened to it: its middle word beyond ASCII alone, which is the hardest to see."""
+    words = [m for m in BEYOND.finditer(text) if not m[0].isascii()]
+    if not words:
+        return []
+    m = words[len(words) // 2]
+    out = {w: None for o, d in CHAINS if (w := read_wrongly(m[0], o, d)) and w != m[0]}
+    return [text[: m.start()] + w + text[m.end() :] for w in out]
+
+
 def validated_margin(model: Model, held: list[str], grid: tuple[float, ...] = (3.0, 4.0, 5.0, 6.0, 8.0, 10.0, 12.0)) -> float:
-    """The margin with the fewest errors on clean texts and on the same texts garbled; of equals the middle one."""
-    garbled = [w for t in held for o, d in (("utf-8", "cp1252"), ("utf-8", "cp850"), ("cp1252", "mac_roman"), ("utf-8", "cp1251")) if (w := read_wrongly(t, o, d)) and w != t]
+    """The margin with the fewest errors on clean texts, which count three times, and on the same texts garbled; of equals the middle one.
+
+    What is found at one margin is found at all lower ones, so each text is tried at few of them.
+    """
+    right, garbled = [w for t in held for w in dict.fromkeys(right_writings(t))], [w for t in held for w in garblings(t)]
     if not garbled:
         return 6.0
-    errors = []
-    for margin in grid:
-        model.margin = margin
-        r = Restorer(model)
-        errors.append(sum(3 for t in held if r.spans(t)) + sum(1 for t in garbled[::4] if not r.spans(t)))
+    r = Restorer(model)
+
+    def passed(text: str, judge: Callable[[str], list[Span]], tries: tuple[int, int]) -> int:
+        """At how many margins of the grid the text is found; the ends, which mostly tell, are tried first."""
+        low, high = 0, len(grid)
+        while low < high:
+            at, tries = (tries[0], tries[1:]) if tries else ((low + high) // 2, tries)
+            model.margin = grid[at]
+            low, high = (max(low, at + 1), high) if judge(text) else (low, min(high, at))
+        return low
+
+    last = len(grid) - 1
+    wrong, caught = [passed(t, r.judged, (0, last)) for t in right], [passed(t, r.spans, (last, 0)) for t in garbled]
+    errors = [3 * sum(n > i for n in wrong) / len(wrong) + sum(n <= i for n in caught) / len(caught) for i in range(len(grid))]
     best = [m for m, e in zip(grid, errors) if e == min(errors)]
     return best[len(best) // 2]
 
