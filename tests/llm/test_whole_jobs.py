@@ -29,3 +29,16 @@ def test_held_records_come_from_all_rows_and_are_whole(spark):
     assert sorted(mojibake.held_records(df, "text", 60)) == sorted([FRENCH * 4, GERMAN * 4])
     garbled = spark.createDataFrame([(f"forÃªt {i}",) for i in range(100)] + [(FRENCH,)], "text string")
     assert mojibake.held_records(garbled, "text", 2) == [FRENCH]
+
+
+# ---- problem 2
+
+
+@pytest.mark.parametrize("text", ["Anna: Hello there.\nBen: Yes, I see.\nAnna: And more.", "Anna: Hello there.\nBen: Yes, I see.", "[Anna] Hello there.\n[Ben] Yes, I see.", "Anna – Hello there.\nBen – Yes, I see.", "Anna： Hello there.\nBen： Yes, I see."])
+def test_short_dialogues_have_turns(text):
+    assert [t.speaker for t in turns.transcript_turns(text)] == [1, 2, 1][: text.count("\n") + 1]
+
+
+@pytest.mark.parametrize("text", ["Anna: Hello there.\nAnna: And more.", "Note: this is one.\nQuestion: what is it?", "The rule is this: go.\nIn short: stay.", "[Music]\n[Applause]"])
+def test_phrases_are_no_short_dialogues(text):
+    assert turns.transcript_turns(text) == []

@@ -101,7 +101,7 @@ def marked_pieces(text: str) -> list[Piece]:
     shape = style(text, stamps)
     if not shape:
         lines = [split_label(x) for x in text.split("\n") if x.strip()]
-        return [Piece(float(i), *x) for i, x in enumerate(lines)] if sum(1 for x, _ in lines if x) >= 4 else []
+        return [Piece(float(i), *x) for i, x in enumerate(lines)] if sum(1 for x, _ in lines if x) >= 2 else []
     out = []
     for i, m in enumerate(shape):
         body = text[m.end() : shape[i + 1].start() if i + 1 < len(shape) else len(text)]
@@ -348,15 +348,16 @@ def _plain(text: str) -> str:
     return normal_form(text)[0] if needs(text) else text
 
 
-#: What each piece of a transcript with persons has at its start.
-LIKELY = re.compile(r"[0-9０-９][:：][0-9０-９]{2}|>>|＞＞")
-LINE_LABEL = re.compile(r"(?m)^[^\n:：]{1,40}[:：]")
+#: What each piece of a transcript with persons has at its start; the labels are all that split_label knows.
+LIKELY = re.compile(r"[0-9][:][0-9]{2}|>>")
+LINE_LABEL = re.compile(r"(?m)^[^\S\n]*(?:\[[^\]\n]{1,40}\]|[^\n:–—\[\]()]{1,40}?[ \t]*(?::(?:\s|$)|[ ][–—][ ]))")
 
 
 def transcript_turns(text: str) -> list[Turn]:
-    if len(LIKELY.findall(text)) < 2 and len(LINE_LABEL.findall(text)) < 4:
+    text = _plain(text)
+    if len(LIKELY.findall(text)) < 2 and len(LINE_LABEL.findall(text)) < 2:
         return []
-    return turns(marked_pieces(_plain(text)))
+    return turns(marked_pieces(text))
 
 
 def caption_turns(raw: str) -> list[Turn]:
