@@ -42,3 +42,54 @@ def test_short_dialogues_have_turns(text):
 @pytest.mark.parametrize("text", ["Anna: Hello there.\nAnna: And more.", "Note: this is one.\nQuestion: what is it?", "The rule is this: go.\nIn short: stay.", "[Music]\n[Applause]"])
 def test_phrases_are_no_short_dialogues(text):
     assert turns.transcript_turns(text) == []
+
+
+# ---- problem 4
+
+
+def examples(pattern):
+    """Texts that the pattern's syntax tree gives: every branch, and every repetition as few times as may be."""
+    op = residue.sre_parse
+
+    def of(tree):
+        out = [""]
+        for kind, value in tree:
+            if kind is op.LITERAL:
+                more = [chr(value)]
+            elif kind is op.SUBPATTERN:
+                more = of(value[3])
+            elif kind is op.BRANCH:
+                more = [x for b in value[1] for x in of(b)]
+            elif kind in (op.MAX_REPEAT, op.MIN_REPEAT):
+                more = [x * value[0] for x in of(value[2])] if value[0] else ["", *of(value[2])]
+            elif kind is op.IN:
+                more = [chr(value[0][1]) if value[0][0] is op.LITERAL else "7" if value[0][0] is op.RANGE or "DIGIT" in str(value[0][1]) else " " if "SPACE" in str(value[0][1]) else "w"]
+            else:
+                more = [" "] if kind is op.ANY else [""]
+            out = list(dict.fromkeys(a + b for a in out for b in more))[:4000]
+        return out
+
+    return [x for x in dict.fromkeys(of(op.parse(pattern))) if re.fullmatch(pattern, x, re.IGNORECASE)]
+
+
+@pytest.mark.parametrize(("patterns", "at"), [(residue.FILLER, residue.FILLER_AT), (residue.STRONG + residue.WEAK, residue.PAGE_AT)])
+def test_every_alternative_passes_its_prefilter(patterns, at):
+    for p in patterns:
+        texts = examples(p)
+        assert texts or "<title>" in p, p
+        assert all(next(at.iter(x.lower()), None) for x in texts), p
+
+
+def test_every_placeholder_passes_its_prefilter():
+    for x in ("{{ a }}", "{% block x %}", "${A}", "#{a}", "{0}", "<%= body %>", "<?= $x ?>", "%NAME%", "%s", "%1$s", "%(name)s", "@@HOST@@", "@FIRST_NAME@", "$$DATE$$", "__TITLE__", "*|NAME|*", "[%name%]", "<FIRST NAME>", "<insert name>", "[INSERT NAME]"):
+        assert residue.holes(f"So {x} it is."), x
+
+
+@pytest.mark.parametrize("text", ["Placeholder text.", "placeholder transcript", "Your transcript goes  here."])
+def test_fillers_once_lost(text):
+    assert residue.fillers(text)
+
+
+@pytest.mark.parametrize("text", ["Something broke on our side.", "403 Forbidden. Wait 5 minutes.", "Code: 198e46163dc0. Go back to the home page."])
+def test_notices_once_lost(text):
+    assert residue.notices(text)

@@ -14,6 +14,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable
+from re import _parser as sre_parse
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -74,7 +75,7 @@ CODE = re.compile(r"```.*?(?:```|\Z)|~~~\n.*?(?:~~~|\Z)|<(pre|code|script|style)
 HOLES = {name: re.compile(p) for name, p in GRAMMARS.items()}
 #: What a text must hold for a grammar to be tried.
 OPENED_BY = {"mustache": ("{{",), "block": ("{%",), "dollar": ("${",), "brace": ("{",), "erb": ("<%", "<?="), "percent": ("%",), "at": ("@",), "double_dollar": ("$$",), "underscore": ("__",), "merge": ("*|", "[%"), "angle": ("<",), "square": ("[",)}
-ANY_HOLE = re.compile(r"\{\{|\{%|\$\{|\{(?:\d|[A-Za-z])|<%|<\?=|%[A-Zsd(]|@@|@[A-Z]|\$\$[A-Z]|__[A-Z]|\*\||\[%|<[A-Za-z]+[ _]|\[")
+ANY_HOLE = re.compile(r"\{\{|\{%|\$\{|\{(?:\d|[A-Za-z])|<%|<\?=|%(?:[A-Zsd(]|\d\$[sd])|@@|@[A-Z]|\$\$[A-Z]|__[A-Z]|\*\||\[%|<[A-Za-z]+[ _]|\[")
 START = r"(?:^|(?<=[.!?。！？।…»”\"\n>:]))[\s\"“«•*#–-]*"
 FILLERS = re.compile(START + "(?:" + "|".join(FILLER) + ")", re.IGNORECASE)
 NOTICE = re.compile("|".join(STRONG), re.IGNORECASE)
@@ -83,26 +84,49 @@ NARRATED = re.compile(r"\b(?:explains?|says?|said|why|when|that|shows?|teach\w*|
 SENTENCE = re.compile(r"[^.!?。！？।\n<>]+[.!?。！？।]*")
 ABOUT_END = re.compile(ABOUT, re.IGNORECASE)
 WORDS = re.compile(r"[A-Za-z]+")
-# Lower-case parts, one of which every match of FILLER, or of STRONG and WEAK, has; found by one automaton each.
-FILLER_PARTS = """dummy placeholder|sample t|sample c|filler t|filler c|example t|example c|goes here|go here|comes here|to be added|to be supplied|to be inserted|to follow|to come|ici viendra|ici sera|ici ira
-remplacement|bidon|exemple|provisoire|fictif|factice|faux|beispieltext|beispielinhalt|platzhalter|blindtext|mustertext|musterinhalt|hier steht|hier kommt|hier folgt|hier erscheint|ejemplo|exemplo|relleno|muestra|prueba
-preenchimento|teste|amostra|provis|fict|aquí|aqui|пример|заполнитель|заглушка|здесь|サンプル|ダミー|仮|ここに|示例|占位|样例|测试|此处|这里|تجريبي|بديل|مؤقت|नमूना|डमी|ตัวอย่าง|จำลอง|ชั่วคราว|dummy|text to|content to"""
-PAGE_PARTS = """script|skript|сценари|скрипт|cookie|クッキー|request|requêt|anfragen|peticiones|solicitudes|pedidos|requisi|запрос|リクエスト|アクセス|请求|permission|le droit|autoris|dürfen|berechtigung|permiso|permissão
-прав|доступ|разреш|権限|权限|you asked|you requested|you are looking|page not found|demandée|page que|angeforderte|gesuchte|solicitada|que busca|pedida|procura|запрошенная|запрашиваемая|お探し|ご指定|要求された|访问|要找|gateway|unavailable
-server error|proxy|oops|oups|hoppla|vaya|ups|went wrong|denied|your browser|accept all|acceptez|reference|référence|referencia|referência|kennung|código|vorgang|ticket|trace|код|номер|番号|编号|error|erreur|fehler|erro|ошибка|エラー|错误|خطأ
-ข้อผิดพลาด|त्रुटि|reload|refresh|recharge|laden sie|recargue|recarregue|обновите|再読み込み|刷新|try again|patientez|réessayez|minuten warten|espere|aguarde|подождите|お待ち|等待|home screen|search box|accueil|recherche|startseite|inicio|portada|página inicial|главную|ホームに|返回首页|our staff|équipes ont|<title"""
-# End of fixed values.
-
-
-def automaton(parts: str) -> ahocorasick.Automaton:
+def needed(pattern: str) -> frozenset[str]:
+    """Lower-case parts, one of which every match of the pattern has: the longest such set that its syntax tree gives."""
+
+    def best(sets: list[frozenset[str]]) -> frozenset[str]:
+        return max((x for x in sets if x), key=lambda x: (min(map(len, x)), -len(x)), default=frozenset())
+
+    def of(tree) -> frozenset[str]:  # noqa: ANN001
+        sets, run = [], ""
+        for op, value in [*tree, (None, None)]:
+            if op is sre_parse.LITERAL:
+                run += chr(value).lower()
+                continue
+            if run:
+                sets.append(frozenset([run]))
+                run = ""
+            if op is sre_parse.SUBPATTERN:
+                sets.append(of(value[3]))
+            elif op is sre_parse.BRANCH:
+                parts = [of(x) for x in value[1]]
+                sets.append(frozenset().union(*parts) if all(parts) else frozenset())
+            elif op in (sre_parse.MAX_REPEAT, sre_parse.MIN_REPEAT) and value[0] > 0:
+                sets.append(of(value[2]))
+            elif op is sre_parse.IN and all(o is sre_parse.LITERAL for o, _ in value):
+                sets.append(frozenset(chr(v).lower() for _, v in value))
+        return best(sets)
+
+    return of(sre_parse.parse(pattern))
+
+
+def automaton(patterns: list[str]) -> ahocorasick.Automaton:
+    """Finds where a pattern may match; every pattern must have a part that it can't match without."""
     out = ahocorasick.Automaton()
-    for part in parts.replace("\n", "|").split("|"):
-        out.add_word(part, len(part))
+    for pattern in patterns:
+        parts = needed(pattern)
+        if not parts:
+            raise ValueError(f"no part that all matches have: {pattern}")
+        for part in parts:
+            out.add_word(part, len(part))
     out.make_automaton()
     return out
 
 
-FILLER_AT, PAGE_AT = automaton(FILLER_PARTS), automaton(PAGE_PARTS)
+FILLER_AT, PAGE_AT = automaton(FILLER), automaton(STRONG + WEAK)
 STOPS = re.compile(r"[.!?。！？।\n<>]")
 
 
@@ -147,7 +171,7 @@ def fillers(text: str) -> list[tuple[int, int]]:
     """Runs of filler words, and sentences that announce a text."""
     low = text.lower()
     found = []
-    for a, b in near(FILLER_AT, low):
+    for a, b in near(FILLER_AT, low) if len(low) == len(text) else [(0, len(text))]:
         found += [(a + m.start(), e.end() if (e := STOPS.search(text, a + m.end())) and e.end() <= b else b) for m in FILLERS.finditer(text[a:b])]
     if sum(w in low for w in ("lorem", "dolor", "amet", "fugiat", "ipsum", "magna", "aliqua", "veniam", "tempor", "sint", "sapien")) >= 2:
         run: list[re.Match] = []
