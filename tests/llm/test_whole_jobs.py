@@ -93,3 +93,21 @@ def test_fillers_once_lost(text):
 @pytest.mark.parametrize("text", ["Something broke on our side.", "403 Forbidden. Wait 5 minutes.", "Code: 198e46163dc0. Go back to the home page."])
 def test_notices_once_lost(text):
     assert residue.notices(text)
+
+
+# ---- problem 7
+
+
+@pytest.mark.parametrize(("text", "kind"), [("So $E = mc^2$ holds.", "latex"), ("$$E = mc^2$$", "latex"), ("A title\n---\nand text", "markdown"), ("Things:\n  - one\n  - two\n  - three", "markdown"), ("! Name !! Year\nand text", "wiki")])
+def test_markup_is_hinted(text, kind):
+    assert markup.hinted(text) and markup.clean(text)[1] == [kind]
+
+
+def test_examples_of_each_grammar_are_hinted():
+    of = {
+        "comment": "<!-- a -->", "tag": "<b>", "entity": "&amp;", "fence": "```\na\n```", "image": "![a](b)", "link": "[a](/b)", "code": "`a`", "rule_row": "|---|", "row": "| a |", "heading": "# A", "setext": "A\n---", "strong": "**a**", "strong_": "__a__", "strike": "~~a~~", "emph": "_a_", "quote": "> a", "dash": "   + a",
+        "bullet": " * a", "hr": "- - -", "title": "== A ==", "bold": "'''a'''", "italic": "''a''", "page": "[[a]]", "template": "{{A|b}}", "table": "{| a", "cells": "! a", "site": "[https://a b]", "magic": "__TOC__", "display": "$$a =\nb$$", "math": "$a + b ^2 = x_1$", "env": "\\begin{a}", "ref": "\\ref{a}", "command": "\\a{b}", "item_tex": "\\item a", "bare": "\\alpha",
+    }
+    for name, _, pattern in markup.GRAMMAR:
+        if name != "number":  # numbering alone is no markup
+            assert pattern.search(of[name]) and markup.hinted(of[name]), name

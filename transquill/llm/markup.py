@@ -79,7 +79,7 @@ GRAMMAR: list[tuple[str, str, re.Pattern]] = [
         ("bare", "latex", r"(?<![A-Za-z]:)(?<![\w\\])\\(?:[A-Za-z]{2,20})(?![A-Za-z\\{])|(?<=\S)[ \t]*\\\\[ \t]*$"),
     ]
 ]
-HINTS = re.compile(r"</?[A-Za-z!]|&#?\w{1,31};|[`*~|\\]|__|(?<![A-Za-z0-9])_\S|''|\[\[|\{[{|]|\]\(|\[https?:|\$\S*[\\^_{]|^(?:#{1,6}[ \t]|>[ \t]|[-+][ \t]|={2,})", re.MULTILINE)
+HINTS = re.compile(r"</?[A-Za-z!]|&#?\w{1,31};|[`*~|\\]|__|(?<![A-Za-z0-9])_\S|''|\[\[|\{[{|]|\]\(|\[https?:|\$\$|\$[^$\n]*[\\^_]|^(?:#{1,6}[ \t]|>[ \t]|[ \t]{0,3}[-+][ \t]|-{3,}|={2,}|!)", re.MULTILINE)
 
 
 #: What a text must hold for a grammar to be tried.
@@ -89,12 +89,12 @@ OPENED_BY = {
     "cells": ("!", "|"), "site": ("[http",), "magic": ("__",), "display": ("$$", "\\[", "\\(", "\\begin"), "math": ("$",), "env": ("\\begin", "\\end"), "ref": ("\\",), "command": ("\\",), "item_tex": ("\\item",), "bare": ("\\",),
 }
 #: One of these stands in whatever the grammars match.
-PARTS = ("<", "&", "`", "*", "_", "~", "|", "\\", "[", "{", "$", "''", "#", "==", "--", "\n- ", "\n+ ", "\n>")
+PARTS = ("<", "&", "`", "*", "_", "~", "|", "\\", "[", "{", "$", "''", "#", "==", "--", "- ", "-\t", "+ ", "+\t", "\n>", "\n!")
 
 
 def hinted(text: str) -> bool:
     """Whether there may be markup; cheap."""
-    return (any(p in text for p in PARTS) or text[:1] in "->+") and bool(HINTS.search(text))
+    return (any(p in text for p in PARTS) or text[:1] in ">!") and bool(HINTS.search(text))
 
 
 @dataclass
