@@ -111,3 +111,13 @@ def test_examples_of_each_grammar_are_hinted():
     for name, _, pattern in markup.GRAMMAR:
         if name != "number":  # numbering alone is no markup
             assert pattern.search(of[name]) and markup.hinted(of[name]), name
+
+
+# ---- problem 6
+
+
+@pytest.mark.parametrize("between", [" ", "\n"])
+def test_two_short_foreign_sentences_are_seen(who_speaks, between):
+    text = ENGLISH + between.join(["L’équipe étudie.", "Ça n’était pas loin.", ENGLISH])
+    assert who_speaks.languages([text])[0][1] == ["en", "fr"]
+    assert who_speaks.languages([ENGLISH + "L’équipe étudie. " + ENGLISH])[0][1] == ["en"]

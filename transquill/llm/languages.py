@@ -208,6 +208,25 @@ def script_runs(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)])]
 
 
+#: Sentences under SHORT characters are judged with the short ones next to them; LEAST characters can be judged, from SURE on for sure.
+SHORT, LEAST, SURE = 25, 12, 0.62
+#: How sentences end, unlike lines with a name alone.
+ENDED = re.compile(r"[.!?…。！？।؟]\W*$")
+
+
+def windows(sizes: list[int]) -> list[tuple[int, int]]:
+    """From each of the items on end, the fewest of at least two that make LEAST together; as (start, end)."""
+    out = []
+    for a in range(len(sizes) - 1):
+        e, n = a + 2, sizes[a] + sizes[a + 1]
+        while n < LEAST and e < len(sizes):
+            n += sizes[e]
+            e += 1
+        if n >= LEAST:
+            out.append((a, e))
+    return out
+
+
 class Identifier:
     def __init__(self, filters: Filters) -> None:
         self.filters = filters
@@ -271,20 +290,40 @@ class Identifier:
         return out
 
     @staticmethod
-    def _pieces(line: str) -> list[str]:
-        """Parts of about a sentence, long enough to judge."""
+    def _pieces(text: str) -> list[str]:
+        """Parts of about a sentence, long enough to judge; short ones on end are judged together, not with a long one beside them."""
+        parts = [q.strip() for line in text.split("\n") for p in (THAI_PIECE if THAI.search(line) else PIECE).split(line) for q in script_runs(p) if q.strip()]
         out: list[str] = []
-        for p in (THAI_PIECE if THAI.search(line) else PIECE).split(line):
-            for q in script_runs(p):
-                if out and (len(out[-1]) < 25 or len(q) < 25) and not SCRIPTS_DIFFER(out[-1], q):
-                    out[-1] += " " + q
-                elif q.strip():
+        held, i = "", 0
+        while i < len(parts):
+            j = i
+            while j < len(parts) and len(parts[j]) < SHORT and (j == i or not SCRIPTS_DIFFER(parts[j - 1], parts[j])):
+                j += 1
+            run = windows([len(q) for q in parts[i:j]])
+            if run:
+                out += [held] * bool(held) + [" ".join(parts[i + a : i + e]) for a, e in run]
+                held = ""
+            else:  # a long one, or too little to judge
+                j = max(j, i + 1)
+                q, long = " ".join(parts[i:j]), len(parts[i]) >= SHORT
+                if held and not SCRIPTS_DIFFER(held, q):
+                    q = held + " " + q
+                elif held:
+                    out.append(held)
+                held = ""
+                if long or j == len(parts):
                     out.append(q)
-        return [p for p in out if len(p) >= 12]
+                elif out and not SCRIPTS_DIFFER(out[-1], q):
+                    out[-1] += " " + q
+                else:
+                    held = q
+            i = j
+        return [p for p in out if len(p) >= LEAST]
 
     def _smooth(self, units: list[Unit]) -> None:
         """Unsure or short sentences go with the sure ones next to them, if these are in the same script."""
-        firm = [u.sure >= 0.62 and u.letters >= 12 for u in units]
+        firm = [u.sure >= SURE and u.letters >= LEAST for u in units]
+        self._judge_together(units, firm)
         before: list[str] = []
         code = ""
         for u, sure in zip(units, firm):
@@ -296,19 +335,34 @@ class Identifier:
             if firm[i]:
                 code = u.code
                 continue
-            near = [c for c in (before[i], code) if c and (u.letters < 12 or set(BY_SCRIPT_OF[c]) & set(BY_SCRIPT_OF[u.code]))]
+            near = [c for c in (before[i], code) if c and (u.letters < LEAST or set(BY_SCRIPT_OF[c]) & set(BY_SCRIPT_OF[u.code]))]
             if near and u.code not in near:
                 u.code = near[0]
 
+    def _judge_together(self, units: list[Unit], firm: list[bool]) -> None:
+        """Sentences on end that are too short or unsure alone become sure if they are so together and each is rather in that language."""
+        spans, i = [], 0
+        while i < len(units):
+            j = i
+            while j < len(units) and not firm[j]:
+                j += 1
+            spans += [(i + a, i + e) for a, e in windows([u.letters for u in units[i:j]])]
+            i = max(j, i + 1)
+        spans = [(a, e) for a, e in spans if units[a].code and len({u.code for u in units[a:e]}) == 1 and all(ENDED.search(u.text) for u in units[a:e])]
+        for (a, e), (c, s) in zip(spans, self.decide([" ".join(u.text for u in units[a:e]) for a, e in spans]) if spans else ()):
+            if c == units[a].code and s >= SURE:
+                for k in range(a, e):
+                    units[k].sure, firm[k] = max(units[k].sure, s), True
+
     def languages(self, texts: list[str]) -> list[tuple[str, list[str], list[tuple[str, int, int, float]]]]:
         """For each text its main language, all languages it is really in, and its segments.
 
-        Pieces of about a sentence of all texts are judged at once; where they don't agree, the text is cut into its
-        sentences and these are judged.
+        Pieces of about a sentence, and short sentences on end together, of all texts are judged at once; where they don't
+        agree, the text is cut into its sentences and these are judged.
         """
         pieces, owner = [], []
         for i, t in enumerate(texts):
-            rough = [p for line in t.split("\n") for p in self._pieces(line)] or ([t] if LETTERS.search(t) else [])
+            rough = self._pieces(t) or ([t] if LETTERS.search(t) else [])
             pieces += rough
             owner += [i] * len(rough)
         many = Counter(owner)
