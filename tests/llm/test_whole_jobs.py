@@ -121,3 +121,13 @@ def test_two_short_foreign_sentences_are_seen(who_speaks, between):
     text = ENGLISH + between.join(["L’équipe étudie.", "Ça n’était pas loin.", ENGLISH])
     assert who_speaks.languages([text])[0][1] == ["en", "fr"]
     assert who_speaks.languages([ENGLISH + "L’équipe étudie. " + ENGLISH])[0][1] == ["en"]
+
+
+# ---- problem 1
+
+
+@pytest.mark.parametrize(("dirty", "clean"), [("Наш гοсть чинит насос", "Наш гость чинит насос")])
+def test_cyrillic_with_greek_and_no_latin_letters(spark, dirty, clean):
+    df = spark.createDataFrame([(1, "title", dirty), (2, "title", clean)], "video_id bigint, field string, text string")
+    assert lookalikes.needs(dirty) and not lookalikes.needs(clean)
+    assert [(r["video_id"], r["normal"], r["kinds"]) for r in lookalikes.find_lookalikes(df, MODEL).collect()] == [(1, clean, ["script"])]
