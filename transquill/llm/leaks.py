@@ -1,12 +1,14 @@
 """Problem 8: passages of evaluation items inside documents.
 
-Both sides are cut into windows half as long as the shortest passage that counts: of a passage with one word changed,
-dropped or added, one half is always whole. Each window has a weighted 64-bit SimHash. The items' fingerprints lie in a
-multi-index of blocks: fingerprints within the radius share a block, so no such pair is missed. Candidates are verified by
-their weighted-shingle similarity and then by the exact rule on the aligned words.
+Documents are cut into windows of the items' sizes, and into windows half as long as the shortest passage that counts: a leak
+may be a part of an item, and of a passage with one word changed, dropped or added one half is always whole. Each window has
+a weighted 64-bit SimHash. The items' fingerprints lie in a multi-index of blocks: fingerprints within the radius share a
+block, so no such pair is missed. A candidate is laid over the document by its place in the item, and verified by the
+weighted shingles of the whole item and of the passage, and by the exact rule on the aligned words.
 
 Defined results: null or blank texts on either side give no row; items shorter than a passage can't leak; a document that
-holds an item several times gives one row; equal items give a row each.
+holds an item several times gives one row; equal items give a row each; a near copy of a whole item without any passage
+of the rule's length has run 0.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -30,11 +33,13 @@ PASSAGE_WORDS, PASSAGE_CHARS = 12, 20
 #: Window in words: any passage with one edit holds so many words on end. Window in characters: exact runs only.
 WINDOW = PASSAGE_WORDS // 2
 RADIUS, BLOCKS = 3, 4
-#: Least weighted share of a passage's shingles that both sides have.
+#: Item-sized windows have the greatest of the sizes 12, 15, 18 ... that the item has; each size is a quarter above the last.
+STEP = 1.25
+#: Least weighted share of a passage's, or a whole item's, shingles that both sides have.
 SIMILAR = 0.8
 #: Documents whose windows are hashed at once.
 CHUNK = 256
-#: Most items that are sent to every task; their size is checked.
+#: Most items that are sent to every task at once; more are sent in blocks, of which each meets all documents.
 MOST_ITEM_BYTES = 64 << 20
 
 TIME_MARK = re.compile(r"[\[(<]?\b\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?\b[\])>]?")
@@ -59,9 +64,11 @@ FOLD = _Fold()
 
 
 def words(text: str) -> list[str]:
-    if "̀" <= max(text, default=" "):
+    if not text.isascii() and "̀" <= max(text):
         text = unicodedata.normalize("NFC", text)
-    return TIME_MARK.sub(" ", text).translate(FOLD).split()
+    if ":" in text:
+        text = TIME_MARK.sub(" ", text)
+    return text.translate(FOLD).split()
 
 
 def chars(text: str) -> str:
@@ -75,6 +82,14 @@ def weight(word: str) -> int:
     return 1 if len(word) < 3 else 2 if len(word) < 6 else 3
 
 
+def window_size(n: int, least: int) -> int:
+    """The item-sized window of an item of n words."""
+    size = least
+    while (more := int(size * STEP)) <= n:
+        size = more
+    return size
+
+
 class Fingerprints:
     """SimHash of all windows of a list of token lists at once."""
 
@@ -82,35 +97,43 @@ class Fingerprints:
         self.ids: dict[str, int] = {}
         self.rows = np.zeros((1024, 64), np.int8)
 
-    def id(self, token: str) -> int:
-        i = self.ids.get(token)
-        if i is None:
-            i = self.ids[token] = len(self.ids)
-            if i >= len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            raw = token.encode("utf-8", "replace")
-            bits = np.unpackbits(np.frombuffer(zlib.crc32(raw).to_bytes(4, "little") + zlib.crc32(raw, 0x9E3779B9).to_bytes(4, "little"), np.uint8))
-            mixed = bits ^ np.roll(bits, 29) ^ np.roll(bits, 11)
-            self.rows[i] = np.where(mixed, 1, -1) * weight(token)
-        return i
-
-    def of(self, lists: list[list[str]], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(fingerprint, list, start) of every window."""
-        if len(self.ids) > 400_000:
+    def learn(self, tokens: set[str]) -> None:
+        new = [t for t in tokens if t not in self.ids]
+        if not new:
+            return
+        if len(self.ids) + len(new) > 400_000:
             self.ids.clear()
-        get = self.id
+            new = list(tokens)
+        first = len(self.ids)
+        self.ids.update(zip(new, range(first, first + len(new))))
+        while len(self.rows) < len(self.ids):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        raw = [t.encode("utf-8", "replace") for t in new]
+        crc = np.array([(zlib.crc32(r), zlib.crc32(r, 0x9E3779B9)) for r in raw], "<u4")
+        bits = np.unpackbits(crc.view(np.uint8).reshape(len(new), 8), axis=1)
+        mixed = bits ^ np.roll(bits, 29, axis=1) ^ np.roll(bits, 11, axis=1)
+        self.rows[first : first + len(new)] = np.where(mixed, 1, -1) * np.array([weight(t) for t in new], np.int8)[:, None]
+
+    def of(self, lists: list[list[str]], *windows: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each window size (fingerprint, list, start) of every window."""
         sizes = [len(x) for x in lists]
-        flat = np.fromiter((get(t) for x in lists for t in x), np.int64, sum(sizes))
-        if len(flat) < window:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        total = np.zeros((len(flat) + 1, 64), np.int32)
-        np.cumsum(self.rows[flat], axis=0, dtype=np.int32, out=total[1:])
-        sums = total[window:] - total[:-window]
-        prints = np.packbits(sums > 0, axis=1).view(np.uint64).ravel()
+        flat_tokens = list(chain.from_iterable(lists))
+        self.learn(set(flat_tokens))
+        flat = np.fromiter(map(self.ids.__getitem__, flat_tokens), np.int64, len(flat_tokens))
+        kind = np.int16 if 3 * max(windows, default=0) < 32_000 else np.int32  # differences are exact even where sums wrap around
+        total = np.zeros((len(flat) + 1, 64), kind)
+        np.cumsum(self.rows[flat], axis=0, dtype=kind, out=total[1:])
         owner = np.repeat(np.arange(len(lists)), sizes)
-        start = np.arange(len(flat)) - np.repeat(np.cumsum([0, *sizes[:-1]]), sizes)
-        whole = owner[: len(prints)] == owner[window - 1 :]
-        return prints[whole], owner[: len(prints)][whole], start[: len(prints)][whole]
+        start = np.arange(len(flat)) - np.repeat(np.cumsum([0, *sizes[:-1]]), sizes) if sizes else np.zeros(0, np.int64)
+        out = []
+        for window in windows:
+            if len(flat) < window:
+                out.append((np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)))
+                continue
+            at = np.nonzero(owner[: len(flat) - window + 1] == owner[window - 1 :])[0]
+            prints = np.packbits((total[at + window] - total[at]) > 0, axis=1).view(np.uint64).ravel()
+            out.append((prints, owner[at], start[at]))
+        return out
 
 
 class Index:
@@ -175,8 +198,8 @@ def aligned(doc: list[str], item: list[str], i: int, j: int) -> tuple[int, int,
     return best
 
 
-def similarity(left: list[str], right: list[str]) -> float:
-    """Weighted share of the shingles of one and two words that both have."""
+def similarity(left: list[str], right: list[str], whole: bool = False) -> float:
+    """Weighted share of the shingles of one and two words that both have: of the smaller side, or of both together."""
 
     def shingles(x: list[str]) -> dict[tuple[str, ...], int]:
         out: dict[tuple[str, ...], int] = {}
@@ -188,7 +211,37 @@ def similarity(left: list[str], right: list[str]) -> float:
 
     p, q = shingles(left), shingles(right)
     both = sum(min(v, q.get(k, 0)) for k, v in p.items())
-    return both / max(1, min(sum(p.values()), sum(q.values())))
+    one, other = sum(p.values()), sum(q.values())
+    return both / max(1, one + other - both if whole else min(one, other))
+
+
+class Side:
+    """Items of one kind of script with the indexes of their windows: those of a part of a passage, and item-sized ones."""
+
+    def __init__(self, prints: Fingerprints, rows: list[tuple[int, list[str]]], part: int, least: int) -> None:
+        self.rows = rows
+        by_size: dict[int, list[int]] = {}
+        for i, (_, w) in enumerate(rows):
+            by_size.setdefault(window_size(len(w), least), []).append(i)
+        self.windows = [part, *sorted(by_size)] if rows else []
+        self.tables = []
+        for size in self.windows:
+            own = list(range(len(rows))) if size == part else by_size[size]
+            f, of, at = prints.of([rows[i][1] for i in own], size)[0]
+            self.tables.append((Index(f), np.array(own, np.int64)[of], at))
+
+    def candidates(self, prints: Fingerprints, lists: list[list[str]]) -> Iterator[tuple[int, int, int, int, int]]:
+        """(window, document, item, place in the document, place in the item) of windows within the radius."""
+        if not self.windows:
+            return
+        for size, (f, owner, start), (index, of, at) in zip(self.windows, prints.of(lists, *self.windows), self.tables):
+            w, x = index.within(f)
+            yield from zip([size] * len(w), owner[w].tolist(), of[x].tolist(), start[w].tolist(), at[x].tolist())
+
+
+def over(doc: list[str], item: list[str], shift: int) -> float:
+    """How alike the whole item and what lies under it in the document are."""
+    return similarity(doc[max(0, shift) : max(0, shift + len(item))], item, whole=True)
 
 
 class Items:
@@ -196,62 +249,76 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]]) -> None:
         self.prints = Fingerprints()
-        self.spaced = [(k, w) for k, t in rows if not CJK.search(t) and len(w := words(t)) >= PASSAGE_WORDS]
-        self.dense = [(k, c) for k, t in rows if CJK.search(t) and len(c := chars(t)) >= PASSAGE_CHARS]
-        f, self.word_of, self.word_at = self.prints.of([w for _, w in self.spaced], WINDOW)
-        self.words = Index(f)
-        f, self.char_of, self.char_at = self.prints.of([self.grams(c) for _, c in self.dense], PASSAGE_CHARS - 1)
-        self.chars = Index(f)
+        self.spaced = Side(self.prints, [(k, w) for k, t in rows if not CJK.search(t) and len(w := words(t)) >= PASSAGE_WORDS], WINDOW, PASSAGE_WORDS)
+        self.chars = [(k, c) for k, t in rows if CJK.search(t) and len(c := chars(t)) >= PASSAGE_CHARS]
+        self.dense = Side(self.prints, [(k, self.grams(c)) for k, c in self.chars], PASSAGE_CHARS - 1, PASSAGE_CHARS)
 
     @staticmethod
     def grams(text: str) -> list[str]:
         return [text[i : i + 2] for i in range(len(text) - 1)]
 
-    def leaks(self, docs: list[tuple[int, str]]) -> Iterator[tuple[int, int, int, float]]:
-        """(document, item, words or characters on end, similarity), each pair once."""
+    def leaks(self, docs: list[tuple[int, str]]) -> Iterator[tuple[int, int, int, float, float]]:
+        """(document, item, words or characters on end, similarity of the passage, of the whole item), each pair once."""
         lists = [words(t) for _, t in docs]
-        f, owner, start = self.prints.of(lists, WINDOW)
-        best: dict[tuple[int, int], tuple[int, float]] = {}
-        seen: set[tuple[int, int, int]] = set()
-        for w, x in zip(*(p.tolist() for p in self.words.within(f))):
-            d, i = int(owner[w]), int(start[w])
-            n, j = int(self.word_of[x]), int(self.word_at[x])
-            if (d, n, i - j) in seen:
+
+        def spaced(d: int, n: int, i: int, j: int, size: int) -> tuple[int, float]:
+            doc, item = lists[d], self.spaced.rows[n][1]
+            for k in range(size):
+                run, b, p, q = aligned(doc, item, i + k, j + k)
+                if run >= PASSAGE_WORDS and (s := similarity(doc[p:q], item[b : b + run])) >= SIMILAR:
+                    return run, s
+            return 0, 0.0
+
+        for (d, n), found in self._verified(self.spaced, lists, spaced).items():
+            yield docs[d][0], self.spaced.rows[n][0], *found
+        dense = [(d, c) for d, (_, t) in enumerate(docs) if self.chars and CJK.search(t) and len(c := "".join(lists[d])) >= PASSAGE_CHARS]
+
+        def close(d: int, n: int, i: int, j: int, size: int) -> tuple[int, float]:
+            doc, item = dense[d][1], self.chars[n][1]
+            best = (0, 0.0)
+            for k in range(max(1, size - PASSAGE_CHARS + 2)):
+                if doc[i + k : i + k + PASSAGE_CHARS] == item[j + k : j + k + PASSAGE_CHARS] and len(item) >= j + k + PASSAGE_CHARS:
+                    p, q = i + k + PASSAGE_CHARS, j + k + PASSAGE_CHARS
+                    while p < len(doc) and q < len(item) and doc[p] == item[q]:
+                        p, q = p + 1, q + 1
+                    return q - j - k, similarity(list(doc[i + k : p]), list(item[j + k : q]))
+            return best
+
+        for (d, n), found in self._verified(self.dense, [self.grams(c) for _, c in dense], close).items():
+            yield docs[dense[d][0]][0], self.chars[n][0], *found
+
+    def _verified(self, side: Side, lists: list[list[str]], passage: Callable[[int, int, int, int, int], tuple[int, float]]) -> dict[tuple[int, int], tuple[int, float, float]]:
+        """The longest passage and the likest place of each pair; of windows on one diagonal the first tells."""
+        best: dict[tuple[int, int], tuple[int, float, float]] = {}
+        told: dict[tuple[int, int, int], float] = {}
+        passed: set[tuple[int, int, int]] = set()
+        for size, d, n, i, j in side.candidates(self.prints, lists):
+            at = d, n, i - j
+            if at in passed:
                 continue
-            item = self.spaced[n][1]
-            for k in range(WINDOW):
-                size, b, p, q = aligned(lists[d], item, i + k, j + k)
-                if size >= PASSAGE_WORDS and (s := similarity(lists[d][p:q], item[b : b + size])) >= SIMILAR:
-                    seen.add((d, n, i - j))
-                    best[d, n] = max(best.get((d, n), (0, 0.0)), (size, s))
-                    break
-        yield from ((docs[d][0], self.spaced[n][0], *v) for (d, n), v in best.items())
-        dense = [(d, c) for d, (_, t) in enumerate(docs) if self.dense and CJK.search(t) and len(c := "".join(lists[d])) >= PASSAGE_CHARS]
-        if not dense:
-            return
-        f, owner, start = self.prints.of([self.grams(c) for _, c in dense], PASSAGE_CHARS - 1)
-        best = {}
-        for w, x in zip(*(p.tolist() for p in self.chars.within(f))):
-            d, i = int(owner[w]), int(start[w])
-            n, j = int(self.char_of[x]), int(self.char_at[x])
-            doc, item = dense[d][1], self.dense[n][1]
-            if (d, n) not in best and doc[i : i + PASSAGE_CHARS] == item[j : j + PASSAGE_CHARS]:
-                p, q = i + PASSAGE_CHARS, j + PASSAGE_CHARS
-                while p < len(doc) and q < len(item) and doc[p] == item[q]:
-                    p, q = p + 1, q + 1
-                best[d, n] = (q - j, similarity(list(doc[i:p]), list(item[j:q])))
-        yield from ((docs[dense[d][0]][0], self.dense[n][0], *v) for (d, n), v in best.items())
-
-
-def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """documents (doc_id, text), items (item_id, text): (doc_id, item_id, run, similarity).
-
-    The items are the small side by their nature; their size is checked before they go to the tasks.
+            run, s = passage(d, n, i, j, size)
+            if at not in told:
+                told[at] = over(lists[d], side.rows[n][1], i - j)
+            if run:
+                passed.add(at)
+            if run or told[at] >= SIMILAR:
+                old = best.get((d, n), (0, 0.0, 0.0))
+                best[d, n] = *max(old[:2], (run, s)), max(old[2], told[at])
+        return best
+
+
+def find_leaks(documents: DataFrame, items: DataFrame, most_bytes: int = MOST_ITEM_BYTES) -> DataFrame:
+    """documents (doc_id, text), items (item_id, text): (doc_id, item_id, run, similarity, whole).
+
+    Items of more than most_bytes are cut into blocks by their hash; each block is read by all documents' windows.
     """
     small = items.where(has_text("text")).select("item_id", "text")
     size = small.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > MOST_ITEM_BYTES:
-        raise ValueError(f"items of {size} bytes; cut them into parts of at most {MOST_ITEM_BYTES}")
+    blocks = -(-size // most_bytes) or 1
+    return reduce(DataFrame.unionAll, (_in_block(documents, small.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else small) for b in range(blocks)))
+
+
+def _in_block(documents: DataFrame, small: DataFrame) -> DataFrame:
     sent = documents.sparkSession.sparkContext.broadcast([tuple(r) for r in small.collect()])
 
     def start() -> Callable[[list[list]], Iterator[tuple]]:
@@ -264,4 +331,4 @@ def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
 
         return kernel
 
-    return map_batches(documents.where(has_text("text")), ["doc_id", "text"], start, "doc_id bigint, item_id bigint, run int, similarity double")
+    return map_batches(documents.where(has_text("text")), ["doc_id", "text"], start, "doc_id bigint, item_id bigint, run int, similarity double, whole double")
