@@ -169,10 +169,10 @@ class Model:
         self.total = float(self.one.sum())
 
     def known(self, text: str) -> bool:
-        """Whether each character occurs in clean text."""
+        """Whether each character occurs in clean text, more often than leaks may account for."""
         for c in text:
             if (k := self._known.get(c)) is None:
-                k = self._known[c] = self.total == 0 or ord(c) < 128 or c in SIGNS or bool(self.one[_hashes(np.array([ord(c)] * 3, np.uint32))[0][0]] >= 3)
+                k = self._known[c] = self.total == 0 or ord(c) < 128 or c in SIGNS or bool(self.one[_hashes(np.array([ord(c)] * 3, np.uint32))[0][0]] >= max(3.0, 1e-8 * self.total))
             if not k:
                 return False
         return True
@@ -447,57 +447,61 @@ class Restorer:
 CLEAN = GATE + "|[­​-‏⁠-⁤﻿Ａ-ｚﬀ-ﬆ\U0001d400-\U0001d7ff]"
 
 
-def _count() -> Callable[[list[list]], list[tuple]]:
-    unclean = re.compile(CLEAN)
+def _gram_counts(texts: list[str]) -> list[tuple[int, int, int]]:
+    """(order, slot, n) of the n-grams of all texts on end."""
+    data = codes("\n\n".join(texts))
+    if data.size < 3:
+        return []
+    out = []
+    for order, of, bits in zip((1, 2, 3), _hashes(data), (BITS1, BITS2, BITS3)):
+        n = np.bincount(of, minlength=1 << bits)
+        at = np.nonzero(n)[0]
+        out += zip([order] * len(at), at.tolist(), n[at].tolist())
+    return out
 
-    def kernel(columns: list[list]) -> list[tuple]:
-        data = codes("\n\n".join(t for t in columns[0] if t and not unclean.search(t)))
-        if data.size < 3:
-            return []
-        one, two, three = _hashes(data)
-        out = []
-        for order, of, bits in ((1, one, BITS1), (2, two, BITS2), (3, three, BITS3)):
-            n = np.bincount(of, minlength=1 << bits)
-            at = np.nonzero(n)[0]
-            out += zip([order] * len(at), at.tolist(), n[at].tolist())
-        return out
 
-    return kernel
+def _count(held: frozenset[int]) -> Callable[[], Callable[[list[list]], list[tuple]]]:
+    unclean = re.compile(CLEAN)
+    return lambda: lambda columns: _gram_counts([t for h, t in zip(*columns) if t and h not in held and not unclean.search(t)])
 
 
-def count_ngrams(texts: DataFrame, column: str = "text") -> DataFrame:
-    """(gram_order, bucket, n) over all clean records."""
-    return map_batches(texts.where(has_text(column)), [column], _count, "gram_order int, bucket int, n bigint").groupBy("gram_order", "bucket").agg(F.sum("n").alias("n"))
+def count_ngrams(texts: DataFrame, column: str = "text", held: frozenset[int] = frozenset()) -> DataFrame:
+    """(gram_order, bucket, n) over all clean records but those whose hash is held back."""
+    rows = texts.where(has_text(column)).select(F.xxhash64(column).alias("__h"), column)
+    return map_batches(rows, ["__h", column], _count(held), "gram_order int, bucket int, n bigint").groupBy("gram_order", "bucket").agg(F.sum("n").alias("n"))
 
 
-def held_records(texts: DataFrame, column: str, rows: int) -> list[str]:
-    """The whole clean records beyond ASCII with the least hashes, over all rows; copies once."""
+def held_records(texts: DataFrame, column: str, rows: int) -> dict[int, str]:
+    """The whole clean records beyond ASCII with the least hashes, over all rows; by hash, so that copies count once."""
     hashed = texts.where(has_text(column) & F.col(column).rlike(r"[^\x00-\x7f]")).select(F.xxhash64(column).alias("h"), F.col(column).alias("t"))
-    least = collected(hashed.orderBy("h", "t").limit(8 * rows))["t"].tolist()
-    held = list(dict.fromkeys(t for t in least if not re.search(CLEAN, t)))
-    if len(held) >= rows or len(least) < 8 * rows:
-        return held[:rows]
+    least = collected(hashed.orderBy("h", "t").limit(8 * rows))
+    held = {h: t for h, t in zip(least["h"].tolist(), least["t"].tolist()) if not re.search(CLEAN, t)}
+    if len(held) < rows and len(least["h"]) == 8 * rows:
 
-    def start() -> Callable[..., list[tuple]]:  # clean records are rare here: all rows are looked at
-        unclean = re.compile(CLEAN)
-        return lambda h, t: [] if unclean.search(t) else [(h, t)]
+        def start() -> Callable[..., list[tuple]]:  # clean records are rare here: all rows are looked at
+            unclean = re.compile(CLEAN)
+            return lambda h, t: [] if unclean.search(t) else [(h, t)]
 
-    return collected(map_rows(hashed, ["h", "t"], start, "h bigint, t string").distinct().orderBy("h", "t").limit(rows))["t"].tolist()
+        least = collected(map_rows(hashed, ["h", "t"], start, "h bigint, t string").distinct().orderBy("h", "t").limit(rows))
+        held = dict(zip(least["h"].tolist(), least["t"].tolist()))
+    return dict(list(held.items())[:rows])
 
 
 def fit(texts: DataFrame, column: str = "text", validate_rows: int = 60) -> Model:
-    """Counts over all clean records; the margin from at most validate_rows of them, garbled on purpose.
+    """Counts over all clean records; the margin from at most validate_rows of them, which the counts don't hold until it is chosen.
 
     The sample and the collected table are bounded: the table has at most 2^20 + 2^18 + 2^16 rows, whatever the corpus.
     """
-    rows = collected(count_ngrams(texts, column))
+    held = held_records(texts, column, validate_rows)
+    rows = collected(count_ngrams(texts, column, frozenset(held)))
     one, two, three = (np.zeros(1 << b, np.float32) for b in (BITS1, BITS2, BITS3))
     for order, to in ((1, one), (2, two), (3, three)):
         own = rows["gram_order"] == order
         to[rows["bucket"][own]] = rows["n"][own]
-    model = Model(one, two, three)
-    model.margin = validated_margin(model, held_records(texts, column, validate_rows))
-    return model
+    margin = validated_margin(Model(one, two, three), list(held.values()))
+    for order, bucket, n in _gram_counts(list(held.values())):
+        (one, two, three)[order - 1][bucket] += n
+    return Model(one, two, three, margin)
 
 
 #: All (right encoding, wrong decoder) that are undone.
