@@ -72,15 +72,25 @@ def p4_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcripts(spark, sf_dir).select("video_id").distinct().join(p4_found(spark, sf_dir), "video_id", "left_anti")
 
 
+def _hosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "videos").where(has_text("transcript")).select(F.col("id").alias("video_id"), F.col("channel_id").alias("host"), F.col("transcript").alias("text"))
+
+
 def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each video's shares with its channel's verdict."""
-    videos = _table(spark, sf_dir, "videos").where(has_text("transcript")).select(F.col("id").alias("video_id"), F.col("channel_id").alias("host"), F.col("transcript").alias("text"))
+    videos = _hosted(spark, sf_dir)
     return repetition.judge(repetition.measure(videos, mojibake.fit(videos)))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the videos with their channel's verdict, those whose share is beyond the rule's limit."""
-    return p5_shares(spark, sf_dir).where(F.array_contains("failed", "runs")).select("video_id").distinct()
+    """Of the videos that their channel's verdict makes suspect, those whose own share is beyond the limit."""
+    return p5_shares(spark, sf_dir).where(F.col("suspect") & F.array_contains("failed", "runs")).select("video_id").distinct()
+
+
+def p5_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each channel's failures of the rule on repeated lines, and its verdict."""
+    found = repetition.hosts(repetition.with_failures(repetition.measure_lines(_hosted(spark, sf_dir))))
+    return found.select("host", "host_docs", "host_failed", F.round("host_rate", 6).alias("host_rate"), "host_bad")
 
 
 def _identified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +148,14 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_consistent, p2_found, p2_turns, p3_found, p3_restored, p4_found, p4_kept, p5_found, p5_shares, p6_found, p6_segments, p7_found, p7_clean, p8_found, p8_leaks, p9_mixture, p9_shares, p10_found, p10_sentences)
+    f.__name__: f for f in (p1_found, p1_consistent, p2_found, p2_turns, p3_found, p3_restored, p4_found, p4_kept, p5_found, p5_shares, p5_hosts, p6_found, p6_segments, p7_found, p7_clean, p8_found, p8_leaks, p9_mixture, p9_shares, p10_found, p10_sentences)
+}
+SQL: dict[str, str] = {
+    "p5_hosts": r"""WITH l AS (SELECT id, channel_id, list_filter(list_transform(string_split(transcript, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS l FROM videos WHERE regexp_matches(transcript, '\S')),
+d AS (SELECT DISTINCT id, channel_id AS host, (length(array_to_string(l, '')) - length(array_to_string(list_distinct(l), ''))) / greatest(length(array_to_string(l, '')), 1)::DOUBLE AS share FROM l),
+h AS (SELECT host, count(*) AS n, count(*) FILTER (share >= 0.3) AS f FROM d GROUP BY 1),
+m AS (SELECT avg(f / n::DOUBLE) AS mean, var_samp(f / n::DOUBLE) AS var, avg(f / n::DOUBLE * (1 - f / n::DOUBLE) / n) AS noise FROM h),
+s AS (SELECT mean, CASE WHEN mean > 0 AND mean < 1 THEN least(1000.0, greatest(1.0, mean * (1 - mean) / greatest(coalesce(var, 0) - coalesce(noise, 0), 1e-4) - 1)) END AS strength FROM m),
+p AS (SELECT CASE WHEN strength IS NULL THEN 1.0 ELSE mean * strength END AS a, CASE WHEN strength IS NULL THEN 1.0 ELSE (1 - mean) * strength END AS b FROM s)
+SELECT host, n AS host_docs, f AS host_failed, round((f + a) / (n + a + b), 6) AS host_rate, (f + a) / (n + a + b) >= 0.25 AS host_bad FROM h, p""",
 }
-SQL: dict[str, str] = {}

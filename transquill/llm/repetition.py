@@ -2,7 +2,8 @@
 
 Each document is measured (share of words in runs that occurred before, of repeated lines) and held
 against rules. Failures are counted by host; each host's rate is shrunk towards the others by a beta prior whose two
-parameters are estimated from all hosts by moments; the host's verdict is joined back to its documents.
+parameters are estimated from all hosts by moments; the host's verdict is joined back to its documents: the higher the
+host's rate, the lower the share from which a document is suspect. An exact rule on the document's own share may follow.
 
 Defined results: null or blank texts give no row; a text shorter than a run has share 0; documents without a host form the
 host null; with no host, or none that fails, the prior is flat.
@@ -129,23 +130,41 @@ def measure(texts: DataFrame, model: Model, key: str = "video_id", host: str = "
     return out.dropDuplicates([key])
 
 
-def judge(measured: DataFrame, key: str = "video_id", host: str = "host", limit: float = 0.25) -> DataFrame:
-    """Adds failed (rules), host_docs, host_failed, host_rate (shrunk) and host_bad to each document.
+def measure_lines(texts: DataFrame, key: str = "video_id", host: str = "host", column: str = "text") -> DataFrame:
+    """(key, host, lines): the share of repeated lines alone, of the text as it is; without Python."""
+    lines = F.filter(F.transform(F.split(column, "\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
+    chars = lambda a: F.aggregate(a, F.lit(0), lambda n, x: n + F.length(x))
+    rows = texts.where(has_text(column)).select(key, host, lines.alias("l")).select(key, host, chars(F.col("l")).alias("n"), chars(F.array_distinct("l")).alias("first"))
+    return rows.select(key, host, ((F.col("n") - F.col("first")) / F.greatest(F.col("n"), F.lit(1))).alias("lines")).dropDuplicates([key])
+
+
+def with_failures(measured: DataFrame) -> DataFrame:
+    """Adds failed: the rules beyond whose limit the document is."""
+    return measured.withColumn("failed", F.array_compact(F.array(*(F.when(F.col(k) >= v, F.lit(k)) for k, v in LIMITS.items() if k in measured.columns))))
+
+
+def hosts(docs: DataFrame, host: str = "host", limit: float = 0.25) -> DataFrame:
+    """(host, host_docs, host_failed, host_rate, host_bad, host_limit): each host's failures, its shrunk rate, and the share from which its documents are suspect.
 
     Only counts by host are shuffled, summed within tasks first; what reaches the driver is one row of moments.
     """
-    rules = F.array_compact(F.array(*(F.when(F.col(k) >= v, F.lit(k)) for k, v in LIMITS.items())))
-    docs = stored(measured).withColumn("failed", rules)
-    hosts = docs.groupBy(host).agg(F.count("*").alias("host_docs"), F.count_if(F.size("failed") > 0).alias("host_failed"))
+    counts = docs.groupBy(host).agg(F.count("*").alias("host_docs"), F.count_if(F.size("failed") > 0).alias("host_failed"))
     rate = F.col("host_failed") / F.col("host_docs")
-    m = hosts.agg(F.avg(rate).alias("mean"), F.var_samp(rate).alias("var"), F.avg(rate * (1 - rate) / F.col("host_docs")).alias("noise")).first()
+    m = counts.agg(F.avg(rate).alias("mean"), F.var_samp(rate).alias("var"), F.avg(rate * (1 - rate) / F.col("host_docs")).alias("noise")).first()
     a, b = beta_prior(m["mean"], m["var"], m["noise"])
-    hosts = hosts.withColumn("host_rate", (F.col("host_failed") + F.lit(a)) / (F.col("host_docs") + F.lit(a + b)))
-    hosts = hosts.withColumn("host_bad", F.col("host_rate") >= limit)
-    salted = hosts.select(F.col(host).alias("__host"), "host_docs", "host_failed", "host_rate", "host_bad", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    counts = counts.withColumn("host_rate", (F.col("host_failed") + F.lit(a)) / (F.col("host_docs") + F.lit(a + b)))
+    return counts.withColumn("host_bad", F.col("host_rate") >= limit).withColumn("host_limit", F.lit(min(LIMITS.values())) * (1 - F.col("host_rate")))
+
+
+def judge(measured: DataFrame, key: str = "video_id", host: str = "host", limit: float = 0.25) -> DataFrame:
+    """Adds failed (rules), what hosts() says of the document's host, and suspect to each document; the join is salted."""
+    docs = with_failures(stored(measured))
+    verdicts = hosts(docs, host, limit)
+    columns = verdicts.columns[1:]
+    salted = verdicts.select(F.col(host).alias("__host"), *columns, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
     docs = docs.withColumn("__salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-    joined = docs.join(salted, (docs[host].eqNullSafe(salted["__host"])) & (docs["__salt"] == salted["__salt"]), "left")
-    return joined.select(key, host, *LIMITS, "failed", "host_docs", "host_failed", "host_rate", "host_bad")
+    joined = docs.join(salted, docs[host].eqNullSafe(salted["__host"]) & (docs["__salt"] == salted["__salt"]))
+    return joined.select(key, host, *LIMITS, "failed", *columns, (F.greatest(*LIMITS) >= F.col("host_limit")).alias("suspect"))
 
 
 def beta_prior(mean: float | None, var: float | None, noise: float | None) -> tuple[float, float]:

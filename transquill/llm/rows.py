@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -69,7 +70,9 @@ def stored(df: DataFrame) -> DataFrame:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="transquill-"))  # a folder of its own only where none is named
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="transquill-"))  # a folder of its own only within one process
     return df.checkpoint()
 
 
