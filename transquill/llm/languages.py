@@ -3,10 +3,12 @@
 Character n-grams are counted by the (noisy) label of their document. An n-gram belongs to each language in which it is
 about as frequent as where it is most frequent; these languages are the bits of its slot in two hashed tables, bit-sliced
 Bloom filters of which one look-up gives all languages at once. A sentence's n-grams vote: the bits that are left after
-joining both tables are summed by language and corrected for the filters' false positives; the most wins.
+joining both tables are summed by language and corrected for the filters' false positives; the most wins. Scripts only
+narrow the choice: a sentence of whose n-grams no filter of its script knows a quarter is in none of the languages.
 
-Defined results: null or blank texts, and texts of nothing but annotations, placeholders, filler or markup, give no row;
-without labels (empty table) only scripts decide; of equal votes the language with more letters in the text wins.
+Defined results: null or blank texts, and texts of nothing but annotations, placeholders, filler or markup, or in none of
+the languages, give no row; a segment in none of them has the empty language; a language without labelled records is told
+by its script alone; of equal votes the language with more letters in the text wins.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ GRAM = 4
 PART = 0.25
 #: A confidence that says nothing.
 DOUBT = 0.5
+#: Least part of a sentence's n-grams that a language knows of its own, and n-grams from which that can be judged.
+KNOWN, JUDGED = 0.25, 24
 #: Texts whose pieces are judged at once.
 CHUNK = 512
 ANNOTATION = re.compile(r"\[[^\]\n]{1,40}\]|\((?:[^()\d\n]{1,30})\)|[♪♫]|<[^<>\n]{1,80}>")
@@ -135,13 +139,15 @@ class Filters:
 
     bits: np.ndarray = field(default_factory=lambda: np.zeros((2, 1 << BITS), np.uint16))
     false: np.ndarray = field(init=False)
+    learned: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
         fill = np.array([[((t >> i) & 1).mean() for i in range(len(CODES))] for t in self.bits])
         self.false = np.clip(fill[0] * fill[1], 0.0, 0.9)
+        self.learned = fill[0] > 0
 
-    def votes(self, texts: list[str]) -> np.ndarray:
-        """For each text and language the part of its n-grams that the language has, corrected."""
+    def votes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For each text and language the part of its n-grams that the language has, corrected; and the n-grams of each text."""
         one, two, owner = grams(texts)
         both = self.bits[0][one] & self.bits[1][two]
         n = np.bincount(owner, minlength=len(texts)).astype(float)
@@ -149,7 +155,7 @@ class Filters:
         for i in range(len(CODES)):
             hits = np.bincount(owner[(both >> i) & 1 == 1], minlength=len(texts))
             out[:, i] = (hits - n * self.false[i]) / (1 - self.false[i]) / np.maximum(n, 1)
-        return out
+        return out, n
 
 
 def fit(labelled: DataFrame, code: str = "code", column: str = "text") -> Filters:
@@ -235,8 +241,9 @@ class Identifier:
         self.latin = [self.at[c] for c in BY_SCRIPT["la"]]
 
     def decide(self, texts: list[str]) -> list[tuple[str, float]]:
-        """The language of each text with a confidence from 0 to 1; scripts say which languages may be."""
-        votes = self.filters.votes(texts)
+        """The language of each text with a confidence from 0 to 1, by the votes among the languages of its script; '' for none."""
+        votes, many = self.filters.votes(texts)
+        learned = self.filters.learned
         out: list[tuple[str, float]] = [("", 0.0)] * len(texts)
         latin = [i for i, t in enumerate(texts) if (t.isascii() or not OTHER_RUN.search(t)) and LATIN_LETTER.search(t)]
         if latin:
@@ -244,8 +251,10 @@ class Identifier:
             first = own.argmax(axis=1)
             top = np.sort(own, axis=1)
             sure = np.clip(0.5 + top[:, -1] - top[:, -2], 0.0, 1.0)
-            for i, f, s in zip(latin, first.tolist(), sure.tolist()):
-                out[i] = BY_SCRIPT["la"][f], s
+            strange = (top[:, -1] < KNOWN) & (many[latin] >= JUDGED) & learned[self.latin].all()
+            for i, f, s, none in zip(latin, first.tolist(), sure.tolist(), strange.tolist()):
+                if not none:
+                    out[i] = BY_SCRIPT["la"][f], s
         taken = set(latin)
         for i, t in enumerate(texts):
             if i in taken:
@@ -264,7 +273,12 @@ class Identifier:
             best = float(v[self.at[ranked[0]]])
             second = float(v[self.at[ranked[1]]]) if len(ranked) > 1 else 0.0
             share = sizes[top_script] / sum(sizes.values())
-            out[i] = ranked[0], share if len(may) == 1 else share * min(1.0, max(0.0, 0.5 + best - second))
+            if all(learned[self.at[c]] for c in may):
+                if best < KNOWN and many[i] >= JUDGED:
+                    continue
+                out[i] = ranked[0], share * min(1.0, max(0.0, 0.5 + best - second))
+            else:
+                out[i] = ranked[0], share if len(may) == 1 else share * min(1.0, max(0.0, 0.5 + best - second))
         return out
 
     def segments(self, text: str) -> list[tuple[str, int, int, float]]:
@@ -384,12 +398,13 @@ class Identifier:
             parts = self.segments(t)
             letters: dict[str, float] = {}
             for c, _, n, sure in parts:
-                letters[c] = letters.get(c, 0.0) + n * max(0.01, sure - DOUBT)
+                if c:
+                    letters[c] = letters.get(c, 0.0) + n * max(0.01, sure - DOUBT)
             if not letters:
                 out.append(("", [], []))
                 continue
             main = max(sorted(letters), key=lambda c: letters[c])
-            out.append((main, sorted({main} | {c for c, n, _, sure in parts if n >= 2 and sure >= DOUBT + 0.1}), parts))
+            out.append((main, sorted({main} | {c for c, n, _, sure in parts if c and n >= 2 and sure >= DOUBT + 0.1}), parts))
         return out
 
 
