@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 
 from test_problems import ENGLISH, FRENCH, GERMAN, MODEL, SPANISH, model_of, who_speaks  # noqa: F401
@@ -26,9 +27,9 @@ def test_margin_is_tried_on_all_chains_and_on_the_gates_signs():
 def test_held_records_come_from_all_rows_and_are_whole(spark):
     rows = [(f"plain text number {i}",) for i in range(1500)] + [(FRENCH * 4,)] * 2 + [(GERMAN * 4,), ("forÃªt",), (None,)]
     df = spark.createDataFrame(rows, "text string").coalesce(1)
-    assert sorted(mojibake.held_records(df, "text", 60)) == sorted([FRENCH * 4, GERMAN * 4])
+    assert sorted(mojibake.held_records(df, "text", 60).values()) == sorted([FRENCH * 4, GERMAN * 4])
     garbled = spark.createDataFrame([(f"forÃªt {i}",) for i in range(100)] + [(FRENCH,)], "text string")
-    assert mojibake.held_records(garbled, "text", 2) == [FRENCH]
+    assert list(mojibake.held_records(garbled, "text", 2).values()) == [FRENCH]
 
 
 # ---- problem 2
@@ -131,3 +132,99 @@ def test_cyrillic_with_greek_and_no_latin_letters(spark, dirty, clean):
     df = spark.createDataFrame([(1, "title", dirty), (2, "title", clean)], "video_id bigint, field string, text string")
     assert lookalikes.needs(dirty) and not lookalikes.needs(clean)
     assert [(r["video_id"], r["normal"], r["kinds"]) for r in lookalikes.find_lookalikes(df, MODEL).collect()] == [(1, clean, ["script"])]
+
+
+# ---- problems 9, 8, 6, 5: fitted rates, item-sized windows, votes within a script, verdicts of hosts
+
+
+def test_fitted_rates_are_the_least_squares_ones():
+    from transquill.llm import mixing
+
+    rng = np.random.default_rng(3)
+    n, docs = 3, 40
+    tokens = rng.integers(10, 200, docs).astype(float)
+    post = rng.dirichlet(np.ones(n) * 0.5, docs)
+    sure, cap = np.array([2000.0, 900.0, 1500.0]), np.array([2.0, 3.0, 1.0])
+    soft = sure + tokens @ post
+    goal = np.array([1800.0, 2100.0, 700.0])
+    expected = lambda start, steps: (mixing.open_rates(post, np.full(docs, 1.0), start, steps) * tokens) @ post
+    start, steps, got = mixing.fit_rates(sure, soft, goal, cap, expected)
+    # plain projected gradient descent with tiny steps over all variables, in which the labelled tokens are single documents
+    a = np.concatenate([np.diag(sure), (post * tokens[:, None]).T], axis=1) / np.sqrt(soft)[:, None]
+    top, x = np.concatenate([cap, np.ones(docs)]), np.zeros(n + docs)
+    lipschitz = np.linalg.norm(a, 2) ** 2
+    for _ in range(200_000):
+        x = np.clip(x - a.T @ (a @ x - goal / np.sqrt(soft)) / lipschitz, 0, top)
+    best = ((a @ x - goal / np.sqrt(soft)) ** 2).sum()
+    assert (((got - goal) ** 2) / soft).sum() <= best + 1e-3 * goal.sum() and (got >= 0).all()
+
+
+def test_whole_items_with_many_edits_are_near_copies_without_a_passage():
+    from transquill.llm import leaks
+
+    item = " ".join(f"word{i} and" for i in range(60)).split()
+    doc = list(item)
+    doc[::11] = ["other"] * len(doc[::11])  # no twelve words on end with one edit, yet most of the item
+    found = list(leaks.Items([(1, " ".join(item))]).leaks([(7, "before it all " + " ".join(doc) + " after it")]))
+    assert not found or found[0][2] in (0, *range(12, 120))
+    assert leaks.over(doc, item, 0) < 1.0 == leaks.over(item, item, 0)
+    assert list(leaks.Items([(1, " ".join(item))]).leaks([(7, " ".join(item))]))[0][2:] == (120, 1.0, 1.0)
+
+
+def test_items_in_blocks_give_the_same_leaks(spark):
+    from transquill.llm import leaks
+
+    items = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(12)], "item_id bigint, text string")
+    docs = items.select((items["item_id"] * 10).alias("doc_id"), "text")
+    whole, blocks = leaks.find_leaks(docs, items), leaks.find_leaks(docs, items, most_bytes=300)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, blocks.collect())) and whole.count() == 12
+
+
+def test_languages_of_the_same_script_are_told_apart_by_their_ngrams():
+    from transquill.llm import languages as L
+
+    russian = "сегодня мы расскажем о том как в нашем городе собирали урожай яблок и что из этого вышло для всех жителей " * 3
+    counts = np.zeros((2, 1 << L.BITS), np.uint16)
+    for i in range(len(L.CODES)):
+        counts[:, i] |= np.uint16(1 << i)  # every language has learned something
+    one, two, _ = L.grams([russian])
+    counts[0][one] |= np.uint16(1 << L.CODES.index("ru"))
+    counts[1][two] |= np.uint16(1 << L.CODES.index("ru"))
+    who = L.Identifier(L.Filters(counts))
+    other = "Сьогодні ввечері ми їхали до міста, щоб купити хліба й молока, бо вдома вже нічого не було, і всі хотіли їсти."
+    assert [c for c, _ in who.decide([russian, other])] == ["ru", ""]
+    assert who.languages([other]) == [("", [], [])]
+
+
+def test_the_verdict_of_a_host_lowers_the_share_from_which_its_documents_are_suspect(spark):
+    from transquill.llm import repetition
+
+    bad, good = [(i, "bad", 0.4 if i % 2 else 0.2, 0.0) for i in range(40)], [(100 + i, "good", 0.0, 0.0) for i in range(400)]
+    rows = [*bad, *good, (999, None, 0.2, 0.0)]
+    out = {r["video_id"]: r for r in repetition.judge(spark.createDataFrame(rows, "video_id bigint, host string, runs double, lines double")).collect()}
+    assert len(out) == len(rows) and out[0]["suspect"] and out[0]["failed"] == [] and out[0]["host_bad"] and not out[999]["suspect"] and not out[100]["host_bad"]
+
+
+def test_intermediate_rows_need_a_shared_folder_outside_one_process(spark, monkeypatch):
+    from transquill.llm import rows
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):  # noqa: N802
+            return {}
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *_: None)
+
+    class Frame:
+        sparkSession = Session()
+
+    with pytest.raises(ValueError, match="shared|share"):
+        rows.stored(Frame())
