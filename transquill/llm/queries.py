@@ -35,21 +35,24 @@ def p1_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lookalikes(spark, sf_dir).dropDuplicates(["video_id", "field"])
 
 
-def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    of_text = turns.find_turns(transcripts(spark, sf_dir), "transcript").withColumn("field", F.lit("transcript"))
+def _turns(spark: SparkSession, sf_dir: str, with_speech: bool) -> DataFrame:
+    """Turns of transcripts and of caption files; each row's turns are numbers of a few bytes unless their speech is asked for."""
+    columns = ["turn_no", "speaker_no", *(["label", "start", "speech"] if with_speech else [])]
     captions = _table(spark, sf_dir, "raw_captions").where(has_text("raw_text")).select(turns.path_id(F.col("raw_path")).alias("youtube_id"), F.col("raw_text").alias("text"))
-    of_files = turns.find_turns(captions, "captions", key="youtube_id").distinct()
+    weights = turns.fit(captions)
+    of_text = turns.find_turns(transcripts(spark, sf_dir), "transcript", weights).select("video_id", F.lit("transcript").alias("field"), *columns)
+    of_files = turns.find_turns(captions, "captions", weights, key="youtube_id").select("youtube_id", *columns).distinct()
     ids = _table(spark, sf_dir, "videos").select("youtube_id", F.col("id").alias("video_id")).distinct()
-    return of_text.unionByName(of_files.join(ids, "youtube_id").drop("youtube_id").withColumn("field", F.lit("raw_path")))
+    return of_text.unionByName(of_files.join(ids, "youtube_id").select("video_id", F.lit("raw_path").alias("field"), *columns))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _turns(spark, sf_dir).select("video_id", "field", "turn_no", "speaker_no").distinct()
+    return _turns(spark, sf_dir, with_speech=False).distinct()
 
 
 def p2_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The turns with their clean speech."""
-    return _turns(spark, sf_dir).distinct()
+    return _turns(spark, sf_dir, with_speech=True).distinct()
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,13 @@
 """Problem 2: clean, ordered speaker turns from transcripts and caption files.
 
 A text becomes pieces (what stands between time marks, speaker marks or cues), in time order, each with the label it may
-have. A semi-Markov model scores whole turns: how well the labels of a turn's pieces fit one person, that a piece without
-a label goes on with the person before, the pauses inside, and whether a cut falls inside a sentence; the best sequence of
-turns is found by dynamic programming. Spans that are no speech are removed when turns are rebuilt.
+have. A semi-Markov conditional model (turn_model), fitted on labelled caption files, scores whole turns by their labels, pauses, lexical
+continuity, unfinished sentences and length; the best sequence of turns is found by dynamic programming. Spans that are no
+speech are removed when turns are rebuilt.
 
 Defined results: null or blank texts, texts without time or speaker marks and texts in which fewer than two persons are
-labelled give no turn; pieces before the first label go with the first labelled person; cues without a readable time keep
-their place; of pieces with one time the order in the file decides.
+labelled give no turn; pieces before the first label are a part of the first turn; cues without a readable time keep their
+place; of pieces with one time the order in the file decides; without labelled files the model has stated weights.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from transquill.llm import turn_model
 from transquill.llm.lookalikes import needs, normal_form
 from transquill.llm.rows import has_text, map_rows
+from transquill.llm.turn_model import Sequence, best_persons, overlap
 
 # Sounds that stand for no word, words before a person's number, and phrases before a colon that name nobody.
 FILLERS = frozenset("um uhm uh erm er hm hmm hum mm mmm mhm ah eh em euh heu ähm äh öhm hem ehm este э ээ эм м мм хм ну ã hã ahn hum えー ええと えーと あの あのー うーん えっと 嗯 呃 啊 那个 เอ่อ อืม أم آه اه إيه हम्म अं उम".split())
@@ -31,6 +33,7 @@ WORDS_NOT_NAMES = frozenset("the a an is are here this that rule le la les un un
 TITLES = frozenset("dr dra prof mr mrs ms miss mme mlle hr herr frau sr sra srta don doña sig дr доктор д-р г-н г-жа".split())
 # End of fixed values.
 
+UNFITTED = turn_model.UNFITTED.tolist()
 CLOCK = r"\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?"
 MARK = re.compile(rf"(?P<stamp>[\[(]{CLOCK}[\])]|(?<![\d:.,]){CLOCK}(?![\d:]))|(?P<arrow>(?<![>\w])>>(?!>))")
 ROLE = re.compile(r"^([^\W\d_]+)\.?[\s_#-]*0*(\d{1,3})$")
@@ -42,10 +45,10 @@ TAG = re.compile(r"</?[^<>\n]{1,60}>")
 WORD = re.compile(r"[^\W_](?:[^\W_]|[\u0300-\u036f\u0900-\u097f\u0e00-\u0e7f'’-])*")
 END = re.compile(r"[.!?…。！？।؟♪][»”\"’')\]」]*\s*$")
 
-#: Scores of the model: a label that fits its person, one that doesn't, going on without a label, a cut without a label,
-#: a turn, a pause within a turn for each second, a cut inside a sentence.
-CARRY = 0.051
-FITS, CLASH, GOES_ON, CUT, TURN, PAUSE, INSIDE = 6.0, -12.0, 1.0, -6.0, -0.5, -0.01, -0.5
+#: Seconds by which the times of cues that touch may differ; the pause from which a longer one says no more.
+CARRY, LONG_PAUSE = 0.051, 30.0
+#: The model is fitted on at most so many labelled files of at most so many pieces and characters.
+TRAIN_FILES, TRAIN_PIECES, TRAIN_CHARS = 48, 64, 20_000
 
 
 @dataclass
@@ -279,33 +282,42 @@ def persons(labels: list[str]) -> tuple[dict[str, list[int]], int]:
     return {x: [i for i, h in enumerate(heads) if same_person(k, h)] for x, k in keys.items()}, len(heads)
 
 
-def best_turns(pieces: list[Piece], may: dict[str, list[int]], n: int) -> list[int]:
-    """The person of each piece: the highest-scoring sequence of whole turns."""
-    m = len(pieces)
-    fit = [[GOES_ON] * n if not p.label or p.label not in may else [FITS if k in may[p.label] else CLASH for k in range(n)] for p in pieces]
-    inside = [0.0] + [0.0 if END.search(pieces[j - 1].text) else INSIDE for j in range(1, m)]
-    cut = [0.0] + [CUT if not pieces[j].label else 0.0 for j in range(1, m)]
-    pause = [0.0] + [PAUSE * min(30.0, max(0.0, pieces[j].start - pieces[j - 1].start)) for j in range(1, m)]
-    # best[j][k]: best score of the pieces before j, the last turn being person k's; a turn is extended or closed
-    score = [TURN + fit[0][k] for k in range(n)]
-    back: list[list[int]] = [[-1] * n]
-    for j in range(1, m):
-        top = sorted(range(n), key=lambda k: -score[k])[:2]
-        new, came = [], []
-        for k in range(n):
-            stay = score[k] + pause[j] + fit[j][k]
-            other = next((x for x in top if x != k), None)
-            change = score[other] + TURN + cut[j] + inside[j] + fit[j][k] if other is not None else -1e18
-            new.append(max(stay, change))
-            came.append(k if stay >= change else other)
-        score = new
-        back.append(came)
-    k = max(range(n), key=lambda k: (score[k], -k))
-    out = [k]
-    for j in range(m - 1, 0, -1):
-        k = back[j][k]
-        out.append(k)
-    return out[::-1]
+def content(text: str) -> set[str]:
+    """The words by which a piece may go on with what was said before."""
+    return {w for w in text.lower().split() if len(w) > 3}
+
+
+def sequence(pieces: list[Piece], may: dict[str, list[int]], n: int) -> Sequence:
+    """The pieces as the model sees them."""
+    words = [content(p.text) for p in pieces]
+    fits = [[0] * n if p.label not in may else [1 if k in may[p.label] else -1 for k in range(n)] for p in pieces]
+    near = list(zip(pieces, pieces[1:]))
+    return Sequence(
+        fits, [0.0, *(min(LONG_PAUSE, max(0.0, q.start - p.start)) / LONG_PAUSE for p, q in near)], [0.0, *(overlap(a, b) for a, b in zip(words, words[1:]))], [0.0, *(0.0 if END.search(p.text) else 1.0 for p, _ in near)]
+    )
+
+
+def labelled_sequence(raw: str) -> tuple[Sequence, int] | None:
+    """A caption file's pieces with the persons that its labels name for certain, and how many persons there are."""
+    pieces = ordered(caption_pieces(_plain(raw)))
+    may, n = persons([p.label for p in pieces if p.label])
+    spoken = [p for p in pieces if speech(p.text)]
+    if n < 2 or not 2 <= len(spoken) <= TRAIN_PIECES or any(len(k) != 1 for k in may.values()) or not any(p.label in may for p in spoken):
+        return None
+    s, gold = sequence(spoken, may, n), []
+    first = next(may[p.label][0] for p in spoken if p.label in may)
+    for p in spoken:
+        gold.append(may[p.label][0] if p.label in may else gold[-1] if gold else first)
+    s.gold = gold
+    return s, n
+
+
+def fit(captions: DataFrame, column: str = "text", files: int = TRAIN_FILES) -> list[float]:
+    """The model's weights, from at most so many labelled files: those with the least hashes of all."""
+    hashed = captions.where(has_text(column) & (F.length(column) <= TRAIN_CHARS)).select(F.xxhash64(column).alias("h"), F.col(column).alias("t"))
+    texts = dict.fromkeys(r["t"] for r in hashed.orderBy("h", "t").limit(4 * files).collect())
+    found = [x for t in texts if (x := labelled_sequence(t))][:files]
+    return turn_model.fit([s for s, _ in found], max((n for _, n in found), default=2))
 
 
 @dataclass
@@ -317,28 +329,22 @@ class Turn:
     text: str
 
 
-def turns(pieces: list[Piece]) -> list[Turn]:
+def turns(pieces: list[Piece], weights: list[float] = UNFITTED) -> list[Turn]:
     """Numbered turns; none if fewer than two persons are labelled."""
     pieces = ordered(pieces)
     labels = [p.label for p in pieces if p.label]
     may, n = persons(labels)
     if n < 2:
         return []
-    spoken = [p for p in pieces if speech(p.text)]
-    if not spoken:
-        return []
-    first = next((i for i, p in enumerate(spoken) if p.label in may), None)
-    who = best_turns(spoken, may, n)
-    if first:
-        who[:first] = [who[first]] * first
+    said = [(p, t) for p in pieces if (t := speech(p.text))]
     out: list[Turn] = []
     numbers: dict[int, int] = {}
-    for p, k in zip(spoken, who):
+    for (p, text), k in zip(said, best_persons(sequence([p for p, _ in said], may, n), weights, n)):
         if out and out[-1].speaker == numbers.get(k):
-            out[-1].text += " " + speech(p.text)
+            out[-1].text += " " + text
             continue
         numbers.setdefault(k, len(numbers) + 1)
-        out.append(Turn(len(out) + 1, numbers[k], p.label, p.start, speech(p.text)))
+        out.append(Turn(len(out) + 1, numbers[k], p.label, p.start, text))
     for t in out:
         t.text = without_fillers(t.text)
     return out
@@ -353,28 +359,28 @@ LIKELY = re.compile(r"[0-9][:][0-9]{2}|>>")
 LINE_LABEL = re.compile(r"(?m)^[^\S\n]*(?:\[[^\]\n]{1,40}\]|[^\n:–—\[\]()]{1,40}?[ \t]*(?::(?:\s|$)|[ ][–—][ ]))")
 
 
-def transcript_turns(text: str) -> list[Turn]:
+def transcript_turns(text: str, weights: list[float] = UNFITTED) -> list[Turn]:
     text = _plain(text)
     if len(LIKELY.findall(text)) < 2 and len(LINE_LABEL.findall(text)) < 2:
         return []
-    return turns(marked_pieces(text))
+    return turns(marked_pieces(text), weights)
 
 
-def caption_turns(raw: str) -> list[Turn]:
-    return turns(caption_pieces(_plain(raw)))
+def caption_turns(raw: str, weights: list[float] = UNFITTED) -> list[Turn]:
+    return turns(caption_pieces(_plain(raw)), weights)
 
 
 SCHEMA = "turn_no int, speaker_no int, label string, start double, speech string"
 
 
-def find_turns(texts: DataFrame, kind: str, key: str = "video_id", column: str = "text") -> DataFrame:
-    """(key, turn_no, speaker_no, label, start, speech) of texts; kind: 'transcript' or 'captions'."""
+def find_turns(texts: DataFrame, kind: str, weights: list[float], key: str = "video_id", column: str = "text") -> DataFrame:
+    """(key, turn_no, speaker_no, label, start, speech) of texts; kind: 'transcript' or 'captions'; weights: of the fitted model."""
 
     def start() -> Callable[..., list[tuple]]:
         split = transcript_turns if kind == "transcript" else caption_turns
 
         def kernel(k, text):  # noqa: ANN001, ANN202
-            return [(k, t.number, t.speaker, t.label or None, t.start, t.text) for t in split(text)]
+            return [(k, t.number, t.speaker, t.label or None, t.start, t.text) for t in split(text, weights)]
 
         return kernel
 
