@@ -40,6 +40,8 @@ OPEN, TOKEN, FINAL, DOTTED = range(4)
 #: Scores of closing marks, of case, and of what is out of balance.
 HARD, POINT, DOTS, SPACE, LOWER, UPPER, UNBALANCED = 4.0, 2.5, 0.5, 0.3, -5.0, 1.0, -6.0
 TYPICAL, SPREAD = log(70.0), 1.6
+#: Characters from which the cost of a span's length is concave in it.
+FAR = 191
 
 BLANK = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+|\r\n[^\S\n]*\r\n\s*")
 MARK = re.compile(rf"(?P<mark>\.{{2,}}|…+|[。！？।॥]+|[.!?؟۔‼⁇⁈⁉]+(?:[.!?…]*))(?P<close>(?:[^\S\n]?»|[{CLOSERS}])*)")
@@ -48,7 +50,9 @@ THAI = re.compile(r"[฀-๿]")
 HEADER = re.compile(r"-{3,}[^\n]*?\S[^\S\n]+-{3,}(?=\s|$)|={3,}[^\n=]+={3,}(?=\s|$)")
 #: Word characters and the marks of scripts in which marks are none: accents, Arabic, Devanagari, Thai.
 MORE = r"\w" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0x300, 0x36F), (0x64B, 0x655), (0x900, 0x97F), (0xE00, 0xE7F)))
-LAST_TOKEN = re.compile(rf"[^\W_](?:[{MORE}]|[.'’-](?=[{MORE}]))*$")
+#: The word that ends where a text, read backwards, begins.
+LAST_TOKEN = re.compile(rf"(?:[{MORE}]|(?<=[{MORE}])[.'’-])*(?<=[^\W_])")
+QUOTES = re.compile(r"[«»“”„\"()\[\]「」『』（）【】]")
 NEXT_TOKEN = re.compile(rf"[\s{OPENERS}–—•*-]*(?P<word>[^\W_](?:[{MORE}]|['’-](?=\w))*)")
 WIDE = re.compile(r"[぀-ヿ㐀-鿿]")
 ANY_WORD = re.compile(rf"[^\W_](?:[{MORE}]|['’-](?=\w))*")
@@ -134,8 +138,8 @@ def is_lower(text: str) -> bool:
 def depths(text: str, a: int, b: int) -> tuple[list[int], list[int]]:
     """Positions at which quotations and brackets open or close, and how many are open from there."""
     at, open_, stack = [a], [0], []
-    for m in re.finditer(r"[«»“”„\"()\[\]「」『』（）【】]", text[a:b]):
-        c, i = m[0], a + m.start()
+    for m in QUOTES.finditer(text, a, b):
+        c, i = m[0], m.start()
         if c == '"':
             if stack and stack[-1] == '"':
                 stack.pop()
@@ -158,7 +162,14 @@ def depths(text: str, a: int, b: int) -> tuple[list[int], list[int]]:
     return at, open_
 
 
-def split_block(text: str, a: int, b: int, lower: bool, model: Model) -> list[int]:
+def last_word(backwards: str, start: int, end: int) -> str:
+    """The word of the text from start that ends at end; the text is given backwards."""
+    n = len(backwards)
+    m = LAST_TOKEN.match(backwards, n - end, n - start)
+    return m[0][::-1] if m else ""
+
+
+def split_block(text: str, backwards: str, a: int, b: int, lower: bool, model: Model) -> list[int]:
     """Ends of the sentences of one block."""
     ends: list[int] = []
     close: list[float] = []
@@ -171,8 +182,7 @@ def split_block(text: str, a: int, b: int, lower: bool, model: Model) -> list[in
         if ends and not any(c.isalnum() for c in text[ends[-1] : m.start()]):  # nothing was said between two marks
             ends.pop(), close.pop(), opens.pop()
         mark, quoted, nxt = m["mark"], m["close"], text[end]
-        word = LAST_TOKEN.search(text, max(a, m.start() - 40), m.start())
-        token = word[0] if word else ""
+        token = last_word(backwards, a, m.start())
         follows = NEXT_TOKEN.match(text, end, b)
         first = follows["word"] if follows else ""
         tight = not nxt.isspace()
@@ -183,7 +193,7 @@ def split_block(text: str, a: int, b: int, lower: bool, model: Model) -> list[in
             if nxt in ".!?…,;:%/\\_@=&-–)]»" or nxt.isdigit() and (not token or token[-1].isdigit() or mark[0] == "."):
                 continue
             if mark[0] == "." and len(mark) == 1 and not quoted:
-                glued = re.search(r"\S*$", text[max(a, m.start() - 60) : m.start()])[0] + re.match(r"\S*", text[end : end + 60])[0]
+                glued = (text[max(a, m.start() - 60) : m.start() + 1].split() or [""])[-1][:-1] + (text[end : end + 60].split(None, 1) or [""])[0]
                 if nxt.isalpha() and nxt.islower() and (not lower or len(token) < 3 or "/" in glued or len(first) < 2 or re.search(r"\.\w*\.", "." + glued) or first in ("example", "com", "org", "net", "html", "fr", "de", "es")):
                     continue
                 if nxt.isalpha() and nxt.isupper() and (len(token) < 2 or "/" in glued or token[-1:].isupper() and len(token) < 3):
@@ -250,21 +260,28 @@ def _best(text: str, a: int, b: int, ends: list[int], close: list[float], opens:
     best = [0.0] + [-1e18] * (n - 1)
     back = [0] * n
     high = [0.0] * n
-    floor = 0
+    far = Far(points, best)
     for j in range(1, n):
-        for i in range(j - 1, floor - 1, -1):
+        full = True
+        for i in range(j - 1, -1, -1):
             size = points[j] - points[i]
             off = (log(size) - TYPICAL) / SPREAD
             if off > 0 and high[i] + gain[j] - 0.5 * off * off <= best[j]:
+                full = False
                 break  # no longer span can be better: none starts from a higher score, and all are further off
+            if size > FAR:
+                break
             x = best[i] + gain[j] - 0.5 * off * off - (2.5 if size < 3 else 0.0)
             if deep[i] != deep[j]:
                 x += UNBALANCED
             if x > best[j]:
                 best[j], back[j] = x, i
+        if full and points[j] - points[0] > FAR:
+            for depth_of, x, i in far.best(j, deep):
+                x += gain[j] + (UNBALANCED if depth_of != deep[j] else 0.0)
+                if x > best[j]:
+                    best[j], back[j] = x, i
         high[j] = max(high[j - 1], best[j])
-        if gain[j] > 12.0 and deep[j] == 0:
-            floor = j
     out, j = [], n - 1
     while j > 0:
         out.append(points[j])
@@ -272,12 +289,59 @@ def _best(text: str, a: int, b: int, ends: list[int], close: list[float], opens:
     return out[::-1]
 
 
+class Far:
+    """Beginnings of long spans. Past FAR characters the cost of length is concave: a beginning that was once better than a later
+    one stays better, so of each depth a stack is kept in which each gives way to the one below at a known point."""
+
+    def __init__(self, points: list[int], best: list[float]) -> None:
+        self.points, self.scores = points, best
+        self.taken = 0
+        self.stacks: dict[int, list[tuple[int, int]]] = {}  # (beginning, the point from which the one below is better)
+
+    def value(self, i: int, j: int) -> float:
+        off = (log(self.points[j] - self.points[i]) - TYPICAL) / SPREAD
+        return self.scores[i] - 0.5 * off * off
+
+    def crossing(self, older: int, newer: int, j: int) -> int:
+        """The first point from j on at which the older beginning is at least as good."""
+        low, high = j, len(self.points)
+        while low < high:
+            at = (low + high) // 2
+            if self.value(older, at) >= self.value(newer, at):
+                high = at
+            else:
+                low = at + 1
+        return low
+
+    def best(self, j: int, deep: list[int]) -> list[tuple[int, float, int]]:
+        """(depth, score without the gain, beginning) of the best beginning of each depth for a long span to j."""
+        while self.points[j] - self.points[self.taken] > FAR:
+            i = self.taken
+            self.taken += 1
+            stack = self.stacks.setdefault(deep[i], [])
+            at = len(self.points)
+            while stack:
+                at = self.crossing(stack[-1][0], i, j)
+                if len(stack) > 1 and at >= stack[-1][1]:
+                    stack.pop()  # before it is better than the new one, the one below it is
+                    continue
+                break
+            if not stack or at > j:
+                stack.append((i, at if stack else len(self.points)))
+        out = []
+        for depth_of, stack in self.stacks.items():
+            while len(stack) > 1 and stack[-1][1] <= j:
+                stack.pop()
+            out.append((depth_of, self.value(stack[-1][0], j), stack[-1][0]))
+        return out
+
+
 def sentences(text: str, model: Model) -> list[tuple[int, int]]:
     """(start, end) of each sentence unit, from 0, end excluded."""
     out = []
-    lower = is_lower(text)
+    lower, backwards = is_lower(text), text[::-1]
     for a, b in blocks(text):
-        for end in split_block(text, a, b, lower or is_lower(text[a:b]), model):
+        for end in split_block(text, backwards, a, b, lower or b - a < len(text) and is_lower(text[a:b]), model):
             e = end
             while e > a and text[e - 1].isspace():
                 e -= 1
@@ -289,8 +353,13 @@ def sentences(text: str, model: Model) -> list[tuple[int, int]]:
     return out
 
 
+CERTAIN = re.compile(rf"[!?。！？।؟][{CLOSERS}]?\s*(?=[^\W\d_])|(?<=[^\W\d_]{{5}})\.\s+(?=[^\W\d_])")
+DOT = re.compile(r"\.(?=\s|$)")
+
+
 def _evidence() -> Callable[[list[list]], list[tuple]]:
     def kernel(columns: list[list]) -> list[tuple]:
+        every: Counter = Counter()  # whole words; what they are counted as is looked up once for each
         counts = [Counter() for _ in range(4)]
         for text in columns[0]:
             if not text or not text.strip():
@@ -303,26 +372,24 @@ def _evidence() -> Callable[[list[list]], list[tuple]]:
                 words = ANY_WORD.findall(body)
                 if not words:
                     continue
-                counts[TOKEN].update(map(key, words))
+                every.update(words)
                 counts[OPEN][key(words[0])] += 1
-                for m in re.finditer(rf"[!?。！？।؟][{CLOSERS}]?\s*(?=[^\W\d_])|(?<=[^\W\d_]{{5}})\.\s+(?=[^\W\d_])", body):
+                for m in CERTAIN.finditer(body):
                     nxt = body[m.end()]
                     if m[0][0] in "。！？।؟" and len(m[0].rstrip()) == 1 or not lower and nxt.isupper():
                         w = ANY_WORD.match(body, m.end())
                         if w:
                             counts[OPEN][key(w[0])] += 1
-                if "฀" <= max(body[:1] or " ") <= "๿" or THAI.search(body):
-                    for m in re.finditer(r"\s(?=[฀-๿])", body):
-                        w = ANY_WORD.match(body, m.end())
-                        if w:
-                            counts[TOKEN][key(w[0])] += 0
-                for m in re.finditer(r"\.(?=\s|$)", body):
-                    w = LAST_TOKEN.search(body, max(0, m.start() - 40), m.start())
-                    if w and not w[0][0].isdigit():
-                        k = w[0].rsplit("'", 1)[-1].rsplit("’", 1)[-1].lower()
+                backwards = body[::-1]
+                for m in DOT.finditer(body):
+                    w = last_word(backwards, 0, m.start())
+                    if w and not w[0].isdigit():
+                        k = w.rsplit("'", 1)[-1].rsplit("’", 1)[-1].lower()
                         counts[DOTTED][k] += 1
                         if m.end() == len(body):
                             counts[FINAL][k] += 1
+        for w, n in every.items():
+            counts[TOKEN][key(w)] += n
         out: list[tuple] = []
         for kind, c in enumerate(counts):
             by: Counter = Counter()
