@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from transquill.llm import languages, leaks, lookalikes, markup, mixing, mojibake, repetition, residue, sentences, turns
+from transquill.llm import languages, leaks, lookalikes, markup, mixing, mojibake, repetition, residue, sentences, turn_model, turns
 from transquill.llm.rows import map_rows
 
 FRENCH = "La bibliothécaire répare le vieux télescope près de la forêt. Après, l’équipe étudie la carte du ciel à Noël, où le garçon préfère le goûter. Ça n’était pas très loin. "
@@ -147,32 +147,75 @@ def test_turns_of_caption_files():
     assert turns.caption_turns("{broken") == [] and turns.caption_turns("") == []
 
 
-def brute_turns(pieces, may, n):
-    """The best sequence of persons by trying all of them."""
-    from itertools import product
-
-    def score(seq):
-        s = turns.TURN
-        for j, (p, k) in enumerate(zip(pieces, seq)):
-            s += turns.GOES_ON if not p.label else turns.FITS if k in may[p.label] else turns.CLASH
-            if j and seq[j - 1] == k:
-                s += turns.PAUSE * min(30.0, max(0.0, p.start - pieces[j - 1].start))
-            elif j:
-                s += turns.TURN + (turns.CUT if not p.label else 0) + (0 if turns.END.search(pieces[j - 1].text) else turns.INSIDE)
-        return s
+weight_lists = st.lists(st.floats(-8, 8), min_size=15, max_size=15)
 
-    return max(score(s) for s in product(range(n), repeat=len(pieces))), score
 
-
-@given(st.lists(st.tuples(st.sampled_from(["Anna Bell", "Tom Reed", "Bell", "", "Eve"]), st.sampled_from(["Yes.", "and so", "No!"])), min_size=1, max_size=6))
+@given(st.lists(st.tuples(st.sampled_from(["Anna Bell", "Tom Reed", "Bell", "", "Eve"]), st.sampled_from(["Yes.", "and so", "No!", "and so on"])), min_size=1, max_size=7), weight_lists)
 @settings(max_examples=80, deadline=None)
-def test_turn_sequence_is_the_best(items):
+def test_turn_sequence_is_the_best(items, weights):
+    from itertools import product
+
     pieces = [turns.Piece(float(3 * i), a, b) for i, (a, b) in enumerate(items)]
     may, n = turns.persons([p.label for p in pieces if p.label])
     if n < 2:
         return
-    best, score = brute_turns(pieces, may, n)
-    assert score(turns.best_turns(pieces, may, n)) == pytest.approx(best)
+    s = turns.sequence(pieces, may, n)
+    best = max(turn_model.score(s, weights, list(who)) for who in product(range(n), repeat=len(pieces)))
+    assert turn_model.score(s, weights, turn_model.best_persons(s, weights, n)) == pytest.approx(best, abs=1e-6)
+
+
+@given(st.lists(st.sampled_from([[1, -1], [-1, 1], [0, 0]]), min_size=9, max_size=13), weight_lists)
+@settings(max_examples=15, deadline=None)
+def test_long_turns_are_scored_as_wholes(fits, weights):
+    from itertools import product
+
+    s = turn_model.Sequence(fits, [0.1] * len(fits), [0.2] * len(fits), [1.0] * len(fits))
+    best = max(turn_model.score(s, weights, list(who)) for who in product(range(2), repeat=len(fits)))
+    assert turn_model.score(s, weights, turn_model.best_persons(s, weights, 2)) == pytest.approx(best, abs=1e-6)
+
+
+def test_fitted_weights_have_the_greatest_conditional_likelihood(monkeypatch):
+    from itertools import product
+
+    rng = np.random.default_rng(5)
+    sequences = []
+    for _ in range(8):
+        gold = np.cumsum(rng.random(5) < 0.4) % 2
+        fits = [[0, 0] if j and gold[j] == gold[j - 1] and rng.random() < 0.5 else [1 if k == gold[j] else -1 for k in (0, 1)] for j in range(5)]
+        sequences.append(turn_model.Sequence(fits, *([0.0, *rng.random(4).tolist()] for _ in range(3)), gold.tolist()))
+
+    def likelihood(w):
+        total = -sum(x * x for x in w) / (2 * turn_model.VARIANCE)
+        for s in sequences:
+            all_scores = [turn_model.score(s, w, list(who)) for who in product(range(2), repeat=5)]
+            total += turn_model.score(s, w, s.gold) - np.logaddexp.reduce(all_scores)
+        return total
+
+    monkeypatch.setattr(turn_model, "STEPS", 400)
+    monkeypatch.setattr(turn_model, "RATE", 0.2)
+    w = turn_model.fit(sequences, 2)
+    slopes = [(likelihood([x + 1e-4 * (i == j) for i, x in enumerate(w)]) - likelihood(w)) / 1e-4 for j in range(15)]
+    assert np.abs(slopes).max() < 0.02 and likelihood(w) > likelihood(turn_model.UNFITTED.tolist())
+    assert turn_model.fit([], 2) == turn_model.UNFITTED.tolist()
+
+
+def test_turns_of_held_out_files(spark):
+    """Weights fitted on some files give the labelled persons of others, whose labels are partly taken away."""
+    rng = np.random.default_rng(8)
+    files = []
+    for i in range(60):
+        lines, who = [], 0
+        for j in range(14):
+            fresh = j == 0 or rng.random() < 0.5
+            who = (who + 1) % 2 if fresh and j else who
+            label = ("Anna Bell: ", "Tom Reed: ")[who] if fresh else ""
+            lines.append(f"00:00:{3 * j:02d}.000 --> 00:00:{3 * j + 2:02d}.000\n{label}sentence number {j} of file {i} is said.")
+        files.append(("WEBVTT\n\n" + "\n\n".join(lines),))
+    weights = turns.fit(spark.createDataFrame(files[:30], "text string"))
+    assert weights != turns.UNFITTED
+    for (raw,) in files[30:]:
+        s, n = turns.labelled_sequence(raw)
+        assert turn_model.best_persons(s, weights, n) == s.gold
 
 
 # ---- problem 4

@@ -6,7 +6,10 @@ import numpy as np
 import pytest
 
 from test_problems import ENGLISH, FRENCH, GERMAN, MODEL, SPANISH, model_of, who_speaks  # noqa: F401
-from transquill.llm import lookalikes, markup, mojibake, residue, turns
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from transquill.llm import lookalikes, markup, mojibake, residue, sentences, turns
 
 # ---- problem 3
 
@@ -228,3 +231,53 @@ def test_intermediate_rows_need_a_shared_folder_outside_one_process(spark, monke
 
     with pytest.raises(ValueError, match="shared|share"):
         rows.stored(Frame())
+
+
+# ---- problem 10: spans of any length
+
+
+def brute_spans(points, gain, deep):
+    """The score of the best spans, of all of them."""
+    best = [0.0] + [-1e18] * (len(points) - 1)
+    for j in range(1, len(points)):
+        for i in range(j):
+            size = points[j] - points[i]
+            off = (np.log(size) - sentences.TYPICAL) / sentences.SPREAD
+            best[j] = max(best[j], best[i] + gain[j] - 0.5 * off * off - (2.5 if size < 3 else 0.0) + (sentences.UNBALANCED if deep[i] != deep[j] else 0.0))
+    return best[-1]
+
+
+@given(st.lists(st.tuples(st.integers(1, 120), st.floats(-6, 4), st.booleans()), min_size=5, max_size=120), st.floats(-5, 1))
+@settings(max_examples=120, deadline=None)
+def test_long_spans_are_found_without_trying_all(parts, shift):
+    text, ends, close = "", [], []
+    opened = False
+    for size, score, quote in parts:
+        text += "x" * size
+        if quote:
+            text += "»" if opened else "«"
+            opened = not opened
+        ends.append(len(text))
+        close.append(score + shift)
+    text += "»" * opened + "xxx"
+    got = sentences._best(text, 0, len(text), ends, close, [0.0] * len(ends))
+    where, depth = sentences.depths(text, 0, len(text))
+    points = [0, *ends, len(text)]
+    deep = [depth[int(np.searchsorted(where, p + 1)) - 1] for p in points]
+    deep[0] = deep[-1] = 0
+    gain = [0.0, *close, 0.0]
+    at, total = 0, 0.0
+    for p in got:
+        i, j = points.index(at), points.index(p)
+        off = (np.log(p - at) - sentences.TYPICAL) / sentences.SPREAD
+        total += gain[j] - 0.5 * off * off - (2.5 if p - at < 3 else 0.0) + (sentences.UNBALANCED if deep[i] != deep[j] else 0.0)
+        at = p
+    assert abs(total - brute_spans(points, gain, deep)) < 1e-6
+
+
+def test_a_text_of_nothing_but_abbreviations_takes_no_time():
+    import time
+
+    began = time.process_time()
+    assert sentences.sentences("Dr. " * 50_000, sentences.Model())
+    assert time.process_time() - began < 20
