@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -33,7 +34,7 @@ ODDS = {
     "title": 6.0, "bold": 6.0, "italic": 4.0, "page": 5.0, "template": 6.0, "table": 6.0, "cells": 3.0, "site": 6.0, "item": 0.4, "magic": 6.0,
     "env": 6.0, "command": 5.0, "bare": 2.0, "path": -4.0, "display": 5.0, "math": 4.0, "item_tex": 4.0, "ref": 5.0,
 }
-PAIR, NEAR, FAR, LINE = 3.0, 1.0, 0.3, 0.7
+PAIR, NEAR, FAR, LINE, LINKS = 3.0, 1.0, 0.3, 0.7, 3.5
 # End of fixed values.
 
 TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)((?:\s[^<>]*)?)(/?)>")
@@ -233,6 +234,19 @@ def candidates(text: str) -> list[Piece]:
     return sorted(taken, key=lambda p: p.start)
 
 
+class Reach:
+    """How far the spans that begin up to a place reach; places are asked for in order."""
+
+    def __init__(self, spans: list[tuple[int, int]]) -> None:
+        self.spans, self.at, self.far = sorted(spans), 0, -1
+
+    def to(self, place: int) -> int:
+        while self.at < len(self.spans) and self.spans[self.at][0] <= place:
+            self.far = max(self.far, self.spans[self.at][1])
+            self.at += 1
+        return self.far
+
+
 def graph(text: str, pieces: list[Piece]) -> tuple[list[tuple[int, int]], list[bool]]:
     """Labels the pieces; also the lines of text as (start, end), and whether each is boilerplate."""
     lines = [m.span() for m in re.finditer(r"[^\n]+", text)]
@@ -263,15 +277,25 @@ def graph(text: str, pieces: list[Piece]) -> tuple[list[tuple[int, int]], list[b
             edges.append((j, i, NEAR if text.count("\n", pieces[j].end, p.start) <= 1 else FAR))
         last[p.kind] = i
     # a bullet may be of either kind: it goes with the kind that is there
-    kinds = {p.kind for p in pieces if p.odds >= 3}
-    for i, p in enumerate(pieces):
-        if p.type in ("bullet", "number", "heading") and "wiki" in kinds and "markdown" not in {q.kind for q in pieces if q.odds >= 2.5 and q.type not in ("heading",)}:
-            p.kind = "wiki"
-            j = min((k for k, q in enumerate(pieces) if q.kind == "wiki" and k != i), key=lambda k: abs(k - i))
-            edges.append((i, j, NEAR))
+    if any(p.kind == "wiki" and p.odds >= 3 for p in pieces) and not any(p.kind == "markdown" and p.odds >= 2.5 and p.type != "heading" for p in pieces):
+        after, right = [-1] * len(pieces), -1
+        for i in range(len(pieces) - 1, -1, -1):
+            after[i] = right
+            right = i if pieces[i].kind == "wiki" else right
+        left = -1
+        for i, p in enumerate(pieces):
+            if p.type in ("bullet", "number", "heading"):
+                p.kind = "wiki"
+                near = [k for k in (left, after[i]) if k >= 0]
+                if near:
+                    edges.append((i, min(near, key=lambda k: abs(k - i)), NEAR))
+            left = i if p.kind == "wiki" else left
     base = len(pieces)
     starts = [p.start for p in pieces]
     at = 0
+    inside.sort()
+    unseen = [(x, y) for x, y, i in inside if text[pieces[i].start : pieces[i].end].lower().startswith(("<script", "<style", "<nav"))]
+    covered, in_unseen = Reach([(x, y) for x, y, _ in inside]), Reach(unseen)
     for k, (a, b) in enumerate(lines):
         while at < len(pieces) and pieces[at].end <= a:
             at += 1
@@ -282,11 +306,10 @@ def graph(text: str, pieces: list[Piece]) -> tuple[list[tuple[int, int]], list[b
             links += q.type in ("link", "site", "page") or q.type == "tag" and text[q.start : q.start + 2].lower() == "<a"
             j += 1
         words = len(text[a:b].split())
-        script = any(x <= a and b <= y and text[pieces[i].start : pieces[i].end].lower().startswith(("<script", "<style", "<nav")) for x, y, i in inside)
-        odds = 6.0 if script else (1.0 if links >= 3 and links * 3 > words else -2.0) - min(2.0, words / 10)
+        odds = 6.0 if in_unseen.to(a) >= b else (LINKS if links >= 3 and inner > 0.8 * (b - a) else -2.0) - min(2.0, words / 10)
         costs.append((max(odds, 0.0), max(-odds, 0.0)))
         if k and text.count("\n", lines[k - 1][1], a) == 1:
-            same = [i for x, y, i in inside if x <= lines[k - 1][0] and b <= y]
+            same = covered.to(lines[k - 1][0]) >= b
             edges.append((base + k - 1, base + k, LINE if same or not inside else LINE / 2))
     labels = min_cut(costs, edges)
     for p, markup in zip(pieces, labels):
@@ -360,13 +383,32 @@ def clean(text: str, drop_code: bool = False) -> tuple[str, list[str]]:
     if not kinds:
         return text, []
     marks = [p for p in pieces if p.markup]
+    dead = [span for span, is_dead in zip(lines, boilerplate) if is_dead]
+    starts = [a for a, _ in dead]
+
+    def live(a: int, b: int) -> str:
+        """The text from a to b without dead lines."""
+        i = max(0, bisect_right(starts, a) - 1)
+        parts = []
+        while i < len(dead) and dead[i][0] < b:
+            x, y = dead[i]
+            if y > a:
+                parts.append(text[a:x])
+                a = max(a, min(y, b))
+            i += 1
+        return "".join(parts) + text[a:b]
+
+    def is_dead(p: Piece) -> bool:
+        i = bisect_right(starts, p.start) - 1
+        return i >= 0 and p.end <= dead[i][1]
+
     out: list[str] = []
     at, skip = 0, 0
     for p in marks:
         if p.start < skip:
             at = max(at, p.end)
             continue
-        out.append(text[at : p.start])
+        out.append(live(at, p.start))
         raw = text[p.start : p.end].lower()
         if p.type == "tag" and raw.startswith(("<script", "<style")):
             end = re.compile("</" + raw[1:7].rstrip("> ")[:6], re.IGNORECASE).search(text, p.end)
@@ -386,13 +428,10 @@ def clean(text: str, drop_code: bool = False) -> tuple[str, list[str]]:
             skip = end.start() if end else len(text)
             at = skip
             continue
-        else:
+        elif not is_dead(p):
             out.append(rendered(text, p))
         at = p.end
-    body = "".join(out) + text[at:]
-    gone = {text[a:b].strip() for (a, b), dead in zip(lines, boilerplate) if dead}
-    if gone:
-        body = "\n".join(line for line in body.split("\n") if line.strip() not in gone or not line.strip())
+    body = "".join(out) + live(at, len(text))
     return re.sub(r"[ \t]+\n", "\n", re.sub(r"\n{3,}", "\n\n", body)).strip("\n"), kinds
 
 
