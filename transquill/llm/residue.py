@@ -56,7 +56,7 @@ STRONG = [
     r"est[ae]\s+(?:página|sitio|web|site)\s+(?:necesita|requiere|precisa|requer|utiliza|usa)\s+(?:de\s+)?(?:javascript|cookies|scripts)", r"(?:для\s+этой\s+страницы|этой\s+странице|для\s+работы\s+сайта)\s+(?:нуж|необход|требу)\w+\s+javascript", r"この(?:ページ|サイト).{0,12}javascript.{0,6}(?:必要|有効)", r"(?:本|此|该)(?:页面|网页|网站).{0,8}(?:需要|要求).{0,6}javascript", r"(?:تحتاج|تتطلب)\s+هذه\s+الصفحة.{0,20}(?:javascript|جافا)", r"इस\s+पृष्ठ.{0,20}javascript", r"หน้านี้(?:ต้องใช้|ต้องการ).{0,6}javascript",
     r"(?:please\s+)?(?:enable|turn\s+on|activate|allow)\s+(?:javascript|scripts?|cookies)\b", r"(?:veuillez\s+)?activez\s+(?:les\s+)?(?:javascript|scripts?|cookies)\b", r"(?:schalten\s+sie|aktivieren\s+sie)\s+(?:bitte\s+)?(?:javascript|skripte|cookies)\b", r"(?:active|habilite|activa|ative)\s+(?:los\s+|os\s+)?(?:javascript|scripts|cookies)\b", r"включите\s+(?:сценарии|javascript|скрипты|cookies)", r"(?:javascript|スクリプト|設定)\S{0,6}有効にして(?:から|ください|再)", r"请(?:启用|开启|打开).{0,6}(?:javascript|脚本)",
     r"your\s+browser\s+is\s+(?:out\s+of\s+date|outdated|not\s+supported|unsupported)", r"we\s+use\s+cookies\s+to\b", r"nous\s+(?:utilisons|déposons)\s+des\s+cookies\b", r"wir\s+(?:verwenden|nutzen|setzen)\s+cookies\b", r"(?:usamos|utilizamos)\s+cookies\b", r"мы\s+используем\s+(?:файлы\s+)?cookie", r"(?:当サイト|このサイト)\S{0,8}(?:cookie|クッキー)", r"(?:本网站|我们)使用\s?cookie", r"accept\s+all,?\s+(?:reject|or)\b", r"acceptez\s+ou\s+refusez\b",
-    r"too\s+many\s+requests\b(?!\s+\w+\s+(?:scare|annoy))", r"trop\s+de\s+requêtes\b", r"zu\s+viele\s+anfragen\b", r"demasiadas\s+(?:peticiones|solicitudes)\b", r"(?:muitos|demasiados)\s+pedidos\b.{0,20}(?:rede|servidor)|muitas\s+requisições\b", r"слишком\s+много\s+запросов", r"(?:リクエスト|アクセス)が(?:多すぎ|集中)", r"请求(?:过于频繁|过多|次数)",
+    r"too\s+many\s+requests\b(?=\s*(?:[.,;:!)<–-]|$|(?:were|have|has|from|in|to|at|sent|received)\b))", r"trop\s+de\s+requêtes\b", r"zu\s+viele\s+anfragen\b", r"demasiadas\s+(?:peticiones|solicitudes)\b", r"(?:muitos|demasiados)\s+pedidos\b.{0,20}(?:rede|servidor)|muitas\s+requisições\b", r"слишком\s+много\s+запросов", r"(?:リクエスト|アクセス)が(?:多すぎ|集中)", r"请求(?:过于频繁|过多|次数)",
     r"(?:you\s+don['’]t|you\s+do\s+not)\s+have\s+(?:the\s+)?permission\s+to\b", r"vous\s+n['’](?:avez\s+pas\s+le\s+droit|êtes\s+pas\s+autorisé)", r"sie\s+(?:dürfen|haben\s+keine\s+berechtigung).{0,40}(?:server|zugriff|öffnen|datei)", r"no\s+tiene\s+permiso\s+para\b", r"n[aã]o\s+tem\s+permissão\s+para\b", r"(?:у\s+вас\s+)?нет\s+(?:прав|доступа|разрешения)\s+.{0,40}(?:сервер|файл|ресурс|страниц)", r"(?:開く|アクセスする)権限がありません", r"(?:没有|无)权限(?:访问|打开)|您没有权限",
     r"the\s+(?:item|page|file|resource)\s+you\s+(?:asked|requested|are\s+looking)\s.{0,30}(?:moved|never\s+existed|not\s+(?:be\s+)?found|does\s?n[o'’]t\s+exist|no\s+longer)", r"(?:404\s+)?page\s+not\s+found", r"la\s+page\s+(?:demandée|que\s+vous).{0,30}(?:n['’]existe|introuvable|changé\s+d['’]adresse)", r"die\s+(?:angeforderte|gesuchte)\s+seite\b", r"la\s+página\s+(?:solicitada|que\s+busca).{0,30}(?:no\s+existe|ya\s+no|cambió|movió)", r"a\s+página\s+(?:solicitada|pedida|que\s+procura).{0,30}(?:não|mudou)", r"(?:запрошенная|запрашиваемая)\s+страница", r"(?:お探し|ご指定|要求された)の?(?:ページ|項目).{0,20}(?:見つかり|存在し|移動)", r"(?:您|你)?(?:请求|访问|要找)的(?:页面|网页|资源).{0,12}(?:不存在|已移|找不到)",
     r"bad\s+gateway\b", r"(?:service|server)\s+(?:temporarily\s+)?unavailable\b", r"internal\s+server\s+error\b", r"gateway\s+time-?out\b", r"the\s+proxy\s+(?:gave\s+up|timed\s+out)\b", r"(?:oops|oups|hoppla|vaya|ups)[,!]?\s+.{0,10}(?:something|un\s+souci|une\s+erreur|un\s+problème|etwas|da\s+ist|algo)\b.{0,40}(?:broke|wrong|survenu|côté|schief|passiert|mal|errado)", r"something\s+(?:broke|went\s+wrong)\s+on\s+our\s+(?:side|end)", r"access\s+(?:to\s+this\s+\w+\s+)?(?:is|was|has\s+been)\s+denied\b",
@@ -83,6 +83,11 @@ HINT = re.compile("|".join(WEAK), re.IGNORECASE)
 NARRATED = re.compile(r"\b(?:explains?|says?|said|why|when|that|shows?|teach\w*|pourquoi|explique|quand|wenn|warum|erklärt|cuando|explica|por\s+qué|quando|porque|почему|когда|объясня\w+)\b", re.IGNORECASE)
 SENTENCE = re.compile(r"[^.!?。！？।\n<>]+[.!?。！？।]*")
 ABOUT_END = re.compile(ABOUT, re.IGNORECASE)
+#: The same words anywhere.
+ABOUT_WORD = re.compile(ABOUT[: ABOUT.index(r"\s*[:,]?")], re.IGNORECASE)
+QUOTE_OPENS, QUOTE_CLOSES = frozenset("\"“«„'‘`"), frozenset("\"”»“'’`")
+#: Placeholders for each 400 characters beyond which a text is no talk about them.
+DENSE_HOLES = 4
 WORDS = re.compile(r"[A-Za-z]+")
 def needed(pattern: str) -> frozenset[str]:
     """Lower-case parts, one of which every match of the pattern has: the longest such set that its syntax tree gives."""
@@ -163,8 +168,22 @@ def holes(text: str) -> list[tuple[str, int, int]]:
         for m in pattern.finditer(plain):
             if all(m.end() <= a or m.start() >= b for _, a, b in found):
                 found.append((name, m.start(), m.end()))
-    density = len(found) / max(1, len(text) / 400)
-    return sorted((n, a, b) for n, a, b in found if density > 4 or not ABOUT_END.search(plain[max(0, a - 60) : a]))
+    if not found:
+        return found
+    talk = len(ABOUT_WORD.findall(plain))
+    dense = len(found) > DENSE_HOLES * max(1, len(text) / 400)
+    tutorial = not dense and talk >= 2 and talk >= len(found)
+    return sorted((n, a, b) for n, a, b in found if dense or _unfilled(plain, a, b, tutorial))
+
+
+def _unfilled(plain: str, a: int, b: int, tutorial: bool) -> bool:
+    """Whether what stands around a placeholder leaves it one: not if it is named as such, or is quoted where code is the subject."""
+    if ABOUT_END.search(plain[max(0, a - 60) : a]):
+        return False
+    start, end = max((plain.rfind(c, 0, a) for c in ".!?\n"), default=-1) + 1, STOPS.search(plain, b)
+    sentence = plain[start : end.start() if end else len(plain)]
+    quoted = plain[max(0, a - 1) : a] in QUOTE_OPENS and plain[b : b + 1] in QUOTE_CLOSES
+    return not (quoted and (tutorial or ABOUT_WORD.search(sentence)))
 
 
 def fillers(text: str) -> list[tuple[int, int]]:
