@@ -281,3 +281,30 @@ def test_a_text_of_nothing_but_abbreviations_takes_no_time():
     began = time.process_time()
     assert sentences.sentences("Dr. " * 50_000, sentences.Model())
     assert time.process_time() - began < 20
+
+
+# ---- problems 7 and 4: boilerplate by its place, placeholders by what stands around them
+
+
+def test_lines_of_links_and_navigation_go_but_equal_lines_stay():
+    text = "<p>Hi there all of you</p>\n[Home](/a) [News](/b) [Shop](/c) [Help](/d)\nHome News Shop Help\n<nav>\nHome\n</nav>\nHome"
+    assert markup.clean(text)[0] == "Hi there all of you\n\nHome News Shop Help\n\nHome"
+
+
+def test_one_long_page_takes_linear_time():
+    import time
+
+    began = time.process_time()
+    markup.clean("\n".join("* a [[b]] <b>x</b> <p>y</p>" for _ in range(20_000)))
+    assert time.process_time() - began < 20
+
+
+@pytest.mark.parametrize(
+    ("text", "hit"),
+    [
+        ('Welcome {{name}}, here is your talk.', True), ('The variable "{{name}}" is then replaced.', False), ('In this template you write "{{name}}" and the macro fills "{{city}}" in; a template is simple.', False),
+        ('They said "{{name}}" to all of us.', True), ('Too many requests were sent from your network.', True), ("Too many requests a day make any clerk tired.", False),
+    ],
+)
+def test_placeholders_and_notices_in_context(text, hit):
+    assert bool(residue.residue(text)) is hit
