@@ -178,9 +178,8 @@ class Unit:
     sure: float = 0.0
 
 
-def pure(text: str, restore: mojibake.Restorer) -> str:
-    """The text without garbling, placeholders, filler, markup, annotations and time marks."""
-    text = restore.restore(text)
+def pure(text: str) -> str:
+    """A restored text without placeholders, filler, markup, annotations and time marks."""
     spans = sorted([(a, b) for _, a, b in holes(text)] + fillers(text))
     for a, b in reversed(spans):
         text = text[:a] + " " + text[b:]
@@ -433,7 +432,7 @@ def identify(texts: DataFrame, filters: Filters, model: mojibake.Model, keys: li
             out = []
             for a in range(0, len(columns[-1]), CHUNK):
                 part = [c[a : a + CHUNK] for c in columns]
-                found = who.languages([pure(t, r) for t in part[-1]])
+                found = who.languages([pure(t) for t in r.restored(part[-1])])
                 out += [(*values, main, langs, [dict(zip(names, p)) for p in parts]) for *values, (main, langs, parts) in zip(*part[:-1], found) if langs]
             return out
 

@@ -112,21 +112,84 @@ UPPER_RUN = re.compile("[А-ЯЁ]{3}")
 SENTENCE = re.compile(r"[^.!?\n]+")
 
 
-def _gate() -> str:
-    """What a text must match to be looked at in Python, as few alternatives: rare leads, common leads before odd signs, runs, swapped case."""
-    common = set("àâãäåæçèéêëìíîïñòóôöùúûüß’‘“”«»–—…°·•€£§©®™¿¡ÀÇÉÖÜÄ") | {chr(c) for c in range(0x400, 0x460)} | {chr(c) for c in range(0x600, 0x700)}
+def spread(ranges: str) -> set[str]:
+    """The characters of a class like 'a-zß-ÿ'."""
+    out: set[str] = set()
+    i = 0
+    while i < len(ranges):
+        last = ranges[i + 2] if ranges[i + 1 : i + 2] == "-" and i + 2 < len(ranges) else ranges[i]
+        out |= {chr(c) for c in range(ord(ranges[i]), ord(last) + 1)}
+        i += 3 if last != ranges[i] else 1
+    return out
+
+
+def _gate() -> list[list[set[str]]]:
+    """What a text must have to be looked at: one of these runs of one to four characters, each of a set.
+
+    Rare leads, common leads before odd signs, runs of them, swapped case, and question marks in place of letters.
+    """
+    common = set("àâãäåæçèéêëìíîïñòóôõöùúûüß’‘“”«»–—…°·•€£§©®™¿¡ÀÇÉÖÜÄ") | {chr(c) for c in range(0x400, 0x460)} | {chr(c) for c in range(0x600, 0x700)}
     rare, firm = set(ODD_SIGN) - common, set()
     for codec in DECODERS:
         for a, b, *_ in SEQUENCES:
             for lead in range(a, b + 1):
                 (firm if high(codec)[lead] in common else rare).add(high(codec)[lead])
-    signs = "".join(sorted({high("cp1252")[b] for b in range(0x80, 0xC0)} - {"\xa0"}))
-    slavic = "".join(sorted({high("cp1251")[b] for b in range(0x80, 0xC0)}))
-    arabic = "".join(sorted(c for c in firm if "؀" <= c <= "ۿ"))
-    return "|".join([some("".join(sorted(rare - set("0123456789"))) + "�─-■\u0080-\u009f".replace("-", "\x00")).replace("\x00", "-").replace("\\\x00", "-"), r"\?\?", f"[àâãäåæçèéï]{some(signs)}", f"[ВГДЕЌРС]{some(slavic)}", f"{some(arabic)}[\u0080-¿€‚ƒ„…†‡ˆ‰‹‘’“”•–—™›]" if arabic else r"\?\?", "[¡-¿À-ÿ]{3}", "[а-яё][А-ЯЁ]", "[А-ЯЁ]{4}", "[a-zß-ÿ][À-ÞŸΓ-Ω²³¹÷ﬂ]"])
-
-
-GATE = _gate()
+    signs = {high("cp1252")[b] for b in range(0x80, 0xC0)} - {"\xa0"}
+    slavic = {high("cp1251")[b] for b in range(0x80, 0xC0)}
+    arabic = {c for c in firm if "؀" <= c <= "ۿ"}
+    upper, latin = spread("А-ЯЁ"), spread("¡-¿À-ÿ")
+    return [
+        [rare - set("0123456789") | {"�"} | spread("─-■\u0080-\u009f")], [{"?"}] * 2, [set("àâãäåæçèéï"), signs], [set("ВГДЕЌРС"), slavic], [arabic, spread("\u0080-¿") | set("€‚ƒ„…†‡ˆ‰‹‘’“”•–—™›")], [latin] * 3, [spread("а-яё"), upper], [upper] * 4,
+        [spread("a-zß-ÿ"), spread("À-ÞΓ-Ω") | set("Ÿ²³¹÷ﬂ")],
+    ]
+
+
+RUNS_OF = _gate()
+#: The same as a pattern.
+GATE = "|".join("".join(some("".join(sorted(x))) for x in run) for run in RUNS_OF if all(run))
+#: Characters that only look like others; with them a record isn't clean.
+LOOKS_LIKE = "\xad\u200b-\u200f\u2060-\u2064\ufeffＡ-ｚﬀ-ﬆ\U0001d400-\U0001d7ff"
+
+
+def _classes() -> tuple[np.ndarray, list[list[int]], int]:
+    """For each code point the sets that it is in, as bits; each run as bits; the bit of what only looks like others."""
+    sets: list[set[str]] = []
+    runs = []
+    for run in RUNS_OF:
+        if all(run):
+            for x in run:
+                if x not in sets:
+                    sets.append(x)
+            runs.append([1 << sets.index(x) for x in run])
+    table = np.zeros(0x110000, np.uint32)
+    for i, x in enumerate([*sets, spread(LOOKS_LIKE)]):
+        table[[ord(c) for c in x]] |= np.uint32(1 << i)
+    return table, runs, 1 << len(sets)
+
+
+CLASSES, RUN_BITS, ALIKE_BIT = _classes()
+
+
+def gated(texts: list[str | None], alike: bool = False) -> list[bool]:
+    """Which of the texts the gate's pattern matches, or, if asked, have characters that only look like others; all at once."""
+    out = [False] * len(texts)
+    own = [i for i, t in enumerate(texts) if t and (not t.isascii() or "??" in t)]
+    if not own:
+        return out
+    joined = "\n".join(texts[i] for i in own)
+    bits = CLASSES[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    n = len(bits)
+    hit = bits & np.uint32(RUN_BITS[0][0] | (ALIKE_BIT if alike else 0)) != 0
+    for run in RUN_BITS[1:]:
+        if n >= len(run):
+            found = bits[: n - len(run) + 1] & np.uint32(run[0]) != 0
+            for k in range(1, len(run)):
+                found &= bits[k : n - len(run) + 1 + k] & np.uint32(run[k]) != 0
+            hit[: len(found)] |= found
+    ends = np.cumsum([len(texts[i]) + 1 for i in own])
+    for i in np.unique(np.searchsorted(ends, np.flatnonzero(hit), "right")).tolist():
+        out[own[i]] = True
+    return out
 
 
 def _hashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -418,6 +481,14 @@ class Restorer:
             return []
         return self.judged(text)
 
+    def spans_of(self, texts: list[str]) -> list[list[Span]]:
+        """spans() of many texts at once."""
+        return [self.judged(t) if hit else [] for t, hit in zip(texts, gated(texts))]
+
+    def restored(self, texts: list[str]) -> list[str]:
+        """restore() of many texts at once."""
+        return [self.restore(t, spans) for t, spans in zip(texts, self.spans_of(texts))]
+
     def judged(self, text: str) -> list[Span]:
         """spans() of a text whatever signs it has."""
         found = self.utf8(text)
@@ -429,7 +500,7 @@ class Restorer:
         if WORD_SUSPECT.search(rest):
             found += self.words(text)
         spans = disjoint(found)
-        spans += [s for m in LOST.finditer(text) if all(m.end() <= t.start or m.start() >= t.end for t in spans) for s in [Span(m.start(), m.end(), None, "lost")]]
+        spans += [s for m in (LOST.finditer(text) if "�" in text or "??" in text else ()) if all(m.end() <= t.start or m.start() >= t.end for t in spans) for s in [Span(m.start(), m.end(), None, "lost")]]
         return sorted(spans, key=lambda s: s.start)
 
     def restore(self, text: str, spans: list[Span] | None = None) -> str:
@@ -444,7 +515,7 @@ class Restorer:
 
 
 #: A record is clean if it has no sign of any garbling, and no characters that only look like others.
-CLEAN = GATE + "|[­​-‏⁠-⁤﻿Ａ-ｚﬀ-ﬆ\U0001d400-\U0001d7ff]"
+CLEAN = GATE + f"|[{LOOKS_LIKE}]"
 
 
 def _gram_counts(texts: list[str]) -> list[tuple[int, int, int]]:
@@ -461,8 +532,10 @@ def _gram_counts(texts: list[str]) -> list[tuple[int, int, int]]:
 
 
 def _count(held: frozenset[int]) -> Callable[[], Callable[[list[list]], list[tuple]]]:
-    unclean = re.compile(CLEAN)
-    return lambda: lambda columns: _gram_counts([t for h, t in zip(*columns) if t and h not in held and not unclean.search(t)])
+    def kernel(columns: list[list]) -> list[tuple]:
+        return _gram_counts([t for h, t, unclean in zip(*columns, gated(columns[1], alike=True)) if t and h not in held and not unclean])
+
+    return lambda: kernel
 
 
 def count_ngrams(texts: DataFrame, column: str = "text", held: frozenset[int] = frozenset()) -> DataFrame:
@@ -565,14 +638,13 @@ def find_garbled(texts: DataFrame, model: Model, key: str = "video_id", column:
     """(key, restored, passages, chains) of each record with a garbled passage."""
     make = restorer(texts.sparkSession, model)
 
-    def start() -> Callable[..., list[tuple]]:
+    def start() -> Callable[[list[list]], list[tuple]]:
         r = make()
 
-        def kernel(k, text):  # noqa: ANN001, ANN202
-            spans = r.spans(text)
-            return [(k, r.restore(text, spans), len(spans), sorted({s.chain for s in spans}))] if spans else []
+        def kernel(columns: list[list]) -> list[tuple]:
+            return [(k, r.restore(text, spans), len(spans), sorted({s.chain for s in spans})) for k, text, spans in zip(*columns, r.spans_of(columns[1])) if spans]
 
         return kernel
 
     kind = dict(texts.dtypes)[key]
-    return map_rows(texts.where(has_text(column)), [key, column], start, f"`{key}` {kind}, restored string, passages int, chains array<string>")
+    return map_batches(texts.where(has_text(column)), [key, column], start, f"`{key}` {kind}, restored string, passages int, chains array<string>")

@@ -12,7 +12,7 @@ host null; with no host, or none that fails, the prior is flat.
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import regex
@@ -53,7 +53,7 @@ def may_repeat(all_units: list[tuple[list[str] | str, int]]) -> list[bool]:
             continue
         counts = [len(all_units[i][0]) for i in own]
         if size == RUN_WORDS:
-            h = np.fromiter((x for i in own for x in map(hash, all_units[i][0])), np.int64, sum(counts)).view(np.uint64)
+            h = np.fromiter(map(hash, chain.from_iterable(all_units[i][0] for i in own)), np.int64, sum(counts)).view(np.uint64)
         else:
             h = np.frombuffer("".join(all_units[i][0] for i in own).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
         n = len(h) - size + 1
@@ -63,11 +63,12 @@ def may_repeat(all_units: list[tuple[list[str] | str, int]]) -> list[bool]:
         owner = np.repeat(np.arange(len(own)), counts)
         same = owner[:n] == owner[size - 1 :]
         key = (roll ^ (owner[:n].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)))[same]
-        of = owner[:n][same]
-        order = np.argsort(key, kind="stable")
-        twice = key[order][1:] == key[order][:-1]
-        for j in np.unique(of[order][1:][twice]):
-            out[own[j]] = True
+        ordered = np.sort(key)
+        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+        if len(twice):
+            at = np.searchsorted(twice, key)
+            for j in np.unique(owner[:n][same][twice[np.minimum(at, len(twice) - 1)] == key]):
+                out[own[j]] = True
     return out
 
 
@@ -120,7 +121,7 @@ def measure(texts: DataFrame, model: Model, key: str = "video_id", host: str = "
             out = []
             for a in range(0, len(columns[0]), CHUNK):
                 ids, hosts, texts_ = (c[a : a + CHUNK] for c in columns)
-                out += [(k, h, *m) for k, h, m in zip(ids, hosts, measures([r.restore(t) for t in texts_]))]
+                out += [(k, h, *m) for k, h, m in zip(ids, hosts, measures(r.restored(texts_)))]
             return out
 
         return kernel
