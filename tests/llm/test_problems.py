@@ -308,7 +308,7 @@ def test_false_positives_are_taken_off():
 
 def test_purified_text_has_no_markup_or_placeholders():
     r = mojibake.Restorer(MODEL)
-    assert languages.pure("[Music] {{ name }} <b>été</b> 0:12 forÃªt", r).split() == ["été", "forêt"]
+    assert languages.pure(*r.restored(["[Music] {{ name }} <b>été</b> 0:12 forÃªt"])).split() == ["été", "forêt"]
 
 
 # ---- problem 7
