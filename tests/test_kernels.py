@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -7,33 +8,6 @@ from hypothesis import strategies as st
 from transquill.functions import kernels as K
 
 
-def vtt(*cues):
-    return "WEBVTT\n\n" + "\n\n".join(f"{a} --> {b}\n{t}" for a, b, t in cues)
-
-
-def test_overlapping_cues_lose_what_was_said():
-    raw = vtt(("00:00:01.000", "00:00:04.000", "one two three"), ("00:00:03.000", "00:00:06.000", "two three four"), ("00:00:07.000", "00:00:08.000", "four &amp; five"))
-    assert K.clean_captions(raw)[0] == "one two three four four & five"
-
-
-def test_rolling_display_is_taken_out_once_it_is_proved():
-    raw = vtt(
-        ("00:00:01.000", "00:00:02.000", "hello<00:00:01.500><c> there</c>"), ("00:00:02.000", "00:00:02.010", "hello there"), ("00:00:02.010", "00:00:03.000", "hello there\nhow<00:00:02.500><c> are</c>"),
-        ("00:00:03.000", "00:00:03.010", "how are"), ("00:00:03.010", "00:00:04.000", "how are\nyou<00:00:03.500><c> now</c>"),
-    )
-    assert K.clean_captions(raw) == ("hello there how are you now", 4)
-
-
-def test_numbers_between_numbered_cues_are_no_text():
-    raw = "1\n00:00:01,000 --> 00:00:02,000\na\n\n2\n00:00:03,000 --> 00:00:04,000\nb\n\n3\n00:00:05,000 --> 00:00:06,000\n7\n"
-    assert K.clean_captions(raw)[0] == "a b 7"
-
-
-@pytest.mark.parametrize("raw", ["", "no cues here", "00:00:01.000 --> 00:00:02.000\n"])
-def test_files_without_speech(raw):
-    assert K.clean_captions(raw)[0] == ""
-
-
 def test_markup_of_unknown_kind_stays():
     assert K.strip_markup("x < 3 and <ami> &amp;lt;c&amp;gt;word") == "x < 3 and <ami> word"
 
@@ -80,7 +54,7 @@ def test_triples_collapse_only_when_they_are_the_text():
     assert K.collapse_triples(loop, 0.98, 25, 20, 20) == (loop, 0)
 
 
-@pytest.mark.parametrize(("text", "want"), [("we went we went home", "we went home"), ("one two two", "one two"), ("nous nous levons", "nous nous levons"), ("1 2 1 2", "1 2 1 2"), ("a + a", "a + a"), ("so so so so", "so"), ("", "")])
+@pytest.mark.parametrize(("text", "want"), [("we went we went home", "we went home"), ("one two two", "one two"), ("nous nous levons", "nous nous levons"), ("1 2 1 2", "1 2 1 2"), ("a + a", "a + a"), ("so so so so", "so"), ("il ne veut pas pas partir", "il ne veut pas pas partir"), ("this is not not so", "this is not not so"), ("it is is so", "it is so"), ("peut-être peut-être", "peut-être peut-être"), ("(la la) la", "(la la) la"), ("", "")])
 def test_spoken_dedup(text, want):
     assert K.dedup_spoken(text)[0] == want
 
@@ -100,15 +74,86 @@ def test_concordance_ignores_accents_and_rejects_other_speech():
     assert not K.concordance(text, " ".join(f"autre{chr(97 + i % 26)}zzz" for i in range(80)))[2]
 
 
+def brute_dedup(words, widest=128):
+    """Straight from the definition, on plain words: after each word the shortest repeat at the end goes, again and again."""
+    out = []
+    for w in words:
+        out.append(w)
+        again = True
+        while again:
+            again = False
+            for width in range(1, min(widest, len(out) // 2) + 1):
+                tail = out[-width:]
+                if tail == out[-2 * width : -width] and not (width == 1 and w in K.DOUBLES) and not any(c.isdigit() for x in tail for c in x):
+                    del out[-width:]
+                    again = True
+                    break
+    return out
+
+
+@given(st.lists(st.sampled_from(["ja", "oh", "nous", "na", "pas", "x1"]), max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_spoken_dedup_equals_its_definition(words):
+    assert K.dedup_spoken(" ".join(words))[0].split() == brute_dedup(words)
+
+
+@given(st.lists(st.integers(0, 2), max_size=30), st.integers(2, 4), st.integers(1, 6))
+@settings(max_examples=200, deadline=None)
+def test_units_on_end_equal_their_definition(x, times, widest):
+    units = K.longest_units(np.array(x, np.int64), times, range(1, widest + 1))
+    for i in range(len(x)):
+        fits = [u for u in range(1, widest + 1) if i + u * times <= len(x) and all(x[i : i + u] == x[i + k * u : i + (k + 1) * u] for k in range(times))]
+        assert units[i] == max(fits, default=0)
+
+
+def test_strict_triples_keep_short_units_and_bound_the_gap():
+    units = [f"unit number {chr(97 + i % 26)}{chr(97 + i // 26)} with six words" for i in range(110)]
+    three = " ".join(f"{u} {u} {u}" for u in units)
+    strict = dict(coverage=0.98, groups=100, long_groups=30, gap=40, long_only=True)
+    assert K.collapse_triples(three, **strict)[0].split() == " ".join(units).split()
+    apart = three + " " + " ".join(f"w{i}" for i in range(45))
+    assert K.collapse_triples(apart, **strict) == (apart, 0)
+    assert K.collapse_triples(three.replace("unit number aa", "Unit number aa", 1), **strict)[1] < K.collapse_triples(three, **strict)[1]  # copies match exactly
+
+
 def test_artifacts_are_learned_between_anchors_and_restored():
     good = "La première journée était tranquille près du théâtre"
     bad = good.replace("é", "├®").replace("è", "├¿").replace("â", "├ó")
-    pairs = K.artifact_pairs(bad, good)
-    assert pairs["├®", "é"] >= 1
     mapping = {"├®": "é", "├¿": "è", "├ó": "â"}
-    signals = re.compile("[├]")
-    assert K.restore(bad + " " + bad, mapping, signals)[0] == good + " " + good
-    assert K.restore(bad, {"├®": "é"}, signals) == (bad, 0)
+    around = "grande maison {} ville blanche"
+    assert K.artifact_pairs(around.format("à ├® la"), around.format("à é la"))["├®", "é"] == 1
+    assert K.restore(bad + " " + bad, mapping)[0] == good + " " + good
+    assert K.restore(bad, {"├®": "é"}) == (bad, 0)
+    assert K.deep_restore("la journ├®e", mapping) == ("la journée", 1) and K.restore("la journ├®e", mapping)[1] == 0
+    assert K.deep_restore("la journ├®e Ã© bien", mapping)[1] == 0  # weak signs stay
+
+
+def test_only_differing_windows_are_counted():
+    before = " ".join(f"maison blanche {'├®' if i >= 600 else 'x'} grande{chr(97 + i % 26)}{chr(97 + i // 26)} ville" for i in range(620))
+    found = K.artifact_pairs(before, before.replace("├®", "é"), windows=500)
+    assert found["├®", "é"] == 20
+
+
+@pytest.mark.parametrize(("before", "after", "sound", "deep"), [("├®", "é", True, True), ("├", "é", False, False), ("├®", "ée", False, False), ("ab", "é", False, False), ("├®├¿", "", False, False), ("├®├¿├á├ª┬«", "", True, True), ("├®", ".", False, True), ("├®├¿├áe├ª┬«├®├¿", "é", False, True)])
+def test_what_may_be_learned(before, after, sound, deep):
+    assert (K.sound_artifact(before, after), K.deep_artifact(before, after)) == (sound, deep)
+
+
+def test_numbers_and_negations_are_protected():
+    assert K.protected("I didn’t say 3,5 but NOT four") == ["didn't", "3,5", "not"]
+
+
+def test_copies_go_only_if_there_are_enough():
+    group = "<00:00:01.000>line {0}\nline {0}\nline {0}\n"
+    many = "".join(group.format(i) for i in range(12))
+    assert K.without_copies(many)[1] == 24 and K.without_copies(many)[0].count("\n") == 12
+    assert K.without_copies("".join(group.format(i) for i in range(9)))[1] == 0
+    assert K.without_copies(many + "00:00:01.000 --> 00:00:02.000\n")[1] == 0
+
+
+def test_snippets_name_the_first_changes():
+    assert K.snippets("a b c d e", "a b X d e") == [("replace", "a b c d e", "a b X d e")]
+    assert K.snippets("same", "same") == [] and len(K.snippets(" ".join("ab" * 50), " ".join("cb" * 50))) == 4
 
 
 @pytest.mark.parametrize(("name", "want"), [("20240102 - Été à Paris [abcdefghijk].fr.vtt", "ete a paris"), ("Ｗｉｄｅ title.txt", "wide title")])

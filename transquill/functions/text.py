@@ -19,14 +19,21 @@ NOISE_E = ["Musique", "Music", "Applaudissements", "Applause", "Silence", "Rires
 HEAL_F = [("├®", "é"), ("├á", "à"), ("├¿", "è"), ("├┤", "ô"), ("├¬", "ê"), ("├º", "ç"), ("├Ç", "À"), ("├╗", "û"), ("├«", "î"), ("├", " "), ("╠ü", "")]
 HEAL_G = [(p + c, to) for c, to in (("®", "e"), ("¿", "e"), ("¬", "e"), ("ë", "E"), ("á", "a"), ("ª", "c"), ("┤", "o")) for p in ("|", "├")] + [("Ã" + c, to) for c, to in (("©", "e"), ("¨", "e"), ("\xa0", "a"), ("¹", "u"), ("¢", "a"), ("´", "o"), ("»", "u"), ("«", "e"), ("¯", "i"), ("®", "i"), ("§", "c"), ("ª", "e"))]
 HEAL_H = [("├®", "é"), ("├¿", "è"), ("├á", "à"), ("├¬", "ê")]
-#: Technical markers of captions in a text, without those that need look-around.
+#: Technical markers of captions in a text.
 MARKERS = {
+    "downloader_metadata": r'\A\s*\{\s*"id"\s*:\s*"[A-Za-z0-9_-]{11}"(?=[\s\S]{0,8192}"formats"\s*:)',
     "inline_timestamp": r"(?:<|&lt;|&amp;lt;|&#60;)(?:[0-9]+:)?[0-9]{2}:[0-9]{2}[.,][0-9]{3}(?:>|&gt;|&amp;gt;|&#62;)",
-    "cue_timing": r"(?:[0-9]{2,}:)?[0-9]{2}:[0-9]{2}[.,][0-9]{3}[ \t\n]*-->",
+    "cue_timing": r"\b(?:[0-9]{2,}:)?[0-9]{2}:[0-9]{2}[.,][0-9]{3}\s*-->",
+    "orphan_timecode": r"(?U)(?<!\w)[0-9]{2,}:[0-9]{2}:[0-9]{2}[.,][0-9]{3}(?![0-9])",
     "cue_settings": r"(?i)\b(?:align|position|line|size|vertical):(?:start|middle|end|center|left|right|rl|lr|[0-9]+(?:\.[0-9]+)?%?)\b",
     "cue_tag": r"(?i)(?:<|&lt;|&amp;lt;)/?(?:c(?:\.[A-Za-z0-9_.-]+)*|v|lang|ruby|rt)(?:[ \t][^<>]*?)?(?:>|&gt;|&amp;gt;)",
     "vtt_header": r"(?i)\bWEBVTT\b|(?:^|\n)(?:Kind:[ \t]*captions|Language:[ \t]*[a-z]{2})",
 }
+#: The same without look-around, for SQL engines that have none.
+PLAIN_MARKERS = MARKERS | {
+    "downloader_metadata": r'\A\s*\{\s*"id"\s*:\s*"[A-Za-z0-9_-]{11}"[\s\S]*?"formats"\s*:',
+    "orphan_timecode": r"(?:^|[^\p{L}\p{N}_])[0-9]{2,}:[0-9]{2}:[0-9]{2}[.,][0-9]{3}(?:$|[^0-9])",
+}
 CORRUPTION = "�|Ôò|Ôö|û[▓╣┬│]|[┬├][\u0080-￿]"
 WEAK_CORRUPTION = "Ã.|Â."
 #: Errors of a fetch, by category.
@@ -35,6 +42,8 @@ FAILURES = {
     "cookie_access_failed": r"could not (?:copy|find|read).*cookie|failed to decrypt|cookie database.*(?:locked|not found)", "javascript_runtime_missing": r"no supported JavaScript runtime|JavaScript runtime.*not found",
     "video_unavailable": r"Video unavailable|Private video|video has been removed", "http_403": r"HTTP(?: Error)?\s*403", "network_timeout": r"timed out|timeout", "outdated_extractor": r"older than 90 days",
 }
+#: Words that turn a sentence's meaning round.
+NEGATIONS = ("not", "no", "never", "without", "neither", "ne", "pas", "non", "sans", "jamais")
 # End of fixed values.
 
 

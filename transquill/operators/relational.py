@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from transquill.functions.text import FAILURES, has_text, word_count_spaces
+from transquill.functions.text import FAILURES, has_text, word_count_spaces, words
 
 
-def latest(videos: DataFrame) -> DataFrame:
-    """One row for each id: the one updated last; copies and late stale versions fall away."""
-    order = [F.col("last_updated").desc_nulls_last(), F.col("status").asc_nulls_first(), F.col("__size").desc_nulls_last(), F.col("title").asc_nulls_last(), F.col("upload_date").asc_nulls_last(), F.col("duration").asc_nulls_last()]
+def latest(videos: DataFrame, **derived: Column) -> DataFrame:
+    """One row for each id, the one updated last, with what is derived from its text instead of the text.
+
+    Copies and late stale versions fall away. has_text, nonempty, blank_words, space_words, chars, text_sha and the derived
+    columns are computed where the text is read; those that nobody asks for are not computed at all, and no text is exchanged.
+    """
+    t = F.col("transcript")
+    small = videos.select(
+        *(c for c in videos.columns if c != "transcript"), has_text(t).alias("has_text"), F.coalesce(t != "", F.lit(False)).alias("nonempty"), word_count_spaces(t).alias("blank_words"), F.size(words(t)).alias("space_words"),
+        F.length(t).alias("chars"), F.sha2(t, 256).alias("text_sha"), *(c.alias(n) for n, c in derived.items()),
+    )
+    order = [F.col("last_updated").desc_nulls_last(), F.col("status").asc_nulls_first(), F.col("chars").desc_nulls_last(), F.col("title").asc_nulls_last(), F.col("upload_date").asc_nulls_last(), F.col("duration").asc_nulls_last()]
     w = Window.partitionBy("id").orderBy(*order)
-    # the text's length stands for it in the order, so that texts aren't sorted by, nor carried where nobody asks for them
-    return videos.withColumn("__size", F.length("transcript")).withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__size")
+    return small.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
 def keyed(df: DataFrame, key: str, by: str) -> DataFrame:
@@ -24,7 +32,7 @@ def keyed(df: DataFrame, key: str, by: str) -> DataFrame:
 
 
 def no_text() -> Column:
-    return ~has_text(F.col("transcript"))
+    return ~F.col("has_text")
 
 
 def is_no_subs() -> Column:
@@ -32,6 +40,44 @@ def is_no_subs() -> Column:
     return s.like("ERR_NO_EN_FR%") | s.like("ERR_TOO_SHORT%") | (s == "NO_SUBS")
 
 
+def work_queue(videos: DataFrame, attempts: DataFrame, channels: DataFrame, now: str, ids: DataFrame | None = None, channel: str | None = None, limit: int = 500) -> DataFrame:
+    """Videos without text that may be tried now, the newest first; of given ids or of one channel. An empty list of ids selects nothing."""
+    if not 1 <= limit <= 500:
+        raise ValueError("a queue has 1 to 500 videos")
+    v = videos.where(no_text() & (F.coalesce("status", F.lit("")) != "PREMIUM")).select("id", "youtube_id", "channel_id", "upload_date")
+    c = channels.select(F.col("id").alias("channel_id"), "prefix")
+    v = v.join(c.where(F.col("prefix") == channel) if channel is not None else c, "channel_id", "left_semi")
+    if ids is not None:
+        v = v.join(ids, "youtube_id", "left_semi")
+    due = v.join(attempts.select("youtube_id", "next_attempt_at"), "youtube_id", "left").where(F.col("next_attempt_at").isNull() | (F.col("next_attempt_at") <= now))
+    return due.select("id", "youtube_id", "upload_date").orderBy(F.col("upload_date").desc_nulls_last(), "id").limit(limit)
+
+
+def recovery_list(videos: DataFrame, channels: DataFrame, limit: int = 200) -> DataFrame:
+    """The newest videos that may still be fetched, with their channel's name."""
+    c = channels.select(F.col("id").alias("channel_id"), F.col("prefix").alias("channel"))
+    v = videos.where(F.col("status").isin("PENDING", "MISSING", "RETRY_429", "ERR_429_BLOCK", "ERR_DL_FAIL")).select("id", "youtube_id", "title", "status", "channel_id", "upload_date")
+    return v.orderBy(F.col("upload_date").desc_nulls_last(), "id").limit(limit).join(c, "channel_id", "left").select("youtube_id", "title", "status", "channel")
+
+
+def newest(latest_videos: DataFrame, videos: DataFrame, channels: DataFrame, limit: int, chars: int) -> DataFrame:
+    """(youtube_id, title, upload_date, duration, part) of the newest with text in a known channel; part is its beginning."""
+    known = latest_videos.where("nonempty").join(channels.select(F.col("id").alias("channel_id")), "channel_id", "left_semi")
+    top = known.select("id", "youtube_id", "title", "upload_date", "duration").orderBy(F.col("upload_date").desc_nulls_last(), "id").limit(limit)
+    parts = videos.where(F.coalesce(F.col("transcript") != "", F.lit(False))).select("id", F.substring("transcript", 1, chars).alias("part"))
+    return top.join(parts.join(F.broadcast(top.select("id")), "id", "left_semi").dropDuplicates(["id"]), "id")
+
+
+def channel_lists(videos: DataFrame, n: int = 100) -> DataFrame:
+    """(channel_id, list, ids, n): up to n missing, premium and subtitle-less videos of each channel, by id."""
+    s = F.col("status")
+    kind = F.when(~F.col("nonempty") & (s.isNull() | s.isin("MISSING", "PENDING")), "missing").when(s == "PREMIUM", "premium").when(is_no_subs(), "no_subs")
+    w = Window.partitionBy("channel_id", "list").orderBy("id")
+    rows = videos.select("channel_id", "id", "youtube_id", kind.alias("list")).where("list is not null").withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
+    ids = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rn", "youtube_id"))), lambda x: x["youtube_id"]), ",")
+    return rows.groupBy("channel_id", "list").agg(ids.alias("ids"), F.count("*").alias("n"))
+
+
 def status_counters(videos: DataFrame) -> DataFrame:
     """Missing, failed, premium and no-subtitle counts in one pass."""
     s = F.col("status")
@@ -58,39 +104,35 @@ def failure_categories(attempts: DataFrame) -> DataFrame:
 
 
 def channel_health(channels: DataFrame, videos: DataFrame) -> DataFrame:
-    """Nine measures for each channel; one without videos counts its null row, as a left join does."""
-    text = F.col("v.transcript").isNotNull() & (F.col("v.transcript") != "")
-    s = F.col("v.status")
-    no_subs = s.like("ERR_NO_EN_FR%") | s.like("ERR_TOO_SHORT%") | (s == "NO_SUBS")
-    words = F.sum(F.when(text, word_count_spaces(F.col("v.transcript"))).otherwise(0))
-    per_video = videos.select("channel_id", "status", "transcript").alias("v")
-    joined = channels.alias("c").join(per_video, F.col("c.id") == F.col("v.channel_id"), "left")
-    return joined.groupBy("c.id", "c.prefix").agg(
-        F.concat(F.round(F.count_if(text) / F.count("*") * 100, 1).cast("string"), F.lit("%")).alias("success_rate"), F.count_if(text).alias("total_local"), F.count("*").alias("total_remote"),
-        F.count_if(~F.coalesce(text, F.lit(False)) & (s.isNull() | s.isin("MISSING", "PENDING"))).alias("missing_count"), F.count_if(s == "PREMIUM").alias("premium_count"), F.count_if(no_subs).alias("no_subs_count"),
-        F.count_if(s.like("ERR_429_BLOCK%") | (s == "RETRY_429")).alias("retry_count"), words.alias("word_count"), F.expr("(sum(CASE WHEN v.transcript IS NOT NULL AND v.transcript <> '' THEN length(v.transcript) - length(replace(v.transcript, ' ', '')) + 1 ELSE 0 END) + 199999) div 200000").alias("est_packs"),
-    ).withColumnRenamed("id", "channel_id")
+    """Nine measures for each channel; one without videos counts its null row, as a left join does.
+
+    Videos are summed by channel before the join, so that a channel with a third of all rows is one row there.
+    """
+    text, s = F.col("nonempty"), F.col("status")
+    sums = videos.groupBy("channel_id").agg(
+        F.count_if(text).alias("total_local"), F.count("*").alias("n"), F.count_if(~text & (s.isNull() | s.isin("MISSING", "PENDING"))).alias("missing"), F.count_if(s == "PREMIUM").alias("premium_count"),
+        F.count_if(is_no_subs()).alias("no_subs_count"), F.count_if(s.like("ERR_429_BLOCK%") | (s == "RETRY_429")).alias("retry_count"), F.sum(F.when(text, F.col("blank_words")).otherwise(0)).alias("words"),
+    )
+    joined = channels.select(F.col("id").alias("channel_id"), "prefix").join(sums, "channel_id", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    total = F.coalesce("n", F.lit(1))
+    return joined.select(
+        "channel_id", "prefix", F.concat(F.round(zero("total_local") / total * 100, 1).cast("string"), F.lit("%")).alias("success_rate"), zero("total_local").alias("total_local"), total.alias("total_remote"), F.coalesce("missing", F.lit(1)).alias("missing_count"),
+        zero("premium_count").alias("premium_count"), zero("no_subs_count").alias("no_subs_count"), zero("retry_count").alias("retry_count"), zero("words").alias("word_count"), F.expr("(coalesce(words, 0) + 199999) div 200000").alias("est_packs"),
+    )
 
 
 def health_grade(channels: DataFrame, videos: DataFrame) -> DataFrame:
     """Done share by channel with its grade; one aggregation for all channels."""
-    done = has_text(F.col("transcript")) | F.col("status").isin("NO_SUBS", "PREMIUM")
+    done = F.col("has_text") | F.col("status").isin("NO_SUBS", "PREMIUM")
     counts = videos.groupBy("channel_id").agg(F.count("*").alias("total"), F.count_if(F.coalesce(done, F.lit(False))).alias("done"))
     rate = F.round(F.col("done") * 100.0 / F.col("total"), 1)
     return channels.join(counts, channels["id"] == counts["channel_id"]).select("prefix", "total", "done", rate.alias("rate"), F.when(rate >= 95, "OK").when(rate >= 80, "RETARD").otherwise("CRITIQUE").alias("grade"))
 
 
-def top_lists(videos: DataFrame, what: Column, n: int = 100) -> DataFrame:
-    """Up to n videos of a kind for each channel, by id, as JSON."""
-    w = Window.partitionBy("channel_id").orderBy("id")
-    rows = videos.where(what).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
-    item = F.sort_array(F.collect_list(F.struct("rn", F.struct(F.col("youtube_id").alias("id"), F.col("title").alias("t")).alias("x"))))
-    return rows.groupBy("channel_id").agg(F.array_join(F.transform(item, lambda i: i["x"]["id"]), ",").alias("ids"), F.count("*").alias("n"))
-
-
 def excluded(videos: DataFrame, exclusions: DataFrame) -> DataFrame:
     """Without those whose present text is excluded by its hash; a corrected text comes back."""
-    key = videos.withColumn("text_sha", F.sha2("transcript", 256))
+    key = videos if "text_sha" in videos.columns else videos.withColumn("text_sha", F.sha2("transcript", 256))
     out = exclusions.select(F.col("youtube_id").alias("x_id"), F.col("transcript_sha256").alias("x_sha"))
     return key.join(out, (key["youtube_id"] == out["x_id"]) & (key["text_sha"] == out["x_sha"]), "left_anti")
 
@@ -111,37 +153,25 @@ def fill_empty(base: DataFrame, new: DataFrame, key: str, column: str) -> DataFr
     return base.join(add, key, "left").withColumn(column, F.when(has_text(F.col(column)), F.col(column)).otherwise(F.coalesce("__new", column))).drop("__new")
 
 
-def compare_and_set(current: DataFrame, plan: DataFrame, key: str = "youtube_id", column: str = "transcript") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows after, journal, conflicts): a plan (key, before_sha, after) applies only where the text still has that hash."""
-    cur = current.withColumn("__sha", F.sha2(F.coalesce(column, F.lit("")), 256))
-    p = plan.select(F.col(key).alias("__k"), "before_sha", "after")
-    joined = cur.join(p, cur[key] == p["__k"], "left")
-    fits = F.col("before_sha") == F.col("__sha")
-    after = joined.withColumn(column, F.when(fits, F.col("after")).otherwise(F.col(column))).select(*current.columns)
-    journal = joined.where(fits).select(F.col(key), "before_sha", F.sha2("after", 256).alias("after_sha"))
-    conflicts = p.join(cur.select(F.col(key).alias("__k"), "__sha"), "__k", "left").where(~F.coalesce(fits, F.lit(False))).select(F.col("__k").alias(key), "before_sha", F.col("__sha").alias("found_sha"))
-    return after, journal, conflicts
-
-
-def runs(df: DataFrame, key: str, order: list[str], hit: Column) -> DataFrame:
-    """Lengths of runs of hits on end (gaps and islands) for each key."""
-    w = Window.partitionBy(key).orderBy(*order)
-    marked = df.withColumn("hit", hit.cast("int")).withColumn("island", F.row_number().over(w) - F.sum("hit").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.where("hit = 1").groupBy(key, "island").agg(F.count("*").alias("length"))
+def compare_and_set(current: DataFrame, plan: DataFrame, key: str = "youtube_id") -> tuple[DataFrame, DataFrame]:
+    """(journal, conflicts): of current (key, text_sha) and a plan (key, before_sha, after_sha), what applies and what doesn't.
 
+    A plan applies only where the text still has the hash that it was made for. Hashes are compared; texts stay where they are.
+    """
+    p = plan.select(F.col(key).alias("__k"), "before_sha", "after_sha")
+    joined = p.join(current.select(F.col(key).alias("__c"), F.col("text_sha").alias("found_sha")), F.col("__k") == F.col("__c"), "left")
+    fits = F.coalesce(F.col("before_sha") == F.col("found_sha"), F.lit(False))
+    return joined.where(fits).select(F.col("__k").alias(key), "before_sha", "after_sha"), joined.where(~fits).select(F.col("__k").alias(key), "before_sha", "found_sha")
 
-def packs(texts: DataFrame, group: str, order: list[str], words: str, limit: int) -> DataFrame:
-    """Greedy packs of whole texts by group: a pack is closed when the next text doesn't fit. (group, pack, words, texts).
 
-    Only the sizes are gathered for a group, not the texts; the fold runs in the JVM.
-    """
-    items = F.sort_array(F.collect_list(F.struct(*order, F.col(words).cast("long").alias("w"))))
-    zero = F.struct(F.lit(0).cast("long").alias("fill"), F.lit(1).cast("long").alias("pack"), F.array().cast("array<struct<pack:bigint,w:bigint>>").alias("out"))
+def applied(texts: DataFrame, journal: DataFrame, candidates: DataFrame, key: str = "youtube_id", column: str = "transcript") -> DataFrame:
+    """The texts with those of the candidates (key, after_sha, candidate) in place that the journal names."""
+    new = candidates.join(journal.select(key, "after_sha"), [key, "after_sha"], "left_semi").select(key, F.col("candidate").alias("__new"), F.lit(True).alias("__is"))
+    return texts.join(new, key, "left").withColumn(column, F.when(F.col("__is"), F.col("__new")).otherwise(F.col(column))).drop("__new", "__is")
 
-    def step(s: Column, x: Column) -> Column:
-        full = (s["fill"] > 0) & (s["fill"] + x["w"] > limit)
-        pack = F.when(full, s["pack"] + 1).otherwise(s["pack"])
-        return F.struct(F.when(full, x["w"]).otherwise(s["fill"] + x["w"]).alias("fill"), pack.alias("pack"), F.concat(s["out"], F.array(F.struct(pack.alias("pack"), x["w"].alias("w")))).alias("out"))
 
-    folded = texts.groupBy(group).agg(items.alias("items")).select(group, F.explode(F.aggregate("items", zero, step, lambda s: s["out"])).alias("o"))
-    return folded.groupBy(group, F.col("o.pack").alias("pack")).agg(F.sum("o.w").alias("words"), F.count("*").alias("texts"))
+def pack_review(packs: DataFrame, column: str) -> DataFrame:
+    """packs with the words, sources and seconds that their text states; seconds from metadata where no duration is marked."""
+    of = lambda p: F.aggregate(F.regexp_extract_all(column, F.lit(p), F.lit(1)), F.lit(0).cast("long"), lambda s, x: s + x.cast("long"))
+    marked = of(r"\[DUR:(\d+)\]")
+    return packs.select("*", F.size(words(F.col(column))).cast("long").alias("words"), F.regexp_count(column, F.lit("SOURCE:")).cast("long").alias("sources"), F.when(marked > 0, marked).otherwise(of(r'"duration":\s*(\d+)')).alias("seconds")).drop(column)

@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 import unicodedata
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transquill.functions.text import folded, tokens
+from transquill.functions.text import folded, has_text, let, tokens
 
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
 
@@ -19,44 +19,59 @@ def query_terms(query: str) -> list[str]:
     return list(dict.fromkeys(plain.split()))
 
 
-def documents(videos: DataFrame) -> DataFrame:
-    """(id, terms): the folded words of title and transcript, once for each id."""
-    text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("transcript", F.lit("")))
-    return videos.select("id", tokens(folded(text)).alias("terms"))
-
-
-def postings(videos: DataFrame) -> DataFrame:
-    """(term, id, n): how often a document has a term; counted within the tasks before anything is shuffled."""
-    return documents(videos).select("id", F.explode("terms").alias("term")).groupBy("term", "id").agg(F.count("*").alias("n"))
+def terms(title: Column, transcript: Column) -> Column:
+    """The folded words of a title and a transcript."""
+    return tokens(folded(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(transcript, F.lit("")))))
 
 
 def _starts(term: str):  # noqa: ANN202
     return lambda x: x.startswith(term)
 
 
-def match(videos: DataFrame, query: str) -> DataFrame:
-    """(id, length, tf_0 ...): documents in which every term of the query is a prefix of some word; no shuffle."""
-    terms = query_terms(query)
-    docs = documents(videos).select("id", F.size("terms").alias("length"), *(F.size(F.filter("terms", _starts(t))).alias(f"tf_{i}") for i, t in enumerate(terms)))
-    if not terms:
-        return docs.where("false")
-    return docs
+def measures(*queries: str) -> dict[str, Column]:
+    """What a search needs of a document, as numbers: its length, and how often each term of the queries begins a word.
 
+    They are derived where the text is read, words being taken once; what comes out is some bytes a document, not its words.
+    """
+    wanted = list(dict.fromkeys(t for q in queries for t in query_terms(q)))
+    counts = let(terms(F.col("title"), F.col("transcript")), lambda w: F.array(F.size(w), *(F.size(F.filter(w, _starts(t))) for t in wanted)))
+    return {"found": counts}
 
-def ranked(videos: DataFrame, query: str, n: int = 100) -> DataFrame:
-    """(id, rank) of the best n by BM25; lower is better, as an ascending rank. Two scalars and a count for each term are aggregated."""
-    terms = query_terms(query)
-    docs = match(videos, query)
-    if not terms:
-        return docs.select("id", F.lit(0.0).alias("rank"))
-    stats = docs.agg(F.count("*").alias("docs"), F.avg("length").alias("mean"), *(F.count_if(F.col(f"tf_{i}") > 0).alias(f"df_{i}") for i in range(len(terms)))).first()
+
+def match(docs: DataFrame, *queries: str) -> DataFrame:
+    """docs with found -> docs with length and tf_<term>."""
+    wanted = list(dict.fromkeys(t for q in queries for t in query_terms(q)))
+    return docs.select("*", F.col("found")[0].alias("length"), *(F.col("found")[i + 1].alias(f"tf_{t}") for i, t in enumerate(wanted))).drop("found")
+
+
+def every(query: str) -> Column:
+    """That all terms of a query begin some word; a query without terms matches nothing."""
+    out = F.lit(bool(query_terms(query)))
+    for t in query_terms(query):
+        out = out & (F.col(f"tf_{t}") > 0)
+    return out
+
+
+def ranked(docs: DataFrame, query: str, n: int = 100) -> DataFrame:
+    """(id, rank) of the best n of docs (id, found) by BM25; lower is better. Two scalars and a count for each term are aggregated."""
+    wanted = query_terms(query)
+    docs = match(docs, query)
+    if not wanted:
+        return docs.where("false").select("id", F.lit(0.0).alias("rank"))
+    stats = docs.agg(F.count("*").alias("docs"), F.avg("length").alias("mean"), *(F.count_if(F.col(f"tf_{t}") > 0).alias(f"df_{t}") for t in wanted)).first()
     score = F.lit(0.0)
-    for i in range(len(terms)):
-        idf = F.greatest(F.log((F.lit(float(stats["docs"])) - stats[f"df_{i}"] + 0.5) / (F.lit(float(stats[f"df_{i}"])) + 0.5)), F.lit(LEAST_IDF))
-        tf = F.col(f"tf_{i}")
+    for t in wanted:
+        idf = F.greatest(F.log((F.lit(float(stats["docs"])) - stats[f"df_{t}"] + 0.5) / (F.lit(float(stats[f"df_{t}"])) + 0.5)), F.lit(LEAST_IDF))
+        tf = F.col(f"tf_{t}")
         score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("length") / F.lit(stats["mean"] or 1.0)))
-    every = " AND ".join(f"tf_{i} > 0" for i in range(len(terms)))
-    return docs.where(every).select("id", F.round(-score, 6).alias("rank")).orderBy("rank", "id").limit(n)
+    return docs.where(every(query)).select("id", F.round(-score, 6).alias("rank")).orderBy("rank", "id").limit(n)
+
+
+def postings(videos: DataFrame, latest: DataFrame) -> DataFrame:
+    """(term, id, n): how often each video's latest version has a term; copies count once, and counts are summed where the text is read."""
+    rows = videos.withColumn("has_text", has_text(F.col("transcript"))).join(latest.select("id", "has_text"), ["id", "has_text"], "left_semi")
+    each = rows.select("id", F.monotonically_increasing_id().alias("row"), terms(F.col("title"), F.col("transcript")).alias("terms")).select("id", "row", F.explode("terms").alias("term"))
+    return each.groupBy("id", "row", "term").agg(F.count("*").alias("n")).groupBy("term", "id").agg(F.max("n").alias("n"))
 
 
 def snippet(videos: DataFrame, query: str, width: int = 64) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from transquill.functions import text as X
 from transquill.operators import captions as C
+from transquill.operators import ordered as O
 from transquill.operators import relational as R
 from transquill.operators import search as S
 from transquill.sources import readers
@@ -30,8 +31,14 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def current(spark: SparkSession, d: str) -> DataFrame:
-    return R.latest(table(spark, d, "videos"))
+def current(spark: SparkSession, d: str, **derived: Column) -> DataFrame:
+    """Each video's latest version, with what is derived from its text instead of the text."""
+    return R.latest(table(spark, d, "videos"), **derived)
+
+
+def texts_of(spark: SparkSession, d: str, keep: DataFrame) -> DataFrame:
+    """keep, which has an id, with the transcript: the one use that exchanges texts, for results that are texts."""
+    return keep.join(texts(spark, d).join(keep.select("id"), "id", "left_semi").dropDuplicates(["id"]), "id")
 
 
 def attempts(spark: SparkSession, d: str) -> DataFrame:
@@ -98,19 +105,27 @@ def flt01_has_text(spark, d):
     return texts(spark, d).select("id").distinct()
 
 
-@query(f"WITH {CUR}, {ATT} SELECT cur.id, cur.upload_date FROM cur LEFT JOIN att USING (youtube_id) WHERE NOT ({TXT}) AND coalesce(status, '') <> 'PREMIUM' AND (next_attempt_at IS NULL OR next_attempt_at <= '{NOW}') ORDER BY upload_date DESC NULLS LAST, id LIMIT 500")
+#: The work queue's rule as SQL, without ids, channel and limit.
+QUEUE = f"NOT ({TXT}) AND coalesce(status, '') <> 'PREMIUM' AND (next_attempt_at IS NULL OR next_attempt_at <= '{NOW}')"
+
+
+@query(f"WITH {CUR}, {ATT}, w AS (SELECT cur.id, cur.upload_date, c.prefix, cur.youtube_id FROM cur JOIN channels c ON c.id = cur.channel_id LEFT JOIN att USING (youtube_id) WHERE {QUEUE}), a AS (SELECT 'all' AS part, id, upload_date FROM w ORDER BY upload_date DESC NULLS LAST, id LIMIT 500), b AS (SELECT 'channel' AS part, id, upload_date FROM w WHERE prefix = 'HalmiPauvan' ORDER BY upload_date DESC NULLS LAST, id LIMIT 500), c AS (SELECT 'ids' AS part, id, upload_date FROM w WHERE youtube_id IN (SELECT youtube_id FROM pipeline_attempts WHERE attempts >= 3) ORDER BY upload_date DESC NULLS LAST, id LIMIT 500) FROM a UNION ALL FROM b UNION ALL FROM c")
 def flt02_work_queue(spark, d):
-    v = current(spark, d).where(R.no_text() & (F.coalesce("status", F.lit("")) != "PREMIUM"))
-    q = v.join(attempts(spark, d).select("youtube_id", "next_attempt_at"), "youtube_id", "left").where(F.col("next_attempt_at").isNull() | (F.col("next_attempt_at") <= NOW))
-    return q.select("id", "upload_date").orderBy(F.col("upload_date").desc_nulls_last(), "id").limit(500)
+    """The queue of all videos, of one channel, and of given ids; no ids select nothing."""
+    v, a, c = current(spark, d), attempts(spark, d), table(spark, d, "channels")
+    ids = table(spark, d, "pipeline_attempts").where("attempts >= 3").select("youtube_id").distinct()
+    parts = {"all": R.work_queue(v, a, c, NOW), "channel": R.work_queue(v, a, c, NOW, channel="HalmiPauvan"), "ids": R.work_queue(v, a, c, NOW, ids=ids), "none": R.work_queue(v, a, c, NOW, ids=ids.where("false"))}
+    rows = [q.select(F.lit(n).alias("part"), "id", "upload_date") for n, q in parts.items()]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2]).unionAll(rows[3])
 
 
-@query(f"WITH {CUR} SELECT cur.id, CASE WHEN c.prefix = 'HalmiPauvan' THEN 0 ELSE 1 END AS pinned FROM cur JOIN channels c ON c.id = cur.channel_id WHERE NOT ({TXT}) AND (status IS NULL OR status <> 'PREMIUM') ORDER BY 2, upload_date DESC NULLS LAST, cur.id LIMIT 1000")
+@query(f"WITH {CUR} SELECT cur.id, CASE WHEN c.prefix = 'HalmiPauvan' THEN 0 ELSE 1 END AS pinned, row_number() OVER (ORDER BY CASE WHEN c.prefix = 'HalmiPauvan' THEN 0 ELSE 1 END, upload_date DESC NULLS LAST, cur.id) AS place FROM cur JOIN channels c ON c.id = cur.channel_id WHERE status = 'PENDING' AND NOT ({TXT})")
 def flt03_pinned_first(spark, d):
-    v = current(spark, d).where(R.no_text() & (F.col("status").isNull() | (F.col("status") != "PREMIUM")))
-    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix")
-    pinned = F.when(F.col("prefix") == "HalmiPauvan", 0).otherwise(1)
-    return v.join(c, "channel_id").select("id", pinned.alias("pinned"), "upload_date").orderBy("pinned", F.col("upload_date").desc_nulls_last(), "id").limit(1000).select("id", "pinned")
+    """All pending videos without text with their place in the queue; the pinned channel comes first."""
+    v = current(spark, d).where(R.no_text() & (F.col("status") == "PENDING"))
+    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), F.when(F.col("prefix") == "HalmiPauvan", 0).otherwise(1).alias("pinned"))
+    queue = v.select("channel_id", "id", "upload_date").join(c, "channel_id").select("id", "pinned", "upload_date")
+    return O.ranks(queue, [F.col("pinned"), F.col("upload_date").desc_nulls_last(), F.col("id")], "place").select("id", "pinned", "place")
 
 
 @query(f"WITH {CUR} SELECT id FROM cur WHERE NOT ({TXT}) AND status IN ('NO_SUBS', 'ERR_NO_EN_FR', 'ERR_TOO_SHORT', 'ERR_DL_FAIL') ORDER BY upload_date DESC NULLS LAST, id LIMIT 300")
@@ -124,11 +139,9 @@ def flt05_status_counters(spark, d):
     return R.status_counters(current(spark, d))
 
 
-@query(f"WITH {CUR} SELECT cur.id, c.prefix FROM cur LEFT JOIN channels c ON c.id = cur.channel_id WHERE status IN ('NO_SUBS', 'PREMIUM', 'ERR_DL_FAIL', 'RETRY_429', 'ERR_TOO_SHORT') ORDER BY upload_date DESC NULLS LAST, cur.id LIMIT 200")
+@query(f"WITH {CUR} SELECT cur.youtube_id, cur.title, cur.status, c.prefix AS channel FROM cur LEFT JOIN channels c ON c.id = cur.channel_id WHERE status IN ('PENDING', 'MISSING', 'RETRY_429', 'ERR_429_BLOCK', 'ERR_DL_FAIL') ORDER BY upload_date DESC NULLS LAST, cur.id LIMIT 200")
 def flt06_recovery_list(spark, d):
-    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix")
-    v = current(spark, d).where(F.col("status").isin("NO_SUBS", "PREMIUM", "ERR_DL_FAIL", "RETRY_429", "ERR_TOO_SHORT"))
-    return v.join(c, "channel_id", "left").orderBy(F.col("upload_date").desc_nulls_last(), "id").limit(200).select("id", "prefix")
+    return R.recovery_list(current(spark, d), table(spark, d, "channels"))
 
 
 @query("SELECT DISTINCT id, p.pattern FROM videos, (SELECT unnest(['[Music]', '[Musique]', '├', 'Ã', '-->', '????', 'WEBVTT']) AS pattern) p WHERE contains(transcript, p.pattern) OR contains(title, p.pattern)")
@@ -200,20 +213,20 @@ def jon07_insert_absent(spark, d):
 @query(f"WITH {CUR} SELECT id FROM cur WHERE {TXT} AND NOT EXISTS (SELECT 1 FROM pipeline_transcripts p WHERE p.youtube_id = cur.youtube_id AND p.sha256 = sha256(cur.transcript))")
 def jon08_exclusions(spark, d):
     out = table(spark, d, "pipeline_transcripts").select("youtube_id", F.col("sha256").alias("transcript_sha256"))
-    return R.excluded(current(spark, d).where(X.has_text(F.col("transcript"))), out).select("id")
+    return R.excluded(current(spark, d).where(F.col("has_text")), out).select("id")
 
 
 @query(f"WITH {CUR} SELECT r.raw_path, cur.status, coalesce({TXT}, false) AS has_text FROM (SELECT DISTINCT raw_path, regexp_extract(raw_path, '(?:^|[/\\\\])([A-Za-z0-9_-]{{11}})(?:\\.[A-Za-z0-9-]+)*$', 1) AS youtube_id FROM raw_captions) r LEFT JOIN cur USING (youtube_id)")
 def jon09_files_status(spark, d):
     files = table(spark, d, "raw_captions").select("raw_path", C.video_id(F.col("raw_path")).alias("youtube_id")).distinct()
-    v = current(spark, d).select("youtube_id", "status", X.has_text(F.col("transcript")).alias("has_text"))
+    v = current(spark, d).select("youtube_id", "status", F.col("has_text").alias("has_text"))
     return files.join(v, "youtube_id", "left").select("raw_path", "status", F.coalesce("has_text", F.lit(False)).alias("has_text"))
 
 
 @query(f"WITH {CUR}, {ATT.replace('att AS', 'x AS').replace('pipeline_attempts', 'pipeline_attempts')}, p AS (SELECT DISTINCT youtube_id, sha256 FROM pipeline_transcripts WHERE sha256 IS NOT NULL) SELECT cur.id, bool_or(p.sha256 = sha256(cur.transcript)) AS same FROM cur JOIN p USING (youtube_id) WHERE {TXT} GROUP BY 1")
 def jon10_same_content(spark, d):
     p = table(spark, d, "pipeline_transcripts").where("sha256 is not null").select("youtube_id", "sha256").distinct()
-    v = current(spark, d).where(X.has_text(F.col("transcript"))).select("id", "youtube_id", F.sha2("transcript", 256).alias("now"))
+    v = current(spark, d).where(F.col("has_text")).select("id", "youtube_id", F.col("text_sha").alias("now"))
     return v.join(p, "youtube_id").groupBy("id").agg(F.bool_or(F.col("sha256") == F.col("now")).alias("same"))
 
 
@@ -229,8 +242,8 @@ def jon11_unique_title_date(spark, d):
 
 @query(f"WITH {CUR} SELECT count(*) AS videos, floor(CAST(sum(CAST(duration AS DECIMAL(18,3))) AS DOUBLE) / 3.6) / 1000 AS hours, CAST(sum(length(transcript) - length(replace(transcript, ' ', '')) + 1) AS BIGINT) AS words FROM cur WHERE transcript IS NOT NULL AND transcript <> ''")
 def agg01_global(spark, d):
-    v = current(spark, d).where("transcript is not null and transcript <> ''")
-    return v.agg(F.count("*").alias("videos"), (F.floor(F.sum(F.col("duration").cast("decimal(18,3)")).cast("double") / 3.6) / 1000).alias("hours"), F.sum(X.word_count_spaces(F.col("transcript"))).alias("words"))
+    v = current(spark, d).where("nonempty")
+    return v.agg(F.count("*").alias("videos"), (F.floor(F.sum(F.col("duration").cast("decimal(18,3)")).cast("double") / 3.6) / 1000).alias("hours"), F.sum("blank_words").alias("words"))
 
 
 WORDS = "CASE WHEN v.transcript IS NOT NULL AND v.transcript <> '' THEN length(v.transcript) - length(replace(v.transcript, ' ', '')) + 1 ELSE 0 END"
@@ -244,9 +257,13 @@ def agg02_channel_health(spark, d):
     return R.channel_health(table(spark, d, "channels"), current(spark, d))
 
 
-@query(f"WITH {CUR}, r AS (SELECT channel_id, youtube_id, row_number() OVER (PARTITION BY channel_id ORDER BY id) AS rn FROM cur WHERE status = 'PREMIUM') SELECT channel_id, string_agg(youtube_id, ',' ORDER BY rn) AS ids, count(*) AS n FROM r WHERE rn <= 100 GROUP BY 1")
+LISTED = "(transcript IS NULL OR transcript = '') AND (status IS NULL OR status IN ('MISSING', 'PENDING'))"
+
+
+@query(f"WITH {CUR}, k AS (SELECT channel_id, youtube_id, id, CASE WHEN {LISTED} THEN 'missing' WHEN status = 'PREMIUM' THEN 'premium' WHEN {NOSUBS} THEN 'no_subs' END AS list FROM cur), r AS (SELECT channel_id, list, youtube_id, row_number() OVER (PARTITION BY channel_id, list ORDER BY id) AS rn FROM k WHERE list IS NOT NULL) SELECT channel_id, list, string_agg(youtube_id, ',' ORDER BY rn) AS ids, count(*) AS n FROM r WHERE rn <= 100 GROUP BY 1, 2")
 def agg03_lists(spark, d):
-    return R.top_lists(current(spark, d), F.col("status") == "PREMIUM")
+    """Up to 100 missing, premium and subtitle-less videos of each channel, from one pass."""
+    return R.channel_lists(current(spark, d))
 
 
 @query(f"WITH {CUR}, n AS (SELECT channel_id, count(*) AS total, count(*) FILTER ({TXT} OR coalesce(status IN ('NO_SUBS', 'PREMIUM'), false)) AS done FROM cur GROUP BY 1) SELECT prefix, total, done, round(done * 100.0 / total, 1)::DOUBLE AS rate, CASE WHEN round(done * 100.0 / total, 1) >= 95 THEN 'OK' WHEN round(done * 100.0 / total, 1) >= 80 THEN 'RETARD' ELSE 'CRITIQUE' END AS grade FROM channels c JOIN n ON c.id = n.channel_id")
@@ -254,10 +271,16 @@ def agg04_health_grade(spark, d):
     return R.health_grade(table(spark, d, "channels"), current(spark, d)).withColumn("rate", F.col("rate").cast("double"))
 
 
-@query("SELECT m.name AS marker, count(DISTINCT id) AS videos FROM videos, (VALUES " + ", ".join("('" + n + "', '" + p.replace("'", "''") + "')" for n, p in X.MARKERS.items()) + ") m(name, pattern) WHERE regexp_matches(transcript, m.pattern) GROUP BY 1")
+#: Texts of which each seventh has a marker of one kind put to its end, in both dialects.
+MARKED = "concat(CASE WHEN id % 8 = 7 THEN '{\"id\": \"abcdefghijk\", \"formats\": []} ' ELSE '' END, transcript, CASE id % 8 WHEN 0 THEN ' <00:00:01.000>' WHEN 1 THEN ' 00:00:01.000 --> 00:00:02.000' WHEN 2 THEN ' at 01:02:03.400 sharp' WHEN 3 THEN ' align:start position:0%' WHEN 4 THEN ' <c.white>' WHEN 5 THEN ' WEBVTT' ELSE '' END)"
+
+
+@query(f"WITH s AS (SELECT DISTINCT id, {MARKED} AS transcript FROM videos WHERE {TXT}) SELECT m.name AS marker, count(*) AS videos FROM s, (VALUES " + ", ".join("('" + n + "', '" + p.replace("'", "''") + "')" for n, p in X.PLAIN_MARKERS.items()) + ") m(name, pattern) WHERE regexp_matches(transcript, m.pattern) GROUP BY 1")
 def agg07_markers(spark, d):
-    found = F.array_compact(F.array(*(F.when(F.col("transcript").rlike(p), F.lit(n)) for n, p in X.MARKERS.items())))
-    return texts(spark, d).select("id", F.explode(found).alias("marker")).distinct().groupBy("marker").agg(F.count("*").alias("videos"))
+    """How many texts have a marker of each kind; markers are put into the texts, as the tables have few."""
+    found = F.array_compact(F.array(*(F.when(F.expr("transcript").rlike(p), F.lit(n)) for n, p in X.MARKERS.items())))
+    rows = texts(spark, d).select("id", F.expr(MARKED).alias("transcript"))
+    return rows.select("id", F.explode(found).alias("marker")).distinct().groupBy("marker").agg(F.count("*").alias("videos"))
 
 
 @query("SELECT regexp_extract(replace(raw_path, '\\', '/'), '^(?:[^/]*/){2}([^/]*)', 1) AS folder, count(*) AS files, CAST(sum(strlen(raw_text)) AS BIGINT) AS bytes FROM (SELECT DISTINCT raw_path, raw_text FROM raw_captions) GROUP BY 1")
@@ -283,7 +306,7 @@ def agg12_dominant_sentence(spark, d):
 
 @query(f"WITH {CUR} SELECT count(*) AS rows_all, count(*) FILTER ({TXT}) AS rows_text FROM cur")
 def agg16_integrity(spark, d):
-    return current(spark, d).agg(F.count("*").alias("rows_all"), F.count_if(X.has_text(F.col("transcript"))).alias("rows_text"))
+    return current(spark, d).agg(F.count("*").alias("rows_all"), F.count_if(F.col("has_text")).alias("rows_text"))
 
 
 # ---- ordered operators, sorting and sets
@@ -309,8 +332,9 @@ def win05_collapse(spark, d):
 f AS (SELECT src, rn, w AS fill, CAST(1 AS BIGINT) AS pack, w FROM s WHERE rn = 1 UNION ALL SELECT s.src, s.rn, CASE WHEN f.fill > 0 AND f.fill + s.w > 5000 THEN s.w ELSE f.fill + s.w END, CASE WHEN f.fill > 0 AND f.fill + s.w > 5000 THEN f.pack + 1 ELSE f.pack END, s.w FROM f JOIN s ON s.src = f.src AND s.rn = f.rn + 1)
 SELECT src, pack, CAST(sum(w) AS BIGINT) AS words, count(*) AS texts FROM f GROUP BY 1, 2""")
 def win07_packs(spark, d):
+    """Texts are put into packs in ranges; what is open at a range's end is carried into the next."""
     docs = table(spark, d, "documents").where(X.has_text(F.col("text")) & F.col("source").isNotNull()).select(F.lower(F.trim("source")).alias("src"), "upload_date", "doc_id", F.size(X.words(F.col("text"))).alias("w"))
-    return R.packs(docs, "src", ["upload_date", "doc_id"], "w", 5000)
+    return O.packs(docs, "src", ["upload_date", "doc_id"], "w", 5000).groupBy("src", "pack").agg(F.sum("w").alias("words"), F.count("*").alias("texts"))
 
 
 @query("SELECT youtube_id, max(acquired_at) AS acquired_at FROM pipeline_transcripts WHERE youtube_id IS NOT NULL GROUP BY 1")
@@ -320,9 +344,8 @@ def win09_latest_revision(spark, d):
 
 @query(f"WITH {CUR} SELECT cur.youtube_id, title, substr(transcript, 1, 999) AS part FROM cur JOIN channels c ON c.id = cur.channel_id WHERE transcript IS NOT NULL AND transcript <> '' ORDER BY upload_date DESC NULLS LAST, cur.id LIMIT 2000")
 def top01_newest(spark, d):
-    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"))
-    v = current(spark, d).where("transcript is not null and transcript <> ''").join(c, "channel_id", "left_semi")
-    return v.orderBy(F.col("upload_date").desc_nulls_last(), "id").limit(2000).select("youtube_id", "title", F.substring("transcript", 1, 999).alias("part"))
+    """The newest are picked first; only their beginnings are fetched."""
+    return R.newest(current(spark, d), table(spark, d, "videos"), table(spark, d, "channels"), 2000, 999).select("youtube_id", "title", "part")
 
 
 @query(f"SELECT DISTINCT id, array_to_string(list_filter(list_distinct_order, lambda x: true), chr(10)) AS lines FROM (SELECT id, list_transform(list_sort(list_transform(list_distinct(l), lambda x: {{'p': list_position(l, x), 'x': x}})), lambda s: s.x) AS list_distinct_order FROM (SELECT id, string_split(transcript, chr(10)) AS l FROM videos WHERE {TXT}))")
@@ -357,13 +380,25 @@ def set04_union(spark, d):
 
 @query()
 def txt02_clean_captions(spark, d):
-    return C.spoken_in_python(table(spark, d, "raw_captions")).select("path", "removed", F.sha2("text", 256).alias("text_sha"))
+    return C.spoken_files(table(spark, d, "raw_captions")).select("path", "removed", F.sha2("text", 256).alias("text_sha"))
+
+
+def tripled(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, text): several documents of a source on end, with each of their sentences three times."""
+    docs = table(spark, d, "documents").where(X.has_text(F.col("text"))).groupBy(F.lower(F.trim("source")).alias("src"), F.pmod("doc_id", F.lit(40)).alias("part")).agg(F.min("doc_id").alias("doc_id"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "text"))), lambda x: x["text"]), " ").alias("text"))
+    return docs.select("doc_id", F.transform(F.split("text", r"(?<=[.!?])\s+"), lambda s: F.concat_ws(" ", s, s, s)).alias("s")).select("doc_id", F.array_join("s", " ").alias("text"))
 
 
 @query()
 def txt05_triplicates(spark, d):
-    three = table(spark, d, "documents").where(X.has_text(F.col("text"))).select("doc_id", F.transform(F.split("text", r"(?<=[.!?])\s+"), lambda s: F.concat_ws(" ", s, s, s)).alias("s")).select("doc_id", F.array_join("s", " ").alias("text"))
-    return C.collapsed_triples(three, strict=False, key="doc_id", column="text").select("doc_id", "removed")
+    """The strict rule: only long units of large texts are taken back."""
+    return C.collapsed_triples(tripled(spark, d), strict=True, key="doc_id", column="text").select("doc_id", "removed")
+
+
+@query()
+def txt06_complete_triplicates(spark, d):
+    """The rule for varied texts: all units are taken back."""
+    return C.collapsed_triples(tripled(spark, d), strict=False, key="doc_id", column="text").select("doc_id", "removed")
 
 
 @query()
@@ -371,13 +406,13 @@ def txt07_spoken_dedup(spark, d):
     return C.spoken_once(texts(spark, d)).dropDuplicates(["id"]).select("id", "events", F.sha2("text", 256).alias("text_sha"))
 
 
-@query(r"""WITH s AS (SELECT DISTINCT raw_path, raw_text AS t FROM raw_captions WHERE raw_path LIKE '%.vtt'), a AS (SELECT raw_path, regexp_replace(regexp_replace(t, '(?s)<.*?>', '', 'g'), '(?im)^(?:WEBVTT[ \t]*|Kind:[^\n]*|Language:[^\n]*)$', '', 'g') AS t FROM s),
+@query(r"""WITH s AS (SELECT DISTINCT raw_path, raw_text AS t FROM raw_captions WHERE regexp_matches(raw_path, '\.(?:vtt|srt)$')), a AS (SELECT raw_path, regexp_replace(regexp_replace(t, '(?s)<.*?>', '', 'g'), '(?im)^(?:WEBVTT[ \t]*|Kind:[^\n]*|Language:[^\n]*)$', '', 'g') AS t FROM s),
 b AS (SELECT raw_path, regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '(?i)(?:align|position|size|line|vertical|region|style):[^ \t\n\r]+', ' ', 'g'), '[0-9]{8}\|[0-9]{1,2}:[0-9]{2}:[0-9]{2}[.,][0-9]{3}', ' ', 'g'), '[0-9]{1,2}:[0-9]{2}:[0-9]{2}[.,][0-9]{3}[ \t\n]*-->[ \t\n]*[0-9]{1,2}:[0-9]{2}:[0-9]{2}[.,][0-9]{3}', ' ', 'g'), '\b[0-9]{1,2}:[0-9]{2}\b', ' ', 'g') AS t FROM a),
 c AS (SELECT raw_path, regexp_replace(regexp_replace(regexp_replace(t, '(?m)^[0-9]+[ \t]*$', '', 'g'), '&[A-Za-z0-9_]+;', ' ', 'g'), '[ \t\n\r]+', ' ', 'g') AS t FROM b),
 e AS (SELECT raw_path, regexp_replace(regexp_replace(regexp_replace(t, '[‘’‚‛]', '''', 'g'), '[“”„‟]', chr(34), 'g'), '([a-zA-Z])\?([a-zA-Z])', '\1''\2', 'g') AS t FROM c), w AS (SELECT raw_path, list_filter(string_split(t, ' '), lambda x: x <> '') AS l FROM e)
 SELECT raw_path, sha256(coalesce(array_to_string(list_transform(list_filter(list_zip(l, list_concat([NULL], l[:-2])), lambda p: lower(p[1]) IS DISTINCT FROM lower(p[2])), lambda p: p[1]), ' '), '')) AS text_sha FROM w""")
 def txt08_clean_rendered(spark, d):
-    rows = table(spark, d, "raw_captions").where(F.col("raw_path").like("%.vtt")).select("raw_path", X.clean_rendered(F.col("raw_text")).alias("t"))
+    rows = table(spark, d, "raw_captions").where(F.col("raw_path").rlike(r"\.(?:vtt|srt)$")).select("raw_path", X.clean_rendered(F.col("raw_text")).alias("t"))
     return rows.select("raw_path", F.sha2("t", 256).alias("text_sha")).distinct()
 
 
@@ -409,39 +444,45 @@ def txt16_excerpt(spark, d):
 
 @query(f"WITH {CUR} SELECT cur.id, '--- VIDEO: ' || coalesce(title, '') || ' (' || coalesce(upload_date, '') || ') ' || cur.youtube_id || ' ---' AS header FROM cur WHERE {TXT}")
 def txt18_headers(spark, d):
-    v = current(spark, d).where(X.has_text(F.col("transcript")))
+    v = current(spark, d).where(F.col("has_text"))
     return v.select("id", F.concat(F.lit("--- VIDEO: "), F.coalesce("title", F.lit("")), F.lit(" ("), F.coalesce("upload_date", F.lit("")), F.lit(") "), "youtube_id", F.lit(" ---")).alias("header"))
 
 
 # ---- encoding repair
 
 
-def _heal(name: str, pairs: list[tuple[str, str]], spaces: bool, noise: list[str] | None = None) -> None:
-    """A repair pass as a query with its SQL: id and hash of each text that it changes."""
+def _heal(name: str, pairs: list[tuple[str, str]], spaces: bool, noise: list[str] | None = None, titles: bool = False, given: str = "") -> None:
+    """A repair pass as a query with its SQL: id, field and hash of each text, and each title where the pass covers them, that it changes; given: the rule for the few ids that the pass is for."""
     every = pairs + [(n, "") for n in noise or []] + ([("  ", " ")] if spaces else [])
-    cond = " OR ".join("contains(transcript, '" + k.replace("'", "''") + "')" for k, _ in every)
+    fields = ("transcript", "title") if titles else ("transcript",)
 
     def run(spark: SparkSession, d: str) -> DataFrame:
         firsts = "".join(sorted({"\\" + k[0] if k[0] in "[]|" else k[0] for k, _ in every if k[0] != " "}))
-        some = F.col("transcript").rlike(f"[{firsts}]" + ("|  " if spaces else ""))
-        new = texts(spark, d).where(some).select("id", "transcript", X.replaced(F.col("transcript"), every).alias("healed")).where("healed <> transcript")
-        return new.select("id", F.sha2("healed", 256).alias("text_sha")).distinct()
+        v = table(spark, d, "videos")
+        if given:
+            few = v.where(given).select("youtube_id").distinct().orderBy("youtube_id").limit(6)
+            v = v.join(F.broadcast(few), "youtube_id", "left_semi")
+        both = v.select("id", F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("old")) for f in fields))).alias("p")).select("id", "p.field", "p.old")
+        some = both.where(X.has_text(F.col("old")) & F.col("old").rlike(f"[{firsts}]" + ("|  " if spaces else "")))
+        new = some.select("id", "field", "old", X.replaced(F.col("old"), every).alias("healed")).where("healed <> old")
+        return new.select("id", "field", F.sha2("healed", 256).alias("text_sha")).distinct()
 
     QUERIES[name] = run
-    SQL[name] = f"SELECT DISTINCT id, sha256(healed) AS text_sha FROM (SELECT id, transcript, {X.duckdb_replaced('transcript', every)} AS healed FROM videos WHERE {TXT} AND ({cond})) WHERE healed <> transcript"
+    only = f" AND youtube_id IN (SELECT DISTINCT youtube_id FROM videos WHERE {given} ORDER BY 1 LIMIT 6)" if given else ""
+    SQL[name] = " UNION ALL ".join(f"SELECT DISTINCT id, '{f}' AS field, sha256(healed) AS text_sha FROM (SELECT id, {f} AS old, {X.duckdb_replaced(f, every)} AS healed FROM videos WHERE trim(coalesce({f}, '')) <> ''{only}) WHERE healed <> old" for f in fields)
 
 
-_heal("enc01_heal_a", X.HEAL_A, True, X.NOISE_A)
-_heal("enc02_heal_b", X.HEAL_B, True)
+_heal("enc01_heal_a", X.HEAL_A, True, X.NOISE_A, titles=True)
+_heal("enc02_heal_b", X.HEAL_B, True, titles=True)
 _heal("enc03_heal_c", X.HEAL_C, False)
 _heal("enc04_heal_d", X.HEAL_D, True)
 _heal("enc07_heal_g", X.HEAL_G, False)
-_heal("enc13_heal_h", X.HEAL_H, False)
+_heal("enc13_heal_h", X.HEAL_H, False, titles=True, given="transcript LIKE '%├%'")
 
 
-@query(f"SELECT DISTINCT id, sha256(t) AS text_sha FROM (SELECT id, trim(regexp_replace(regexp_replace({X.duckdb_replaced('transcript', X.HEAL_E)}, '(?i)\\[(?:{'|'.join(X.NOISE_E)})\\]|\\((?:Rires|Laughter)\\)', '', 'g'), '[ \\t\\n\\r\\f]+', ' ', 'g')) AS t, transcript FROM videos WHERE {TXT} AND (regexp_matches(transcript, '[├ÃÂÆ]') OR regexp_matches(transcript, 'Music|Musique|Applause|Applaudissements'))) WHERE t <> transcript")
+@query(f"SELECT DISTINCT id, sha256(t) AS text_sha FROM (SELECT id, trim(regexp_replace(regexp_replace({X.duckdb_replaced('transcript', X.HEAL_E)}, '(?i)\\[(?:{'|'.join(X.NOISE_E)})\\]|\\((?:Rires|Laughter)\\)', '', 'g'), '[ \\t\\n\\r\\f]+', ' ', 'g')) AS t, transcript FROM videos WHERE {TXT}) WHERE t <> transcript")
 def enc05_heal_e(spark, d):
-    rows = texts(spark, d).where(F.col("transcript").rlike("[├ÃÂÆ]|Music|Musique|Applause|Applaudissements"))
+    rows = texts(spark, d)
     new = F.trim(F.regexp_replace(F.regexp_replace(X.replaced(F.col("transcript"), X.HEAL_E), r"(?i)\[(?:" + "|".join(X.NOISE_E) + r")\]|\((?:Rires|Laughter)\)", ""), r"[ \t\n\r\f]+", " "))
     return rows.select("id", "transcript", new.alias("t")).where("t <> transcript").select("id", F.sha2("t", 256).alias("text_sha")).distinct()
 
@@ -475,9 +516,9 @@ def enc12_signals(spark, d):
 # ---- quality
 
 
-@query("SELECT DISTINCT id, " + ", ".join(f"CAST(len(regexp_extract_all(transcript, '{p}')) AS INTEGER) AS {n}" for n, p in X.MARKERS.items()) + f" FROM videos WHERE {TXT} AND (" + " OR ".join(f"regexp_matches(transcript, '{p}')" for p in X.MARKERS.values()) + ")")
+@query(f"WITH s AS (SELECT DISTINCT id, {MARKED} AS transcript FROM videos WHERE {TXT}) SELECT id, " + ", ".join(f"CAST(len(regexp_extract_all(transcript, '{p}')) AS INTEGER) AS {n}" for n, p in X.PLAIN_MARKERS.items()) + " FROM s WHERE " + " OR ".join(f"regexp_matches(transcript, '{p}')" for p in X.PLAIN_MARKERS.values()))
 def qua01_markers(spark, d):
-    rows = texts(spark, d).select("id", *(F.regexp_count("transcript", F.lit(p)).alias(n) for n, p in X.MARKERS.items()))
+    rows = texts(spark, d).select("id", F.expr(MARKED).alias("t")).select("id", *(F.regexp_count("t", F.lit(p)).alias(n) for n, p in X.MARKERS.items()))
     return rows.where(" or ".join(f"{n} > 0" for n in X.MARKERS)).distinct()
 
 
@@ -490,15 +531,18 @@ def qua02_repetition(spark, d):
 def qua05_concordance(spark, d):
     """Each video's transcript against the spoken text of its best caption file."""
     files = C.best_local(table(spark, d, "raw_captions")).select("youtube_id", F.col("text").alias("before"))
-    v = current(spark, d).where(X.has_text(F.col("transcript"))).select("id", "youtube_id", F.col("transcript").alias("after"))
-    return C.concordant(v.join(files, "youtube_id"), "id")
+    wanted = current(spark, d).where("has_text").select("id", "youtube_id").join(files, "youtube_id")
+    return C.concordant(texts_of(spark, d, wanted).withColumnRenamed("transcript", "after"), "id")
 
 
-@query(f"WITH s AS (SELECT DISTINCT id, transcript FROM videos WHERE {TXT}), c AS (SELECT id, len(list_filter(string_split_regex(transcript, '[ \\t\\n\\r\\f]+'), lambda x: x <> '')) AS words, len(regexp_extract_all(transcript, '[0-9]+')) AS numbers, len(regexp_extract_all(lower(transcript), '(?:^|[^a-z])(?:not|no|never|pas|jamais|nicht|kein|nie|nunca|não)(?:$|[^a-z])')) AS negations FROM s) SELECT id, CAST(numbers AS INTEGER) AS numbers, CAST(negations AS INTEGER) AS negations FROM c WHERE words >= 40")
+@query(f"WITH s AS (SELECT DISTINCT id, transcript AS a, replace(replace(transcript, ' not ', ' '), '2', '3') AS b FROM videos WHERE {TXT}), p AS (SELECT id, regexp_extract_all(a, '[0-9]+(?:[.,][0-9]+)*') AS na, regexp_extract_all(b, '[0-9]+(?:[.,][0-9]+)*') AS nb, list_filter(regexp_extract_all(lower(a), '[a-z]+'), lambda x: x IN ('not', 'no', 'never', 'without', 'neither', 'ne', 'pas', 'non', 'sans', 'jamais')) AS ga, list_filter(regexp_extract_all(lower(b), '[a-z]+'), lambda x: x IN ('not', 'no', 'never', 'without', 'neither', 'ne', 'pas', 'non', 'sans', 'jamais')) AS gb FROM s) SELECT id, na = nb AS numbers_kept, ga = gb AS negations_kept FROM p")
 def qua09_numbers_negations(spark, d):
-    rows = texts(spark, d).where(F.size(X.words(F.col("transcript"))) >= 40)
-    negation = r"(?:^|[^a-z])(?:not|no|never|pas|jamais|nicht|kein|nie|nunca|não)(?:$|[^a-z])"
-    return rows.select("id", F.regexp_count("transcript", F.lit("[0-9]+")).alias("numbers"), F.regexp_count(F.lower("transcript"), F.lit(negation)).alias("negations")).distinct()
+    """Whether a changed copy keeps the numbers and the negations of its text, in order."""
+    numbers = lambda c: F.regexp_extract_all(c, F.lit("[0-9]+(?:[.,][0-9]+)*"), F.lit(0))
+    negations = lambda c: F.filter(F.regexp_extract_all(F.lower(c), F.lit("[a-z]+"), F.lit(0)), lambda x: x.isin(*X.NEGATIONS))
+    t = F.col("transcript")
+    changed = F.replace(F.replace(t, F.lit(" not "), F.lit(" ")), F.lit("2"), F.lit("3"))
+    return texts(spark, d).select("id", (numbers(t) == numbers(changed)).alias("numbers_kept"), (negations(t) == negations(changed)).alias("negations_kept")).distinct()
 
 
 @query(f"SELECT DISTINCT id, sha256(transcript) AS text_sha FROM videos WHERE {TXT}")
@@ -508,20 +552,24 @@ def qua15_fingerprints(spark, d):
 
 # ---- search
 
-FTS_SQL = "WITH s AS (SELECT DISTINCT id, regexp_extract_all(lower(strip_accents(concat_ws(' ', coalesce(title, ''), coalesce(transcript, '')))), '[\\p{L}\\p{N}\\p{M}_’''-]+') AS t FROM videos)"
+def searched(spark: SparkSession, d: str, *queries: str) -> DataFrame:
+    """Each video's latest version with what the queries need of it."""
+    return current(spark, d, **S.measures(*queries)).select("id", "channel_id", "has_text", "found")
 
 
-@query()
+WORDS_OF = "regexp_extract_all(translate(lower(concat_ws(' ', coalesce(title, ''), coalesce(transcript, ''))), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[\\p{L}\\p{N}\\p{M}_’''-]+')"
+
+
+@query(f"WITH {CUR}, s AS (SELECT id, {WORDS_OF} AS t FROM cur) SELECT id FROM s WHERE len(list_filter(t, lambda x: starts_with(x, 'bakery'))) > 0 AND len(list_filter(t, lambda x: starts_with(x, 'tele'))) > 0")
 def fts02_match(spark, d):
-    m = S.match(table(spark, d, "videos"), "bakery tele")
-    return m.where("tf_0 > 0 and tf_1 > 0").select("id").distinct()
+    return S.match(searched(spark, d, "bakery tele"), "bakery tele").where(S.every("bakery tele")).select("id")
 
 
-@query("""WITH s AS (SELECT id, regexp_extract_all(translate(lower(concat_ws(' ', coalesce(title, ''), coalesce(transcript, ''))), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[\\p{L}\\p{N}\\p{M}_’''-]+') AS t FROM videos),
+@query(f"WITH {CUR}, " + r"""s AS (SELECT id, regexp_extract_all(translate(lower(concat_ws(' ', coalesce(title, ''), coalesce(transcript, ''))), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[\p{L}\p{N}\p{M}_’''-]+') AS t FROM cur),
 f AS (SELECT id, len(t)::DOUBLE AS n, len(list_filter(t, lambda x: starts_with(x, 'bakery')))::DOUBLE AS a, len(list_filter(t, lambda x: starts_with(x, 'tele')))::DOUBLE AS b FROM s), g AS (SELECT count(*)::DOUBLE AS docs, avg(n) AS mean, count(*) FILTER (a > 0)::DOUBLE AS da, count(*) FILTER (b > 0)::DOUBLE AS db FROM f)
 SELECT id, round(-(greatest(ln((docs - da + 0.5) / (da + 0.5)), 1e-6) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * n / mean)) + greatest(ln((docs - db + 0.5) / (db + 0.5)), 1e-6) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * n / mean))), 6) AS rank FROM f, g WHERE a > 0 AND b > 0 ORDER BY rank, id LIMIT 100""")
 def fts03_ranked(spark, d):
-    return S.ranked(table(spark, d, "videos"), "bakery tele")
+    return S.ranked(searched(spark, d, "bakery tele"), "bakery tele")
 
 
 @query()
@@ -529,12 +577,12 @@ def fts04_snippets(spark, d):
     return S.snippet(table(spark, d, "videos").select("id", "transcript"), "telescope").distinct()
 
 
-@query()
+@query("SELECT id, CAST(0 AS BIGINT) AS n FROM videos WHERE false")
 def fts05_index_integrity(spark, d):
     """Postings against what they are counted from: (term total, document total) must agree; no row is a sound index."""
-    v = table(spark, d, "videos").dropDuplicates(["id"])
-    total = S.postings(v).groupBy("id").agg(F.sum("n").cast("long").alias("n"))
-    sizes = S.documents(v).select("id", F.size("terms").cast("long").alias("n")).where("n > 0")
+    docs = S.match(searched(spark, d))
+    total = S.postings(table(spark, d, "videos"), docs).groupBy("id").agg(F.sum("n").cast("long").alias("n"))
+    sizes = docs.select("id", F.col("length").cast("long").alias("n")).where("n > 0")
     return total.exceptAll(sizes).unionAll(sizes.exceptAll(total))
 
 
@@ -547,17 +595,20 @@ def str01_attempts(spark, d):
     return e.groupBy("user_id").agg(F.count("*").alias("attempts"), F.date_format(F.max("ts") + F.expr("interval 24 hours"), "yyyy-MM-dd HH:mm:ss").alias("next_attempt_at"))
 
 
-@query("WITH e AS (SELECT user_id, event_id, ts, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS hit FROM events), m AS (SELECT user_id, hit, row_number() OVER w - sum(hit) OVER w AS island FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)) SELECT user_id, CAST(island AS BIGINT) AS island, count(*) AS length FROM m WHERE hit = 1 GROUP BY 1, 2")
+@query("WITH e AS (SELECT user_id, event_id, ts, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS hit FROM events), m AS (SELECT user_id, hit, row_number() OVER w - sum(hit) OVER w AS island FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)) SELECT user_id, CAST(island AS BIGINT) AS island, count(*) AS length, count(*) >= 3 AS stops FROM m WHERE hit = 1 GROUP BY 1, 2")
 def str06_failure_runs(spark, d):
-    return R.runs(table(spark, d, "events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error")
+    """Runs of failures; three on end stop a worker."""
+    e = table(spark, d, "events").withColumn("hit", F.col("event_type") == "error")
+    return O.runs(e, "user_id", ["ts", "event_id"], "hit").withColumn("stops", F.col("length") >= 3)
 
 
-@query(f"WITH {CUR}, p AS (SELECT youtube_id, sha256 AS before_sha FROM (SELECT youtube_id, sha256, row_number() OVER (PARTITION BY youtube_id ORDER BY acquired_at DESC NULLS LAST, sha256 DESC NULLS LAST) AS rn FROM pipeline_transcripts WHERE youtube_id IS NOT NULL) WHERE rn = 1 AND sha256 IS NOT NULL) SELECT cur.youtube_id, p.before_sha, sha256(cur.transcript || ' (checked)') AS after_sha FROM cur JOIN p USING (youtube_id) WHERE p.before_sha = sha256(coalesce(cur.transcript, ''))")
+@query(f"WITH {CUR}, p AS (SELECT youtube_id, sha256 AS before_sha FROM (SELECT youtube_id, sha256, row_number() OVER (PARTITION BY youtube_id ORDER BY acquired_at DESC NULLS LAST, sha256 DESC NULLS LAST) AS rn FROM pipeline_transcripts WHERE youtube_id IS NOT NULL) WHERE rn = 1 AND sha256 IS NOT NULL) SELECT cur.youtube_id, p.before_sha, CASE WHEN p.before_sha = sha256(cur.transcript) THEN sha256(cur.transcript || ' (checked)') END AS after_sha, coalesce(p.before_sha = sha256(cur.transcript), false) AS applied FROM cur JOIN p USING (youtube_id)")
 def str08_compare_and_set(spark, d):
-    cur = current(spark, d).select("youtube_id", "transcript")
+    """Plans made for the latest known hash: those that still fit, and those that met another text."""
+    cur = current(spark, d, after_sha=F.sha2(F.concat("transcript", F.lit(" (checked)")), 256))
     plan = table(spark, d, "pipeline_transcripts").where("youtube_id is not null").groupBy("youtube_id").agg(F.max_by("sha256", F.struct("acquired_at", "sha256")).alias("before_sha")).where("before_sha is not null")
-    plan = plan.join(cur.select("youtube_id", F.concat("transcript", F.lit(" (checked)")).alias("after")), "youtube_id")
-    return R.compare_and_set(cur, plan)[1]
+    journal, conflicts = R.compare_and_set(cur, plan.join(cur.select("youtube_id", "after_sha"), "youtube_id"))
+    return journal.withColumn("applied", F.lit(True)).unionByName(conflicts.select("youtube_id", "before_sha", F.lit(None).cast("string").alias("after_sha"), F.lit(False).alias("applied")))
 
 
 @query("SELECT youtube_id, max(struct_pack(u := updated_at, a := attempts)).a AS attempts FROM pipeline_attempts WHERE youtube_id IS NOT NULL AND updated_at IS NOT NULL GROUP BY 1")
@@ -568,9 +619,10 @@ def str09_upsert(spark, d):
 
 @query()
 def str10_fill_empty(spark, d):
-    files = C.best_local(table(spark, d, "raw_captions")).select("youtube_id", F.col("text").alias("transcript"))
-    filled = R.fill_empty(current(spark, d).select("id", "youtube_id", "transcript"), files, "youtube_id", "transcript")
-    return filled.select("id", F.sha2(F.coalesce("transcript", F.lit("")), 256).alias("text_sha"))
+    """Texts by their hashes: what a video without text gets from its best caption file, and what stays as it is."""
+    files = C.best_local(table(spark, d, "raw_captions")).select("youtube_id", F.sha2("text", 256).alias("text_sha"))
+    v = current(spark, d).select("id", "youtube_id", F.when(F.col("has_text"), F.col("text_sha")).alias("text_sha"))
+    return R.fill_empty(v, files, "youtube_id", "text_sha").select("id", "text_sha")
 
 
 @query("SELECT time_bucket(INTERVAL '1 minute', ts) AS start, event_type, count(*) AS n, sum(value) AS value FROM events GROUP BY 1, 2")
@@ -581,15 +633,19 @@ def str05_live_counts(spark, d):
 SQL["str05_live_counts"] = "SELECT strftime(time_bucket(INTERVAL '1 minute', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1, 2"
 
 
-@query("SELECT DISTINCT youtube_id FROM pipeline_transcripts WHERE youtube_id IS NOT NULL AND youtube_id NOT IN (SELECT youtube_id FROM videos WHERE youtube_id IS NOT NULL)")
+@query("WITH f AS (SELECT youtube_id FROM pipeline_transcripts WHERE youtube_id IS NOT NULL UNION ALL SELECT replace(youtube_id, substr(youtube_id, 1, 1), '~') FROM pipeline_attempts WHERE youtube_id IS NOT NULL) SELECT DISTINCT youtube_id FROM f WHERE youtube_id NOT IN (SELECT youtube_id FROM videos WHERE youtube_id IS NOT NULL)")
 def str11_discovery(spark, d):
-    found = table(spark, d, "pipeline_transcripts").where("youtube_id is not null").select("youtube_id")
+    """Found ids that the catalogue lacks; each attempt also finds one of another video."""
+    other = F.replace(F.col("youtube_id"), F.substring("youtube_id", 1, 1), F.lit("~"))
+    found = table(spark, d, "pipeline_transcripts").where("youtube_id is not null").select("youtube_id").unionAll(table(spark, d, "pipeline_attempts").where("youtube_id is not null").select(other))
     return state.new_ids(found, table(spark, d, "videos").select("youtube_id"))
 
 
-@query("SELECT user_id, CAST(count(*) AS BIGINT) AS calls FROM events GROUP BY 1")
+@query("WITH RECURSIVE e AS (SELECT user_id, event_id, epoch(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events), p AS (SELECT user_id, event_id, rn, t AS start FROM e WHERE rn = 1 UNION ALL SELECT e.user_id, e.event_id, e.rn, greatest(e.t, p.start + 3600) FROM p JOIN e ON e.user_id = p.user_id AND e.rn = p.rn + 1) SELECT user_id, event_id, round(start, 3) AS start FROM p")
 def str04_paced_calls(spark, d):
-    return state.paced(table(spark, d, "events")).groupBy("user_id").agg(F.count("*").alias("calls"))
+    """When each call of a user may start if calls are at least an hour apart."""
+    e = table(spark, d, "events").select("user_id", "event_id", "ts", F.col("ts").cast("timestamp").cast("double").alias("t"))
+    return O.paced(e, "user_id", ["ts", "event_id"], "t", 3600.0).select("user_id", "event_id", F.round("start", 3).alias("start"))
 
 
 @query(r"SELECT DISTINCT youtube_id, title FROM videos WHERE regexp_matches(youtube_id, '^[A-Za-z0-9_-]{11}$') AND title IS NOT NULL AND trim(title) <> ''")
@@ -609,11 +665,3 @@ def src07_playlists(spark, d):
 def src21_blacklist(spark, d):
     a = table(spark, d, "pipeline_attempts").where(F.col("last_error").isNotNull() & ~F.col("last_error").rlike(r"[\[\]#]"))
     return readers.blacklist(a.select(F.concat("youtube_id", F.lit(" # "), "last_error").alias("value"))).distinct()
-
-
-@query(f"WITH {CUR}, p AS (SELECT youtube_id, max(acquired_at) AS acquired_at, count(DISTINCT sha256) AS versions FROM pipeline_transcripts WHERE youtube_id IS NOT NULL GROUP BY 1) SELECT c.prefix, count(*) AS videos, count(p.youtube_id) AS with_source, CAST(coalesce(sum(p.versions), 0) AS BIGINT) AS versions FROM cur JOIN channels c ON c.id = cur.channel_id LEFT JOIN p USING (youtube_id) GROUP BY 1")
-def cmp15_provenance_rollup(spark, d):
-    p = table(spark, d, "pipeline_transcripts").where("youtube_id is not null").groupBy("youtube_id").agg(F.count_distinct("sha256").alias("versions"), F.lit(1).alias("there"))
-    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix")
-    v = current(spark, d).select("channel_id", "youtube_id").join(p, "youtube_id", "left").groupBy("channel_id").agg(F.count("*").alias("videos"), F.count("there").alias("with_source"), F.coalesce(F.sum("versions"), F.lit(0)).alias("versions"))
-    return c.join(v, "channel_id").groupBy("prefix").agg(F.sum("videos").alias("videos"), F.sum("with_source").alias("with_source"), F.sum("versions").alias("versions"))

@@ -12,43 +12,37 @@ from transquill.operators import captions as C
 from transquill.operators import quality as Q
 from transquill.operators import relational as R
 from transquill.operators import search as S
-from transquill.plans.catalog import ATT, CUR, TXT, attempts, current, query, table, texts
+from transquill.operators import states as T
+from transquill.operators import ordered as O
+from transquill.plans.catalog import ATT, CUR, TXT, attempts, current, query, searched, table, texts, texts_of
 
 
 def signals(spark: SparkSession, d: str) -> DataFrame:
-    """Repetition signals with markers, artifacts and duration of each video's latest version."""
-    v = current(spark, d).where(X.has_text(F.col("transcript"))).select("id", "duration", "transcript", Q.marker_count(F.col("transcript")).alias("markers"), Q.artifact_count(F.col("transcript")).alias("artifacts"))
-    return map_documents(v, ["id", "duration", "markers", "artifacts", "transcript"], lambda i, u, m, a, t: [(i, u, m, a, r.words, r.alerts, r.covered, r.longest, r.long_alerts, r.sound_alerts, r.filler_alerts)] if (r := K.repetition(t)) else [], "id bigint, duration double, markers int, artifacts int, words int, alerts int, covered int, longest int, long_alerts int, sound_alerts int, filler_alerts int")
+    """Repetition signals with markers, artifacts and duration of each video's latest version; texts are measured where they are read."""
+    return C.quality_signals(texts(spark, d)).dropDuplicates(["id"]).join(current(spark, d).where("has_text").select("id", "title", "youtube_id", "channel_id", "duration"), "id")
 
 
 # ---- sources, filters
 
 
-@query("SELECT id, channel_id, youtube_id FROM (SELECT id, channel_id, youtube_id, status, row_number() OVER (PARTITION BY youtube_id ORDER BY id, last_updated DESC NULLS LAST) AS rn FROM videos WHERE youtube_id IS NOT NULL) WHERE rn = 1")
-def src14_merge_databases(spark, d):
-    """Tables of single channels put together; of an id the first one stays."""
-    v = table(spark, d, "videos").where("youtube_id is not null").select("youtube_id", "id", "channel_id")
-    return v.groupBy("youtube_id").agg(F.min(F.struct("id", "channel_id")).alias("r")).select("r.id", "r.channel_id", "youtube_id")
+PROBED = "(status IS NULL OR status IN ('PENDING', 'NO_SUBS', 'RETRY_429', 'MISSING'))"
 
 
-@query()
-def src16_truncated_json(spark, d):
-    from transquill.sources.readers import top_level_ids
-
-    files = table(spark, d, "raw_captions").where(F.col("raw_path").like("%.json")).select("raw_path", F.concat(F.lit('{"id": "'), C.video_id(F.col("raw_path")), F.lit('", "captions": '), "raw_text").alias("header")).distinct()
-    return top_level_ids(files, "raw_path", "header")
-
-
-@query(f"WITH {CUR} SELECT id FROM cur WHERE status IS NULL OR status IN ('PENDING', 'RETRY_429', 'ERR_429_BLOCK', 'ERR_DL_FAIL') ORDER BY id LIMIT 500")
+@query(f"WITH {CUR}, p AS (SELECT id FROM cur WHERE {PROBED} ORDER BY id LIMIT 500), a AS (SELECT id FROM (SELECT id, CASE WHEN {PROBED} AND status = 'NO_SUBS' THEN 'DIAG_NO_SUBS' ELSE status END AS status FROM cur) WHERE status = 'DIAG_NO_SUBS' ORDER BY id LIMIT 50) SELECT 'probe' AS part, id FROM p UNION ALL SELECT 'audio', id FROM a")
 def flt07_probe_set(spark, d):
-    return current(spark, d).where(F.col("status").isNull() | F.col("status").isin("PENDING", "RETRY_429", "ERR_429_BLOCK", "ERR_DL_FAIL")).select("id").orderBy("id").limit(500)
+    """The videos to probe, and of those that a probe found without subtitles the ones for audio."""
+    v = current(spark, d).select("id", "status")
+    wanted = F.col("status").isNull() | F.col("status").isin("PENDING", "NO_SUBS", "RETRY_429", "MISSING")
+    probe = v.where(wanted).orderBy("id").limit(500)
+    audio = v.withColumn("status", F.when(F.col("status") == "NO_SUBS", "DIAG_NO_SUBS").otherwise(F.col("status"))).where("status = 'DIAG_NO_SUBS'").orderBy("id").limit(50)
+    return probe.select(F.lit("probe").alias("part"), "id").unionAll(audio.select(F.lit("audio").alias("part"), "id"))
 
 
 @query("SELECT DISTINCT id, transcript FROM videos WHERE youtube_id = (SELECT min(youtube_id) FROM videos) AND transcript IS NOT NULL")
 def flt11_point_lookup(spark, d):
+    """One transcript by its id; the id is validated, and the filter reaches the scan."""
     v = table(spark, d, "videos")
-    first = v.agg(F.min("youtube_id")).first()[0]
-    return v.where((F.col("youtube_id") == first) & F.col("transcript").isNotNull()).select("id", "transcript").distinct()
+    return T.point_lookup(v, v.agg(F.min("youtube_id")).first()[0])
 
 
 @query(f"WITH {CUR} SELECT id FROM cur WHERE id > 100 ORDER BY id LIMIT 100")
@@ -56,11 +50,10 @@ def flt12_next_page(spark, d):
     return table(spark, d, "videos").where("id > 100").select("id").distinct().orderBy("id").limit(100)
 
 
-@query(f"WITH {ATT} SELECT youtube_id, CASE WHEN regexp_matches(last_error, '(?i)members|premium|private|sign in') THEN 'restricted' WHEN regexp_matches(last_error, '(?i)no subtitles|no captions') THEN 'no_captions' WHEN regexp_matches(last_error, '429|(?i)too many') THEN 'rate_limited' ELSE 'other' END AS verdict FROM att WHERE last_error IS NOT NULL")
+@query(f"WITH {ATT} SELECT youtube_id, CASE WHEN regexp_matches(last_error, '(?i)429|Too Many Requests') THEN 'RETRY_429' WHEN regexp_matches(last_error, '(?i)Premium|copyright|Music|protected') THEN 'PREMIUM' WHEN regexp_matches(last_error, '(?i)available|subtitles') THEN 'NO_SUBS' ELSE 'ERR_DL_FAIL' END AS verdict FROM att WHERE last_error IS NOT NULL")
 def flt22_failure_text(spark, d):
-    e = F.col("last_error")
-    verdict = F.when(e.rlike("(?i)members|premium|private|sign in"), "restricted").when(e.rlike("(?i)no subtitles|no captions"), "no_captions").when(e.rlike("429|(?i)too many"), "rate_limited").otherwise("other")
-    return attempts(spark, d).where(e.isNotNull()).select("youtube_id", verdict.alias("verdict"))
+    """The status that a failed download's text gives; the first rule that holds."""
+    return attempts(spark, d).where("last_error is not null").select("youtube_id", T.failure_status(F.col("last_error")).alias("verdict"))
 
 
 # ---- joins
@@ -82,21 +75,12 @@ def jon13_best_source(spark, d):
     return files.groupBy("youtube_id").agg(F.min_by("raw_path", order).alias("raw_path"))
 
 
-@query(f"WITH {CUR}, {ATT}, f AS (SELECT DISTINCT nullif(regexp_extract(raw_path, '(?:^|[/\\\\])([A-Za-z0-9_-]{{11}})(?:\\.[A-Za-z0-9-]+)*$', 1), '') AS youtube_id FROM raw_captions) SELECT cur.id, CASE WHEN {TXT} THEN 'text' WHEN f.youtube_id IS NOT NULL THEN 'raw' WHEN att.attempts >= 3 THEN 'given_up' WHEN att.attempts IS NOT NULL THEN 'tried' ELSE 'missing' END AS state FROM cur LEFT JOIN f USING (youtube_id) LEFT JOIN att USING (youtube_id)")
-def jon14_inventory_state(spark, d):
-    f = table(spark, d, "raw_captions").select(C.video_id(F.col("raw_path")).alias("youtube_id")).where("youtube_id is not null").distinct().withColumn("raw", F.lit(True))
-    v = current(spark, d).select("id", "youtube_id", X.has_text(F.col("transcript")).alias("text"))
-    state = F.when(F.col("text"), "text").when(F.col("raw"), "raw").when(F.col("attempts") >= 3, "given_up").when(F.col("attempts").isNotNull(), "tried").otherwise("missing")
-    return v.join(f, "youtube_id", "left").join(attempts(spark, d).select("youtube_id", "attempts"), "youtube_id", "left").select("id", state.alias("state"))
-
-
-@query("""WITH s AS (SELECT DISTINCT id, channel_id, regexp_extract_all(translate(lower(concat_ws(' ', coalesce(title, ''), coalesce(transcript, ''))), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[\\p{L}\\p{N}\\p{M}_’''-]+') AS t FROM videos)
-SELECT DISTINCT c.prefix, s.id FROM s JOIN channels c ON c.id = s.channel_id WHERE len(list_filter(t, lambda x: starts_with(x, 'forest') OR starts_with(x, 'foret'))) > 0""")
+@query(f"WITH {CUR}, " + r"""s AS (SELECT id, channel_id, regexp_extract_all(translate(lower(concat_ws(' ', coalesce(title, ''), coalesce(transcript, ''))), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[\p{L}\p{N}\p{M}_’''-]+') AS t FROM cur)
+SELECT c.prefix, s.id FROM s JOIN channels c ON c.id = s.channel_id WHERE len(list_filter(t, lambda x: starts_with(x, 'forest') OR starts_with(x, 'foret'))) > 0""")
 def jon05_search_channels(spark, d):
-    v = table(spark, d, "videos")
-    hits = S.match(v, "forest").where("tf_0 > 0").select("id").union(S.match(v, "forêt").where("tf_0 > 0").select("id")).distinct()
-    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix")
-    return v.select("id", "channel_id").join(hits, "id", "left_semi").join(c, "channel_id").select("prefix", "id").distinct()
+    """Two searches in one scan."""
+    hits = S.match(searched(spark, d, "forest", "forêt"), "forest", "forêt").where(S.every("forest") | S.every("forêt"))
+    return hits.join(table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix"), "channel_id").select("prefix", "id")
 
 
 # ---- aggregates, ordered operators
@@ -105,13 +89,13 @@ def jon05_search_channels(spark, d):
 @query(f"WITH {CUR}, k AS (SELECT * FROM cur WHERE {TXT} AND NOT EXISTS (SELECT 1 FROM pipeline_transcripts p WHERE p.youtube_id = cur.youtube_id AND p.sha256 = sha256(cur.transcript))) SELECT channel_id, count(*) AS videos, CAST(sum(length(transcript) - length(replace(transcript, ' ', '')) + 1) AS BIGINT) AS words FROM k GROUP BY 1")
 def agg05_adjusted(spark, d):
     out = table(spark, d, "pipeline_transcripts").select("youtube_id", F.col("sha256").alias("transcript_sha256"))
-    kept = R.excluded(current(spark, d).where(X.has_text(F.col("transcript"))), out)
-    return kept.groupBy("channel_id").agg(F.count("*").alias("videos"), F.sum(X.word_count_spaces(F.col("transcript"))).alias("words"))
+    kept = R.excluded(current(spark, d).where(F.col("has_text")), out)
+    return kept.groupBy("channel_id").agg(F.count("*").alias("videos"), F.sum("blank_words").alias("words"))
 
 
 @query(f"WITH {CUR}, s AS (SELECT channel_id, coalesce(CAST(sum(CAST(duration AS DECIMAL(18,3))) AS DOUBLE) / 3600.0, 0) AS h, sum(length(transcript) - length(replace(transcript, ' ', '')) + 1) AS w FROM cur WHERE {TXT} GROUP BY 1) SELECT channel_id, CASE WHEN h < 1 AND w > 0 THEN round_even(w / 9000.0, 0)::DOUBLE ELSE floor(h * 1000) / 1000 END AS hours FROM s")
 def agg06_hours_fallback(spark, d):
-    s = current(spark, d).where(X.has_text(F.col("transcript"))).groupBy("channel_id").agg(F.coalesce(F.sum(F.col("duration").cast("decimal(18,3)")).cast("double") / 3600.0, F.lit(0.0)).alias("h"), F.sum(X.word_count_spaces(F.col("transcript"))).alias("w"))
+    s = current(spark, d).where(F.col("has_text")).groupBy("channel_id").agg(F.coalesce(F.sum(F.col("duration").cast("decimal(18,3)")).cast("double") / 3600.0, F.lit(0.0)).alias("h"), F.sum("blank_words").alias("w"))
     return s.select("channel_id", F.when((F.col("h") < 1) & (F.col("w") > 0), F.bround(F.col("w") / 9000.0, 0)).otherwise(F.floor(F.col("h") * 1000) / 1000).cast("double").alias("hours"))
 
 
@@ -127,10 +111,15 @@ def agg11_unambiguous_map(spark, d):
     return t.groupBy("language").agg(F.min("source").alias("source"), F.count("*").alias("n"), F.count_distinct("source").alias("k")).where("k = 1").drop("k")
 
 
-@query(f"WITH {CUR}, r AS (SELECT channel_id, id, rank() OVER (PARTITION BY channel_id ORDER BY coalesce(duration, -1) DESC, id) AS rk FROM cur WHERE NOT ({TXT})) SELECT channel_id, id FROM r WHERE rk = 1")
-def win11_best_of_channel(spark, d):
-    v = current(spark, d).where(R.no_text())
-    return v.groupBy("channel_id").agg(F.min_by("id", F.struct(-F.coalesce("duration", F.lit(-1.0)), F.col("id"))).alias("id"))
+@query(r"""WITH m AS (SELECT DISTINCT youtube_id, replace(raw_path, '\', '/') AS path FROM pipeline_transcripts WHERE raw_path IS NOT NULL AND youtube_id IS NOT NULL), f AS (SELECT youtube_id, regexp_replace(path, '\.[a-z0-9]+$', CASE WHEN hash_no % 3 = 0 THEN '.m4a' WHEN hash_no % 3 = 1 THEN '.mp4' ELSE '.opus' END) AS path, length(path) * 1000 + hash_no % 7 AS bytes FROM (SELECT *, ascii(substr(youtube_id, 2, 1)) + ascii(substr(youtube_id, 5, 1)) AS hash_no FROM m))
+SELECT youtube_id, path FROM (SELECT *, row_number() OVER (PARTITION BY youtube_id ORDER BY CASE WHEN regexp_matches(path, '\.(?:m4a|mp3|opus|wav|ogg|flac|aac)$') THEN 0 ELSE 1 END, bytes, path) AS rn FROM f) WHERE rn = 1""")
+def win11_best_media(spark, d):
+    """Of each video's media files the best for speech: audio first, then the smallest."""
+    m = table(spark, d, "pipeline_transcripts").where("raw_path is not null and youtube_id is not null").select("youtube_id", F.translate("raw_path", "\\", "/").alias("path")).distinct()
+    no = F.ascii(F.substring("youtube_id", 2, 1)) + F.ascii(F.substring("youtube_id", 5, 1))
+    ending = F.when(no % 3 == 0, ".m4a").when(no % 3 == 1, ".mp4").otherwise(".opus")
+    files = m.select("youtube_id", F.regexp_replace("path", F.lit(r"\.[a-z0-9]+$"), ending).alias("path"), (F.length("path") * 1000 + no % 7).alias("bytes"))
+    return T.best_media(files, "youtube_id", "path", "bytes").select("youtube_id", "path")
 
 
 @query(r"SELECT youtube_id, raw_path FROM (SELECT raw_path, youtube_id, row_number() OVER (PARTITION BY youtube_id ORDER BY CASE WHEN contains(raw_path, youtube_id) THEN 0 ELSE 1 END, raw_path) AS rn FROM (SELECT DISTINCT youtube_id, raw_path FROM pipeline_transcripts WHERE raw_path IS NOT NULL AND youtube_id IS NOT NULL)) WHERE rn = 1")
@@ -141,32 +130,28 @@ def win08_sidecars(spark, d):
 
 @query(f"WITH {CUR}, q AS (SELECT id, upload_date, row_number() OVER (ORDER BY id) AS pos FROM cur WHERE NOT ({TXT})) SELECT id, row_number() OVER (ORDER BY CASE WHEN pos <= 10 THEN pos END NULLS LAST, upload_date DESC NULLS LAST, id DESC) AS place FROM q")
 def win10_queue_tail(spark, d):
-    """The first ten stay where they are; the rest is sorted anew. Ranks come from sorted ranges, not from one task."""
+    """The first ten stay where they are; the rest is sorted anew. Places come from sorted ranges that are written once."""
     q = current(spark, d).where(R.no_text()).select("id", "upload_date")
-    head = [r["id"] for r in q.orderBy("id").limit(10).collect()]
+    head = [r["id"] for r in q.select("id").orderBy("id").limit(10).collect()]
     at = F.nullif(F.array_position(F.array(*(F.lit(i) for i in head)) if head else F.array().cast("array<bigint>"), F.col("id")), F.lit(0))
-    ordered = q.withColumn("at", at).repartitionByRange(F.col("at").asc_nulls_last(), F.col("upload_date").desc_nulls_last(), F.col("id").desc()).withColumn("part", F.spark_partition_id())
-    w = Window.partitionBy("part").orderBy(F.col("at").asc_nulls_last(), F.col("upload_date").desc_nulls_last(), F.col("id").desc())
-    sizes = ordered.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
-    before, total = {}, 0
-    for r in sizes:
-        before[r["part"]], total = total, total + r["n"]
-    shift = F.create_map(*(F.lit(x) for p in before.items() for x in p))[F.col("part")] if before else F.lit(0)
-    return ordered.select("id", (F.row_number().over(w) + shift).cast("long").alias("place"))
+    return O.ranks(q.withColumn("at", at), [F.col("at").asc_nulls_last(), F.col("upload_date").desc_nulls_last(), F.col("id").desc()], "place").select("id", "place")
 
 
-@query(f"WITH {CUR}, p AS (SELECT channel_id, CAST(sum(len(list_filter(string_split_regex(transcript, '[ \\t\\n\\r\\f]+'), lambda x: x <> ''))) AS BIGINT) AS words FROM cur WHERE {TXT} GROUP BY 1) SELECT channel_id, words FROM p")
+@query(rf"""WITH RECURSIVE {CUR}, v AS (SELECT channel_id, id, CAST(len(list_filter(string_split_regex(transcript, '[ \t\n\r\f]+'), lambda x: x <> '')) AS BIGINT) AS w, CAST(length(coalesce(title, '')) - length(replace(coalesce(title, ''), ' ', '')) + 6 AS BIGINT) AS h, row_number() OVER (PARTITION BY channel_id ORDER BY upload_date NULLS FIRST, id) AS rn FROM cur WHERE {TXT} AND channel_id IS NOT NULL),
+f AS (SELECT channel_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS id, CAST(0 AS BIGINT) AS remains, CAST(0 AS BIGINT) AS fill, CAST(1 AS BIGINT) AS pack, CAST(0 AS BIGINT) AS taken FROM v WHERE rn = 1 UNION ALL
+SELECT channel_id, rn, id, todo - t, CASE WHEN todo = 0 THEN fill ELSE base + h + t END, CASE WHEN todo > 0 AND fill + h >= 2000 THEN pack + 1 ELSE pack END, t FROM (SELECT *, least(2000 - base - h, todo) AS t FROM (SELECT f.channel_id, v.rn, v.id, v.h, f.fill, f.pack, CASE WHEN f.remains > 0 THEN f.remains ELSE v.w END AS todo, CASE WHEN f.fill + v.h >= 2000 THEN 0 ELSE f.fill END AS base FROM f JOIN v ON v.channel_id = f.channel_id AND v.rn = CASE WHEN f.remains > 0 THEN f.rn ELSE f.rn + 1 END)))
+SELECT channel_id, pack, id, taken AS words FROM f WHERE taken > 0""")
 def win06_split_packs(spark, d):
-    """Packs of at most 2,000 words in which long texts are cut; no word is lost. Only sizes are gathered for a channel."""
-    v = current(spark, d).where(X.has_text(F.col("transcript"))).select("channel_id", F.struct("upload_date", "id", F.size(X.words(F.col("transcript"))).alias("w")).alias("x"))
-    lists = v.groupBy("channel_id").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    packs = map_documents(lists, ["channel_id", "xs"], lambda c, xs: [(c, p, n) for p, _, n in K.split_packs([(str(x["id"]), 8, x["w"]) for x in xs], 2000)], "channel_id int, pack int, words bigint")
-    return packs.groupBy("channel_id").agg(F.sum("words").alias("words"))
+    """Packs of at most 2,000 words in which long texts are cut, each piece with its header of the title's words and five more."""
+    v = current(spark, d).where(F.col("has_text") & F.col("channel_id").isNotNull()).select("channel_id", "upload_date", "id", (X.word_count_spaces(F.coalesce("title", F.lit(""))) + 5).alias("h"), F.col("space_words").alias("w"))
+    return O.split_packs(v, "channel_id", ["upload_date", "id"], "id", "h", "w", 2000)
 
 
-@query(f"WITH {CUR} SELECT id, upload_date FROM cur WHERE {TXT} ORDER BY upload_date NULLS FIRST, id LIMIT 1000")
+@query(f"WITH {CUR} SELECT id, row_number() OVER (ORDER BY upload_date NULLS FIRST, id) AS place FROM cur WHERE {TXT}")
 def top10_pack_order(spark, d):
-    return current(spark, d).where(X.has_text(F.col("transcript"))).select("id", "upload_date").orderBy(F.col("upload_date").asc_nulls_first(), "id").limit(1000)
+    """The order in which all texts go into packs."""
+    v = current(spark, d).where(F.col("has_text")).select("id", "upload_date")
+    return O.ranks(v, [F.col("upload_date").asc_nulls_first(), F.col("id")], "place").select("id", "place")
 
 
 @query("SELECT folder, files FROM (SELECT regexp_extract(replace(raw_path, '\\', '/'), '^(?:[^/]*/){2}([^/]*)', 1) AS folder, count(DISTINCT raw_path) AS files FROM raw_captions GROUP BY 1) ORDER BY files DESC, folder LIMIT 35")
@@ -182,12 +167,6 @@ def set01_vocabulary(spark, d):
     return texts(spark, d).select("id", words.alias("w")).select("id", F.size("w").alias("vocabulary"), F.size(F.array_intersect("w", common)).alias("shared")).distinct()
 
 
-@query("SELECT 'videos' AS origin, count(DISTINCT youtube_id) AS ids FROM videos UNION ALL SELECT 'transcripts', count(DISTINCT youtube_id) FROM pipeline_transcripts UNION ALL SELECT 'attempts', count(DISTINCT youtube_id) FROM pipeline_attempts")
-def set03_union_by_name(spark, d):
-    parts = [table(spark, d, t).select("youtube_id").withColumn("origin", F.lit(n)) for n, t in (("videos", "videos"), ("transcripts", "pipeline_transcripts"), ("attempts", "pipeline_attempts"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("origin").agg(F.count_distinct("youtube_id").alias("ids"))
-
-
 # ---- text
 
 
@@ -206,10 +185,10 @@ def txt03_rendered_triples(spark, d):
     return map_documents(three, ["path", "raw"], lambda p, t: [(p, *K.rendered_triples(t))], "path string, text string, removed int").select("path", "removed", F.sha2("text", 256).alias("text_sha"))
 
 
-@query(r"SELECT DISTINCT raw_path, sha256(regexp_replace(raw_text, '^WEBVTT[ \t]*\n(?:(?:Kind|Language):[^\n]*\n)*', '')) AS text_sha FROM raw_captions WHERE raw_path LIKE '%.vtt'")
+@query(r"SELECT DISTINCT raw_path, sha256(regexp_replace(raw_text, '^WEBVTT[ \t]*\n(?:(?:Kind|Language):[^\n]*\n)*', '')) AS text_sha FROM raw_captions WHERE regexp_matches(raw_path, '\.(?:vtt|srt)$')")
 def txt04_without_header(spark, d):
     t = F.regexp_replace("raw_text", r"^WEBVTT[ \t]*\n(?:(?:Kind|Language):[^\n]*\n)*", "")
-    return table(spark, d, "raw_captions").where(F.col("raw_path").like("%.vtt")).select("raw_path", F.sha2(t, 256).alias("text_sha")).distinct()
+    return table(spark, d, "raw_captions").where(F.col("raw_path").rlike(r"\.(?:vtt|srt)$")).select("raw_path", F.sha2(t, 256).alias("text_sha")).distinct()
 
 
 @query()
@@ -228,13 +207,13 @@ def txt15_canonical_words(spark, d):
     return map_documents(texts(spark, d), ["id", "transcript"], lambda i, t: [(i, len(w := K.canonical_words(t)), len(set(w)))], "id bigint, words int, kinds int").distinct()
 
 
-@query(r"""WITH s AS (SELECT DISTINCT raw_path, raw_text AS t FROM raw_captions WHERE raw_path LIKE '%.vtt'), c AS (SELECT raw_path, regexp_replace(regexp_replace(regexp_replace(t, '<[^>]+>', '', 'g'), '(?m)^(?:WEBVTT|Kind:|Language:)[^\n]*$', '', 'g'), '(?m)^[0-9:.]+ --> [^\n]*$', '', 'g') AS t FROM s),
+@query(r"""WITH s AS (SELECT DISTINCT raw_path, raw_text AS t FROM raw_captions WHERE regexp_matches(raw_path, '\.(?:vtt|srt)$')), c AS (SELECT raw_path, regexp_replace(regexp_replace(regexp_replace(t, '<[^>]+>', '', 'g'), '(?m)^(?:WEBVTT|Kind:|Language:)[^\n]*$', '', 'g'), '(?m)^[0-9:.]+ --> [^\n]*$', '', 'g') AS t FROM s),
 l AS (SELECT raw_path, list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(x)), lambda x: x <> '' AND NOT regexp_full_match(x, '[0-9]+')) AS l FROM c)
 SELECT raw_path, CAST(len(list_distinct(l)) AS INTEGER) AS kept FROM l WHERE length(array_to_string(l, ' ')) > 100""")
 def txt17_simple_clean(spark, d):
     t = F.regexp_replace(F.regexp_replace(F.regexp_replace("raw_text", "<[^>]+>", ""), r"(?m)^(?:WEBVTT|Kind:|Language:)[^\n]*$", ""), r"(?m)^[0-9:.]+ --> [^\n]*$", "")
     lines = F.filter(F.transform(F.split(t, "\n"), lambda x: F.trim(x)), lambda x: (x != "") & ~x.rlike("^[0-9]+$"))
-    rows = table(spark, d, "raw_captions").where(F.col("raw_path").like("%.vtt")).select("raw_path", lines.alias("l"))
+    rows = table(spark, d, "raw_captions").where(F.col("raw_path").rlike(r"\.(?:vtt|srt)$")).select("raw_path", lines.alias("l"))
     return rows.where(F.length(F.array_join("l", " ")) > 100).select("raw_path", F.size(F.array_distinct("l")).alias("kept")).distinct()
 
 
@@ -247,21 +226,10 @@ def qua04_status(spark, d):
     return s.select("id", Q.status(s["markers"], s["alerts"]).alias("status"))
 
 
-@query()
-def qua07_triage(spark, d):
-    s = signals(spark, d)
-    return s.select("id", Q.triage(s).alias("triage"))
-
-
 @query(f"WITH {CUR}, s AS (SELECT id, title, transcript FROM cur WHERE {TXT}), p AS (SELECT id, trim(u) AS sentence FROM s, unnest(string_split_regex(lower(transcript), '[.!?\\n]+')) t(u)), n AS (SELECT id, count(*) * (length(sentence) - length(replace(sentence, ' ', '')) + 1) AS w FROM p WHERE sentence <> '' GROUP BY id, sentence), m AS (SELECT id, CAST(max(w) AS BIGINT) AS dominant FROM n GROUP BY 1) SELECT s.id, CAST(length(transcript) - length(replace(transcript, ' ', '')) + 1 AS INTEGER) AS words, m.dominant, coalesce(regexp_matches(title, '(?i)\\b(?:lofi|music|musique|fireplace|ambient|relaxation)\\b'), false) AS music, coalesce(regexp_matches(title, '(?i)no talking|sans parole'), false) AS silent FROM s JOIN m USING (id)")
 def qua08_loops(spark, d):
-    return Q.loops(current(spark, d))
-
-
-@query()
-def qua12_retention(spark, d):
-    s = signals(spark, d)
-    return s.select("id", Q.healthy(s).alias("verdict"))
+    loops = Q.loops(table(spark, d, "videos")).distinct().drop("accepted", "times", "share")
+    return loops.join(current(spark, d).where("has_text").select("id"), "id", "left_semi")
 
 
 @query()
@@ -270,28 +238,6 @@ def qua13_worth_review(spark, d):
     return s.where((F.col("artifacts") > 0) | (F.col("alerts") >= 0.01 * F.col("words"))).select("id", "alerts", "words")
 
 
-@query()
-def qua16_pilot(spark, d):
-    """What a re-import changes: caption texts against the transcripts as they are; (id, same)."""
-    best = C.best_local(table(spark, d, "raw_captions")).select("youtube_id", F.sha2("text", 256).alias("new_sha"))
-    v = current(spark, d).where(X.has_text(F.col("transcript"))).select("id", "youtube_id", F.sha2("transcript", 256).alias("sha"))
-    return v.join(best, "youtube_id").select("id", (F.col("sha") == F.col("new_sha")).alias("same"))
-
-
-@query()
-def cmp01_audit(spark, d):
-    s = signals(spark, d)
-    return s.groupBy(Q.status(s["markers"], s["alerts"]).alias("status")).agg(F.count("*").alias("videos"), F.sum("alerts").alias("alerts"))
-
-
-@query()
-def cmp09_spoken_plan(spark, d):
-    """Texts that the spoken de-duplication changes, as a plan of hashes; a second pass changes nothing."""
-    once = C.spoken_once(texts(spark, d)).dropDuplicates(["id"]).withColumnRenamed("text", "transcript")
-    again = C.spoken_once(once.select("id", "transcript")).select("id")
-    return once.join(again, "id", "left_anti").select("id", "events", F.sha2("transcript", 256).alias("after_sha"))
-
-
 # ---- state
 
 
@@ -310,17 +256,10 @@ def str02_back_off(spark, d):
     return attempts(spark, d).where(e.isNotNull()).select("youtube_id", wait.alias("wait_minutes"))
 
 
-@query("SELECT user_id, max(event_id) AS event_id FROM events WHERE json_valid(props) GROUP BY 1")
-def str12_journal(spark, d):
-    """Journal lines replayed: malformed ones are skipped, the last of each key wins."""
-    e = table(spark, d, "events").withColumn("j", F.try_parse_json("props")).where("j is not null")
-    return R.keyed(e.select("user_id", "event_id"), "user_id", "event_id")
-
-
 @query(f"WITH {CUR} SELECT cur.id, p.cleaner_version FROM cur JOIN (SELECT DISTINCT youtube_id, sha256, cleaner_version FROM pipeline_transcripts WHERE sha256 IS NOT NULL) p USING (youtube_id) WHERE {TXT} AND p.sha256 = sha256(cur.transcript) AND p.cleaner_version = 'v16.0'")
 def str13_valid_cache(spark, d):
     p = table(spark, d, "pipeline_transcripts").where("sha256 is not null and cleaner_version = 'v16.0'").select("youtube_id", "sha256", "cleaner_version").distinct()
-    v = current(spark, d).where(X.has_text(F.col("transcript"))).select("id", "youtube_id", F.sha2("transcript", 256).alias("sha256"))
+    v = current(spark, d).where(F.col("has_text")).select("id", "youtube_id", F.col("text_sha").alias("sha256"))
     return v.join(p, ["youtube_id", "sha256"]).select("id", "cleaner_version")
 
 
@@ -332,7 +271,8 @@ def src11_pack_round_trip(spark, d):
     """Texts rendered as packs, and read back from them."""
     from transquill.sources.readers import pack_entries
 
-    v = current(spark, d).where(X.has_text(F.col("transcript")) & F.col("title").isNotNull() & (F.trim("title") != "") & ~F.col("title").contains("\n") & (F.length(F.trim("transcript")) >= 100) & ~F.col("transcript").rlike(r"(?m)^(?:={4,}[ \t]*$|### SOURCE:)"))
+    v = texts_of(spark, d, current(spark, d).where(F.col("has_text") & F.col("title").isNotNull() & (F.trim("title") != "") & ~F.col("title").contains("\n")))
+    v = v.where((F.length(F.trim("transcript")) >= 100) & ~F.col("transcript").rlike(r"(?m)^(?:={4,}[ \t]*$|### SOURCE:)"))
     part = F.concat(F.lit("### SOURCE: x\nURL: "), "youtube_id", F.lit("\nTITLE: "), "title", F.lit("\nDATE: "), F.coalesce("upload_date", F.lit("")), F.lit("\n====\nbody\n====\n"), F.trim("transcript"), F.lit("\n"))
     packs = v.groupBy("channel_id", F.pmod(F.xxhash64("id"), F.lit(256)).alias("part")).agg(F.array_join(F.collect_list(part), "").alias("value"))
     return pack_entries(packs).groupBy("url", "title").agg(F.count("*").alias("n"))
@@ -347,20 +287,6 @@ def src15_metadata(spark, d):
     return metadata(v).select("id", "title", "duration")
 
 
-@query("SELECT c.id, CASE WHEN c.lang_config IS NULL OR trim(c.lang_config) = '' THEN coalesce(t.lang, 'und') ELSE c.lang_config END AS lang_config FROM channels c LEFT JOIN (SELECT lower(trim(source)) AS src, min(lang) AS lang FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL GROUP BY 1) t ON t.src = lower(c.prefix)")
-def flt24_config_update(spark, d):
-    t = table(spark, d, "documents").where("lang is not null and source is not null").groupBy(F.lower(F.trim("source")).alias("src")).agg(F.min("lang").alias("lang"))
-    c = table(spark, d, "channels").select("id", "lang_config", F.lower("prefix").alias("src"))
-    empty = F.col("lang_config").isNull() | (F.trim("lang_config") == "")
-    return c.join(t, "src", "left").select("id", F.when(empty, F.coalesce("lang", F.lit("und"))).otherwise(F.col("lang_config")).alias("lang_config"))
-
-
-@query(f"SELECT source, count(*) AS documents, CAST(sum(CASE WHEN starts_with(text, '--- VIDEO:') THEN 1 ELSE 0 END) AS BIGINT) AS headers, CAST(sum(len(list_filter(string_split_regex(text, '[ \\t\\n\\r\\f]+'), lambda x: x <> ''))) AS BIGINT) AS words FROM documents WHERE trim(coalesce(text, '')) <> '' GROUP BY 1")
-def agg14_pack_review(spark, d):
-    docs = table(spark, d, "documents").where(X.has_text(F.col("text")))
-    return docs.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("text").startswith("--- VIDEO:")).alias("headers"), F.sum(F.size(X.words(F.col("text")))).alias("words"))
-
-
 @query()
 def top05_triage_priority(spark, d):
     s = signals(spark, d)
@@ -368,25 +294,3 @@ def top05_triage_priority(spark, d):
     return s.where((F.col("alerts") > 0) | (F.col("artifacts") > 0)).orderBy(F.col("artifacts").desc(), share.desc(), "id").limit(30).select("id", "artifacts", F.round(share, 6).alias("share"))
 
 
-@query()
-def qua06_repair_gate(spark, d):
-    """Repairs of the spoken de-duplication that may be taken: something is left, nothing got worse, and something better."""
-    plan = C.spoken_once(texts(spark, d)).dropDuplicates(["id"]).withColumnRenamed("text", "transcript")
-    before = C.repetition_signals(texts(spark, d)).dropDuplicates(["id"]).select("id", F.col("alerts").alias("alerts_before"))
-    after = C.repetition_signals(plan).select("id", "alerts", "words")
-    return after.join(before, "id").where("words > 0 and alerts < alerts_before").select("id", "alerts_before", "alerts")
-
-
-@query(f"WITH {CUR} SELECT c.prefix, count(*) AS texts FROM cur JOIN channels c ON c.id = cur.channel_id WHERE {TXT} GROUP BY 1")
-def cmp16_packs(spark, d):
-    """Each channel's packs of 5,000 words: every text is in exactly one."""
-    v = current(spark, d).where(X.has_text(F.col("transcript"))).select("channel_id", "upload_date", "id", F.size(X.words(F.col("transcript"))).alias("w"))
-    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix")
-    return R.packs(v, "channel_id", ["upload_date", "id"], "w", 5000).join(c, "channel_id").groupBy("prefix").agg(F.sum("texts").alias("texts"))
-
-
-@query(f"WITH {CUR} SELECT c.prefix, cur.id FROM cur JOIN channels c ON c.id = cur.channel_id WHERE NOT ({TXT}) AND status LIKE 'ERR_%' ORDER BY c.prefix, upload_date DESC NULLS LAST, cur.id LIMIT 500")
-def cmp17_follow_up_order(spark, d):
-    c = table(spark, d, "channels").select(F.col("id").alias("channel_id"), "prefix")
-    v = current(spark, d).where(R.no_text() & F.col("status").like("ERR_%")).join(c, "channel_id")
-    return v.orderBy("prefix", F.col("upload_date").desc_nulls_last(), "id").limit(500).select("prefix", "id")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from transquill.functions.arrow import map_documents
+from transquill.functions.text import MARKERS
+from transquill.operators import captions
 
 ID = r"[A-Za-z0-9_-]{11}"
 
@@ -107,3 +109,65 @@ def caption_choice(meta: DataFrame, languages: tuple[str, ...]) -> DataFrame:
     has = lambda col, lang: F.exists(F.coalesce(F.col(col)[lang], F.array().cast("array<struct<ext:string>>")), lambda x: x["ext"] == "vtt")
     choices = [F.when(has(col, lang), F.struct(F.lit(lang).alias("lang"), F.lit(source).alias("source"))) for col, source in (("subtitles", "manual"), ("automatic_captions", "automatic")) for lang in languages]
     return meta.select("id", F.coalesce(*choices).alias("c")).select("id", "c.lang", "c.source")
+
+
+def injected(videos: DataFrame, results: DataFrame) -> DataFrame:
+    """videos (youtube_id, status, text_sha) after results (youtube_id, status, transcript) of fetches: only successes with a text count."""
+    good = results.where((F.col("status") == "SUCCESS") & F.col("transcript").isNotNull() & (F.col("transcript") != "")).groupBy("youtube_id").agg(F.max(F.sha2("transcript", 256)).alias("__new"))
+    joined = videos.join(good, "youtube_id", "left")
+    return joined.select("youtube_id", F.when(F.col("__new").isNotNull(), "SUCCESS").otherwise(F.col("status")).alias("status"), F.coalesce("__new", "text_sha").alias("text_sha"))
+
+
+def recovered(videos: DataFrame, files: DataFrame) -> DataFrame:
+    """(youtube_id, status, text_sha) of what files (path, text) of a recovery folder fill in videos (youtube_id, has_text).
+
+    Metadata of the downloader is refused before anything is parsed; caption files are cleaned; texts are never overwritten.
+    """
+    good = files.where(F.col("path").rlike(r"(?i)\.(?:txt|srt|vtt)$") & ~F.coalesce(F.col("text").rlike(MARKERS["downloader_metadata"]), F.lit(False)))
+    timed = F.col("path").rlike(r"(?i)\.(?:srt|vtt)$")
+    cleaned = captions.spoken_files(good.where(timed).select(F.col("path").alias("raw_path"), F.col("text").alias("raw_text"))).select("path", "text")
+    both = good.where(~timed).select("path", F.trim("text").alias("text")).unionByName(cleaned)
+    one = both.where(F.col("text") != "").select(captions.video_id(F.col("path")).alias("youtube_id"), "path", "text").groupBy("youtube_id").agg(F.min_by("text", "path").alias("text"))
+    return videos.where(~F.col("has_text")).join(one, "youtube_id").select("youtube_id", F.lit("SUCCESS (RECOVERY)").alias("status"), F.sha2("text", 256).alias("text_sha"))
+
+
+def sidecars(meta: DataFrame, subtitles: DataFrame, known: DataFrame, languages: tuple[str, ...]) -> DataFrame:
+    """(youtube_id, title, lang, text): new videos by their metadata with a caption in the first of the languages that has a sound one."""
+    sound = subtitles.where(F.col("lang").isin(*languages) & (F.length("text") > 10) & ~F.col("text").contains("????") & ~F.col("text").contains("-->"))
+    order = F.array_position(F.array(*(F.lit(x) for x in languages)), F.col("lang"))
+    best = sound.groupBy("youtube_id").agg(F.min_by(F.struct("lang", "text"), F.struct(order, F.col("text"))).alias("r"))
+    new = meta.select(F.col("id").alias("youtube_id"), "title").groupBy("youtube_id").agg(F.min("title").alias("title")).join(known, "youtube_id", "left_anti")
+    return new.join(best, "youtube_id").select("youtube_id", "title", "r.lang", "r.text")
+
+
+def merged(catalogue: DataFrame, channels: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(catalogue, channels) after videos (prefix, youtube_id) of other tables: missing channels are created, known ids are left alone.
+
+    New channels are numbered after the highest id by their names' order; they are as few as channels are.
+    """
+    names = others.select("prefix").distinct().join(channels.select("prefix"), "prefix", "left_anti")
+    highest = channels.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    new = names.select("prefix", (F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("prefix")) + F.lit(highest)).cast("long").alias("id"))
+    every = channels.select("id", "prefix").unionByName(new.select("id", "prefix"))
+    add = others.join(every, "prefix").groupBy("youtube_id").agg(F.min("id").alias("channel_id")).join(catalogue.select("youtube_id"), "youtube_id", "left_anti")
+    return catalogue.select("youtube_id", "channel_id").unionByName(add), every
+
+
+def inventory_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """(path, size_bytes, git_tracked, youtube_id) of an inventory's lines; malformed ones are left out."""
+    return lines.select(F.from_json(column, "path string, size_bytes bigint, git_tracked boolean, youtube_id string").alias("j")).select("j.*").where("path is not null and size_bytes is not null")
+
+
+def journal(lines: DataFrame, column: str = "value") -> DataFrame:
+    """(user, seq): of each key's journal records the last; malformed lines are skipped."""
+    rows = lines.select(F.from_json(column, "user bigint, seq bigint").alias("j")).select("j.*").where("user is not null and seq is not null")
+    return rows.groupBy("user").agg(F.max("seq").alias("seq"))
+
+
+def sql_template(script: str, name: str) -> str:
+    """The query that a script holds under a name, as a block or in quotes; anything but a fixed SELECT is refused."""
+    block = re.search(rf'\${re.escape(name)}\s*=\s*@"\s*\n(.*?)\n"@', script, re.DOTALL) or re.search(rf'\${re.escape(name)}\s*=\s*"(.*?)"', script, re.DOTALL)
+    found = block[1].strip() if block else ""
+    if not found.upper().startswith("SELECT") or "$" in found or ";" in found.rstrip(";"):
+        raise ValueError(f"no fixed SELECT named {name}")
+    return found.rstrip(";")

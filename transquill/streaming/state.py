@@ -47,14 +47,6 @@ def paused_until(failures: DataFrame, minutes: int = 62) -> DataFrame:
     return failures.where("category = 'http_429'").agg((F.max("ts") + F.expr(f"interval {minutes} minutes")).alias("until"))
 
 
-def paced(events: DataFrame, seconds: int = 60) -> DataFrame:
-    """When each call of a worker may start if calls are at least so far apart: a fold over the worker's calls in order."""
-    asked = F.sort_array(F.collect_list(F.col("ts").cast("timestamp").cast("double")))
-    none = F.array().cast("array<double>")
-    started = F.aggregate("asked", none, lambda out, t: F.concat(out, F.array(F.greatest(t, F.coalesce(F.get(out, F.size(out) - 1) + seconds, t)))))
-    return events.groupBy("user_id").agg(asked.alias("asked")).select("user_id", F.posexplode(started).alias("call", "start"))
-
-
 def run_once(stream: DataFrame, checkpoint: str, table: str, mode: str = "append") -> None:
     """Everything that is there now, then stop."""
     stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).format("memory").queryName(table).trigger(availableNow=True).start().awaitTermination()
