@@ -42,6 +42,8 @@ FAILURES = {
     "cookie_access_failed": r"could not (?:copy|find|read).*cookie|failed to decrypt|cookie database.*(?:locked|not found)", "javascript_runtime_missing": r"no supported JavaScript runtime|JavaScript runtime.*not found",
     "video_unavailable": r"Video unavailable|Private video|video has been removed", "http_403": r"HTTP(?: Error)?\s*403", "network_timeout": r"timed out|timeout", "outdated_extractor": r"older than 90 days",
 }
+#: Marks, conjoining letters and characters that have another form of their own: texts without any are composed already.
+MAY_COMPOSE = r"[\p{M}\u1100-\u11ff\u0374\u037e\u0387\u1f71-\u1fff\u2000\u2001\u2126\u212a\u212b\u2329\u232a\u2adc\uf900-\ufaff\ufb1d-\ufb4e\x{1d15e}-\x{1d1c0}\x{2f800}-\x{2fa1d}]"
 #: Words that turn a sentence's meaning round.
 NEGATIONS = ("not", "no", "never", "without", "neither", "ne", "pas", "non", "sans", "jamais")
 # End of fixed values.

@@ -17,6 +17,7 @@ from transquill.operators import ordered as O
 from transquill.operators import quality as Q
 from transquill.operators import relational as R
 from transquill.operators import states as T
+from transquill.operators.storage import stored
 
 PLAN = ["youtube_id", "category", "before_sha", "after_sha", "apply", "candidate"]
 SIGNALS = ("markers", "artifacts", "words", "alerts", "covered", "longest", "long_alerts", "sound_alerts", "filler_alerts")
@@ -119,11 +120,11 @@ def source_plan(texts: DataFrame, files: DataFrame, selective: bool = True) -> D
     s = measured(texts, "transcript", "now").where("alerts_now > 0 or artifacts_now > 0")
     if selective:
         s = s.where((F.col("artifacts_now") > 0) | (F.col("alerts_now") >= 0.01 * F.col("words_now")))
-    doubtful = texts.join(s.select("youtube_id", "alerts_now"), "youtube_id")
+    doubtful = stored(texts.join(s.select("youtube_id", "alerts_now"), "youtube_id"))  # a small part of all texts, gone through several times
     triple = C.collapsed_triples(doubtful.where("alerts_now >= 20"), False, "youtube_id", "transcript").select("youtube_id", F.col("text").alias("candidate"))
-    first = repairs(doubtful.join(triple, "youtube_id").select("youtube_id", "transcript", "candidate"), "short_systemic_triplicates")
+    first = stored(repairs(doubtful.join(triple, "youtube_id").select("youtube_id", "transcript", "candidate"), "short_systemic_triplicates"))
     rest = doubtful.join(first.select("youtube_id"), "youtube_id", "left_anti")
-    sourced = rest.join(C.best_local(files).select("youtube_id", F.col("text").alias("candidate")), "youtube_id")
+    sourced = stored(rest.join(C.best_local(files).select("youtube_id", F.col("text").alias("candidate")), "youtube_id"))
     same = C.concordant(sourced.select("youtube_id", F.col("transcript").alias("before"), F.col("candidate").alias("after")), "youtube_id").where("same").select("youtube_id")
     second = repairs(sourced.join(same, "youtube_id", "left_semi").select("youtube_id", "transcript", "candidate"), "verified_local_timed_source")
     return first.unionByName(second)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from transquill.functions.text import folded, has_text, let, tokens
 
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
+#: Characters of a term by which the index is bucketed, and the number of buckets.
+PREFIX, BUCKETS = 2, 64
 
 
 def query_terms(query: str) -> list[str]:
@@ -74,6 +76,27 @@ def postings(videos: DataFrame, latest: DataFrame) -> DataFrame:
     return each.groupBy("id", "row", "term").agg(F.count("*").alias("n")).groupBy("term", "id").agg(F.max("n").alias("n"))
 
 
+def _bucket(start: Column) -> Column:
+    return F.pmod(F.xxhash64(start), F.lit(BUCKETS)).cast("int")
+
+
+def write_index(index: DataFrame, path: str) -> None:
+    """Postings in buckets of their terms' beginnings, so that a search reads the few files that may have its terms."""
+    index.withColumn("bucket", _bucket(F.substring("term", 1, PREFIX))).repartition("bucket").sortWithinPartitions("term", "id").write.partitionBy("bucket").parquet(path)
+
+
+def indexed(index: DataFrame, query: str) -> DataFrame:
+    """(id): documents of a written index in which every term of the query begins some word; other buckets aren't read, but for terms shorter than a beginning."""
+    found = None
+    for t in query_terms(query):
+        rows = index.where(F.col("term").startswith(t))
+        if len(t) >= PREFIX:
+            rows = rows.where(F.col("bucket") == _bucket(F.lit(t[:PREFIX])))
+        ids = rows.select("id").distinct()
+        found = ids if found is None else found.join(ids, "id", "left_semi")
+    return index.where("false").select("id") if found is None else found
+
+
 def snippet(videos: DataFrame, query: str, width: int = 64) -> DataFrame:
     """(id, snippet): the window of words with the most hits, hits in <b></b>, ... where it is cut."""
     terms = query_terms(query)

@@ -12,6 +12,7 @@ from transquill.operators import captions as C
 from transquill.operators import ordered as O
 from transquill.operators import relational as R
 from transquill.operators import search as S
+from transquill.operators.storage import scratch
 from transquill.sources import readers
 from transquill.streaming import state
 
@@ -85,9 +86,13 @@ def src04_local_caption(spark, d):
     return C.best_local(table(spark, d, "raw_captions")).select("youtube_id", "path", F.sha2("text", 256).alias("text_sha"))
 
 
-@query()
+CLOCK = r"(?:[0-9]+:)?[0-9]{1,2}:[0-9]{2}[.,][0-9]{3}"
+SECONDS = "list_sum(list_transform(list_reverse(string_split(replace({0}, ',', '.'), ':')), lambda x, i: x::DOUBLE * power(60, i - 1)))"
+
+
+@query(rf"""WITH f AS (SELECT raw_path AS path, min(replace(raw_text, chr(13), '')) AS t FROM raw_captions WHERE trim(coalesce(raw_text, '')) <> '' GROUP BY 1), m AS (SELECT path, regexp_extract_all(t, '(?m)^[ \t]*({CLOCK})[ \t]*-->[ \t]*{CLOCK}', 1) AS a, regexp_extract_all(t, '(?m)^[ \t]*{CLOCK}[ \t]*-->[ \t]*({CLOCK})', 1) AS b FROM f), u AS (SELECT path, unnest(range(len(a))) AS pos, a, b FROM m) SELECT path, CAST(pos AS INTEGER) AS pos, round({SECONDS.format('a[pos + 1]')}, 3) AS start, round({SECONDS.format('b[pos + 1]')}, 3) AS "end" FROM u""")
 def src05_cues(spark, d):
-    return C.cue_rows(table(spark, d, "raw_captions")).select("path", "pos", "start", "end", F.size("lines").alias("lines"))
+    return C.cue_rows(table(spark, d, "raw_captions")).select("path", "pos", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"))
 
 
 @query("""SELECT raw_path, CAST(json_array_length(raw_text, '$.segments') AS BIGINT) AS segments, json_extract_string(raw_text, '$.language') AS lang FROM (SELECT DISTINCT raw_path, raw_text FROM raw_captions WHERE raw_path LIKE '%.json')""")
@@ -489,22 +494,28 @@ def enc05_heal_e(spark, d):
 
 @query(f"SELECT DISTINCT id, sha256(t) AS text_sha FROM (SELECT id, transcript, nfc_normalize({X.duckdb_replaced('transcript', X.HEAL_F)}) AS t FROM videos WHERE {TXT}) WHERE t <> transcript")
 def enc06_heal_f(spark, d):
+    """Pairs are replaced in the JVM; only texts that composition may change go through Python."""
     import unicodedata
 
     from transquill.functions.arrow import map_documents
 
-    rows = texts(spark, d).select("id", "transcript", X.replaced(F.col("transcript"), X.HEAL_F).alias("t")).where(F.col("transcript").rlike("[^\\x00-\\x7f]"))
-    done = map_documents(rows, ["id", "transcript", "t"], lambda i, old, t: [(i, n)] if (n := unicodedata.normalize("NFC", t)) != old else [], "id bigint, t string")
-    return done.select("id", F.sha2("t", 256).alias("text_sha")).distinct()
+    rows = texts(spark, d).select("id", "transcript", X.replaced(F.col("transcript"), X.HEAL_F).alias("t"))
+    loose = F.col("t").rlike(X.MAY_COMPOSE)
+    composed = map_documents(rows.where(loose), ["id", "transcript", "t"], lambda i, old, t: [(i, n)] if (n := unicodedata.normalize("NFC", t)) != old else [], "id bigint, t string")
+    return composed.unionAll(rows.where(~loose & (F.col("t") != F.col("transcript"))).select("id", "t")).select("id", F.sha2("t", 256).alias("text_sha")).distinct()
 
 
-@query()
+LETTERS = "len(regexp_extract_all(text, '[éèàêç]'))"
+SOUND = "NOT regexp_matches(text, '�|Ôò|Ôö|û[▓╣┬│]|[┬├]|[─-▟]')"
+
+
+@query(f"SELECT doc_id, CAST({LETTERS} AS INTEGER) AS n, sha256(text) AS text_sha FROM documents WHERE {LETTERS} >= 5 AND {SOUND}")
 def enc10_restore(spark, d):
-    """Learns from garbled documents beside their correct forms, and restores garbled copies of all documents."""
-    docs = table(spark, d, "documents").where(X.has_text(F.col("text")))
-    garbled = X.replaced(F.col("text"), [("é", "├®"), ("è", "├¿"), ("à", "├á"), ("ê", "├¬"), ("ç", "├º")])
-    pairs = C.learned_artifacts(docs.where(F.col("text").rlike("[éèàêç]")).select("doc_id", garbled.alias("before"), F.col("text").alias("after")), "doc_id")
-    return C.restored(docs.select("doc_id", garbled.alias("t")), pairs, "doc_id", "t").select("doc_id", "n", F.sha2("text", 256).alias("text_sha"))
+    """Learns from half of the documents, garbled once, beside their correct forms, and restores garbled copies of all: those with enough letters come out as they were."""
+    docs = table(spark, d, "documents").where(X.has_text(F.col("text")) & ~F.col("text").rlike("�|Ôò|Ôö|û[▓╣┬│]|[┬├]|[─-▟]"))
+    bad = X.replaced(F.col("text"), [("é", "├®"), ("è", "├¿"), ("à", "├á"), ("ê", "├¬"), ("ç", "├º")])
+    pairs = C.learned_artifacts(docs.where("doc_id % 2 = 0").select("doc_id", bad.alias("before"), F.col("text").alias("after")), "doc_id")
+    return C.restored(docs.select("doc_id", bad.alias("t")), pairs, "doc_id", "t").select("doc_id", "n", F.sha2("text", 256).alias("text_sha"))
 
 
 @query(f"SELECT DISTINCT id, CAST(len(regexp_extract_all(transcript, '{X.CORRUPTION}')) AS INTEGER) AS signals, CAST(len(regexp_extract_all(transcript, '{X.WEAK_CORRUPTION}')) AS INTEGER) AS weak FROM videos WHERE {TXT} AND regexp_matches(transcript, '{X.CORRUPTION}|{X.WEAK_CORRUPTION}')")
@@ -522,9 +533,18 @@ def qua01_markers(spark, d):
     return rows.where(" or ".join(f"{n} > 0" for n in X.MARKERS)).distinct()
 
 
-@query()
+#: Words of texts without signs of markup; a position, and what stands at it, is looked at once a step.
+REPEATS = r"""WITH RECURSIVE s AS (SELECT DISTINCT id, translate(transcript, '<&', '  ') AS t FROM videos WHERE trim(coalesce(transcript, '')) <> ''), w AS (SELECT id, regexp_extract_all(lower(t), '[\p{L}\p{N}_](?:[\p{L}\p{N}_’''-]*[\p{L}\p{N}_])?') AS l FROM s),
+g AS (SELECT id, CAST(1 AS BIGINT) AS i, CAST(0 AS BIGINT) AS unit, CAST(0 AS BIGINT) AS span FROM w UNION ALL
+SELECT id, i + CASE WHEN n > 0 THEN 2 * n WHEN two THEN 6 WHEN four THEN 4 ELSE 1 END, CASE WHEN n > 0 THEN n WHEN two THEN 2 WHEN four THEN 1 ELSE 0 END, CASE WHEN n > 0 THEN 2 * n WHEN two THEN 6 WHEN four THEN 4 ELSE 0 END FROM (
+SELECT g.id, g.i, coalesce(list_max(list_filter(range(3, 13), lambda k: g.i + 2 * k - 1 <= len(w.l) AND w.l[g.i:g.i + k - 1] = w.l[g.i + k:g.i + 2 * k - 1])), 0) AS n, g.i + 5 <= len(w.l) AND w.l[g.i:g.i + 1] = w.l[g.i + 2:g.i + 3] AND w.l[g.i:g.i + 1] = w.l[g.i + 4:g.i + 5] AS two, g.i + 3 <= len(w.l) AND length(w.l[g.i]) >= 2 AND len(list_distinct(w.l[g.i:g.i + 3])) = 1 AS four FROM g JOIN w ON w.id = g.id WHERE g.i <= len(w.l)))
+SELECT w.id, CAST(any_value(len(w.l)) AS INTEGER) AS words, CAST(count(*) FILTER (unit > 0) AS INTEGER) AS alerts, CAST(sum(span) AS INTEGER) AS covered, CAST(max(unit) AS INTEGER) AS longest, CAST(count(*) FILTER (unit >= 6) AS INTEGER) AS long_alerts FROM g JOIN w ON w.id = g.id GROUP BY 1"""
+
+
+@query(REPEATS)
 def qua02_repetition(spark, d):
-    return C.repetition_signals(texts(spark, d)).distinct()
+    plain = texts(spark, d).select("id", F.translate("transcript", "<&", "  ").alias("transcript"))
+    return C.repetition_signals(plain).select("id", "words", "alerts", "covered", "longest", "long_alerts").distinct()
 
 
 @query()
@@ -577,13 +597,21 @@ def fts04_snippets(spark, d):
     return S.snippet(table(spark, d, "videos").select("id", "transcript"), "telescope").distinct()
 
 
-@query("SELECT id, CAST(0 AS BIGINT) AS n FROM videos WHERE false")
+@query(f"WITH {CUR}, s AS (SELECT id, {WORDS_OF} AS t FROM cur) SELECT id, CAST(len(t) AS BIGINT) AS words, CAST(len(list_distinct(t)) AS BIGINT) AS terms, true AS sound FROM s WHERE len(t) > 0")
 def fts05_index_integrity(spark, d):
-    """Postings against what they are counted from: (term total, document total) must agree; no row is a sound index."""
+    """Postings, made anew, against what they are counted from: each video's words and terms, and whether both agree."""
     docs = S.match(searched(spark, d))
-    total = S.postings(table(spark, d, "videos"), docs).groupBy("id").agg(F.sum("n").cast("long").alias("n"))
-    sizes = docs.select("id", F.col("length").cast("long").alias("n")).where("n > 0")
-    return total.exceptAll(sizes).unionAll(sizes.exceptAll(total))
+    total = S.postings(table(spark, d, "videos"), docs).groupBy("id").agg(F.sum("n").cast("long").alias("words"), F.count("*").alias("terms"))
+    sizes = docs.select("id", F.col("length").cast("long").alias("length")).where("length > 0")
+    return sizes.join(total, "id", "full").select("id", "words", "terms", F.coalesce(F.col("words") == F.col("length"), F.lit(False)).alias("sound"))
+
+
+@query(f"WITH {CUR}, s AS (SELECT id, {WORDS_OF} AS t FROM cur) SELECT id FROM s WHERE len(list_filter(t, lambda x: starts_with(x, 'bak'))) > 0 AND len(list_filter(t, lambda x: starts_with(x, 'the'))) > 0")
+def fts06_indexed_search(spark, d):
+    """The index written once by the beginnings of its terms, and searched by reading the files of two of them."""
+    path = scratch(spark, "index")
+    S.write_index(S.postings(table(spark, d, "videos"), current(spark, d)), path)
+    return S.indexed(spark.read.parquet(path), "bak the")
 
 
 # ---- state and increments

@@ -14,7 +14,7 @@ from transquill.operators import flows as W
 from transquill.operators import relational as R
 from transquill.operators import sinks
 from transquill.operators.storage import scratch
-from transquill.plans.catalog import ATT, CUR, NOSUBS, NOW, TXT, attempts, current, query, table, texts, texts_of
+from transquill.plans.catalog import ATT, CUR, LETTERS, NOSUBS, NOW, QUEUE, SOUND, TXT, attempts, current, query, table, texts, texts_of
 from transquill.plans.more import signals
 
 
@@ -203,14 +203,14 @@ def cmp05_source_repair(spark, d):
 
 def taught(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """(pairs, texts): documents garbled once beside their originals, and others garbled without one."""
-    docs = table(spark, d, "documents").where(X.has_text(F.col("text"))).select(F.col("doc_id").cast("string").alias("youtube_id"), F.col("text").alias("after"), (F.col("doc_id") % 2 == 0).alias("known"))
+    docs = table(spark, d, "documents").where(X.has_text(F.col("text")) & ~F.col("text").rlike("�|Ôò|Ôö|û[▓╣┬│]|[┬├]|[─-▟]")).select(F.col("doc_id").cast("string").alias("youtube_id"), F.col("text").alias("after"), (F.col("doc_id") % 2 == 0).alias("known"))
     bad = docs.withColumn("before", X.replaced(F.col("after"), [("é", "├®"), ("è", "├¿"), ("à", "├á"), ("ê", "├¬"), ("ç", "├º")]))
     return bad.where("known").select("youtube_id", "before", "after"), bad.where("not known").select("youtube_id", F.col("before").alias("transcript"), "after")
 
 
-@query()
+@query(f"SELECT doc_id::VARCHAR AS youtube_id, 'demonstrated_encoding_restoration' AS category, true AS whole FROM documents WHERE doc_id % 2 = 1 AND {LETTERS} >= 5 AND {SOUND} AND NOT (" + " OR ".join(f"regexp_matches(text, '{p}')" for p in X.PLAIN_MARKERS.values()) + ")")
 def cmp06_encoding_repair(spark, d):
-    """What garbled pairs teach, applied to other texts: whether each came out as it was."""
+    """What garbled pairs teach, applied to other texts: those with enough letters come out as they were."""
     pairs, others = taught(spark, d)
     plan = W.encoding_plan(others.select("youtube_id", "transcript"), pairs)
     return plan.join(others.select("youtube_id", F.sha2("after", 256).alias("want")), "youtube_id").select("youtube_id", "category", (F.col("after_sha") == F.col("want")).alias("whole"))
@@ -268,15 +268,16 @@ def cmp12_storage_candidates(spark, d):
     return s.candidates.agg(F.lit("eligible").alias("part"), F.lit("media").alias("name"), F.sum("size_bytes").alias("bytes")).unionAll(s.totals.select(F.lit("folder"), "folder", "bytes")).unionAll(s.held.select(F.lit("held"), "reason", "bytes"))
 
 
-@query()
+@query(f"WITH {CUR}, {ATT}, q AS (SELECT youtube_id, coalesce(att.attempts, 0) AS attempts, ascii(substr(youtube_id, 3, 1)) % 3 = 0 AS mute FROM cur JOIN channels c ON c.id = cur.channel_id LEFT JOIN att USING (youtube_id) WHERE {QUEUE} ORDER BY upload_date DESC NULLS LAST, cur.id LIMIT 500) SELECT youtube_id, CASE WHEN mute THEN 'ERR_TOO_SHORT' ELSE 'SUCCESS (SYNC)' END AS outcome, CASE WHEN NOT mute THEN sha256('words of ' || youtube_id) END AS text_sha, CASE WHEN mute THEN attempts + 1 END AS attempts FROM q")
 def cmp13_sync(spark, d):
-    """Queued videos filled from their local captions, as (youtube_id, outcome); the caption files of other videos stand for theirs."""
+    """Queued videos filled from local captions, a third of which say nothing: these count as failures."""
     v = current(spark, d)
     queue = R.work_queue(v, attempts(spark, d), table(spark, d, "channels"), NOW).select("youtube_id")
-    raw = F.when(F.pmod(F.xxhash64("youtube_id"), F.lit(3)) == 0, F.lit("WEBVTT\n\n00:00:01.000 --> 00:00:02.000\n\n")).otherwise(F.concat(F.lit("WEBVTT\n\n00:00:01.000 --> 00:00:02.000\nwords of "), "youtube_id", F.lit("\n")))
+    mute = F.ascii(F.substring("youtube_id", 3, 1)) % 3 == 0
+    raw = F.when(mute, F.lit("WEBVTT\n\n00:00:01.000 --> 00:00:02.000\n\n")).otherwise(F.concat(F.lit("WEBVTT\n\n00:00:01.000 --> 00:00:02.000\nwords of "), "youtube_id", F.lit("\n")))
     made = queue.select(F.concat(F.lit("R/"), "youtube_id", F.lit(".fr.vtt")).alias("raw_path"), raw.alias("raw_text"))
     s = W.sync(v, attempts(spark, d), table(spark, d, "channels"), made, NOW)
-    return s.filled.select("youtube_id", "status", "text_sha", F.lit(None).cast("int").alias("attempts")).unionAll(s.failures.select("youtube_id", "last_error", F.lit(None).cast("string"), "attempts"))
+    return s.filled.select("youtube_id", F.col("status").alias("outcome"), "text_sha", F.lit(None).cast("int").alias("attempts")).unionAll(s.failures.select("youtube_id", "last_error", F.lit(None).cast("string"), "attempts"))
 
 
 @query("WITH e AS (SELECT channel_id, youtube_id FROM videos WHERE youtube_id IS NOT NULL UNION ALL SELECT channel_id, reverse(youtube_id) FROM videos WHERE youtube_id IS NOT NULL), n AS (SELECT youtube_id, min(channel_id) AS channel_id FROM e WHERE regexp_matches(youtube_id, '^[A-Za-z0-9_-]{11}$') AND youtube_id NOT IN (SELECT youtube_id FROM videos WHERE youtube_id IS NOT NULL) GROUP BY 1) SELECT channel_id, count(*) AS inserted FROM n GROUP BY 1")

@@ -12,7 +12,7 @@ from transquill.operators import quality as Q
 from transquill.operators import relational as R
 from transquill.operators import search as S
 from transquill.operators import states as T
-from transquill.plans.catalog import ATT, CUR, NOSUBS, TXT, attempts, current, query, searched, table, texts, texts_of
+from transquill.plans.catalog import ATT, CUR, LETTERS, NOSUBS, SOUND, TXT, attempts, current, query, searched, table, texts, texts_of
 from transquill.plans.more import signals
 from transquill.sources import readers
 
@@ -265,7 +265,7 @@ def win02_rolling_files(spark, d):
     return C.spoken_files(table(spark, d, "raw_captions")).select("path", "rolls", "removed")
 
 
-@query()
+@query("SELECT CAST(doc_id AS VARCHAR) AS raw_path, true AS whole FROM documents WHERE trim(coalesce(text, '')) <> '' AND len(list_filter(string_split_regex(text, '[ \\t\\n\\r\\f]+'), lambda x: x <> '')) >= 24")
 def win03_overlaps(spark, d):
     """Spoken text of cues that begin before the one before ends, and again with what is said already."""
     cues = table(spark, d, "documents").where(X.has_text(F.col("text"))).select("doc_id", F.slice(X.words(F.col("text")), 1, 24).alias("w")).where("size(w) = 24")
@@ -324,11 +324,12 @@ def fts01_query_terms(spark, d):
 # ---- text and repair
 
 
-@query()
+@query(f"WITH s AS (SELECT DISTINCT id, list_filter(string_split_regex(translate(transcript, '<&>', '   '), '[ \\t\\n\\r\\f]+'), lambda x: x <> '') AS l FROM videos WHERE {TXT}) SELECT id, CAST(120 AS INTEGER) AS removed, sha256(array_to_string(l[1:60], chr(10)) || chr(10)) AS text_sha FROM s WHERE len(l) >= 60")
 def txt04_technical_candidate(spark, d):
-    """Texts with a caption header and lines shown three times, brought back: (id, removed lines, whether the header is gone)."""
-    line = F.transform(F.slice(X.words(F.col("transcript")), 1, 60), lambda w, i: F.concat(F.lit("<00:00:01.000>"), w, F.lit("\n"), w, F.lit("\n"), w, F.lit("\n")))
-    rows = texts(spark, d).where(F.size(X.words(F.col("transcript"))) >= 60).select("id", F.concat(F.lit("Kind: captions Language: fr\n"), F.array_join(line, "")).alias("t"))
+    """Texts with a caption header and lines shown three times, brought back."""
+    words = X.words(F.translate("transcript", "<&>", "   "))
+    line = F.transform(F.slice("w", 1, 60), lambda w: F.concat(F.lit("<00:00:01.000>"), w, F.lit("\n"), w, F.lit("\n"), w, F.lit("\n")))
+    rows = texts(spark, d).select("id", words.alias("w")).where("size(w) >= 60").select("id", F.concat(F.lit("Kind: captions Language: fr\n"), F.array_join(line, "")).alias("t"))
     return C.technical_candidates(rows, "id", "t").select("id", "removed", F.sha2("text", 256).alias("text_sha")).distinct()
 
 
@@ -357,10 +358,10 @@ def enc09_artifact_rules(spark, d):
     return map_documents(rows, ["no", "before", "after"], lambda n, b, a: [(n, K.sound_artifact(b, a), K.deep_artifact(b, a))], "no int, sound boolean, deep boolean")
 
 
-@query()
+@query(f"SELECT doc_id, CAST({LETTERS} AS INTEGER) AS n, true AS whole FROM documents WHERE doc_id % 2 = 1 AND {LETTERS} >= 1 AND {SOUND} AND NOT regexp_matches(text, 'Ã[^\x00-\x7f]|Â[^\x00-\x7f]')")
 def enc11_deep_restore(spark, d):
-    """Learned with the deep rule from half of the documents, applied to the garbled other half: whether the text came back."""
-    g = garbled(spark, d)
+    """Learned with the deep rule from half of the documents, applied to the garbled other half, where one letter is enough: whether the text came back."""
+    g = garbled(spark, d).where(~F.col("after").rlike("�|Ôò|Ôö|û[▓╣┬│]|[┬├]|[─-▟]"))
     pairs = C.learned_artifacts(g.where("doc_id % 2 = 0"), "doc_id", deep=True)
     done = C.restored(g.where("doc_id % 2 = 1").select("doc_id", "before"), pairs, "doc_id", "before", deep=True)
     return done.join(g.select("doc_id", "after"), "doc_id").select("doc_id", "n", (F.col("text") == F.col("after")).alias("whole"))
