@@ -294,12 +294,14 @@ def agg09_folder_sizes(spark, d):
     return rows.groupBy(F.regexp_extract(F.translate("raw_path", "\\", "/"), r"^(?:[^/]*/){2}([^/]*)", 1).alias("folder")).agg(F.count("*").alias("files"), F.sum("n").cast("long").alias("bytes"))
 
 
-@query()
+GARBLINGS = [("é", "├®"), ("è", "├¿"), ("à", "├á"), ("ê", "├¬"), ("ç", "├º")]
+
+
+@query(" UNION ALL ".join(f"SELECT '{bad}' AS before, '{c}' AS after FROM documents HAVING count(*) FILTER (contains(text, '{c}')) >= 3 AND sum(length(text) - length(replace(text, '{c}', ''))) >= 10" for c, bad in GARBLINGS))
 def agg10_learned_artifacts(spark, d):
-    """Evidence from documents whose text was garbled once and stands beside its correct form."""
-    docs = table(spark, d, "documents").where(X.has_text(F.col("text")) & F.col("text").rlike("[éèàêç]"))
-    garbled = X.replaced(F.col("text"), [("é", "├®"), ("è", "├¿"), ("à", "├á"), ("ê", "├¬"), ("ç", "├º")])
-    return C.learned_artifacts(docs.select("doc_id", garbled.alias("before"), F.col("text").alias("after")), "doc_id")
+    """Evidence from all documents, garbled once beside their correct form; letters that few documents have aren't learned."""
+    docs = table(spark, d, "documents").where(X.has_text(F.col("text")))
+    return C.learned_artifacts(docs.select("doc_id", X.replaced(F.col("text"), GARBLINGS).alias("before"), F.col("text").alias("after")), "doc_id").select("before", "after")
 
 
 @query(f"WITH s AS (SELECT DISTINCT id, transcript FROM videos WHERE {TXT}), p AS (SELECT id, trim(u) AS sentence FROM s, unnest(string_split_regex(transcript, '[.!?\\n]+')) t(u)), n AS (SELECT id, sentence, count(*) AS times, length(sentence) - length(replace(sentence, ' ', '')) + 1 AS words FROM p WHERE sentence <> '' GROUP BY 1, 2) SELECT id, CAST(max(words * times) AS BIGINT) AS weight FROM n GROUP BY 1")
@@ -533,15 +535,51 @@ def qua01_markers(spark, d):
     return rows.where(" or ".join(f"{n} > 0" for n in X.MARKERS)).distinct()
 
 
+def plain_markup(x: str) -> str:
+    """A text without the markup of captions, as SQL: three layers of entities and tags."""
+    for _ in range(3):
+        for entity, c in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+            x = f"replace({x}, '{entity}', '{c}')"
+        for pattern, to in (("(?i)</?(?:br|p|div)\\b[^<>]*>", " "), ("<[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?[.,][0-9]{3}>", ""), ("(?i)</?(?:c(?:\\.[A-Za-z0-9_.-]+)*|v(?:[ \\t][^<>]*)?|lang(?:[ \\t][^<>]*)?|ruby|rt|i|b|u|font(?:[ \\t][^<>]*)?)>", "")):
+            x = f"regexp_replace({x}, '{pattern}', '{to}', 'g')"
+    return x
+
+
+def plain_line(x: str) -> str:
+    return f"trim(regexp_replace({plain_markup(x)}, '[\\s\u00a0\u3000\u2000-\u200a]+', ' ', 'g'))"
+
+
+LINE = rf"(?m)^[ \t]*{CLOCK}[ \t]*-->[ \t]*{CLOCK}[^\n]*$"
+#: The spoken text of each caption file, from the definition: sp(path, text, removed, rolls).
+SPOKEN = rf"""f0 AS (SELECT raw_path AS path, ltrim(replace(replace(min(raw_text), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(65279)) AS t FROM raw_captions WHERE trim(coalesce(raw_text, '')) <> '' GROUP BY 1),
+f1 AS (SELECT path, regexp_extract_all(t, '(?m)^[ \t]*({CLOCK})[ \t]*-->[ \t]*{CLOCK}[^\n]*$', 1) AS a, regexp_extract_all(t, '(?m)^[ \t]*{CLOCK}[ \t]*-->[ \t]*({CLOCK})[^\n]*$', 1) AS b, string_split_regex(t, '{LINE}') AS parts FROM f0),
+f2 AS (SELECT *, try_cast(trim(parts[1], E' \n\t') AS BIGINT) AS first FROM f1 WHERE len(a) > 0),
+f3 AS (SELECT *, coalesce(regexp_full_match(trim(parts[1], E' \n\t'), '[0-9]+') AND len(list_filter(range(1, least(len(a) - 1, 3) + 1), lambda i: regexp_extract(parts[i + 1], '([^\n]*)\s*$', 1) IS DISTINCT FROM '' AND trim(string_split(rtrim(parts[i + 1], E' \n\t'), chr(10))[-1]) <> CAST(first + i AS VARCHAR))) = 0, false) AS numbered FROM f2),
+u AS (SELECT path, unnest(range(1, len(a) + 1)) AS k, a, b, parts, numbered, first FROM f3),
+c0 AS (SELECT path, k - 1 AS pos, {SECONDS.format("a[k]")} AS s, {SECONDS.format("b[k]")} AS e, CASE WHEN numbered AND k < len(a) AND trim(string_split(rtrim(parts[k + 1], E' \n\t'), chr(10))[-1]) = CAST(first + k AS VARCHAR) THEN string_split(rtrim(parts[k + 1], E' \n\t'), chr(10))[:-2] ELSE string_split(parts[k + 1], chr(10)) END AS raw FROM u),
+c1 AS (SELECT path, pos, s, e, list_filter(list_transform(raw, lambda x: {{'t': {plain_line('x')}, 'st': regexp_matches(replace(replace(replace(x, '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '<[0-9]{{1,2}}:[0-9]{{2}}(?::[0-9]{{2}})?[.,][0-9]{{3}}>')}}), lambda l: l.t <> '') AS l FROM c0),
+c2 AS (SELECT *, lag(s) OVER w AS ps, lag(e) OVER w AS pe, lag(l) OVER w AS pl, lead(s) OVER w AS ns, lead(pos) OVER w IS NULL AS last FROM c1 WINDOW w AS (PARTITION BY path ORDER BY pos)),
+c3 AS (SELECT *, coalesce(ps <= s AND abs(pe - s) <= 0.051, false) AS near, coalesce(len(pl) > 0 AND len(l) > 0 AND NOT l[1].st AND l[1].t = pl[-1].t, false) AS same FROM c2),
+c4 AS (SELECT *, near AND same AND len(l) >= 2 AS carried FROM c3),
+c5 AS (SELECT *, same AND near AND len(l) = 1 AND e - s BETWEEN 0 AND 0.051 AND coalesce(s <= ns AND abs(e - ns) <= 0.051, false) AND coalesce(lead(carried) OVER w, false) AS shown, last AND pos > 0 AND len(l) = 1 AND same AND e - s <= 0.051 AND coalesce(abs(pe - s) <= 0.051, false) AS final FROM c4 WINDOW w AS (PARTITION BY path ORDER BY pos)),
+g0 AS (SELECT path, (count(*) FILTER (carried AND len(list_filter(l[2:], lambda x: x.st)) > 0) >= 2 OR count(DISTINCT CASE WHEN shown THEN l[1].t END) >= 3) AND count(*) FILTER (s < ps) = 0 AS rolls FROM c5 GROUP BY 1),
+c6 AS (SELECT c5.*, g0.rolls, list_filter(string_split(array_to_string(list_transform(CASE WHEN g0.rolls AND (shown OR final) THEN [] WHEN g0.rolls AND carried THEN l[2:] ELSE l END, lambda x: x.t), ' '), ' '), lambda x: x <> '') AS w, g0.rolls AND (shown OR final OR carried) AS gone FROM c5 JOIN g0 USING (path)),
+c7 AS (SELECT *, coalesce(lag(w) OVER v, []) AS pw FROM c6 WINDOW v AS (PARTITION BY path ORDER BY pos)),
+c8 AS (SELECT *, CASE WHEN coalesce(s < pe, false) THEN coalesce(list_max(list_filter(range(1, least(len(w), len(pw)) + 1), lambda k: w[1:k] = pw[len(pw) - k + 1:len(pw)])), 0) ELSE 0 END AS cut FROM c7),
+sp AS (SELECT path, coalesce(string_agg(array_to_string(w[cut + 1:], ' '), ' ' ORDER BY pos) FILTER (len(w) > cut), '') AS text, CAST(count(*) FILTER (gone) AS INTEGER) AS removed, any_value(rolls) AS rolls FROM c8 GROUP BY 1)"""
+#: The best spoken text of each video: best(youtube_id, path, text).
+BEST = r"""best AS (SELECT youtube_id, path, text FROM (SELECT *, row_number() OVER (PARTITION BY youtube_id ORDER BY CASE regexp_extract(path, '\.([A-Za-z-]+)\.[A-Za-z0-9_]+$', 1) WHEN 'orig' THEN 1 WHEN 'cap' THEN 2 WHEN 'auto' THEN 3 ELSE 99 END, path) AS rn FROM (SELECT nullif(regexp_extract(path, '(?:^|[/\\])([A-Za-z0-9_-]{11})(?:\.[A-Za-z0-9-]+)*$', 1), '') AS youtube_id, path, text FROM sp WHERE text <> '') WHERE youtube_id IS NOT NULL) WHERE rn = 1)"""
+
+
 #: Words of texts without signs of markup; a position, and what stands at it, is looked at once a step.
-REPEATS = r"""WITH RECURSIVE s AS (SELECT DISTINCT id, translate(transcript, '<&', '  ') AS t FROM videos WHERE trim(coalesce(transcript, '')) <> ''), w AS (SELECT id, regexp_extract_all(lower(t), '[\p{L}\p{N}_](?:[\p{L}\p{N}_’''-]*[\p{L}\p{N}_])?') AS l FROM s),
+REPEATS = r"""s AS (SELECT DISTINCT id, translate(transcript, '<&', '  ') AS t FROM videos WHERE trim(coalesce(transcript, '')) <> ''), w AS (SELECT id, regexp_extract_all(lower(t), '[\p{L}\p{N}_](?:[\p{L}\p{N}_’''-]*[\p{L}\p{N}_])?') AS l FROM s),
 g AS (SELECT id, CAST(1 AS BIGINT) AS i, CAST(0 AS BIGINT) AS unit, CAST(0 AS BIGINT) AS span FROM w UNION ALL
 SELECT id, i + CASE WHEN n > 0 THEN 2 * n WHEN two THEN 6 WHEN four THEN 4 ELSE 1 END, CASE WHEN n > 0 THEN n WHEN two THEN 2 WHEN four THEN 1 ELSE 0 END, CASE WHEN n > 0 THEN 2 * n WHEN two THEN 6 WHEN four THEN 4 ELSE 0 END FROM (
-SELECT g.id, g.i, coalesce(list_max(list_filter(range(3, 13), lambda k: g.i + 2 * k - 1 <= len(w.l) AND w.l[g.i:g.i + k - 1] = w.l[g.i + k:g.i + 2 * k - 1])), 0) AS n, g.i + 5 <= len(w.l) AND w.l[g.i:g.i + 1] = w.l[g.i + 2:g.i + 3] AND w.l[g.i:g.i + 1] = w.l[g.i + 4:g.i + 5] AS two, g.i + 3 <= len(w.l) AND length(w.l[g.i]) >= 2 AND len(list_distinct(w.l[g.i:g.i + 3])) = 1 AS four FROM g JOIN w ON w.id = g.id WHERE g.i <= len(w.l)))
-SELECT w.id, CAST(any_value(len(w.l)) AS INTEGER) AS words, CAST(count(*) FILTER (unit > 0) AS INTEGER) AS alerts, CAST(sum(span) AS INTEGER) AS covered, CAST(max(unit) AS INTEGER) AS longest, CAST(count(*) FILTER (unit >= 6) AS INTEGER) AS long_alerts FROM g JOIN w ON w.id = g.id GROUP BY 1"""
+SELECT g.id, g.i, coalesce(list_max(list_filter(range(3, 13), lambda k: g.i + 2 * k - 1 <= len(w.l) AND w.l[g.i:g.i + k - 1] = w.l[g.i + k:g.i + 2 * k - 1])), 0) AS n, g.i + 5 <= len(w.l) AND w.l[g.i:g.i + 1] = w.l[g.i + 2:g.i + 3] AND w.l[g.i:g.i + 1] = w.l[g.i + 4:g.i + 5] AS two, g.i + 3 <= len(w.l) AND length(w.l[g.i]) >= 2 AND len(list_distinct(w.l[g.i:g.i + 3])) = 1 AS four FROM g JOIN w ON w.id = g.id WHERE g.i <= len(w.l))),
+r AS (SELECT w.id, CAST(any_value(len(w.l)) AS INTEGER) AS words, CAST(count(*) FILTER (unit > 0) AS INTEGER) AS alerts, CAST(sum(span) AS INTEGER) AS covered, CAST(max(unit) AS INTEGER) AS longest, CAST(count(*) FILTER (unit >= 6) AS INTEGER) AS long_alerts FROM g JOIN w ON w.id = g.id GROUP BY 1)"""
 
 
-@query(REPEATS)
+@query(f"WITH RECURSIVE {REPEATS} SELECT * FROM r")
 def qua02_repetition(spark, d):
     plain = texts(spark, d).select("id", F.translate("transcript", "<&", "  ").alias("transcript"))
     return C.repetition_signals(plain).select("id", "words", "alerts", "covered", "longest", "long_alerts").distinct()
@@ -592,7 +630,9 @@ def fts03_ranked(spark, d):
     return S.ranked(searched(spark, d, "bakery tele"), "bakery tele")
 
 
-@query()
+@query(r"""WITH t AS (SELECT DISTINCT id, list_filter(string_split_regex(transcript, '\s+'), lambda x: x <> '') AS w FROM videos WHERE transcript IS NOT NULL), h AS (SELECT id, w, list_filter(range(0, len(w)), lambda i: starts_with(translate(lower(regexp_replace(w[i + 1], '^[^\p{L}\p{N}]+', '')), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), 'telescope')) AS hits FROM t),
+b AS (SELECT id, w, hits, greatest(0, least(list_sort(list_transform(hits, lambda s: {'n': -len(list_filter(hits, lambda k: k >= s AND k < s + 64)), 's': s}))[1].s, len(w) - 64)) AS a FROM h WHERE len(hits) > 0)
+SELECT id, CASE WHEN a > 0 THEN '...' ELSE '' END || array_to_string(list_transform(range(a, least(a + 64, len(w))), lambda i: CASE WHEN list_contains(hits, i) THEN '<b>' || w[i + 1] || '</b>' ELSE w[i + 1] END), ' ') || CASE WHEN a + 64 < len(w) THEN '...' ELSE '' END AS snippet FROM b""")
 def fts04_snippets(spark, d):
     return S.snippet(table(spark, d, "videos").select("id", "transcript"), "telescope").distinct()
 
@@ -693,3 +733,13 @@ def src07_playlists(spark, d):
 def src21_blacklist(spark, d):
     a = table(spark, d, "pipeline_attempts").where(F.col("last_error").isNotNull() & ~F.col("last_error").rlike(r"[\[\]#]"))
     return readers.blacklist(a.select(F.concat("youtube_id", F.lit(" # "), "last_error").alias("value"))).distinct()
+
+
+SQL |= {
+    "src04_local_caption": f"WITH {SPOKEN}, {BEST} SELECT youtube_id, path, sha256(text) AS text_sha FROM best",
+    "win01_spoken_windowed": f"WITH {SPOKEN} SELECT path, sha256(text) AS text_sha FROM sp",
+    "txt02_clean_captions": f"WITH {SPOKEN} SELECT path, removed, sha256(text) AS text_sha FROM sp",
+    "txt01_strip_markup": f"SELECT raw_path, sha256({plain_markup('t')}) AS text_sha FROM (SELECT raw_path, min(raw_text) AS t FROM raw_captions WHERE regexp_matches(raw_text, '[<&]') GROUP BY 1)",
+    "txt03_rendered_triples": f"WITH {SPOKEN}, k AS (SELECT path, string_agg(array_to_string(list_transform(l, lambda x: x.t), ' '), ' ' ORDER BY pos) AS t, count(*) AS n FROM c1 WHERE len(l) > 0 GROUP BY 1) SELECT path, CAST(2 * n AS INTEGER) AS removed, sha256(t) AS text_sha FROM k WHERE n >= 2",
+    "str10_fill_empty": f"WITH {CUR}, {SPOKEN}, {BEST} SELECT cur.id, CASE WHEN {TXT} THEN sha256(cur.transcript) ELSE sha256(best.text) END AS text_sha FROM cur LEFT JOIN best USING (youtube_id)",
+}

@@ -15,7 +15,7 @@ from transquill.operators import relational as R
 from transquill.operators import sinks
 from transquill.operators.storage import scratch
 from transquill.plans.catalog import ATT, CUR, LETTERS, NOSUBS, NOW, QUEUE, SOUND, TXT, attempts, current, query, table, texts, texts_of
-from transquill.plans.more import signals
+from transquill.plans.more import SIGNALS, STATUS, signals
 
 
 def local(path: str) -> str:
@@ -138,11 +138,11 @@ def snk10_sync_log(spark, d):
 # ---- audit, plans, application
 
 
-@query()
+@query(f"WITH RECURSIVE {SIGNALS}, k AS (SELECT sig.*, {STATUS} AS status, c.prefix FROM sig JOIN cur USING (id) JOIN channels c ON c.id = cur.channel_id), f AS (SELECT status FROM k WHERE prefix = 'HalmiPauvan' AND status <> 'no_heuristic_alert' ORDER BY CASE WHEN status = 'technical_issue' THEN 0 ELSE 1 END, markers DESC, id LIMIT 5) SELECT 'status' AS what, status AS name, count(*) AS videos FROM k GROUP BY 2 UNION ALL SELECT 'example', status, count(*) FROM f GROUP BY 2 UNION ALL SELECT 'marker', m.name, count(*) FROM s JOIN k USING (id), (VALUES " + ", ".join("('" + n + "', '" + p.replace("'", "''") + "')" for n, p in X.PLAIN_MARKERS.items()) + ") m(name, pattern) WHERE regexp_matches(s.t, m.pattern) GROUP BY 2")
 def cmp01_audit(spark, d):
     """Statuses of all texts, and markers, as (what, name, n); examples of one channel."""
-    a = W.audit(latest_texts(spark, d), table(spark, d, "channels"))
-    one = W.audit(latest_texts(spark, d), table(spark, d, "channels"), channel="HalmiPauvan", examples=5)
+    t = latest_texts(spark, d).withColumn("transcript", F.translate("transcript", "<&", "  "))
+    a, one = W.audit(t, table(spark, d, "channels")), W.audit(t, table(spark, d, "channels"), channel="HalmiPauvan", examples=5)
     rows = [a.counts.select(F.lit("status").alias("what"), F.col("status").alias("name"), "videos"), a.markers.select(F.lit("marker").alias("what"), F.col("marker").alias("name"), "videos"), one.examples.groupBy(F.lit("example").alias("what"), F.col("status").alias("name")).agg(F.count("*").alias("videos"))]
     return rows[0].unionAll(rows[1]).unionAll(rows[2])
 

@@ -14,12 +14,21 @@ from transquill.operators import relational as R
 from transquill.operators import search as S
 from transquill.operators import states as T
 from transquill.operators import ordered as O
-from transquill.plans.catalog import ATT, CUR, TXT, attempts, current, query, searched, table, texts, texts_of
+from transquill.plans.catalog import ATT, CUR, REPEATS, TXT, attempts, current, query, searched, table, texts, texts_of
 
 
-def signals(spark: SparkSession, d: str) -> DataFrame:
-    """Repetition signals with markers, artifacts and duration of each video's latest version; texts are measured where they are read."""
-    return C.quality_signals(texts(spark, d)).dropDuplicates(["id"]).join(current(spark, d).where("has_text").select("id", "title", "youtube_id", "channel_id", "duration"), "id")
+def signals(spark: SparkSession, d: str, plain: bool = False) -> DataFrame:
+    """Repetition signals with markers, artifacts and duration of each video's latest version; texts are measured where they are read.
+
+    plain: without the signs of markup, as SQL can't undo entities; all texts take part all the same.
+    """
+    t = texts(spark, d)
+    return C.quality_signals(t.withColumn("transcript", F.translate("transcript", "<&", "  ")) if plain else t).dropDuplicates(["id"]).join(current(spark, d).where("has_text").select("id", "title", "youtube_id", "channel_id", "duration"), "id")
+
+
+#: The same as SQL, of plain texts: (id, words, alerts, covered, markers, artifacts).
+SIGNALS = f"{CUR}, {REPEATS}, sig AS (SELECT r.id, r.words, r.alerts, r.covered, r.long_alerts, r.longest, m.markers, m.artifacts FROM r JOIN (SELECT id, CAST(" + " + ".join(f"len(regexp_extract_all(t, '{p}'))" for p in X.PLAIN_MARKERS.values()) + f" AS INTEGER) AS markers, CAST(len(regexp_extract_all(t, '{X.CORRUPTION}')) AS INTEGER) AS artifacts FROM s) m USING (id) JOIN cur USING (id) WHERE {TXT})"
+STATUS = "CASE WHEN markers > 0 THEN 'technical_issue' WHEN alerts > 0 THEN 'repetition_review' ELSE 'no_heuristic_alert' END"
 
 
 # ---- sources, filters
@@ -181,7 +190,7 @@ def txt03_rendered_triples(spark, d):
     """Captions rendered three times over, as a faulty export would, and brought back."""
     cues = C.cue_rows(table(spark, d, "raw_captions")).where(F.size("lines") > 0)
     line = F.array_join(F.transform("lines", lambda x: x["text"]), " ")
-    three = cues.groupBy("path").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", line.alias("t")))), lambda x: F.concat(F.lit("<00:00:01.000>"), x["t"], F.lit("\n\n"), x["t"], F.lit("\n\n"), x["t"])), "\n\n").alias("raw"))
+    three = cues.groupBy("path").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", line.alias("t")))), lambda x: F.concat(F.lit("<00:00:01.000>"), x["t"], F.lit("\n\n"), x["t"], F.lit("\n\n"), x["t"])), "\n\n").alias("raw"), F.count("*").alias("n")).where("n >= 2")
     return map_documents(three, ["path", "raw"], lambda p, t: [(p, *K.rendered_triples(t))], "path string, text string, removed int").select("path", "removed", F.sha2("text", 256).alias("text_sha"))
 
 
@@ -191,10 +200,15 @@ def txt04_without_header(spark, d):
     return table(spark, d, "raw_captions").where(F.col("raw_path").rlike(r"\.(?:vtt|srt)$")).select("raw_path", F.sha2(t, 256).alias("text_sha")).distinct()
 
 
-@query()
+#: Letters of ASCII and Latin-1, to which SQL's folding is equal.
+WESTERN = "regexp_replace({}, '[^\\x00-\\x7fÀ-ÖØ-öø-ÿ]', '', 'g')"
+
+
+@query("SELECT DISTINCT id, trim(regexp_replace(replace(strip_accents(lower(regexp_replace(regexp_replace(regexp_replace(" + WESTERN.format("title") + ", '(?:\\.(?:[a-z]{2}(?:-[A-Za-z]+)?|orig|auto|f[0-9]+|vtt|srt|txt|json|info|gz|mp4|m4a|webm))+$', ''), '\\s*\\[[A-Za-z0-9_-]{11}\\]\\s*$', ''), '^[0-9]{8}\\s*-\\s*', ''))), 'ß', 'ss'), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS title_key FROM videos WHERE title IS NOT NULL")
 def txt10_title_keys(spark, d):
-    rows = table(spark, d, "videos").where("title is not null").select("id", "title").distinct()
-    return map_documents(rows, ["id", "title"], lambda i, t: [(i, K.title_key(t))], "id bigint, title_key string")
+    """Keys of all titles, of their western letters."""
+    rows = table(spark, d, "videos").where("title is not null").select("id", F.regexp_replace("title", r"[^\x00-\x7fÀ-ÖØ-öø-ÿ]", "").alias("title")).distinct()
+    return map_documents(rows, ["id", "title"], lambda i, t: [(i, K.title_key(t))], "id bigint, title_key string").distinct()
 
 
 @query("SELECT DISTINCT id, translate(title, '’‘“”', '''''\"\"') AS title FROM videos WHERE title IS NOT NULL")
@@ -202,9 +216,11 @@ def txt14_quotes(spark, d):
     return table(spark, d, "videos").where("title is not null").select("id", F.translate("title", "’‘“”", "''\"\"").alias("title")).distinct()
 
 
-@query()
+@query("WITH s AS (SELECT DISTINCT id, regexp_extract_all(replace(lower(" + WESTERN.format("replace(transcript, '’', chr(39))") + "), 'ß', 'ss'), '[0-9]+(?:[.,][0-9]+)*|[\\p{L}\\p{N}_''-]+') AS l FROM videos WHERE " + TXT + "), k AS (SELECT id, list_transform(list_filter(list_zip(l, list_concat([NULL], l[:-2])), lambda p: p[1] IS DISTINCT FROM p[2]), lambda p: p[1]) AS w FROM s) SELECT id, CAST(len(w) AS INTEGER) AS words, CAST(len(list_distinct(w)) AS INTEGER) AS kinds FROM k")
 def txt15_canonical_words(spark, d):
-    return map_documents(texts(spark, d), ["id", "transcript"], lambda i, t: [(i, len(w := K.canonical_words(t)), len(set(w)))], "id bigint, words int, kinds int").distinct()
+    """Canonical words of all texts, of their western letters."""
+    western = F.regexp_replace(F.translate("transcript", "’", "'"), r"[^\x00-\x7fÀ-ÖØ-öø-ÿ]", "")
+    return map_documents(texts(spark, d).select("id", western.alias("t")), ["id", "t"], lambda i, t: [(i, len(w := K.canonical_words(t)), len(set(w)))], "id bigint, words int, kinds int").distinct()
 
 
 @query(r"""WITH s AS (SELECT DISTINCT raw_path, raw_text AS t FROM raw_captions WHERE regexp_matches(raw_path, '\.(?:vtt|srt)$')), c AS (SELECT raw_path, regexp_replace(regexp_replace(regexp_replace(t, '<[^>]+>', '', 'g'), '(?m)^(?:WEBVTT|Kind:|Language:)[^\n]*$', '', 'g'), '(?m)^[0-9:.]+ --> [^\n]*$', '', 'g') AS t FROM s),
@@ -220,9 +236,9 @@ def txt17_simple_clean(spark, d):
 # ---- quality, composed flows
 
 
-@query()
+@query(f"WITH RECURSIVE {SIGNALS} SELECT id, {STATUS} AS status FROM sig")
 def qua04_status(spark, d):
-    s = signals(spark, d)
+    s = signals(spark, d, plain=True)
     return s.select("id", Q.status(s["markers"], s["alerts"]).alias("status"))
 
 
@@ -232,9 +248,9 @@ def qua08_loops(spark, d):
     return loops.join(current(spark, d).where("has_text").select("id"), "id", "left_semi")
 
 
-@query()
+@query(f"WITH RECURSIVE {SIGNALS} SELECT id, alerts, words FROM sig WHERE artifacts > 0 OR alerts >= 0.01 * words")
 def qua13_worth_review(spark, d):
-    s = signals(spark, d)
+    s = signals(spark, d, plain=True)
     return s.where((F.col("artifacts") > 0) | (F.col("alerts") >= 0.01 * F.col("words"))).select("id", "alerts", "words")
 
 
@@ -287,10 +303,10 @@ def src15_metadata(spark, d):
     return metadata(v).select("id", "title", "duration")
 
 
-@query()
+@query(f"WITH RECURSIVE {SIGNALS} SELECT id, artifacts, round(covered / greatest(words, 1)::DOUBLE, 6) AS share FROM sig WHERE alerts > 0 OR artifacts > 0 ORDER BY artifacts DESC, covered / greatest(words, 1)::DOUBLE DESC, id LIMIT 30")
 def top05_triage_priority(spark, d):
-    s = signals(spark, d)
-    share = F.col("covered") / F.greatest(F.col("words"), F.lit(1))
+    s = signals(spark, d, plain=True)
+    share = Q.share(s)
     return s.where((F.col("alerts") > 0) | (F.col("artifacts") > 0)).orderBy(F.col("artifacts").desc(), share.desc(), "id").limit(30).select("id", "artifacts", F.round(share, 6).alias("share"))
 
 

