@@ -31,5 +31,6 @@ def stored(df: DataFrame) -> DataFrame:
     """The rows written once; they survive the loss of executors, and their partitions are not planned anew."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder(df.sparkSession))
+        where = folder(df.sparkSession)
+        context.setCheckpointDir(where)
     return df.checkpoint()
