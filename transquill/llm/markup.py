@@ -1,7 +1,8 @@
 """Problem 7: remains of HTML, Markdown, wiki and LaTeX markup.
 
 Everything that may be markup is a node, and so is every line of text. A classifier's costs (how much a piece looks like
-markup, how much a line looks like boilerplate) are the capacities to the two terminals; edges between the two halves of a
+markup, by how much more often texts with markup have its type than texts without; how much a line looks like boilerplate)
+are the capacities to the two terminals; edges between the two halves of a
 pair, between neighbours of one kind, and between lines that are near in the text and under the same element, are as wide
 as they belong together. The minimum cut labels each piece as markup or ordinary signs and each line as content or
 boilerplate. Markup is then rendered to plain text that keeps headings ("# "), lists ("- "), code (fenced) and formulas ($).
@@ -13,17 +14,19 @@ speaker labels, numbering, prices and file names are not markup; broken halves o
 from __future__ import annotations
 
 import html
+import math
 import re
 from bisect import bisect_right
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Callable
 from dataclasses import dataclass
 from html.entities import html5
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from transquill.llm.residue import holes
-from transquill.llm.rows import has_text, map_rows
+from transquill.llm.rows import has_text, map_batches, map_rows
 
 # Element names, and the classifier's log odds that a piece of a type is markup.
 ELEMENTS = frozenset("a abbr address article aside audio b base blockquote body br button canvas caption center cite code col dd del details div dl dt em embed fieldset figcaption figure font footer form h1 h2 h3 h4 h5 h6 head header hr html i iframe img input ins kbd label legend li link main map mark menu meta nav noscript object ol option p param picture pre q s samp script section select small source span strike strong style sub summary sup svg table tbody td textarea tfoot th thead time title tr tt u ul var video wbr".split())
@@ -34,6 +37,10 @@ ODDS = {
     "title": 6.0, "bold": 6.0, "italic": 4.0, "page": 5.0, "template": 6.0, "table": 6.0, "cells": 3.0, "site": 6.0, "item": 0.4, "magic": 6.0,
     "env": 6.0, "command": 5.0, "bare": 2.0, "path": -4.0, "display": 5.0, "math": 4.0, "item_tex": 4.0, "ref": 5.0,
 }
+#: Types that Markdown and wikis share.
+EITHER = ("bullet", "number", "heading")
+#: Texts that the stated odds are worth when they are fitted.
+PRIOR_TEXTS = 20
 PAIR, NEAR, FAR, LINE, LINKS = 3.0, 1.0, 0.3, 0.7, 3.5
 # End of fixed values.
 
@@ -203,7 +210,7 @@ def _cut(part: list[int], costs: list[tuple[float, float]], edges: list[tuple[in
                 u = to[path.pop() ^ 1]
 
 
-def candidates(text: str) -> list[Piece]:
+def candidates(text: str, odds_of: dict[str, float] = ODDS) -> list[Piece]:
     """All that may be markup, without overlaps; earlier grammars and longer pieces first."""
     taken: list[Piece] = []
     free = bytearray(len(text))
@@ -216,19 +223,19 @@ def candidates(text: str) -> list[Piece]:
             a, b = m.span()
             if any(free[a:b]):
                 continue
-            odds = ODDS[kind_type]
+            odds = odds_of[kind_type]
             if kind_type == "tag":
                 name = m[2].lower()
                 if name not in ELEMENTS:
-                    odds = ODDS["odd_tag"] + (4.0 if re.search(r"\w=[\"']", m[3]) else 0.0)
+                    odds = odds_of["odd_tag"] + (4.0 if re.search(r"\w=[\"']", m[3]) else 0.0)
                 if m[2].isupper() and len(m[2]) > 1 and name not in ELEMENTS:
                     continue
             elif kind_type == "entity" and m[0][1] != "#" and m[0][1:] not in html5:
                 continue
             elif kind_type == "bare" and re.search(r"(?:[A-Za-z]:|\\\w+)$", text[max(0, a - 40) : a]):
-                odds = ODDS["path"]
+                odds = odds_of["path"]
             elif kind_type == "command" and re.search(r"[A-Za-z]:$", text[max(0, a - 2) : a]):
-                odds = ODDS["path"]
+                odds = odds_of["path"]
             taken.append(Piece(kind_type, kind, a, b, odds))
             free[a:b] = b"\1" * (b - a)
     return sorted(taken, key=lambda p: p.start)
@@ -277,14 +284,14 @@ def graph(text: str, pieces: list[Piece]) -> tuple[list[tuple[int, int]], list[b
             edges.append((j, i, NEAR if text.count("\n", pieces[j].end, p.start) <= 1 else FAR))
         last[p.kind] = i
     # a bullet may be of either kind: it goes with the kind that is there
-    if any(p.kind == "wiki" and p.odds >= 3 for p in pieces) and not any(p.kind == "markdown" and p.odds >= 2.5 and p.type != "heading" for p in pieces):
+    if any(p.kind == "wiki" and p.odds >= 3 for p in pieces) and not any(p.kind == "markdown" and p.odds >= 2.5 and p.type not in EITHER for p in pieces):
         after, right = [-1] * len(pieces), -1
         for i in range(len(pieces) - 1, -1, -1):
             after[i] = right
             right = i if pieces[i].kind == "wiki" else right
         left = -1
         for i, p in enumerate(pieces):
-            if p.type in ("bullet", "number", "heading"):
+            if p.type in EITHER:
                 p.kind = "wiki"
                 near = [k for k in (left, after[i]) if k >= 0]
                 if near:
@@ -371,11 +378,11 @@ def rendered(text: str, p: Piece) -> str:
     return ""
 
 
-def clean(text: str, drop_code: bool = False) -> tuple[str, list[str]]:
+def clean(text: str, drop_code: bool = False, odds_of: dict[str, float] = ODDS) -> tuple[str, list[str]]:
     """The clean text and the kinds of markup that were in it; drop_code: without code and formulas too."""
     if not hinted(text):
         return text, []
-    pieces = candidates(text)
+    pieces = candidates(text, odds_of)
     if not pieces or all(p.odds <= 0 for p in pieces):
         return text, []
     lines, boilerplate = graph(text, pieces)
@@ -435,12 +442,47 @@ def clean(text: str, drop_code: bool = False) -> tuple[str, list[str]]:
     return re.sub(r"[ \t]+\n", "\n", re.sub(r"\n{3,}", "\n\n", body)).strip("\n"), kinds
 
 
-def find_markup(texts: DataFrame, key: str = "video_id", column: str = "text") -> DataFrame:
-    """(key, kind, clean) for each kind of markup in a text; clean is the whole text without any of them."""
+def _types() -> Callable[[list[list]], list[tuple]]:
+    def kernel(columns: list[list]) -> list[tuple]:
+        seen: Counter = Counter()
+        for t in columns[0]:
+            seen.update({p.type for p in candidates(t)} if hinted(t) else ())
+        return [("", len(columns[0])), *seen.items()]
+
+    return kernel
+
+
+def fit(mixed: DataFrame, plain: DataFrame, column: str = "text") -> dict[str, float]:
+    """The classifier's log odds for each type of piece: how much more often texts that may hold markup have it than texts without.
+
+    The stated odds are its prior, worth PRIOR_TEXTS texts; at most two rows for each type reach the driver.
+    """
+    counts: list[dict[str, int]] = []
+    for corpus in (mixed, plain):
+        rows = map_batches(corpus.where(has_text(column)), [column], _types, "type string, n bigint").groupBy("type").agg(F.sum("n").alias("n")).collect()
+        counts.append({r["type"]: r["n"] for r in rows})
+    return posterior_odds(*counts)
+
+
+def posterior_odds(mixed: dict[str, int], plain: dict[str, int]) -> dict[str, float]:
+    """From the texts with each type and, under '', all texts of both corpora; without texts on either side the stated odds."""
+    if not mixed.get("") or not plain.get(""):
+        return dict(ODDS)
+    out = {}
+    for kind, stated in ODDS.items():
+        m, p = mixed.get(kind, 0), plain.get(kind, 0)
+        ratio = math.log((m + 0.5) / (mixed[""] + 1)) - math.log((p + 0.5) / (plain[""] + 1))
+        out[kind] = (PRIOR_TEXTS * stated + (m + p) * max(-6.0, min(6.0, ratio))) / (PRIOR_TEXTS + m + p)
+    return out
+
+
+def find_markup(texts: DataFrame, odds_of: dict[str, float] | None = None, key: str = "video_id", column: str = "text") -> DataFrame:
+    """(key, kind, clean) for each kind of markup in a text; clean is the whole text without any of them. odds_of: the fitted classifier's, else the stated ones."""
+    odds = odds_of or ODDS
 
     def start() -> Callable[..., list[tuple]]:
         def kernel(k, text):  # noqa: ANN001, ANN202
-            new, kinds = clean(text)
+            new, kinds = clean(text, odds_of=odds)
             return [(k, kind, new) for kind in kinds]
 
         return kernel
