@@ -8,6 +8,7 @@ import pytest
 from test_problems import ENGLISH, FRENCH, GERMAN, MODEL, SPANISH, model_of, who_speaks  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from transquill.llm import lookalikes, markup, mojibake, residue, sentences, turns
 
@@ -308,3 +309,15 @@ def test_one_long_page_takes_linear_time():
 )
 def test_placeholders_and_notices_in_context(text, hit):
     assert bool(residue.residue(text)) is hit
+
+
+def test_the_markup_classifier_is_fitted_on_texts_with_and_without_markup(spark):
+    stated = markup.posterior_odds({}, {})
+    assert stated == markup.ODDS
+    odds = markup.posterior_odds({"": 1000, "quote": 100, "row": 100}, {"": 1000, "row": 300})
+    assert odds["quote"] > markup.ODDS["quote"] and odds["row"] < 0 and odds["link"] == markup.ODDS["link"]
+    mixed = spark.createDataFrame([("> said\n\nand more",)] * 40 + [(None,), ("",)], "text string").withColumn("type", F.lit(1))
+    plain = spark.createDataFrame([("plain words",)] * 40, "text string")
+    fitted = markup.fit(mixed, plain)
+    assert fitted["quote"] > markup.ODDS["quote"] and markup.fit(mixed.where("false"), plain) == markup.ODDS
+    assert markup.find_markup(mixed.withColumn("video_id", F.lit(1)), fitted).count() == 40

@@ -108,18 +108,29 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _identified(spark, sf_dir).join(labels, "video_id", "left").where(wrong).select("video_id", F.explode("langs").alias("lang")).distinct()
 
 
+def p6_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each video's language label, by its latest transcript row or its channel; null where there is none."""
+    return languages.labels(_table(spark, sf_dir, "videos"), _table(spark, sf_dir, "pipeline_transcripts"), _table(spark, sf_dir, "channels"))
+
+
 def p6_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each video's segments with their languages and confidence."""
     return _identified(spark, sf_dir).select("video_id", "main", F.posexplode("segments").alias("segment_no", "s")).select("video_id", "main", (F.col("segment_no") + 1).alias("segment_no"), "s.lang", "s.sentences", "s.confidence")
 
 
+def _markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts hold markup here and there, documents none: the classifier's costs come from both."""
+    texts = transcripts(spark, sf_dir)
+    return markup.find_markup(texts, markup.fit(texts, _table(spark, sf_dir, "documents").select("text")))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markup.find_markup(transcripts(spark, sf_dir)).select("video_id", "kind").distinct()
+    return _markup(spark, sf_dir).select("video_id", "kind").distinct()
 
 
 def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean text of each transcript with markup."""
-    return markup.find_markup(transcripts(spark, sf_dir)).select("video_id", "clean").dropDuplicates(["video_id"])
+    return _markup(spark, sf_dir).select("video_id", "clean").dropDuplicates(["video_id"])
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,9 +162,13 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_consistent, p2_found, p2_turns, p3_found, p3_restored, p4_found, p4_kept, p5_found, p5_shares, p5_hosts, p6_found, p6_segments, p7_found, p7_clean, p8_found, p8_leaks, p9_mixture, p9_shares, p10_found, p10_sentences)
+    f.__name__: f for f in (p1_found, p1_consistent, p2_found, p2_turns, p3_found, p3_restored, p4_found, p4_kept, p5_found, p5_shares, p5_hosts, p6_found, p6_segments, p6_labels, p7_found, p7_clean, p8_found, p8_leaks, p9_mixture, p9_shares, p10_found, p10_sentences)
 }
 SQL: dict[str, str] = {
+    "p6_labels": "WITH names(name, code) AS (VALUES " + ", ".join(f"('{n}', '{c}')" for n, c in languages.CODE_OF.items()) + r"""), w AS (SELECT language AS raw FROM pipeline_transcripts UNION SELECT lang_config FROM channels), tok AS (SELECT raw, unnest(string_split_regex(lower(trim(raw)), '[\s,;/|+&]+')) AS p FROM w WHERE raw IS NOT NULL),
+nm AS (SELECT raw, coalesce(n.code, m.code) AS code FROM tok LEFT JOIN names n ON n.name = p LEFT JOIN names m ON m.name = nullif(regexp_extract(p, '^(\p{L}+)[-_]', 1), '')), lab AS (SELECT raw, min(code) AS code FROM nm WHERE code IS NOT NULL GROUP BY 1 HAVING count(DISTINCT code) = 1),
+l AS (SELECT youtube_id, language FROM (SELECT *, row_number() OVER (PARTITION BY youtube_id ORDER BY acquired_at DESC NULLS LAST, coalesce(language, '') DESC) AS rn FROM pipeline_transcripts WHERE youtube_id IS NOT NULL) WHERE rn = 1), v AS (SELECT id, max(youtube_id) AS youtube_id, max(channel_id) AS channel_id FROM videos GROUP BY 1)
+SELECT v.id AS video_id, coalesce(a.code, b.code) AS code FROM v LEFT JOIN l USING (youtube_id) LEFT JOIN lab a ON a.raw = l.language LEFT JOIN channels c ON c.id = v.channel_id LEFT JOIN lab b ON b.raw = c.lang_config""",
     "p5_hosts": r"""WITH l AS (SELECT id, channel_id, list_filter(list_transform(string_split(transcript, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS l FROM videos WHERE regexp_matches(transcript, '\S')),
 d AS (SELECT DISTINCT id, channel_id AS host, (length(array_to_string(l, '')) - length(array_to_string(list_distinct(l), ''))) / greatest(length(array_to_string(l, '')), 1)::DOUBLE AS share FROM l),
 h AS (SELECT host, count(*) AS n, count(*) FILTER (share >= 0.3) AS f FROM d GROUP BY 1),

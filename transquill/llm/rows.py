@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -13,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from transquill.operators.storage import stored  # noqa: F401  (the operators here write with it)
+
 #: Rows that are turned into one output batch.
 OUT_ROWS = 4096
 
@@ -64,18 +64,6 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return videos.where(has_text("transcript")).select(F.col("id").alias("video_id"), F.col("transcript").alias("text"))
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The rows written once to the checkpoint folder that the session names; they survive the loss of executors."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if context.getCheckpointDir() is None:
-        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
-            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="transquill-"))  # a folder of its own only within one process
-    return df.checkpoint()
-
-
 def collected(df: DataFrame) -> dict[str, np.ndarray]:
     """A small table's columns on the driver, as arrays; through Arrow, so without a Python object for each value."""
     got = df.toArrow()
