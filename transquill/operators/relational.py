@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 from transquill.functions.text import FAILURES, has_text, word_count_spaces, words
 
 
+#: What a video has beside its text.
+COLUMNS = ("id", "channel_id", "youtube_id", "title", "status", "upload_date", "duration", "last_updated")
+
+
 def latest(videos: DataFrame, **derived: Column) -> DataFrame:
     """One row for each id, the one updated last, with what is derived from its text instead of the text.
 
     Copies and late stale versions fall away. has_text, nonempty, blank_words, space_words, chars, text_sha and the derived
     columns are computed where the text is read; those that nobody asks for are not computed at all, and no text is exchanged.
+    Columns that a video doesn't have by nature are left out, whatever their names.
     """
     t = F.col("transcript")
     small = videos.select(
-        *(c for c in videos.columns if c != "transcript"), has_text(t).alias("has_text"), F.coalesce(t != "", F.lit(False)).alias("nonempty"), word_count_spaces(t).alias("blank_words"), F.size(words(t)).alias("space_words"),
+        *(c for c in COLUMNS if c in videos.columns), has_text(t).alias("has_text"), F.coalesce(t != "", F.lit(False)).alias("nonempty"), word_count_spaces(t).alias("blank_words"), F.size(words(t)).alias("space_words"),
         F.length(t).alias("chars"), F.sha2(t, 256).alias("text_sha"), *(c.alias(n) for n, c in derived.items()),
     )
     order = [F.col("last_updated").desc_nulls_last(), F.col("status").asc_nulls_first(), F.col("chars").desc_nulls_last(), F.col("title").asc_nulls_last(), F.col("upload_date").asc_nulls_last(), F.col("duration").asc_nulls_last()]

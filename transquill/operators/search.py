@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transquill.functions.text import folded, has_text, let, tokens
@@ -85,6 +85,11 @@ def write_index(index: DataFrame, path: str) -> None:
     index.withColumn("bucket", _bucket(F.substring("term", 1, PREFIX))).repartition("bucket").sortWithinPartitions("term", "id").write.partitionBy("bucket").parquet(path)
 
 
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """A written index; one without any term has no files, but the same columns."""
+    return spark.read.schema("term string, id bigint, n bigint, bucket int").parquet(path)
+
+
 def indexed(index: DataFrame, query: str) -> DataFrame:
     """(id): documents of a written index in which every term of the query begins some word; other buckets aren't read, but for terms shorter than a beginning."""
     found = None

@@ -651,7 +651,7 @@ def fts06_indexed_search(spark, d):
     """The index written once by the beginnings of its terms, and searched by reading the files of two of them."""
     path = scratch(spark, "index")
     S.write_index(S.postings(table(spark, d, "videos"), current(spark, d)), path)
-    return S.indexed(spark.read.parquet(path), "bak the")
+    return S.indexed(S.read_index(spark, path), "bak the")
 
 
 # ---- state and increments

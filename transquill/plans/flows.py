@@ -35,10 +35,10 @@ def files(spark: SparkSession, d: str) -> DataFrame:
 # ---- sinks
 
 
-@query("SELECT count(*) AS channels, string_agg(prefix, ',' ORDER BY id) AS prefixes FROM channels")
+@query("SELECT count(prefix) AS channels, coalesce(string_agg(prefix, ',' ORDER BY id), '') AS prefixes FROM channels")
 def snk01_json(spark, d):
     """A small file of the channels' names, written at once and read again."""
-    names = [r["prefix"] for r in table(spark, d, "channels").select("id", "prefix").orderBy("id").collect()]
+    names = [r["prefix"] for r in table(spark, d, "channels").where("prefix is not null").select("id", "prefix").orderBy("id", "prefix").collect()]
     path = local(scratch(spark, "json")) + "/channels.json"
     sinks.write_small_json({"prefixes": names}, path)
     back = json.loads(Path(path).read_text(encoding="utf-8"))["prefixes"]
@@ -67,7 +67,7 @@ def snk03_pack_generation(spark, d):
     plan = W.pack_plan(current(spark, d, is_metadata=F.lit(False)), spark.createDataFrame([], "youtube_id string, transcript_sha256 string"), table(spark, d, "channels"), 5000)
     sinks.write_generation(plan.where("false"), path, ["channel"])
     sinks.write_generation(plan, path, ["channel"])
-    return spark.read.parquet(path).groupBy("channel").agg(F.count_distinct("id").alias("videos"))
+    return spark.read.schema(plan.schema).parquet(path).groupBy("channel").agg(F.count_distinct("id").alias("videos"))
 
 
 @query(f"SELECT DISTINCT id, sha256(transcript) AS text_sha FROM videos WHERE {TXT}")

@@ -51,7 +51,8 @@ def flt07_probe_set(spark, d):
 def flt11_point_lookup(spark, d):
     """One transcript by its id; the id is validated, and the filter reaches the scan."""
     v = table(spark, d, "videos")
-    return T.point_lookup(v, v.agg(F.min("youtube_id")).first()[0])
+    first = v.agg(F.min("youtube_id")).first()[0]
+    return T.point_lookup(v, first) if first is not None else v.select("id", "transcript").where("false")
 
 
 @query(f"WITH {CUR} SELECT id FROM cur WHERE id > 100 ORDER BY id LIMIT 100")
