@@ -53,33 +53,33 @@ GRAMMAR: list[tuple[str, str, re.Pattern]] = [
         ("tag", "html", TAG.pattern),
         ("entity", "html", r"&(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"),
         ("fence", "markdown", r"^(?:```|~~~)[^\n`]*\n.*?(?:^(?:```|~~~)[ \t]*$|\Z)"),
-        ("image", "markdown", r"!\[[^\[\]\n]{0,300}\]\([^()\s]{1,2000}(?:\s\"[^\"\n]*\")?\)"),
-        ("link", "markdown", r"(?<!!)\[[^\[\]\n]{1,300}\]\((?:https?:|/|#|\.|mailto:|www\.)[^()\s]*(?:\s\"[^\"\n]*\")?\)"),
-        ("code", "markdown", r"(?<![A-Za-z0-9\u00c0-\u024f`\u0192\\])`(?=[^\s`])[^`\n\u0080-\u009f]{0,79}(?<=[^\s])`(?![A-Za-z0-9\u00c0-\u024f`])"),
+        ("image", "markdown", r"!\[[^\[\]\n]*\]\([^()\s]+(?:\s\"[^\"\n]*\")?\)"),
+        ("link", "markdown", r"(?<!!)\[[^\[\]\n]+\]\((?:https?:|/|#|\.|mailto:|www\.)[^()\s]*(?:\s\"[^\"\n]*\")?\)"),
+        ("code", "markdown", r"(?<![A-Za-z0-9\u00c0-\u024f`\u0192\\])`(?=[^\s`])[^`\n\u0080-\u009f]*(?<=[^\s])`(?![A-Za-z0-9\u00c0-\u024f`])"),
         ("rule_row", "markdown", r"^\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*$|^\|[ \t]*:?-{3,}:?[ \t]*\|[ \t]*$"),
         ("row", "markdown", r"^\|(?![-}|+])[^\n]*\|[ \t]*$"),
         ("heading", "markdown", r"^#{1,6}[ \t]+(?=[^\s#])"),
         ("setext", "markdown", r"(?<=\n)(?:={3,}|-{3,})[ \t]*$"),
-        ("strong", "markdown", r"\*\*(?=[^\s*])[^*\n]{1,200}(?<=[^\s*])\*\*"),
-        ("strong_", "markdown", r"(?<![A-Za-z0-9_])__(?=[^\s_])[^_\n]{1,200}(?<=[^\s_])__(?![A-Za-z0-9_])"),
-        ("strike", "markdown", r"~~(?=\S)[^~\n]{1,200}(?<=\S)~~"),
-        ("emph", "markdown", r"(?<![\w*\\])\*(?=[^\s*\d])[^*\n]{1,80}(?<=[^\s*])\*(?![\w*])|(?<![A-Za-z0-9_\\/.])_(?=[^\s_])[^_\n/\\\u0080-\u009f\u0192\u201a]{1,80}(?<=[^\s_])_(?![A-Za-z0-9_/.])"),
+        ("strong", "markdown", r"\*\*(?=[^\s*])[^*\n]+(?<=[^\s*])\*\*"),
+        ("strong_", "markdown", r"(?<![A-Za-z0-9_])__(?=[^\s_])[^_\n]+(?<=[^\s_])__(?![A-Za-z0-9_])"),
+        ("strike", "markdown", r"~~(?=\S)[^~\n]+(?<=\S)~~"),
+        ("emph", "markdown", r"(?<![\w*\\])\*(?=[^\s*\d])[^*\n]+(?<=[^\s*])\*(?![\w*])|(?<![A-Za-z0-9_\\/.])_(?=[^\s_])[^_\n/\\\u0080-\u009f\u0192\u201a]+(?<=[^\s_])_(?![A-Za-z0-9_/.])"),
         ("quote", "markdown", r"^>[ \t](?=[^\s>])"),
         ("dash", "markdown", r"^[ \t]{0,3}[-+][ \t]+(?=[^\s-])"),
         ("bullet", "markdown", r"^[ \t]{0,3}\*[ \t]+(?=[^\s*])"),
         ("number", "markdown", r"^\d{1,3}[.)][ \t]+(?=\S)"),
         ("hr", "markdown", r"^(?:\*{3,}|_{3,}|(?:- ){2,}-)[ \t]*$"),
         ("title", "wiki", r"^(={2,6})[ \t]*[^=\n][^\n]*?[ \t]*\1[ \t]*$"),
-        ("bold", "wiki", r"'''(?=[^'\s])[^'\n]{1,200}(?:'[^'\n]+)*'''"),
-        ("italic", "wiki", r"(?<!')''(?=[^'\s])[^'\n]{1,200}''(?!')"),
-        ("page", "wiki", r"\[\[[^\[\]\n]{1,200}\]\]"),
+        ("bold", "wiki", r"'''(?=[^'\s])[^'\n]+(?:'[^'\n]+)*'''"),
+        ("italic", "wiki", r"(?<!')''(?=[^'\s])[^'\n]+''(?!')"),
+        ("page", "wiki", r"\[\[[^\[\]\n]+\]\]"),
         ("template", "wiki", r"\{\{[^{}\n|]{1,60}(?:\|[^{}]*)\}\}|^\{\{[A-Z][^{}\n]{1,60}\}\}[ \t]*$"),
         ("table", "wiki", r"^\{\|[^\n]*$|^\|\}[ \t]*$|^\|[-+][^\n]*$"),
         ("cells", "wiki", r"^!(?!\[)[^\n]*?(?:!!|\|\|)[^\n]*$|^\|(?![-+}|])[^\n|]*\|\|[^\n]*$|^[!|][ \t][^\n|]*$"),
         ("site", "wiki", r"(?<!\[)\[https?://[^\s\]]+(?:[ ][^\]\n]*)?\](?!\()"),
         ("magic", "wiki", r"__(?:TOC|NOTOC|NOEDITSECTION|FORCETOC)__"),
-        ("display", "latex", r"\$\$(?=[^$]*[\\^_={}])[^$]{1,400}\$\$|\\\[.{1,400}?\\\]|\\\(.{1,200}?\\\)|\\begin\{(?:equation|align|gather|math|displaymath)\*?\}.{1,600}?\\end\{(?:equation|align|gather|math|displaymath)\*?\}"),
-        ("math", "latex", r"(?<![\\$\w])\$(?=[^$\n]*(?:\\[A-Za-z]|[\^_]\{?[A-Za-z0-9]))[^$\n]{1,120}\$(?![\w$])"),
+        ("display", "latex", r"\$\$(?=[^$]*[\\^_={}])[^$]+\$\$|\\\[(?:(?!\\\[).)+?\\\]|\\\((?:(?!\\\().)+?\\\)|\\begin\{(?:equation|align|gather|math|displaymath)\*?\}(?:(?!\\begin\{(?:equation|align|gather|math|displaymath)).)+?\\end\{(?:equation|align|gather|math|displaymath)\*?\}"),
+        ("math", "latex", r"(?<![\\$\w])\$(?=[^$\n]*(?:\\[A-Za-z]|[\^_]\{?[A-Za-z0-9]))[^$\n]+\$(?![\w$])"),
         ("env", "latex", r"\\(?:begin|end)\{[A-Za-z]+\*?\}(?:\[[^\]\n]*\])?"),
         ("ref", "latex", r"~?\\(?:cite[a-z]*|ref|eqref|pageref|label|footnotemark|url)\{[^{}\n]*\}"),
         ("command", "latex", r"\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?\{[^{}\n]*\}"),
