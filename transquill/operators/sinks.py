@@ -17,7 +17,7 @@ from transquill.functions.arrow import map_documents
 
 def write_small_json(value: object, path: str) -> None:
     """A small driver-side file, replaced at once."""
-    _replace(path, json.dumps(value, ensure_ascii=False))
+    replace_file(path, json.dumps(value, ensure_ascii=False))
 
 
 def _fs(spark: SparkSession, path: str):  # noqa: ANN202
@@ -66,10 +66,11 @@ def write_csv_report(df: DataFrame, path: str) -> None:
 
 def write_script(path: str, assignments: dict[str, object]) -> None:
     """A small asset of a page: constants with their values in JSON, replaced at once."""
-    _replace(path, " ".join(f"const {name} = {json.dumps(value, ensure_ascii=True, separators=(',', ':'))};" for name, value in assignments.items()))
+    replace_file(path, " ".join(f"const {name} = {json.dumps(value, ensure_ascii=True, separators=(',', ':'))};" for name, value in assignments.items()))
 
 
-def _replace(path: str, text: str) -> None:
+def replace_file(path: str, text: str) -> None:
+    """A small file on the driver, in place of the last one at once."""
     folder = Path(path).parent
     folder.mkdir(parents=True, exist_ok=True)
     handle, name = tempfile.mkstemp(dir=folder)

@@ -355,9 +355,11 @@ def top01_newest(spark, d):
     return R.newest(current(spark, d), table(spark, d, "videos"), table(spark, d, "channels"), 2000, 999).select("youtube_id", "title", "part")
 
 
-@query(f"SELECT DISTINCT id, array_to_string(list_filter(list_distinct_order, lambda x: true), chr(10)) AS lines FROM (SELECT id, list_transform(list_sort(list_transform(list_distinct(l), lambda x: {{'p': list_position(l, x), 'x': x}})), lambda s: s.x) AS list_distinct_order FROM (SELECT id, string_split(transcript, chr(10)) AS l FROM videos WHERE {TXT}))")
+@query(f"SELECT DISTINCT id, sha256(array_to_string(k, chr(10))) AS lines_sha, len(k) AS kept FROM (SELECT id, list_transform(list_sort(list_transform(list_distinct(l), lambda x: {{'p': list_position(l, x), 'x': x}})), lambda s: s.x) AS k FROM (SELECT id, string_split(transcript, chr(10)) AS l FROM videos WHERE {TXT}))")
 def top08_unique_lines(spark, d):
-    return texts(spark, d).select("id", F.array_join(F.array_distinct(F.split("transcript", "\n")), "\n").alias("lines")).distinct()
+    """Lines in the order of their first, by their hash: texts aren't exchanged."""
+    lines = F.array_distinct(F.split("transcript", "\n"))
+    return texts(spark, d).select("id", F.sha2(F.array_join(lines, "\n"), 256).alias("lines_sha"), F.size(lines).cast("long").alias("kept")).distinct()
 
 
 @query(f"WITH {CUR}, r AS (SELECT status, id, row_number() OVER (PARTITION BY status ORDER BY id) AS rn FROM cur) SELECT status, id FROM r WHERE rn <= 5")

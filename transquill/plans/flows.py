@@ -93,7 +93,7 @@ def snk06_reports(spark, d):
     counts = current(spark, d).where(R.no_text()).groupBy("channel_id").agg(F.count("*").alias("n")).join(c, "channel_id").groupBy("prefix").agg(F.sum("n").alias("n"))
     path = scratch(spark, "report")
     sinks.write_csv_report(counts, path)
-    sinks._replace(local(path) + ".md", "| channel | videos |\n|---|---:|\n" + "".join(f"| {r['prefix']} | {r['n']} |\n" for r in counts.orderBy("prefix").collect()))
+    sinks.replace_file(local(path) + ".md", "| channel | videos |\n|---|---:|\n" + "".join(f"| {r['prefix']} | {r['n']} |\n" for r in counts.orderBy("prefix").collect()))
     return spark.read.option("sep", ";").option("header", True).schema("prefix string, n bigint").csv(path)
 
 
