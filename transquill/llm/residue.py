@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from re import _parser as sre_parse
 
 import ahocorasick
@@ -78,8 +78,6 @@ OPENED_BY = {"mustache": ("{{",), "block": ("{%",), "dollar": ("${",), "brace":
 ANY_HOLE = re.compile(r"\{\{|\{%|\$\{|\{(?:\d|[A-Za-z])|<%|<\?=|%(?:[A-Zsd(]|\d\$[sd])|@@|@[A-Z]|\$\$[A-Z]|__[A-Z]|\*\||\[%|<[A-Za-z]+[ _]|\[")
 START = r"(?:^|(?<=[.!?。！？।…»”\"\n>:]))[\s\"“«•*#–-]*"
 FILLERS = re.compile(START + "(?:" + "|".join(FILLER) + ")", re.IGNORECASE)
-NOTICE = re.compile("|".join(STRONG), re.IGNORECASE)
-HINT = re.compile("|".join(WEAK), re.IGNORECASE)
 NARRATED = re.compile(r"\b(?:explains?|says?|said|why|when|that|shows?|teach\w*|pourquoi|explique|quand|wenn|warum|erklärt|cuando|explica|por\s+qué|quando|porque|почему|когда|объясня\w+)\b", re.IGNORECASE)
 SENTENCE = re.compile(r"[^.!?。！？।\n<>]+[.!?。！？।]*")
 ABOUT_END = re.compile(ABOUT, re.IGNORECASE)
@@ -119,38 +117,48 @@ def needed(pattern: str) -> frozenset[str]:
 
 
 def automaton(patterns: list[str]) -> ahocorasick.Automaton:
-    """Finds where a pattern may match; every pattern must have a part that it can't match without."""
-    out = ahocorasick.Automaton()
-    for pattern in patterns:
+    """Finds where which of the patterns may match; every pattern must have a part that it can't match without."""
+    of: dict[str, set[int]] = {}
+    for i, pattern in enumerate(patterns):
         parts = needed(pattern)
         if not parts:
             raise ValueError(f"no part that all matches have: {pattern}")
         for part in parts:
-            out.add_word(part, len(part))
+            of.setdefault(part, set()).add(i)
+    out = ahocorasick.Automaton()
+    for part, own in of.items():
+        out.add_word(part, (len(part), frozenset(own)))
     out.make_automaton()
     return out
 
 
 FILLER_AT, PAGE_AT = automaton(FILLER), automaton(STRONG + WEAK)
+PAGE = [re.compile(p, re.IGNORECASE) for p in STRONG + WEAK]
 STOPS = re.compile(r"[.!?。！？।\n<>]")
 
 
-def near(parts: ahocorasick.Automaton, low: str) -> list[tuple[int, int]]:
-    """The sentences that hold one of the parts, with the end of the one before; touching ones joined."""
-    out: list[tuple[int, int]] = []
-    for end, n in parts.iter(low):
+def near(parts: ahocorasick.Automaton, low: str) -> list[tuple[int, int, set[int]]]:
+    """The sentences that hold one of the parts, with the end of the one before and the patterns that may match there; touching ones joined."""
+    out: list[tuple[int, int, set[int]]] = []
+    for end, (n, own) in parts.iter(low):
         if out and end < out[-1][1]:
+            out[-1][2].update(own)
             continue
         a = max((low.rfind(c, 0, end - n + 1) for c in ".!?。！？।\n<>"), default=-1)
         m = STOPS.search(low, end)
         b = m.end() if m else len(low)
         if out and a <= out[-1][1]:
-            out[-1] = out[-1][0], b
+            out[-1] = out[-1][0], b, out[-1][2] | own
         else:
-            out.append((max(0, a), b))
+            out.append((max(0, a), b, set(own)))
     return out
 
 
+def first_match(text: str, patterns: Iterable[int]) -> int | None:
+    """Where the first match of any of the page's patterns begins."""
+    return min((m.start() for i in patterns if (m := PAGE[i].search(text))), default=None)
+
+
 def mask_code(text: str) -> str:
     """Code and formulas give way to blanks of the same length."""
     return CODE.sub(lambda m: re.sub(r"[^\n]", " ", m[0]), text) if re.search(r"`|~~~|<pre|<code|<script|<style|\\begin|\\\[|\$|<syntax", text) else text
@@ -190,7 +198,7 @@ def fillers(text: str) -> list[tuple[int, int]]:
     """Runs of filler words, and sentences that announce a text."""
     low = text.lower()
     found = []
-    for a, b in near(FILLER_AT, low) if len(low) == len(text) else [(0, len(text))]:
+    for a, b, _ in near(FILLER_AT, low) if len(low) == len(text) else [(0, len(text), set())]:
         found += [(a + m.start(), e.end() if (e := STOPS.search(text, a + m.end())) and e.end() <= b else b) for m in FILLERS.finditer(text[a:b])]
     if sum(w in low for w in ("lorem", "dolor", "amet", "fugiat", "ipsum", "magna", "aliqua", "veniam", "tempor", "sint", "sapien")) >= 2:
         run: list[re.Match] = []
@@ -215,12 +223,13 @@ def notices(text: str) -> list[tuple[int, int]]:
     low = text.lower()
     strong: list[tuple[int, int]] = []
     weak: list[tuple[int, int]] = []
-    for a, b in near(PAGE_AT, low) if len(low) == len(text) else [(0, len(text))]:
+    for a, b, own in near(PAGE_AT, low) if len(low) == len(text) else [(0, len(text), set(range(len(PAGE))))]:
+        sure, less = [i for i in own if i < len(STRONG)], [i for i in own if i >= len(STRONG)]
         for s in SENTENCE.finditer(text, a, b):
-            n = NOTICE.search(s[0])
-            m = n or HINT.search(s[0])
-            if m and not NARRATED.search(s[0][: m.start()]):
-                (strong if n else weak).append(s.span())
+            n = first_match(s[0], sure)
+            at = first_match(s[0], less) if n is None else n
+            if at is not None and not NARRATED.search(s[0][:at]):
+                (strong if n is not None else weak).append(s.span())
     breaks = [m.start() for m in re.finditer(r"\n\s*\n", text)] if strong or weak else []
     block = lambda at: bisect_right(breaks, at)
     number = Counter(block(a) for a, _ in weak)
