@@ -101,7 +101,7 @@ def triplet_plan(texts: DataFrame) -> DataFrame:
     """PLAN for texts rendered three times with their times: taken back unless markers stay or repetitions grow. Others aren't touched."""
     stamped = texts.where(F.col("transcript").rlike(r"<[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?[.,][0-9]{3}>") | F.col("transcript").rlike(X.MARKERS["inline_timestamp"]))
     once = C.rendered_once(stamped).select("youtube_id", F.col("text").alias("candidate"))
-    both = stamped.join(once, "youtube_id").where("candidate <> transcript")
+    both = stored(stamped.join(once, "youtube_id").where("candidate <> transcript"))  # only texts that change
     both = both.join(measured(both, "transcript", "before"), "youtube_id").join(measured(both, "candidate", "after"), "youtube_id")
     good = (F.col("markers_after") == 0) & (F.col("alerts_after") <= F.col("alerts_before"))
     category = T.rules((F.col("markers_after") > 0, "residual_technical_markers"), (F.col("alerts_after") > F.col("alerts_before"), "repetition_alert_increase"), otherwise="rendered_triplets")
@@ -180,7 +180,7 @@ def spoken_plan(texts: DataFrame, exclusions: DataFrame, journal: DataFrame, ver
     kept = R.excluded(texts, exclusions).select("youtube_id", "transcript", F.col("text_sha").alias("before_sha"))
     known = journal.where(F.col("version") == version).select("youtube_id", "before_sha", F.col("after_sha").alias("known_sha")).dropDuplicates(["youtube_id", "before_sha"])
     fresh = kept.join(known, ["youtube_id", "before_sha"], "left_anti")
-    once = C.spoken_once(fresh, "youtube_id", "transcript").select("youtube_id", F.col("text").alias("transcript"))
+    once = stored(C.spoken_once(fresh, "youtube_id", "transcript").select("youtube_id", F.col("text").alias("transcript")))  # only texts that change
     again = C.spoken_once(once, "youtube_id", "transcript").select("youtube_id")
     new = once.join(again, "youtube_id", "left_anti").join(fresh.select("youtube_id", "before_sha"), "youtube_id").select("youtube_id", "before_sha", sha("transcript").alias("after_sha"), F.lit(False).alias("reused"))
     old = kept.join(known, ["youtube_id", "before_sha"]).select("youtube_id", "before_sha", F.col("known_sha").alias("after_sha"), F.lit(True).alias("reused"))

@@ -13,7 +13,7 @@ from transquill.operators import captions as C
 from transquill.operators import flows as W
 from transquill.operators import relational as R
 from transquill.operators import sinks
-from transquill.operators.storage import scratch
+from transquill.operators.storage import scratch, stored
 from transquill.plans.catalog import ATT, CUR, LETTERS, NOSUBS, NOW, QUEUE, SOUND, TXT, attempts, current, query, table, texts, texts_of
 from transquill.plans.more import SIGNALS, STATUS, signals
 
@@ -182,7 +182,7 @@ def cmp04_triplet_repairs(spark, d):
     line = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.array_join(F.slice(X.words(F.col("transcript")), i * 4 + 1, 4), " "))
     base = latest_texts(spark, d).where((F.size(X.words(F.col("transcript"))) >= 40) & ~F.col("transcript").rlike("[<&]")).select("youtube_id", line.alias("l"))
     three = base.select("youtube_id", F.array_join(F.transform("l", lambda x: F.concat(F.lit("<00:00:01.000>"), x, F.lit("\n\n"), x, F.lit("\n\n"), x)), "\n\n").alias("transcript"))
-    plan = W.triplet_plan(three)
+    plan = stored(W.triplet_plan(three))
     done = W.apply_plan(three, plan, "night")
     back = done.texts.select("youtube_id", F.sha2("transcript", 256).alias("sha")).join(base.select("youtube_id", F.sha2(F.array_join("l", " "), 256).alias("want")), "youtube_id")
     return back.join(plan.select("youtube_id", "category", "apply"), "youtube_id").select("youtube_id", "category", "apply", (F.col("sha") == F.col("want")).alias("whole"))
