@@ -36,6 +36,46 @@ def test_held_records_come_from_all_rows_and_are_whole(spark):
     assert list(mojibake.held_records(garbled, "text", 2).values()) == [FRENCH]
 
 
+def test_margin_is_tried_on_all_words_of_all_records(spark, monkeypatch):
+    words = ["forêt", "goûter", "télescope", "équipe", "garçon"]
+    rows = [(f"La {words[i % 5]} numéro {i} est près du {words[(i + 2) % 5]} de Noël.",) for i in range(150)] + [("forÃªt",), (None,), ("plain",)]
+    df = spark.createDataFrame(rows, "text string").repartition(3)
+    seen = []
+    monkeypatch.setattr(mojibake, "best_margin", lambda tries: seen.append(tries) or 5.0)
+    model = mojibake.fit(df)
+    halves = ([], [])
+    for r in df.where("text is not null and text != 'forÃªt'").select("text", F.xxhash64("text").alias("h")).collect():
+        halves[r["h"] & 1].append(r["text"])
+    expected = mojibake.Counter()
+    for own, other in (halves, halves[::-1]):
+        for mark, passages in zip((mojibake.RIGHT, mojibake.TO_GARBLE), mojibake.passages_of(own)):
+            expected.update(mojibake.tries_of(mojibake.Restorer(model_of(other)), mark, passages))
+    assert all(halves) and seen == [+expected] and seen[0][mojibake.TO_GARBLE, mojibake.RECORDS] == 150
+    assert sum(n for (mark, _), n in seen[0].items() if mark == mojibake.RIGHT) >= 150 * 5 * 5
+    whole = model_of(halves[0] + halves[1])
+    assert model.margin == 5.0 and all(abs(getattr(model, x).sum() - getattr(whole, x).sum()) < 200 for x in ("one", "two", "three"))
+
+
+def test_passages_have_each_word_and_what_a_trigram_sees_of_its_neighbours():
+    right, middle = mojibake.passages_of(["là forêt, où", "plain", "l’été à Noël"])
+    assert right == {"\n\nlà f": 1, "à forêt, ": 1, ", où\n\n": 1, "l’été à": 1, "é à N": 1, "à Noël\n\n": 1}
+    assert middle == {"à forêt, ": 1, "é à N": 1}
+    assert f"à {mojibake.read_wrongly('forêt', 'utf-8', 'cp1252')}, " in mojibake.garblings("à forêt, ", (2, 7))
+
+
+SOUP = st.text(st.sampled_from("aéÃ©â€™ ЖЯпрРСѓ.\n-«»”…аАБВк–¿ﬂÑ°¸\x85"), max_size=14)
+
+
+@given(SOUP, st.sampled_from([3.0, 12.0]))
+@settings(max_examples=300, deadline=None)
+def test_trials_say_what_the_finder_says(text, margin):
+    r = mojibake.Restorer(MODEL)
+    r.model = mojibake.Model(MODEL.one, MODEL.two, MODEL.three, margin)
+    found = bool(r.judged(text))
+    assert r.finds(text) == found
+    assert mojibake.may_be_found([text, "plain", text])[0::2] == [True, True] or not found
+
+
 # ---- problem 2
 
 

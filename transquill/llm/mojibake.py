@@ -2,7 +2,7 @@
 
 Character trigram counts of all clean records make a smoothed model. Each suspect passage goes through every chain of
 (wrong decoder, right encoding); the likeliest result is taken if it beats the text as it stands by a margin, which is
-validated on clean records that are garbled on purpose.
+validated on all clean records, garbled on purpose; each half of them is tried with the counts of the other.
 
 Defined results: a null or blank text gives no row; a passage whose letters are gone for good (substitute signs) counts
 as garbled and is kept as it is; without clean records (empty table) only byte-exact UTF-8 repairs are judged.
@@ -16,12 +16,13 @@ from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transquill.llm.rows import collected, has_text, map_batches, map_rows
+from transquill.llm.rows import collected, has_text, map_batches, map_rows, stored
 
 # Encodings in which UTF-8 was read by mistake, and encodings of the originals.
 DECODERS = ["cp1252", "cp850", "cp437", "mac_roman", "cp1251", "cp1253", "cp1250", "cp1256", "cp866", "koi8-r"]
@@ -332,6 +333,7 @@ class Restorer:
         self.gate = re.compile(GATE)
         self._scores: dict[str, float] = {}
         self._undone: dict[tuple[str, str, int, float], tuple[str, str] | None] = {}
+        self._readings: dict[tuple[bytes, tuple[str, ...]], list[tuple[str, str]]] = {}
 
     def gain(self, text: str, a: int, b: int, new: str) -> float:
         """How much likelier the text gets with new in place of text[a:b]."""
@@ -410,9 +412,25 @@ class Restorer:
         plain = "".join(c for c in unicodedata.normalize("NFKC", text[a:b]) if unicodedata.category(c) != "Cf")
         return self.gain(text, a, b, plain) if plain != text[a:b] else -1e9
 
+    def readings(self, data: bytes, originals: tuple[str, ...]) -> list[tuple[str, str]]:
+        """(encoding, text) of each encoding in which the bytes are words of one script; kept, as several decoders give the same bytes."""
+        key = data, originals
+        if (out := self._readings.get(key)) is None:
+            if len(self._readings) > 50_000:
+                self._readings.clear()
+            out = self._readings[key] = []
+            for y in originals:
+                try:
+                    new = data.decode(y)
+                except UnicodeDecodeError:
+                    continue
+                if self.model.known(new) and one_script(new) and letters(new) >= max(4, 0.6 * len(new.replace(" ", ""))):
+                    out.append((y, new))
+        return out
+
     def passages(self, text: str, suspect: re.Pattern, decoders: list[str], originals: list[str], bridge: bool) -> list[tuple[float, Span]]:
         """Runs of characters of one decoder that read better as text of another encoding."""
-        best: list[tuple[float, Span]] = []
+        maybe: list[Span] = []
         for x in decoders:
             runs = run_pattern(x, bridge).finditer(text) if bridge else [*SENTENCE.finditer(text), *SWAP_RUN.finditer(text)]
             for m in runs:
@@ -420,22 +438,15 @@ class Restorer:
                     continue
                 for cut in (0, 1) if bridge and ord(m[0][-1]) < 128 else (0,):
                     a, b = m.start(), m.end() - cut
-                    data = unread(text[a:b], x)
-                    for y in originals if data else ():
-                        if y == x:
-                            continue
-                        try:
-                            new = data.decode(y)
-                        except UnicodeDecodeError:
-                            continue
-                        if new == text[a:b] or not self.model.known(new) or not one_script(new) or ascii_letters(text[a - 1 : a] + text[b : b + 1]):
-                            continue
-                        if letters(new) < 4 or letters(new) < 0.6 * len(new.replace(" ", "")):
-                            continue
-                        gain = self.gain(text, a, b, new)
-                        # text in capitals is rare, too: it must not be that alone
-                        if gain > self.model.margin + 0.5 * (b - a) and (bridge or gain > self.gain(text, a, b, text[a:b].lower()) + self.model.margin):
-                            best.append((gain, Span(a, b, new, f"{y}>{x}")))
+                    data = None if ascii_letters(text[a - 1 : a] + text[b : b + 1]) else unread(text[a:b], x)
+                    for y, new in self.readings(data, tuple(originals)) if data else ():
+                        if y != x and new != text[a:b]:
+                            maybe.append(Span(a, b, new, f"{y}>{x}"))
+        best: list[tuple[float, Span]] = []
+        for s, gain in zip(maybe, self.gains(text, [(s.start, s.end, s.text) for s in maybe])):
+            # text in capitals is rare, too: it must not be that alone
+            if gain > self.model.margin + 0.5 * (s.end - s.start) and (bridge or gain > self.gain(text, s.start, s.end, text[s.start : s.end].lower()) + self.model.margin):
+                best.append((gain, s))
         return best
 
     def words(self, text: str) -> list[tuple[float, Span]]:
@@ -453,7 +464,7 @@ class Restorer:
             for x in LATIN:
                 data = unread(word, x)
                 for y in LATIN if data else ():
-                    new = "".join(chr(b) if b < 0x80 else high(y)[b] for b in data)
+                    new = data.decode("latin-1").translate(high(y))
                     if x != y and new != word and self.model.known(new) and not QUOTE_WITHIN.search(new) and all(c.isalpha() or c in "-'’«»“”¿¡…–" for c in new if ord(c) > 127):
                         maybe.append(Span(m.start(), m.end(), new, f"{y}>{x}"))
         gains = self.gains(text, [(s.start, s.end, s.text) for s in maybe])
@@ -503,6 +514,14 @@ class Restorer:
         spans += [s for m in (LOST.finditer(text) if "�" in text or "??" in text else ()) if all(m.end() <= t.start or m.start() >= t.end for t in spans) for s in [Span(m.start(), m.end(), None, "lost")]]
         return sorted(spans, key=lambda s: s.start)
 
+    def finds(self, text: str) -> bool:
+        """Whether judged() gives any passage."""
+        if self.utf8(text) or LOST.search(text):
+            return True
+        if WORD_SUSPECT.search(text) and self.words(text) or RUN.search(text) and self.passages(text, RUN, ["cp1252", "cp850", "mac_roman"], ORIGINALS, True):
+            return True
+        return bool((SWAPPED.search(text) or UPPER_RUN.search(text)) and self.passages(text, SWAPPED_OR_UPPER, CYRILLIC, CYRILLIC, False))
+
     def restore(self, text: str, spans: list[Span] | None = None) -> str:
         spans = self.spans(text) if spans is None else spans
         if not spans:
@@ -531,21 +550,54 @@ def _gram_counts(texts: list[str]) -> list[tuple[int, int, int]]:
     return out
 
 
-def _count(held: frozenset[int]) -> Callable[[], Callable[[list[list]], list[tuple]]]:
-    def kernel(columns: list[list]) -> list[tuple]:
-        return _gram_counts([t for h, t, unclean in zip(*columns, gated(columns[1], alike=True)) if t and h not in held and not unclean])
-
-    return lambda: kernel
+#: First slot of each order in one row of counts, and the marks of passages: as they are, and to be garbled.
+FIRST = {1: 0, 2: 1 << BITS1, 3: (1 << BITS1) + (1 << BITS2)}
+SLOTS = FIRST[3] + (1 << BITS3)
+RIGHT, TO_GARBLE = -1, -2
+#: Two characters on each side of a word are what a trigram sees of its neighbours.
+REACH = 2
+#: A word beyond ASCII with them; looked ahead for, as neighbours share them.
+PASSAGE = re.compile(r"(?s)(?=(.[\W\d_][A-Za-z]*+[^\x00-\x7f\W\d_][^\W\d_]*+..))")
+
+
+def passages_of(texts: list[str]) -> tuple[Counter, Counter]:
+    """Each word beyond ASCII with the characters that a trigram sees on its sides, counted; and each text's middle one of them."""
+    right: Counter = Counter()
+    middle: Counter = Counter()
+    edge = "\n" * REACH
+    for t in texts:
+        if t.isascii():
+            continue
+        if own := PASSAGE.findall(f"{edge}{t}{edge}"):
+            right.update(own)
+            middle[own[len(own) // 2]] += 1
+    return right, middle
+
+
+def _count_kernel(columns: list[list]) -> list[tuple]:
+    """(slot, passage, n0, n1) of the clean records: n-grams, and passages to try the margin on, in either half of the records."""
+    halves: tuple[list[str], list[str]] = ([], [])
+    for h, t, unclean in zip(*columns, gated(columns[1], alike=True)):
+        if t and not unclean:
+            halves[h & 1].append(t)
+    out: list[tuple] = []
+    for half, texts in enumerate(halves):
+        found = [(FIRST[order] + bucket, None, n) for order, bucket, n in _gram_counts(texts)]
+        for mark, passages in zip((RIGHT, TO_GARBLE), passages_of(texts)):
+            found += [(mark, p, n) for p, n in passages.items()]
+        out += [(slot, p, 0, n) if half else (slot, p, n, 0) for slot, p, n in found]
+    return out
 
 
-def count_ngrams(texts: DataFrame, column: str = "text", held: frozenset[int] = frozenset()) -> DataFrame:
-    """(gram_order, bucket, n) over all clean records but those whose hash is held back."""
+def count_clean(texts: DataFrame, column: str = "text") -> DataFrame:
+    """(slot, passage, n0, n1) over all clean records; which half a record is in is told by its hash, so copies are in the same."""
     rows = texts.where(has_text(column)).select(F.xxhash64(column).alias("__h"), column)
-    return map_batches(rows, ["__h", column], _count(held), "gram_order int, bucket int, n bigint").groupBy("gram_order", "bucket").agg(F.sum("n").alias("n"))
+    counted = map_batches(rows, ["__h", column], lambda: _count_kernel, "slot int, passage string, n0 bigint, n1 bigint")
+    return counted.groupBy("slot", "passage").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 def held_records(texts: DataFrame, column: str, rows: int) -> dict[int, str]:
-    """The whole clean records beyond ASCII with the least hashes, over all rows; by hash, so that copies count once."""
+    """The whole clean records beyond ASCII with the least hashes, over all rows; by hash, so that copies count once. For trials by hand: fit() takes all records."""
     hashed = texts.where(has_text(column) & F.col(column).rlike(r"[^\x00-\x7f]")).select(F.xxhash64(column).alias("h"), F.col(column).alias("t"))
     least = collected(hashed.orderBy("h", "t").limit(8 * rows))
     held = {h: t for h, t in zip(least["h"].tolist(), least["t"].tolist()) if not re.search(CLEAN, t)}
@@ -560,69 +612,174 @@ def held_records(texts: DataFrame, column: str, rows: int) -> dict[int, str]:
     return dict(list(held.items())[:rows])
 
 
-def fit(texts: DataFrame, column: str = "text", validate_rows: int = 60) -> Model:
-    """Counts over all clean records; the margin from at most validate_rows of them, which the counts don't hold until it is chosen.
+def model_of_counts(counts: np.ndarray, margin: float = 6.0) -> Model:
+    return Model(*(counts[FIRST[order] : FIRST[order] + (1 << bits)].astype(np.float32) for order, bits in ((1, BITS1), (2, BITS2), (3, BITS3))), margin)
+
+
+def fit(texts: DataFrame, column: str = "text") -> Model:
+    """Counts over all clean records, and the margin from all of them: each half is tried with the counts of the other.
 
-    The sample and the collected table are bounded: the table has at most 2^20 + 2^18 + 2^16 rows, whatever the corpus.
+    The collected table is bounded: it has at most 2^20 + 2^18 + 2^16 rows, whatever the corpus. Passages stay on the executors.
     """
-    held = held_records(texts, column, validate_rows)
-    rows = collected(count_ngrams(texts, column, frozenset(held)))
-    one, two, three = (np.zeros(1 << b, np.float32) for b in (BITS1, BITS2, BITS3))
-    for order, to in ((1, one), (2, two), (3, three)):
-        own = rows["gram_order"] == order
-        to[rows["bucket"][own]] = rows["n"][own]
-    margin = validated_margin(Model(one, two, three), list(held.values()))
-    for order, bucket, n in _gram_counts(list(held.values())):
-        (one, two, three)[order - 1][bucket] += n
-    return Model(one, two, three, margin)
+    counted = stored(count_clean(texts, column))
+    rows = collected(counted.where("slot >= 0").select("slot", "n0", "n1"))
+    halves = np.zeros((2, SLOTS))
+    for half, n in zip(halves, (rows["n0"], rows["n1"])):
+        half[rows["slot"]] = n
+    tries = tried(counted.where("slot < 0"), [model_of_counts(halves[1]), model_of_counts(halves[0])])
+    return model_of_counts(halves[0] + halves[1], best_margin(tries))
 
 
 #: All (right encoding, wrong decoder) that are undone.
 CHAINS = [("utf-8", d) for d in DECODERS] + [(o, d) for o in LATIN for d in LATIN if o != d] + [(o, d) for o in CYRILLIC for d in CYRILLIC if o != d] + [(o, d) for o in ORIGINALS for d in ("cp1252", "cp850", "mac_roman")]
+DECODERS_OF = {o: [d for p, d in CHAINS if p == o] for o, _ in CHAINS}
 BEYOND = re.compile(r"[^\W\d_]*[^\x00-\x7f\W\d_][^\W\d_]*")
 
 
-def right_writings(text: str) -> list[str]:
-    """A clean text in ways that are right but carry the gate's signs: as it is, in capitals, and with signs set tight against its letters."""
-    return [text, text.upper(), BEYOND.sub(lambda m: f"«{m[0]}»", text), BEYOND.sub(lambda m: f"{m[0]}—", text), BEYOND.sub(lambda m: f"“{m[0]}”…", text)]
+def right_writings(text: str, at: tuple[int, int] | None = None) -> list[str]:
+    """A clean text in ways that are right but carry the gate's signs: as it is, in capitals, and with signs set tight against its letters, or those from at[0] to at[1]."""
 
+    def beside(before: str, after: str) -> str:
+        return BEYOND.sub(lambda m: before + m[0] + after, text) if at is None else text[: at[0]] + before + text[at[0] : at[1]] + after + text[at[1] :]
 
-def garblings(text: str) -> list[str]:
-    """The text after each chain that can have happened to it: its middle word beyond ASCII alone, which is the hardest to see."""
-    words = [m for m in BEYOND.finditer(text) if not m[0].isascii()]
-    if not words:
-        return []
-    m = words[len(words) // 2]
-    out = {w: None for o, d in CHAINS if (w := read_wrongly(m[0], o, d)) and w != m[0]}
-    return [text[: m.start()] + w + text[m.end() :] for w in out]
+    return [text, text.upper(), beside("«", "»"), beside("", "—"), beside("“", "”…")]
+
+
+def garblings(text: str, at: tuple[int, int] | None = None) -> list[str]:
+    """The text after each chain that can have happened to its word from at[0] to at[1], or its middle word beyond ASCII: one word alone is the hardest to see."""
+    if at is None:
+        words = [m.span() for m in BEYOND.finditer(text) if not m[0].isascii()]
+        if not words:
+            return []
+        at = words[len(words) // 2]
+    word = text[at[0] : at[1]]
+    out: dict[str, None] = {}
+    for o, decoders in DECODERS_OF.items():
+        try:
+            data = word.encode(o).decode("latin-1")
+        except UnicodeEncodeError:
+            continue
+        out |= dict.fromkeys(data.translate(high(d)) for d in decoders)
+    return [text[: at[0]] + w + text[at[1] :] for w in out if w != word]
+
+
+#: Stands beside the numbers of margins for the number of records.
+RECORDS = -1
+#: The margins that are tried.
+GRID = (3.0, 4.0, 5.0, 6.0, 8.0, 10.0, 12.0)
+
+
+#: A character after a first one of a UTF-8 sequence, by decoder: bits of first characters of two, of three, and of those that follow.
+def _firsts() -> np.ndarray:
+    table = np.zeros(0x110000, np.uint32)
+    for i, codec in enumerate(DECODERS):
+        for a, b, *_, n in SEQUENCES:
+            table[[ord(high(codec)[x]) for x in range(a, b + 1)]] |= np.uint32(1 << i + 10 * n)
+        table[[ord(c) for c in utf8_parts(codec)[1]]] |= np.uint32(1 << i + 20)
+    return table
+
+
+FIRSTS = _firsts()
+
+
+def may_be_found(texts: list[str]) -> list[bool]:
+    """Which of the texts have any sign that judged() goes by, whatever the gate and the margin say; all at once."""
+    out = [False] * len(texts)
+    joined = "\n".join([*texts, ""])
+    bits = FIRSTS[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    ten = np.uint32((1 << 10) - 1)
+    rest = bits >> np.uint32(20)
+    hit = np.zeros(len(bits), bool)
+    hit[:-1] = bits[:-1] & rest[1:] & ten != 0
+    hit[:-2] |= bits[:-2] >> np.uint32(10) & rest[1:-1] & rest[2:] & ten != 0
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    at = [np.flatnonzero(hit)]
+    for p in (RUN, SWAPPED, UPPER_RUN, WORD_SUSPECT, LOST):
+        at.append(np.array([m.start() for m in p.finditer(joined)], np.int64))
+    for i in np.unique(np.searchsorted(ends, np.concatenate(at), "right")).tolist():
+        out[i] = True
+    return out
 
 
-def validated_margin(model: Model, held: list[str], grid: tuple[float, ...] = (3.0, 4.0, 5.0, 6.0, 8.0, 10.0, 12.0)) -> float:
-    """The margin with the fewest errors on clean texts, which count three times, and on the same texts garbled; of equals the middle one.
+def passed(r: Restorer, text: str, ends: tuple[int, ...], grid: tuple[float, ...] = GRID) -> int:
+    """At how many margins of the grid something is found in the text; the grid's ends, which mostly tell, are tried first.
 
     What is found at one margin is found at all lower ones, so each text is tried at few of them.
     """
-    right, garbled = [w for t in held for w in dict.fromkeys(right_writings(t))], [w for t in held for w in garblings(t)]
-    if not garbled:
-        return 6.0
-    r = Restorer(model)
+    low, high = 0, len(grid)
+    while low < high:
+        at, ends = (ends[0], ends[1:]) if ends else ((low + high) // 2, ends)
+        if low <= at < high:
+            r.model.margin = grid[at]
+            low, high = (at + 1, high) if r.finds(text) else (low, at)
+    return low
 
-    def passed(text: str, judge: Callable[[str], list[Span]], tries: tuple[int, int]) -> int:
-        """At how many margins of the grid the text is found; the ends, which mostly tell, are tried first."""
-        low, high = 0, len(grid)
-        while low < high:
-            at, tries = (tries[0], tries[1:]) if tries else ((low + high) // 2, tries)
-            model.margin = grid[at]
-            low, high = (max(low, at + 1), high) if judge(text) else (low, min(high, at))
-        return low
 
+def tries_of(r: Restorer, mark: int, passages: dict[str, int], grid: tuple[float, ...] = GRID) -> Counter:
+    """By mark and passed(), how many writings of the passages: the right ones whatever the gate says, the garbled ones as they are looked for."""
     last = len(grid) - 1
-    wrong, caught = [passed(t, r.judged, (0, last)) for t in right], [passed(t, r.spans, (last, 0)) for t in garbled]
-    errors = [3 * sum(n > i for n in wrong) / len(wrong) + sum(n <= i for n in caught) / len(caught) for i in range(len(grid))]
+    of, ends = (right_writings, (0, last)) if mark == RIGHT else (garblings, (last, 0))
+    writings = [(w, n) for p, n in passages.items() for w in dict.fromkeys(of(p, (REACH, len(p) - REACH)))]
+    texts = [w for w, _ in writings]
+    out: Counter = Counter()
+    for (w, n), hit, seen in zip(writings, may_be_found(texts), gated(texts) if mark == TO_GARBLE else repeat(True)):
+        out[mark, passed(r, w, ends, grid) if hit and seen else 0] += n
+    if mark == TO_GARBLE:
+        out[mark, RECORDS] += sum(passages.values())
+    return out
+
+
+def tried(passages: DataFrame, models: list[Model]) -> Counter:
+    """Over all passages (slot, passage, n0, n1) how many writings, by mark, are found at how many margins; a half's passages by its own model.
+
+    Equal passages are tried once; only the counts reach the driver.
+    """
+    spark = passages.sparkSession
+    make = [restorer(spark, m) for m in models]
+
+    def start() -> Callable[[list[list]], list[tuple]]:
+        both = [m() for m in make]
+
+        def kernel(columns: list[list]) -> list[tuple]:
+            out: Counter = Counter()
+            marks, texts, *counts = columns
+            for r, ns in zip(both, counts):
+                for mark in (RIGHT, TO_GARBLE):
+                    out.update(tries_of(r, mark, {t: n for m, t, n in zip(marks, texts, ns) if m == mark and n}))
+            return [(mark, k, n) for (mark, k), n in out.items()]
+
+        return kernel
+
+    # by number, as few bytes of passages are much work, and would come together in one task
+    spread_out = passages.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+    sums = map_batches(spread_out, ["slot", "passage", "n0", "n1"], start, "mark int, passed int, n bigint").groupBy("mark", "passed").agg(F.sum("n").alias("n"))
+    return Counter({(row["mark"], row["passed"]): row["n"] for row in sums.collect()})
+
+
+def best_margin(tries: Counter, grid: tuple[float, ...] = GRID) -> float:
+    """The margin with the fewest errors: false finds for each right writing of a record, which count three times, and the share of garbled words that are missed; of equals the middle one."""
+    writings = 5 * tries[TO_GARBLE, RECORDS]  # each record has one middle word
+    garbled = sum(n for (mark, k), n in tries.items() if mark == TO_GARBLE and k >= 0)
+    if not garbled:
+        return 6.0
+    errors = []
+    for i in range(len(grid)):
+        wrong = sum(n for (mark, k), n in tries.items() if mark == RIGHT and k > i)
+        missed = sum(n for (mark, k), n in tries.items() if mark == TO_GARBLE and 0 <= k <= i)
+        errors.append(3 * wrong / writings + missed / garbled)
     best = [m for m, e in zip(grid, errors) if e == min(errors)]
     return best[len(best) // 2]
 
 
+def validated_margin(model: Model, held: list[str], grid: tuple[float, ...] = GRID) -> float:
+    """best_margin() of all passages of some texts that the model doesn't hold."""
+    r = Restorer(model)
+    tries: Counter = Counter()
+    for mark, passages in zip((RIGHT, TO_GARBLE), passages_of(held)):
+        tries.update(tries_of(r, mark, passages, grid))
+    return best_margin(tries, grid)
+
+
 def restorer(spark: SparkSession, model: Model) -> Callable[[], Restorer]:
     """A factory for the tasks; the model travels as one broadcast of about 5 MB."""
     sent = spark.sparkContext.broadcast((model.one, model.two, model.three, model.margin))
