@@ -56,6 +56,14 @@ def test_margin_is_tried_on_all_words_of_all_records(spark, monkeypatch):
     assert model.margin == 5.0 and all(abs(getattr(model, x).sum() - getattr(whole, x).sum()) < 200 for x in ("one", "two", "three"))
 
 
+def test_margin_heeds_records_beyond_those_of_least_hashes(spark):
+    both = spark.range(400).select(F.explode(F.array(F.concat(F.lit("Le numéro "), "id", F.lit(" est là, près de la forêt.")), F.concat(F.lit("Он был В "), "id", F.lit(" В доме.")))).alias("text"))
+    french, low = F.col("text").startswith("Le"), F.xxhash64("text") < -(5 << 60)
+    few = both.where(french & low)
+    assert few.count() > 60 and mojibake.fit(few).margin == 6.0  # no margin is better than another
+    assert mojibake.fit(few.unionByName(both.where(~french & ~low))).margin == 4.0  # a garbled "В" is missed from 5 on
+
+
 def test_passages_have_each_word_and_what_a_trigram_sees_of_its_neighbours():
     right, middle = mojibake.passages_of(["là forêt, où", "plain", "l’été à Noël"])
     assert right == {"\n\nlà f": 1, "à forêt, ": 1, ", où\n\n": 1, "l’été à": 1, "é à N": 1, "à Noël\n\n": 1}

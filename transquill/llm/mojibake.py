@@ -669,8 +669,8 @@ RECORDS = -1
 GRID = (3.0, 4.0, 5.0, 6.0, 8.0, 10.0, 12.0)
 
 
-#: A character after a first one of a UTF-8 sequence, by decoder: bits of first characters of two, of three, and of those that follow.
 def _firsts() -> np.ndarray:
+    """For each code point, by decoder, as bits: whether a UTF-8 sequence of two begins with it, one of three, and whether one goes on with it."""
     table = np.zeros(0x110000, np.uint32)
     for i, codec in enumerate(DECODERS):
         for a, b, *_, n in SEQUENCES:
