@@ -84,6 +84,39 @@ def test_trials_say_what_the_finder_says(text, margin):
     assert mojibake.may_be_found([text, "plain", text])[0::2] == [True, True] or not found
 
 
+@given(st.lists(SOUP, min_size=1, max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_trials_of_many_texts_say_what_the_finder_says_at_each_margin(texts):
+    r = mojibake.Restorer(mojibake.Model(MODEL.one, MODEL.two, MODEL.three))
+
+    def found(text, margin):
+        r.model.margin = margin
+        return r.finds(text)
+
+    assert mojibake.passed_together(r, texts) == [sum(found(t, m) for m in mojibake.GRID) for t in texts]
+
+
+def test_most_garbled_words_are_found_without_all_other_chains(monkeypatch):
+    searched = []
+    finds, utf8 = mojibake.Restorer.finds, mojibake.Restorer.utf8
+    monkeypatch.setattr(mojibake.Restorer, "finds", lambda self, text: searched.append(text) or finds(self, text))
+    monkeypatch.setattr(mojibake.Restorer, "utf8", lambda self, text, depth=mojibake.DEPTH: (depth == mojibake.DEPTH and searched.append(text)) or utf8(self, text, depth))
+    russian = "Сегодня мы расскажем о том, как в нашем городе собирали урожай яблок. "
+    model = model_of([FRENCH, GERMAN, SPANISH, russian] * 50)
+    _, middle = mojibake.passages_of([FRENCH, GERMAN, SPANISH, russian])
+    tries = mojibake.tries_of(mojibake.Restorer(model), mojibake.TO_GARBLE, middle)
+    searches = len(searched)
+    expected = mojibake.Counter({(mojibake.TO_GARBLE, mojibake.RECORDS): 4})
+    for p, n in middle.items():
+        for w in mojibake.garblings(p, (2, len(p) - 2)):
+            k = 0
+            for m in mojibake.GRID if re.search(mojibake.GATE, w) else ():
+                k += bool(mojibake.Restorer(mojibake.Model(model.one, model.two, model.three, m)).judged(w))
+            expected[mojibake.TO_GARBLE, k] += n
+    writings = sum(n for (_, k), n in tries.items() if k >= 0)
+    assert tries == expected and searches < 0.6 * writings, (searches, writings)
+
+
 # ---- problem 2
 
 
