@@ -117,6 +117,21 @@ def test_most_garbled_words_are_found_without_all_other_chains(monkeypatch):
     assert tries == expected and searches < 0.6 * writings, (searches, writings)
 
 
+@given(st.lists(SOUP, min_size=1, max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_runs_are_sought_by_sets_without_ascii_letters(texts):
+    for k, run in mojibake.RUN_BITS + mojibake.SIGN_RUNS:
+        assert 0 <= k < len(run)
+    for table, runs in ((mojibake.CLASSES, mojibake.RUN_BITS), (mojibake.SIGN_CLASSES, mojibake.SIGN_RUNS)):
+        letters = table[[ord(c) for c in "abcxyzABCXYZ"]]
+        assert not any((letters & np.uint32(run[k])).any() for k, run in runs)
+        bits = table[[ord(c) for c in "\n".join(texts)]]
+        expected = {i for _, run in runs for i in range(len(bits) - len(run) + 1) if all(bits[i + j] & np.uint32(x) for j, x in enumerate(run))}
+        assert set(mojibake.begun(bits, runs).tolist()) == expected
+    gate = re.compile(mojibake.GATE)
+    assert mojibake.gated(texts) == [bool((not t.isascii() or "??" in t) and gate.search(t)) for t in texts]
+
+
 # ---- problem 2
 
 

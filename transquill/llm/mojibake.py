@@ -151,8 +151,8 @@ GATE = "|".join("".join(some("".join(sorted(x))) for x in run) for run in RUNS_O
 LOOKS_LIKE = "\xad\u200b-\u200f\u2060-\u2064\ufeffＡ-ｚﬀ-ﬆ\U0001d400-\U0001d7ff"
 
 
-def _classes(runs_of: list[list[set[str]]]) -> tuple[np.ndarray, list[list[int]], int]:
-    """For each code point the sets that it is in, as bits; each run as bits; the bit of what only looks like others."""
+def _classes(runs_of: list[list[set[str]]]) -> tuple[np.ndarray, list[tuple[int, list[int]]], int]:
+    """For each code point the sets that it is in, as bits; each run as bits, with the number within it of its last set without ASCII letters; the bit of what only looks like others."""
     sets: list[set[str]] = []
     runs = []
     for run in runs_of:
@@ -160,7 +160,7 @@ def _classes(runs_of: list[list[set[str]]]) -> tuple[np.ndarray, list[list[int]]
             for x in run:
                 if x not in sets:
                     sets.append(x)
-            runs.append([1 << sets.index(x) for x in run])
+            runs.append((max(k for k, x in enumerate(run) if not any(c.isascii() and c.isalpha() for c in x)), [1 << sets.index(x) for x in run]))
     table = np.zeros(0x110000, np.uint32)
     for i, x in enumerate([*sets, spread(LOOKS_LIKE)]):
         table[[ord(c) for c in x]] |= np.uint32(1 << i)
@@ -170,16 +170,23 @@ def _classes(runs_of: list[list[set[str]]]) -> tuple[np.ndarray, list[list[int]]
 CLASSES, RUN_BITS, ALIKE_BIT = _classes(RUNS_OF)
 
 
-def begun(bits: np.ndarray, runs: list[list[int]]) -> np.ndarray:
-    """Where one of the runs begins."""
-    hit = np.zeros(len(bits), bool)
-    for run in runs:
-        if len(bits) >= len(run):
-            found = bits[: len(bits) - len(run) + 1] & np.uint32(run[0]) != 0
-            for k in range(1, len(run)):
-                found &= bits[k : len(bits) - len(run) + 1 + k] & np.uint32(run[k]) != 0
-            hit[: len(found)] |= found
-    return hit
+def begun(bits: np.ndarray, runs: list[tuple[int, list[int]]]) -> np.ndarray:
+    """Where the runs begin, in no order; most text is ASCII letters, so only the places of one other set of each run are looked at."""
+    rare = 0
+    for k, run in runs:
+        rare |= run[k]
+    at = np.flatnonzero(bits & np.uint32(rare))
+    own = bits[at]
+    out = []
+    for k, run in runs:
+        first = at[own & np.uint32(run[k]) != 0] - k
+        if len(run) > 1:
+            first = first[(first >= 0) & (first <= len(bits) - len(run))]
+        for j, x in enumerate(run):
+            if j != k:
+                first = first[bits[first + j] & np.uint32(x) != 0]
+        out.append(first)
+    return np.concatenate(out)
 
 
 def gated(texts: list[str | None], alike: bool = False) -> list[bool]:
@@ -190,9 +197,9 @@ def gated(texts: list[str | None], alike: bool = False) -> list[bool]:
         return out
     joined = "\n".join(texts[i] for i in own)
     bits = CLASSES[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    hit = begun(bits, RUN_BITS + ([[ALIKE_BIT]] if alike else []))
+    hit = begun(bits, RUN_BITS + ([(0, [ALIKE_BIT])] if alike else []))
     ends = np.cumsum([len(texts[i]) + 1 for i in own])
-    for i in np.unique(np.searchsorted(ends, np.flatnonzero(hit), "right")).tolist():
+    for i in np.unique(np.searchsorted(ends, hit, "right")).tolist():
         out[own[i]] = True
     return out
 
@@ -746,7 +753,8 @@ def may_be_found(texts: list[str]) -> list[bool]:
     bits = FIRSTS[points]
     ten = np.uint32((1 << 10) - 1)
     rest = bits >> np.uint32(20)
-    hit = begun(SIGN_CLASSES[points], SIGN_RUNS)
+    hit = np.zeros(len(bits), bool)
+    hit[begun(SIGN_CLASSES[points], SIGN_RUNS)] = True
     hit[:-1] |= bits[:-1] & rest[1:] & ten != 0
     hit[:-2] |= bits[:-2] >> np.uint32(10) & rest[1:-1] & rest[2:] & ten != 0
     ends = np.cumsum([len(t) + 1 for t in texts])
