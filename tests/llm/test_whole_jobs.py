@@ -417,3 +417,53 @@ def test_the_markup_classifier_is_fitted_on_texts_with_and_without_markup(spark)
     fitted = markup.fit(mixed, plain)
     assert fitted["quote"] > markup.ODDS["quote"] and markup.fit(mixed.where("false"), plain) == markup.ODDS
     assert markup.find_markup(mixed.withColumn("video_id", F.lit(1)), fitted).count() == 40
+
+
+# ---- problem 5: what costs time is done for the texts that need it
+
+
+def test_only_texts_with_runs_that_come_again_are_taken_apart(monkeypatch):
+    from transquill.llm import repetition
+
+    loop = "We say — the same eight words, again now! "
+    texts = [f"text number {i} says « something » of its own, and then {i + 1} more" for i in range(200)] + [loop * 3, "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往" * 2, "", "… — !", loop + loop.upper()]
+    seen, units_of = [], repetition.units_of
+    monkeypatch.setattr(repetition, "units_of", lambda t: seen.append(t) or units_of(t))
+    out = repetition.measures(texts)
+    assert not set(seen) & set(texts[:200]) and [s for s, _ in out] == pytest.approx([0.0] * 200 + [2 / 3, 0.5, 0.0, 0.0, 0.5])
+
+
+@given(st.lists(st.lists(st.sampled_from(["a", "B,", "b", "—", "…", "été"]), max_size=50).map(" ".join) | st.lists(st.sampled_from("天地。 "), max_size=90).map("".join), max_size=8))
+@settings(max_examples=200, deadline=None)
+def test_shares_of_many_texts_are_those_of_each(texts):
+    from transquill.llm import repetition
+
+    def brute(units, size):
+        seen, marked = set(), set()
+        for i in range(len(units) - size + 1):
+            if (g := tuple(units[i : i + size])) in seen:
+                marked |= set(range(i, i + size))
+            seen.add(g)
+        return len(marked) / len(units) if units else 0.0
+
+    assert [s for s, _ in repetition.measures(texts)] == pytest.approx([brute(*repetition.units_of(t)) for t in texts])
+
+
+@given(st.lists(st.text(st.sampled_from("aZéßЖ天 ๑1_²\n-.\U0001d400"), max_size=40), max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_words_beyond_ascii_with_two_characters_on_each_side(texts):
+    right, middle = mojibake.Counter(), mojibake.Counter()
+    for t in texts:
+        if own := re.findall(r"(?s)(?=(.[\W\d_][A-Za-z]*+[^\x00-\x7f\W\d_][^\W\d_]*+..))", f"\n\n{t}\n\n"):
+            right.update(own)
+            middle[own[len(own) // 2]] += 1
+    assert mojibake.passages_of(texts) == (right, middle)
+
+
+@pytest.mark.parametrize("codec", mojibake.DECODERS)
+def test_runs_of_utf8_are_those_of_its_sequences(codec):
+    rng = np.random.default_rng(1)
+    chars = "".join(mojibake.high(codec).values()) + "ab \x92"
+    plain = re.compile(f"(?:{mojibake.sequences(codec)})+")
+    texts = ["".join(rng.choice(list(chars), 400)) for _ in range(20)] + [mojibake.read_wrongly(t, "utf-8", codec) for t in (FRENCH, GERMAN, "Он был дома… «да»", "今日は。")]
+    assert all([m.span() for m in mojibake.utf8_pattern(codec).finditer(t)] == [m.span() for m in plain.finditer(t)] for t in texts) and any(plain.search(t) for t in texts)

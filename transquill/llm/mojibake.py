@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transquill.llm.rows import collected, has_text, map_batches, map_rows, stored
+from transquill.llm.rows import collected, has_text, map_batches, map_columns, map_rows, stored
 
 # Encodings in which UTF-8 was read by mistake, and encodings of the originals.
 DECODERS = ["cp1252", "cp850", "cp437", "mac_roman", "cp1251", "cp1253", "cp1250", "cp1256", "cp866", "koi8-r"]
@@ -77,17 +77,17 @@ def some(chars: str) -> str:
 SEQUENCES = [(0xC2, 0xC5, 0x80, 0xBF, 0), (0xCC, 0xCC, 0x80, 0xBF, 0), (0xD0, 0xD0, 0x80, 0xBF, 0), (0xD1, 0xD1, 0x80, 0x9F, 0), (0xD8, 0xD9, 0x80, 0xBF, 0), (0xE0, 0xE0, 0xA4, 0xA5, 1), (0xE0, 0xE0, 0xB8, 0xB9, 1), (0xE2, 0xE2, 0x80, 0x9F, 1), (0xE3, 0xE3, 0x80, 0x83, 1), (0xE4, 0xE9, 0x80, 0xBF, 1), (0xEF, 0xEF, 0xBB, 0xBF, 1)]
 
 
-def sequences(codec: str) -> str:
-    """Pattern of one UTF-8 sequence as codec reads it."""
+def sequences(codec: str, begun: bool = False) -> str:
+    """Pattern of one UTF-8 sequence as codec reads it; begun: after its first character."""
     both = codec == "cp1252"
     of = lambda a, b: some("".join(high(codec)[x] + (chr(x) if both and x < 0xA0 else "") for x in range(a, b + 1)))
-    return "|".join(of(a, b) + of(c, d) + of(0x80, 0xBF) * n for a, b, c, d, n in SEQUENCES)
+    return "|".join((f"(?<={of(a, b)})" if begun else of(a, b)) + of(c, d) + of(0x80, 0xBF) * n for a, b, c, d, n in SEQUENCES)
 
 
 @lru_cache(None)
 def utf8_pattern(codec: str) -> re.Pattern:
-    """Matches runs of what codec makes of UTF-8 sequences."""
-    return re.compile(f"(?:{sequences(codec)})+")
+    """Matches runs of what codec makes of UTF-8 sequences; as it begins with one set, other characters are passed over fast."""
+    return re.compile(f"{some(''.join(sorted(utf8_parts(codec)[0])))}(?:{sequences(codec, begun=True)})(?:{sequences(codec)})*")
 
 
 @lru_cache(None)
@@ -452,19 +452,28 @@ class Restorer:
     def passage_changes(self, text: str, suspect: re.Pattern, decoders: list[str], originals: list[str], bridge: bool) -> list[Span]:
         """Runs of characters of one decoder that are words in another encoding."""
         maybe: list[Span] = []
+        same = None if bridge else self.runs(text, [*SENTENCE.finditer(text), *SWAP_RUN.finditer(text)], suspect, False)
         for x in decoders:
-            runs = run_pattern(x, bridge).finditer(text) if bridge else [*SENTENCE.finditer(text), *SWAP_RUN.finditer(text)]
-            for m in runs:
-                if len(m[0]) < 4 or not suspect.search(m[0]):
-                    continue
-                for cut in (0, 1) if bridge and ord(m[0][-1]) < 128 else (0,):
-                    a, b = m.start(), m.end() - cut
-                    data = None if ascii_letters(text[a - 1 : a] + text[b : b + 1]) else unread(text[a:b], x)
-                    for y, new in self.readings(data, tuple(originals)) if data else ():
-                        if y != x and new != text[a:b]:
-                            maybe.append(Span(a, b, new, f"{y}>{x}"))
+            for a, b in self.runs(text, run_pattern(x, True).finditer(text), suspect, True) if same is None else same:
+                data = unread(text[a:b], x)
+                for y, new in self.readings(data, tuple(originals)) if data else ():
+                    if y != x and new != text[a:b]:
+                        maybe.append(Span(a, b, new, f"{y}>{x}"))
         return maybe
 
+    @staticmethod
+    def runs(text: str, found: Iterable[re.Match], suspect: re.Pattern, bridge: bool) -> list[tuple[int, int]]:
+        """Where the matches begin and end that are long and suspect, and have no ASCII letters beside them; with and without an ASCII character at the end."""
+        out = []
+        for m in found:
+            if len(m[0]) < 4 or not suspect.search(m[0]):
+                continue
+            for cut in (0, 1) if bridge and ord(m[0][-1]) < 128 else (0,):
+                a, b = m.start(), m.end() - cut
+                if not ascii_letters(text[a - 1 : a] + text[b : b + 1]):
+                    out.append((a, b))
+        return out
+
     def passages(self, text: str, suspect: re.Pattern, decoders: list[str], originals: list[str], bridge: bool) -> list[tuple[float, Span]]:
         """Runs of characters of one decoder that read better as text of another encoding."""
         maybe = self.passage_changes(text, suspect, decoders, originals, bridge)
@@ -579,27 +588,39 @@ class Restorer:
 CLEAN = GATE + f"|[{LOOKS_LIKE}]"
 
 
-def _gram_counts(texts: list[str]) -> list[tuple[int, int, int]]:
-    """(order, slot, n) of the n-grams of all texts on end."""
-    data = codes("\n\n".join(texts))
-    if data.size < 3:
-        return []
-    out = []
-    for order, of, bits in zip((1, 2, 3), _hashes(data), (BITS1, BITS2, BITS3)):
-        n = np.bincount(of, minlength=1 << bits)
-        at = np.nonzero(n)[0]
-        out += zip([order] * len(at), at.tolist(), n[at].tolist())
-    return out
-
-
 #: First slot of each order in one row of counts, and the marks of passages: as they are, and to be garbled.
 FIRST = {1: 0, 2: 1 << BITS1, 3: (1 << BITS1) + (1 << BITS2)}
 SLOTS = FIRST[3] + (1 << BITS3)
 RIGHT, TO_GARBLE = -1, -2
+
+
+def slot_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The slots of the n-grams of all texts on end, and how many are in each."""
+    data = codes("\n\n".join(texts))
+    if data.size < 3:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    n = np.concatenate([np.bincount(of, minlength=1 << bits) for of, bits in zip(_hashes(data), (BITS1, BITS2, BITS3))])
+    at = np.flatnonzero(n)
+    return at, n[at]
+
+
+def _gram_counts(texts: list[str]) -> list[tuple[int, int, int]]:
+    """(order, slot, n) of the n-grams of all texts on end."""
+    return [(order := max(o for o, a in FIRST.items() if a <= at), at - FIRST[order], n) for at, n in zip(*map(np.ndarray.tolist, slot_counts(texts)))]
+
+
 #: Two characters on each side of a word are what a trigram sees of its neighbours.
 REACH = 2
-#: A word beyond ASCII with them; looked ahead for, as neighbours share them.
-PASSAGE = re.compile(r"(?s)(?=(.[\W\d_][A-Za-z]*+[^\x00-\x7f\W\d_][^\W\d_]*+..))")
+#: Texts whose words are sought at once.
+TEXTS = 512
+@lru_cache(None)
+def letter_kinds() -> np.ndarray:
+    """For each code point: 0 no letter, 1 one of ASCII, 2 one beyond."""
+    out = np.zeros(0x110000, np.uint8)
+    for m in re.finditer(r"[^\W\d_]+", "".join(map(chr, range(0x110000)))):
+        out[m.start() : m.end()] = 2
+    out[:128] = np.minimum(out[:128], 1)
+    return out
 
 
 def passages_of(texts: list[str]) -> tuple[Counter, Counter]:
@@ -607,34 +628,47 @@ def passages_of(texts: list[str]) -> tuple[Counter, Counter]:
     right: Counter = Counter()
     middle: Counter = Counter()
     edge = "\n" * REACH
-    for t in texts:
-        if t.isascii():
-            continue
-        if own := PASSAGE.findall(f"{edge}{t}{edge}"):
-            right.update(own)
-            middle[own[len(own) // 2]] += 1
+    own = [t for t in texts if not t.isascii()]
+    for a in range(0, len(own), TEXTS):
+        part = own[a : a + TEXTS]
+        joined = edge + "".join(t + edge for t in part)
+        kinds = letter_kinds()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        turns = np.flatnonzero(np.diff(kinds != 0)) + 1  # the edges are no letters, so words begin and end in turn
+        starts, ends = turns[::2], turns[1::2]
+        beyond = np.concatenate([[0], np.cumsum(kinds == 2)])
+        words = beyond[ends] > beyond[starts]
+        starts = starts[words]
+        found = [joined[x:y] for x, y in zip((starts - REACH).tolist(), (ends[words] + REACH).tolist())]
+        right.update(found)
+        bounds = np.searchsorted(starts, np.cumsum([0] + [len(t) + REACH for t in part])).tolist()
+        middle.update(found[x + (y - x) // 2] for x, y in zip(bounds, bounds[1:]) if x < y)
     return right, middle
 
 
-def _count_kernel(columns: list[list]) -> list[tuple]:
-    """(slot, passage, n0, n1) of the clean records: n-grams, and passages to try the margin on, in either half of the records."""
+def _count_kernel(columns: list[list]) -> list[list]:
+    """(slot, passage, n0, n1) of the clean records: n-grams, and passages to try the margin on, in either half of the records; by column."""
     halves: tuple[list[str], list[str]] = ([], [])
     for h, t, unclean in zip(*columns, gated(columns[1], alike=True)):
         if t and not unclean:
             halves[h & 1].append(t)
-    out: list[tuple] = []
+    slots: list[np.ndarray] = []
+    passages: list[str | None] = []
+    counts: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
     for half, texts in enumerate(halves):
-        found = [(FIRST[order] + bucket, None, n) for order, bucket, n in _gram_counts(texts)]
-        for mark, passages in zip((RIGHT, TO_GARBLE), passages_of(texts)):
-            found += [(mark, p, n) for p, n in passages.items()]
-        out += [(slot, p, 0, n) if half else (slot, p, n, 0) for slot, p, n in found]
-    return out
+        at, n = slot_counts(texts)
+        own = passages_of(texts)
+        passages += [None] * len(at) + [p for x in own for p in x]
+        slots += [at, *(np.full(len(x), mark) for mark, x in zip((RIGHT, TO_GARBLE), own))]
+        n = np.concatenate([n, np.fromiter((k for x in own for k in x.values()), np.int64)])
+        counts[half].append(n)
+        counts[1 - half].append(np.zeros_like(n))
+    return [np.concatenate(slots), passages, *map(np.concatenate, counts)]
 
 
 def count_clean(texts: DataFrame, column: str = "text") -> DataFrame:
     """(slot, passage, n0, n1) over all clean records; which half a record is in is told by its hash, so copies are in the same."""
     rows = texts.where(has_text(column)).select(F.xxhash64(column).alias("__h"), column)
-    counted = map_batches(rows, ["__h", column], lambda: _count_kernel, "slot int, passage string, n0 bigint, n1 bigint")
+    counted = map_columns(rows, ["__h", column], lambda: _count_kernel, "slot int, passage string, n0 bigint, n1 bigint")
     return counted.groupBy("slot", "passage").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 

@@ -11,7 +11,7 @@ host null; with no host, or none that fails, the prior is flat.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from itertools import chain, repeat
 
 import numpy as np
@@ -31,44 +31,93 @@ LIMITS = {"runs": 0.3, "lines": 0.3}
 SALTS = 16
 #: Texts that are looked at at once.
 CHUNK = 512
-DENSE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]")
+#: Words of at most 64 characters whose hashes a task keeps, as the same ones come again; and the hash of none, which no word has.
+KEPT, NOTHING = 200_000, -1
+#: A run's hash is made of those of its parts.
+FACTORS = {RUN_WORDS: (2, 2, 2), RUN_CHARS: (2, 2, 5)}
+DENSE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]+")
 NO_UNIT = regex.compile(r"[^\p{L}\p{N}\p{M}]+")
 HIGH = regex.compile("[\u0e00-\U0010ffff]{4}")
 EDGES = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()) + "«»“”‘’‚‛„‟–—―…¿¡·•。，、！？「」『』（）：；،؛؟।♪♫\u00a0\u200b"
 
 
+def by_chars(text: str) -> bool:
+    """Whether characters are counted, as most are of scripts without spaces."""
+    return not text.isascii() and bool(HIGH.search(text)) and sum(map(len, DENSE.findall(text))) * 2 > len(text) * 0.8
+
+
 def units_of(text: str) -> tuple[list[str] | str, int]:
     """What is counted, words or characters, and how many of them on end make a run."""
-    if not text.isascii() and HIGH.search(text) and len(DENSE.findall(text)) * 2 > len(text) * 0.8:
+    if by_chars(text):
         return NO_UNIT.sub("", text.lower()), RUN_CHARS
     return list(filter(None, map(str.strip, text.lower().split(), repeat(EDGES)))), RUN_WORDS
 
 
-def may_repeat(all_units: list[tuple[list[str] | str, int]]) -> list[bool]:
-    """Which of the texts have two equal hashes of runs; the others have no run twice. All texts at once."""
-    out = [False] * len(all_units)
-    for size in (RUN_WORDS, RUN_CHARS):
-        own = [i for i, (u, s) in enumerate(all_units) if s == size and len(u) > size]
-        if not own:
+class Hashes(dict):
+    """The hash of each word without the signs at its edges, as it is met; NOTHING if no more than signs."""
+
+    def __missing__(self, word: str) -> int:
+        bare = word.strip(EDGES)
+        h = hash(bare) if bare else NOTHING
+        if len(self) < KEPT and len(word) <= 64:
+            self[word] = h
+        return h
+
+
+def _hashes(texts: list[str], known: Hashes) -> tuple[np.ndarray, np.ndarray, list[bool]]:
+    """A hash of each unit of all texts, the text that each is in, and which texts are counted by characters."""
+    chars = [by_chars(t) for t in texts]
+    words = [[] if c else t.lower().split() for t, c in zip(texts, chars)]
+    counts = [len(w) for w in words]
+    h = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int64, sum(counts))
+    owner = np.repeat(np.arange(len(texts)), counts)
+    kept = h != NOTHING
+    each, owners = [h[kept]], [owner[kept]]
+    for i in (i for i, c in enumerate(chars) if c):
+        each.append(np.frombuffer(units_of(texts[i])[0].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64))
+        owners.append(np.full(len(each[-1]), i))
+    return np.concatenate(each), np.concatenate(owners), chars
+
+
+def _rolled(h: np.ndarray, factors: tuple[int, ...]) -> np.ndarray:
+    """A hash of each run of as many units as the factors' product."""
+    step, power = 1, 0x9E3779B97F4A7C15
+    for f in factors:
+        n, whole = len(h) - (f - 1) * step, h
+        h = whole[:n]
+        for k in range(1, f):
+            h = h * np.uint64(power) + whole[k * step : k * step + n]
+        step, power = step * f, pow(power, f, 1 << 64)
+    return h
+
+
+def copies(texts: list[str], known: Hashes) -> list[list[int]]:
+    """For each text where its runs begin whose hash another of its runs has; all others are there once. All texts at once."""
+    h, owner, chars = _hashes(texts, known)
+    out: list[list[int]] = [[] for _ in texts]
+    of_chars = np.array(chars, bool)[owner]
+    for size, own in ((RUN_WORDS, ~of_chars), (RUN_CHARS, of_chars)):
+        units, text = h[own].view(np.uint64), owner[own]
+        if len(units) <= size:
             continue
-        counts = [len(all_units[i][0]) for i in own]
-        if size == RUN_WORDS:
-            h = np.fromiter(map(hash, chain.from_iterable(all_units[i][0] for i in own)), np.int64, sum(counts)).view(np.uint64)
-        else:
-            h = np.frombuffer("".join(all_units[i][0] for i in own).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-        n = len(h) - size + 1
-        roll = np.zeros(n, np.uint64)
-        for k in range(size):
-            roll = roll * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n]
-        owner = np.repeat(np.arange(len(own)), counts)
-        same = owner[:n] == owner[size - 1 :]
-        key = (roll ^ (owner[:n].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)))[same]
+        first = np.searchsorted(text, np.arange(len(texts)))
+        roll = _rolled(units, FACTORS[size])
+        within = np.flatnonzero(text[: len(roll)] == text[size - 1 :])
+        key = roll[within] ^ (text[within].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
         ordered = np.sort(key)
-        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-        if len(twice):
-            at = np.searchsorted(twice, key)
-            for j in np.unique(owner[:n][same][twice[np.minimum(at, len(twice) - 1)] == key]):
-                out[own[j]] = True
+        twice = ordered[1:][ordered[1:] == ordered[:-1]]
+        if not len(twice):
+            continue
+        top = np.zeros(1 << 16, bool)  # few keys begin as one of these, so only those are sought
+        top[twice >> np.uint64(48)] = True
+        maybe = np.flatnonzero(top[key >> np.uint64(48)])
+        maybe = maybe[twice[np.minimum(np.searchsorted(twice, key[maybe]), len(twice) - 1)] == key[maybe]]
+        at = within[maybe]
+        starts = (at - first[text[at]]).tolist()
+        bounds = np.searchsorted(text[at], np.arange(len(texts) + 1)).tolist()
+        for i, (x, y) in enumerate(zip(bounds, bounds[1:])):
+            if x < y:
+                out[i] = starts[x:y]
     return out
 
 
@@ -77,16 +126,15 @@ def repeated_share(text: str) -> float:
     return share_of(*units_of(text)) if text else 0.0
 
 
-def share_of(units: list[str] | str, size: int) -> float:
+def share_of(units: list[str] | str, size: int, starts: Iterable[int] | None = None) -> float:
+    """starts: where the runs begin that may be there twice, if known."""
     n = len(units)
     if n <= size:
         return 0.0
-    grams = [units[i : i + size] for i in range(n - size + 1)] if isinstance(units, str) else list(zip(*(units[k:] for k in range(size))))
-    if len(set(grams)) == len(grams):
-        return 0.0
     seen: set = set()
     marked, until = 0, 0
-    for i, g in enumerate(grams):
+    for i in range(n - size + 1) if starts is None else starts:
+        g = units[i : i + size] if isinstance(units, str) else tuple(units[i : i + size])
         if g in seen:
             marked += i + size - max(i, until)
             until = i + size
@@ -95,19 +143,17 @@ def share_of(units: list[str] | str, size: int) -> float:
     return marked / n
 
 
-def measures(texts: list[str]) -> list[tuple[float, float]]:
+def measures(texts: list[str], known: Hashes | None = None) -> list[tuple[float, float]]:
     """For each text the shares of repeated runs and of repeated lines (by length)."""
-    all_units = [units_of(t) for t in texts]
-    return [measured_one(t, u, size, again) for t, (u, size), again in zip(texts, all_units, may_repeat(all_units))]
+    return [(share_of(*units_of(t), starts) if starts else 0.0, repeated_lines(t)) for t, starts in zip(texts, copies(texts, Hashes() if known is None else known))]
 
 
-def measured_one(text: str, units: list[str] | str, size: int, again: bool) -> tuple[float, float]:
-    lines = 0.0
-    if "\n" in text:
-        all_lines = [x for x in (y.strip() for y in text.split("\n")) if x]
-        total = sum(map(len, all_lines))
-        lines = (total - sum(map(len, set(all_lines)))) / total if total else 0.0
-    return share_of(units, size) if again else 0.0, lines
+def repeated_lines(text: str) -> float:
+    if "\n" not in text:
+        return 0.0
+    lines = [x for x in (y.strip() for y in text.split("\n")) if x]
+    total = sum(map(len, lines))
+    return (total - sum(map(len, set(lines)))) / total if total else 0.0
 
 
 def measure(texts: DataFrame, model: Model, key: str = "video_id", host: str = "host", column: str = "text") -> DataFrame:
@@ -115,13 +161,13 @@ def measure(texts: DataFrame, model: Model, key: str = "video_id", host: str = "
     make = restorer(texts.sparkSession, model)
 
     def start() -> Callable[[list[list]], list[tuple]]:
-        r = make()
+        r, known = make(), Hashes()
 
         def kernel(columns: list[list]) -> list[tuple]:
             out = []
             for a in range(0, len(columns[0]), CHUNK):
                 ids, hosts, texts_ = (c[a : a + CHUNK] for c in columns)
-                out += [(k, h, *m) for k, h, m in zip(ids, hosts, measures(r.restored(texts_)))]
+                out += [(k, h, *m) for k, h, m in zip(ids, hosts, measures(r.restored(texts_), known))]
             return out
 
         return kernel

@@ -53,6 +53,21 @@ def map_batches(df: DataFrame, columns: list[str], make: Callable[[], Callable[[
     return df.select(*columns).mapInArrow(run, fields)
 
 
+def map_columns(df: DataFrame, columns: list[str], make: Callable[[], Callable[[list[list]], list[list]]], schema: str) -> DataFrame:
+    """Like map_batches, but the kernel gives whole columns, too, as arrays or lists: for many rows of numbers."""
+    fields = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kernel = make()
+        for batch in batches:
+            out = kernel([c.to_pylist() for c in batch.columns])
+            if len(out[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, arrow)], schema=arrow)
+
+    return df.select(*columns).mapInArrow(run, fields)
+
+
 def has_text(column: str) -> Column:
     """Neither null nor only white space."""
     return F.col(column).isNotNull() & F.col(column).rlike(r"(?U)\S")
