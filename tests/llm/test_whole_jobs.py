@@ -467,3 +467,47 @@ def test_runs_of_utf8_are_those_of_its_sequences(codec):
     plain = re.compile(f"(?:{mojibake.sequences(codec)})+")
     texts = ["".join(rng.choice(list(chars), 400)) for _ in range(20)] + [mojibake.read_wrongly(t, "utf-8", codec) for t in (FRENCH, GERMAN, "Он был дома… «да»", "今日は。")]
     assert all([m.span() for m in mojibake.utf8_pattern(codec).finditer(t)] == [m.span() for m in plain.finditer(t)] for t in texts) and any(plain.search(t) for t in texts)
+
+
+# ---- problem 6: the same votes and pieces with less work
+
+RUSSIAN = "Он был дома весь день. Потом он ушёл в лес, и там было тихо! Никто не ждал его."
+
+
+def test_a_text_of_one_writing_is_not_cut_piece_by_piece(monkeypatch):
+    from transquill.llm import languages
+
+    seen, script_runs = [], languages.script_runs
+    monkeypatch.setattr(languages, "script_runs", lambda t: seen.append(t) or script_runs(t))
+    who = languages.Identifier(languages.Filters())
+    for text in (FRENCH, RUSSIAN, "今日は天気がいいです。明日も晴れるでしょう。散歩に行きます。", "这是第一句很长的话。这是第二句很长的话。", "1. 2. 3."):
+        who._pieces(text)
+    assert not seen
+    pieces = who._pieces(f"{RUSSIAN} and then she went home to the old mill {RUSSIAN}")
+    assert seen and "and then she went home to the old mill" in pieces and not any("Он" in p and "mill" in p for p in pieces)
+
+
+def test_hits_of_all_languages_are_those_of_each():
+    from transquill.llm import languages
+
+    rng = np.random.default_rng(1)
+    owner = np.sort(rng.integers(0, 5, 60_000))
+    owner[owner == 3] = 4
+    sets = rng.integers(0, 1 << len(languages.CODES), len(owner)).astype(np.uint16)
+    filters = languages.Filters()
+    for few in (owner < 9, np.arange(len(owner)) % 20 == 0):
+        most = int(np.bincount(owner[few]).max())
+        plain = [np.bincount(owner[few][(sets[few] >> i) & 1 == 1], minlength=6) for i in range(len(languages.CODES))]
+        assert np.array_equal(filters.hits(sets[few], owner[few], 6, most), plain)
+    full = np.zeros((1 << languages.FIELD) - 1, np.int64)  # as many as a field holds
+    assert all(n.tolist() == [len(full)] for n in filters.hits(np.full(len(full), (1 << len(languages.CODES)) - 1), full, 1, len(full)))
+
+
+@given(st.text(st.sampled_from("aД天.!?。！।\"”) \n[](1:♪<>")))
+@settings(max_examples=500, deadline=None)
+def test_patterns_that_begin_with_a_set_match_the_same(text):
+    from transquill.llm import languages
+
+    assert languages.PIECE.split(text) == re.split(r"[.!?؟।]+[\"”»’)]*\s+|[。！？]+", text)
+    assert languages.ANNOTATION.sub("_", text) == re.sub(r"\[[^\]\n]{1,40}\]|\((?:[^()\d\n]{1,30})\)|[♪♫]|<[^<>\n]{1,80}>", "_", text)
+    assert bool(languages.TIME_PART.search(text)) or not languages.TIME.search(text)
